@@ -81,3 +81,162 @@ SELECT CAST(count(*) AS BIGINT) AS n_docs,
 FROM n""")
 def q_pretrain_token_stats(spark, sf_dir):
     return pretrain.token_stats(table(spark, sf_dir, "documents"), max_length=PRE_L)
+
+
+# ---------------------------------------------------------------------------
+# Step 2: conversations -> chat text -> SFT samples
+# ---------------------------------------------------------------------------
+from samplewright.operators import chat  # noqa: E402
+
+SFT_L = T.SFT_MAX_LENGTH
+AUGMENT = {"seed": 42, "epoch": 0, "ratio": chat.ADD_SYSTEM_RATIO}
+
+
+def _messages(spark, sf_dir):
+    return chat.messages_from_turns(table(spark, sf_dir, "conversations"))
+
+
+def _q(s: str) -> str:
+    """A DuckDB string literal (real newlines are kept inside the literal)."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _duck_render(augment: dict | None = None, tail: str = "") -> str:
+    """SQL that renders every conversation: columns conv_id, prompt, n_messages, ..."""
+    if augment:
+        flag = (f"(role0 IS DISTINCT FROM 'system' AND "
+                f"{D.hash_unit(augment['seed'], augment['epoch'], 'conv_id')} < {augment['ratio']})")
+        idx = f"CAST({D.hash_word(augment['seed'], augment['epoch'], 'conv_id', 1)} % 3 AS INTEGER)"
+    else:
+        flag, idx = "false", "CAST(0 AS INTEGER)"
+    prompts = " ".join(f"WHEN {i} THEN {_q(p)}" for i, p in enumerate(chat.SYSTEM_PROMPTS))
+    return f"""
+WITH w AS (
+  SELECT conv_id, turn, role, text AS content,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role,
+         lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
+         first_value(role) OVER (PARTITION BY conv_id ORDER BY turn) AS role0
+  FROM conversations),
+a AS (SELECT *, {flag} AS aug, {idx} AS aug_idx FROM w),
+b AS (
+  SELECT conv_id, pos, role, content, aug, aug_idx, role0,
+    (CASE WHEN pos = 0 THEN
+        CASE WHEN role = 'system' THEN {_q('<|im_start|>system' + chr(10))} || content || {_q('<|im_end|>' + chr(10))}
+             WHEN aug THEN {_q('<|im_start|>system' + chr(10))} || (CASE aug_idx {prompts} END) || {_q('<|im_end|>' + chr(10))}
+             ELSE {_q(chat.DEFAULT_SYSTEM_BLOCK)} END
+     ELSE '' END) ||
+    (CASE WHEN role = 'user' OR (role = 'system' AND pos > 0)
+            THEN '<|im_start|>' || role || {_q(chr(10))} || coalesce(content, '') || {_q('<|im_end|>' + chr(10))}
+          WHEN role = 'assistant'
+            THEN {_q(chat.ASSISTANT_HEADER)} || coalesce(content, '') || {_q('<|im_end|>' + chr(10))}
+          WHEN role = 'tool'
+            THEN (CASE WHEN pos = 0 OR prev_role IS DISTINCT FROM 'tool' THEN '<|im_start|>user' ELSE '' END)
+                 || {_q(chr(10) + '<tool_response>' + chr(10))} || coalesce(content, '') || {_q(chr(10) + '</tool_response>')}
+                 || (CASE WHEN next_role IS DISTINCT FROM 'tool' THEN {_q('<|im_end|>' + chr(10))} ELSE '' END)
+          ELSE '' END) AS block
+  FROM a)
+SELECT conv_id,
+       string_agg(block, '' ORDER BY pos) || {_q(tail)} AS prompt,
+       CAST(max(pos) + 1 + max(CASE WHEN pos = 0 AND aug THEN 1 ELSE 0 END) AS BIGINT) AS n_messages,
+       CAST(coalesce(max(CASE WHEN role = 'user' AND content IS NOT NULL
+                                   AND NOT (starts_with(content, '<tool_response>') AND ends_with(content, '</tool_response>'))
+                              THEN pos END), max(pos))
+            + max(CASE WHEN pos = 0 AND aug THEN 1 ELSE 0 END) AS BIGINT) AS last_query_index,
+       CAST(max(CASE WHEN pos = 0 AND aug THEN 1 ELSE 0 END) AS INTEGER) AS augmented,
+       max(CASE WHEN pos = 0 THEN aug_idx END) AS prompt_idx,
+       max(CASE WHEN pos = 0 THEN role0 END) AS first_role
+FROM b GROUP BY conv_id"""
+
+
+def _duck_sft(L: int, augment: dict | None) -> str:
+    header = "[1, " + ", ".join(str(b + 3) for b in b"assistant\n") + "]"
+    span = D.SPAN_OPEN
+    return f"""
+WITH r AS ({_duck_render(augment)}),
+s AS (SELECT conv_id, regexp_split_to_array(prompt, '{span}') AS gaps,
+             regexp_extract_all(prompt, '{span}', 1) AS spans FROM r),
+e AS (SELECT conv_id, list_transform(gaps, lambda g, i: {{'g': {D.encode('g')},
+             's': CASE WHEN i <= len(spans) THEN {D.encode('spans[i]')} END}}) AS segs FROM s),
+f AS (SELECT conv_id,
+        list_slice(flatten(list_transform(segs, lambda x: list_concat(x.g,
+            CASE WHEN x.s IS NULL THEN []::INTEGER[] ELSE list_concat({header}, x.s) END))), 1, {L}) AS ids,
+        list_slice(flatten(list_transform(segs, lambda x: list_concat(
+            list_transform(range(len(x.g)), lambda k: -100),
+            CASE WHEN x.s IS NULL THEN []::INTEGER[]
+                 ELSE list_concat(list_transform(range(11), lambda k: -100), x.s) END))), 1, {L}) AS lab
+      FROM e)
+SELECT conv_id, CAST(len(ids) AS BIGINT) AS n_tokens,
+       CAST(len(list_filter(list_slice({D.pad('lab', L, -100)}, 2, {L}), lambda x: x <> -100)) AS BIGINT) AS n_supervised,
+       {D.csv(D.pad('ids', L))} AS input_ids_csv,
+       {D.csv(D.pad('lab', L, -100))} AS labels_csv,
+       {D.csv(D.pad("list_transform(ids, lambda x: CASE WHEN x <> 0 THEN 1 ELSE 0 END)", L))} AS mask_csv
+FROM f"""
+
+
+def _sft_query(spark, sf_dir, L, augment):
+    s = chat.sft_encode(_messages(spark, sf_dir), max_length=L, augment=augment)
+    return s.filter(F.col("error").isNull()).select(
+        "conv_id", "n_tokens",
+        chat.supervised_count(F.col("labels")).alias("n_supervised"),
+        T.csv(F.col("input_ids")).alias("input_ids_csv"),
+        T.csv(F.col("labels")).alias("labels_csv"),
+        T.csv(F.col("attention_mask")).alias("mask_csv"))
+
+
+@register("chat_render", f"""
+SELECT conv_id, prompt, n_messages, CAST(length(prompt) AS BIGINT) AS prompt_chars
+FROM ({_duck_render(None)})""")
+def q_chat_render(spark, sf_dir):
+    r = chat.render(_messages(spark, sf_dir))
+    return r.select("conv_id", "prompt", "n_messages", F.length("prompt").cast("bigint").alias("prompt_chars"))
+
+
+@register("system_augment", f"""
+SELECT conv_id, augmented, prompt_idx, first_role,
+       CAST(length(prompt) AS BIGINT) AS prompt_chars
+FROM ({_duck_render(AUGMENT)})""")
+def q_system_augment(spark, sf_dir):
+    r = chat.render(_messages(spark, sf_dir), augment=AUGMENT)
+    return r.select("conv_id", "augmented", "prompt_idx", "first_role",
+                    F.length("prompt").cast("bigint").alias("prompt_chars"))
+
+
+@register("sft_encode", _duck_sft(SFT_L, AUGMENT))
+def q_sft_encode(spark, sf_dir):
+    return _sft_query(spark, sf_dir, SFT_L, AUGMENT)
+
+
+@register("sft_encode_4096", _duck_sft(4096, AUGMENT))
+def q_sft_encode_4096(spark, sf_dir):
+    return _sft_query(spark, sf_dir, 4096, AUGMENT)
+
+
+@register("supervised_tokens", f"""
+WITH s AS ({_duck_sft(SFT_L, AUGMENT)})
+SELECT CAST(count(*) AS BIGINT) AS n_samples,
+       CAST(sum(n_supervised) AS BIGINT) AS n_supervised,
+       CAST(sum(CASE WHEN n_supervised = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_unsupervised_samples,
+       CAST(sum(n_tokens) AS BIGINT) AS n_tokens
+FROM s""")
+def q_supervised_tokens(spark, sf_dir):
+    s = _sft_query(spark, sf_dir, SFT_L, AUGMENT)
+    return s.agg(F.count(F.lit(1)).alias("n_samples"),
+                 F.sum("n_supervised").cast("bigint").alias("n_supervised"),
+                 F.sum((F.col("n_supervised") == 0).cast("int")).cast("bigint").alias("n_unsupervised_samples"),
+                 F.sum("n_tokens").cast("bigint").alias("n_tokens"))
+
+
+@register("generation_prompt", f"""
+SELECT conv_id, prompt, {D.csv(D.encode('prompt', T.MODEL_MAX_LENGTH))} AS prompt_ids_csv
+FROM ({_duck_render(None, chat.GENERATION_PROMPT)})""")
+def q_generation_prompt(spark, sf_dir):
+    r = chat.render(_messages(spark, sf_dir), generation_prompt=True)
+    return r.select("conv_id", "prompt",
+                    T.csv(T.encode(F.col("prompt"), T.MODEL_MAX_LENGTH)).alias("prompt_ids_csv"))
+
+
+@register("last_user_turn", f"""
+SELECT conv_id, last_query_index, n_messages FROM ({_duck_render(None)})""")
+def q_last_user_turn(spark, sf_dir):
+    return chat.render(_messages(spark, sf_dir)).select("conv_id", "last_query_index", "n_messages")

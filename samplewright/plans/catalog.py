@@ -240,3 +240,141 @@ def q_generation_prompt(spark, sf_dir):
 SELECT conv_id, last_query_index, n_messages FROM ({_duck_render(None)})""")
 def q_last_user_turn(spark, sf_dir):
     return chat.render(_messages(spark, sf_dir)).select("conv_id", "last_query_index", "n_messages")
+
+
+# ---------------------------------------------------------------------------
+# Step 3: order, shards, batches, resume, schedules
+# ---------------------------------------------------------------------------
+from samplewright.operators import order as O  # noqa: E402
+
+PLAN_W = 3          # workers
+PLAN_EPOCHS = (0, 1)
+
+
+def _plan(spark, sf_dir, world_size=PLAN_W, batch_size=O.PRETRAIN_BATCH, epochs=PLAN_EPOCHS, skip=0):
+    docs = table(spark, sf_dir, "documents")
+    o = O.epoch_order(docs, "doc_id", epochs=epochs)
+    return O.batch(O.shard(o, F.col("n_in_epoch"), world_size), batch_size, skip)
+
+
+def _duck_plan(world_size=PLAN_W, batch_size=O.PRETRAIN_BATCH, epochs=PLAN_EPOCHS) -> str:
+    ep = ", ".join(f"({e})" for e in epochs)
+    return f"""
+WITH o AS (
+  SELECT doc_id, epoch,
+         row_number() OVER (PARTITION BY epoch ORDER BY md5(concat_ws('|', '42', CAST(epoch AS VARCHAR),
+                            CAST(doc_id AS VARCHAR))), doc_id) - 1 AS order_idx,
+         count(*) OVER (PARTITION BY epoch) AS n
+  FROM documents, (VALUES {ep}) e(epoch)),
+p AS (SELECT doc_id, epoch, order_idx, n,
+             unnest(range(order_idx, CAST(ceil(n / {world_size}.0) AS BIGINT) * {world_size}, n)) AS padded_idx
+      FROM o)
+SELECT doc_id, epoch, order_idx, n, padded_idx,
+       CAST(padded_idx % {world_size} AS INTEGER) AS rank,
+       CAST(padded_idx // {world_size} AS BIGINT) AS pos,
+       CAST((padded_idx // {world_size}) // {batch_size} AS BIGINT) AS batch_id,
+       CAST((padded_idx // {world_size}) % {batch_size} AS INTEGER) AS pos_in_batch
+FROM p"""
+
+
+@register("epoch_order", f"""
+SELECT doc_id, epoch, CAST(order_idx AS BIGINT) AS order_idx FROM ({_duck_plan(1)})""")
+def q_epoch_order(spark, sf_dir):
+    return O.epoch_order(table(spark, sf_dir, "documents"), "doc_id", epochs=PLAN_EPOCHS) \
+        .select("doc_id", "epoch", "order_idx")
+
+
+@register("shard_assign", f"""
+SELECT doc_id, epoch, CAST(padded_idx AS BIGINT) AS padded_idx, rank, pos FROM ({_duck_plan()})""")
+def q_shard_assign(spark, sf_dir):
+    return _plan(spark, sf_dir).select("doc_id", "epoch", "padded_idx", "rank", "pos")
+
+
+@register("batch_plan", f"""
+SELECT epoch, rank, batch_id, CAST(count(*) AS BIGINT) AS n_samples,
+       string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY pos_in_batch) AS ids_csv
+FROM ({_duck_plan()}) GROUP BY epoch, rank, batch_id""")
+def q_batch_plan(spark, sf_dir):
+    b = O.materialize_batches(_plan(spark, sf_dir), "doc_id")
+    return b.select("epoch", "rank", "batch_id", "n_samples", T.csv(F.col("ids")).alias("ids_csv"))
+
+
+RESUME_SKIP = 5   # batches of epoch 0 already done
+
+
+@register("resume_remaining", f"""
+WITH p AS ({_duck_plan(2)}),
+b AS (SELECT epoch, rank, batch_id, count(*) AS c, max(n) AS n FROM p
+      WHERE NOT (epoch = 0 AND batch_id < {RESUME_SKIP}) GROUP BY epoch, rank, batch_id)
+SELECT epoch, rank, CAST(count(*) AS BIGINT) AS n_batches_remaining,
+       CAST(sum(c) AS BIGINT) AS n_samples_remaining,
+       CAST(greatest(0, ceil(ceil(max(n) / 2.0) / {O.PRETRAIN_BATCH}.0)
+            - CASE WHEN epoch = 0 THEN {RESUME_SKIP} ELSE 0 END) AS BIGINT) AS n_batches_formula
+FROM b GROUP BY epoch, rank""")
+def q_resume_remaining(spark, sf_dir):
+    plan = _plan(spark, sf_dir, world_size=2)
+    done = plan.filter((F.col("epoch") == 0) & (F.col("batch_id") < RESUME_SKIP))
+    rest = O.remaining_after(plan, done)
+    per_batch = rest.groupBy("epoch", "rank", "batch_id").agg(
+        F.count(F.lit(1)).alias("c"), F.max("n_in_epoch").alias("n"))
+    return per_batch.groupBy("epoch", "rank").agg(
+        F.count(F.lit(1)).alias("n_batches_remaining"),
+        F.sum("c").cast("bigint").alias("n_samples_remaining"),
+        O.num_batches(F.ceil(F.max("n") / F.lit(2.0)), O.PRETRAIN_BATCH,
+                      F.when(F.col("epoch") == 0, F.lit(RESUME_SKIP)).otherwise(F.lit(0)))
+        .alias("n_batches_formula"))
+
+
+def _duck_steps(world_size=PLAN_W, batch_size=O.PRETRAIN_BATCH, epochs=PLAN_EPOCHS) -> str:
+    return f"""
+SELECT epoch, batch_id + 1 AS step, max(batch_id + 1) OVER (PARTITION BY epoch) AS iters,
+       count(*) AS n_samples
+FROM ({_duck_plan(world_size, batch_size, epochs)}) WHERE rank = 0 GROUP BY epoch, batch_id"""
+
+
+def _steps(spark, sf_dir, world_size=PLAN_W, batch_size=O.PRETRAIN_BATCH, epochs=PLAN_EPOCHS):
+    return O.steps_table(_plan(spark, sf_dir, world_size, batch_size, epochs))
+
+
+@register("accumulation_groups", f"""
+WITH s AS ({_duck_steps()})
+SELECT epoch, CAST(step AS BIGINT) AS step, CAST(epoch * iters + step AS BIGINT) AS global_step,
+       CAST(CASE WHEN epoch * (iters // {O.PRETRAIN_ACCUMULATION}) + (step - 1) // {O.PRETRAIN_ACCUMULATION}
+                      < {len(PLAN_EPOCHS)} * (iters // {O.PRETRAIN_ACCUMULATION})
+                 THEN epoch * (iters // {O.PRETRAIN_ACCUMULATION}) + (step - 1) // {O.PRETRAIN_ACCUMULATION}
+            END AS BIGINT) AS update_id
+FROM s""")
+def q_accumulation_groups(spark, sf_dir):
+    s = _steps(spark, sf_dir)
+    return s.select("epoch", "step", O.global_step(F.col("epoch"), F.col("step"), F.col("iters")).alias("global_step"),
+                    O.accumulation_group(F.col("epoch"), F.col("step"), F.col("iters"), len(PLAN_EPOCHS),
+                                         O.PRETRAIN_ACCUMULATION).alias("update_id"))
+
+
+@register("lr_schedule", f"""
+WITH s AS ({_duck_steps()})
+SELECT epoch, CAST(step AS BIGINT) AS step, CAST(epoch * iters + step AS BIGINT) AS global_step,
+       round({O.PRETRAIN_LR} * (0.1 + 0.45 * (1 + cos(pi() * (epoch * iters + step) / ({len(PLAN_EPOCHS)} * iters)))), 12) AS lr
+FROM s""")
+def q_lr_schedule(spark, sf_dir):
+    s = _steps(spark, sf_dir)
+    g = O.global_step(F.col("epoch"), F.col("step"), F.col("iters"))
+    return s.select("epoch", "step", g.alias("global_step"),
+                    F.round(O.lr_at(g, F.lit(len(PLAN_EPOCHS)) * F.col("iters"), O.PRETRAIN_LR), 12).alias("lr"))
+
+
+LOG_EVERY = 10
+SECONDS_PER_STEP = 0.35   # modelled step time for the ETA column
+
+
+@register("log_steps", f"""
+WITH s AS ({_duck_steps(1, O.SFT_BATCH)})
+SELECT epoch, CAST(step AS BIGINT) AS step, CAST(iters AS BIGINT) AS iters,
+       CAST(floor(step * {SECONDS_PER_STEP} / (step + 1) * iters / 60) - floor(step * {SECONDS_PER_STEP} / 60) AS BIGINT) AS eta_min
+FROM s WHERE step % {LOG_EVERY} = 0 OR step = iters""")
+def q_log_steps(spark, sf_dir):
+    s = _steps(spark, sf_dir, 1, O.SFT_BATCH)
+    kept = s.filter(O.interval_or_last(F.col("step"), F.col("iters"), LOG_EVERY))
+    elapsed = F.col("step") * F.lit(SECONDS_PER_STEP)
+    return kept.select("epoch", "step", F.col("iters").cast("bigint").alias("iters"),
+                       O.eta_minutes(elapsed, F.col("step"), F.col("iters")).cast("bigint").alias("eta_min"))

@@ -21,14 +21,25 @@ SPECIAL_TOKENS = {"<|endoftext|>": 0, "<|im_start|>": 1, "<|im_end|>": 2}
 MODEL_MAX_LENGTH = 32768
 PRETRAIN_MAX_LENGTH = 512
 SFT_MAX_LENGTH = 340
+# Characters removed by Python's str.strip() (the reference strips decoded replies
+# and typed questions).
+PY_WHITESPACE = (r"\t\n\x{0B}\x{0C}\r\x{1C}\x{1D}\x{1E}\x{1F} \x{85}\x{A0}\x{1680}"
+                 r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 # ---------------------------------------------------------------------------
 
+STRIP_PATTERN = f"^[{PY_WHITESPACE}]+|[{PY_WHITESPACE}]+$"
+
 BYTE_OFFSET = 3
 # One special marker or one code point.
 PIECE_PATTERN = r"(?s)<\|(?:im_start|im_end|endoftext)\|>|."
 LONGEST_SPECIAL = max(len(s) for s in SPECIAL_TOKENS)  # 13 characters
 
 
+def py_strip(text: Column) -> Column:
+    """Python ``str.strip()``: remove leading and trailing white space."""
+    return F.regexp_replace(text, STRIP_PATTERN, "")
+
+
 def as_text(col: Column) -> Column:
     """Coerce to string; a missing value becomes the four letters ``None``."""
     return F.coalesce(col.cast("string"), F.lit("None"))
@@ -109,7 +120,7 @@ def decode(ids: Column, strip: bool = True) -> Column:
                     lambda x: F.lpad(F.hex(x - BYTE_OFFSET), 2, "0")), "")
     text = F.decode(F.unhex(hexed), "UTF-8")
     if strip:
-        text = F.regexp_replace(text, r"^\s+|\s+$", "")
+        text = py_strip(text)
     return text
 
 

@@ -378,3 +378,97 @@ def q_log_steps(spark, sf_dir):
     elapsed = F.col("step") * F.lit(SECONDS_PER_STEP)
     return kept.select("epoch", "step", F.col("iters").cast("bigint").alias("iters"),
                        O.eta_minutes(elapsed, F.col("step"), F.col("iters")).cast("bigint").alias("eta_min"))
+
+
+from samplewright.sources import manifest as MF  # noqa: E402
+
+RUNS = (  # (run id, workers when saved, batch size, save interval)
+    (MF.run_key("pretrain", 512), 2, O.PRETRAIN_BATCH, 5),
+    (MF.run_key("full_sft", 512), 1, O.SFT_BATCH, 20),
+)
+RESUME_WORLD = 3
+
+
+@register("resume_rescale", " UNION ALL ".join(f"""
+SELECT * FROM (
+  WITH s AS ({_duck_steps(ws, bs)}),
+  m AS (SELECT '{run}' AS run_id, epoch, step, {ws} AS world_size, iters FROM s
+        WHERE step % {every} = 0 OR step = iters),
+  l AS (SELECT *, row_number() OVER (ORDER BY epoch DESC, step DESC) AS rn FROM m)
+  SELECT run_id, CAST(epoch AS INTEGER) AS epoch, CAST(step AS BIGINT) AS step,
+         CAST(world_size AS INTEGER) AS world_size,
+         CAST(CASE WHEN world_size <> {RESUME_WORLD} THEN step * world_size // {RESUME_WORLD} ELSE step END AS BIGINT) AS start_step
+  FROM l WHERE rn = 1)""" for run, ws, bs, every in RUNS))
+def q_resume_rescale(spark, sf_dir):
+    parts = []
+    for run, ws, bs, every in RUNS:
+        s = _steps(spark, sf_dir, ws, bs)
+        parts.append(s.filter(O.interval_or_last(F.col("step"), F.col("iters"), every)).select(
+            F.lit(run).alias("run_id"), F.col("epoch").cast("int").alias("epoch"), "step",
+            F.lit(ws).cast("int").alias("world_size")))
+    manifest = parts[0]
+    for p in parts[1:]:
+        manifest = manifest.unionByName(p)
+    return MF.resume_point(MF.latest_progress(manifest), RESUME_WORLD)
+
+
+# ---------------------------------------------------------------------------
+# Step 4: chat sessions, history, decoding
+# ---------------------------------------------------------------------------
+from samplewright.operators import history as H  # noqa: E402
+
+_DUCK_STRIP = f"'{T.STRIP_PATTERN}'"
+
+
+def _duck_live() -> str:
+    return f"""
+WITH s AS (SELECT conv_id AS session, turn, role, text FROM conversations WHERE role IN ('user', 'assistant')),
+m AS (SELECT session, turn, role,
+             CASE WHEN role = 'user' THEN regexp_replace(coalesce(text, ''), {_DUCK_STRIP}, '', 'g') ELSE text END AS content
+      FROM s),
+e AS (SELECT *, max(CASE WHEN role = 'user' AND lower(content) IN ('/exit', '/quit') THEN 1 ELSE 0 END)
+                OVER (PARTITION BY session ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ended
+      FROM m)
+SELECT session, turn, role, content FROM e WHERE ended = 0 AND NOT (role = 'user' AND content = '')"""
+
+
+def _sessions(spark, sf_dir):
+    return H.live_messages(H.sessions_from_turns(table(spark, sf_dir, "conversations")))
+
+
+@register("session_end_filter", _duck_live())
+def q_session_end_filter(spark, sf_dir):
+    return _sessions(spark, sf_dir).select("session", "turn", "role", "content")
+
+
+@register("chat_history_prompts", f"""
+WITH k AS ({_duck_live()}),
+f AS (SELECT session, turn, role,
+             list('<|im_start|>' || role || chr(10) || coalesce(content, '') || '<|im_end|>' || chr(10))
+               OVER (PARTITION BY session ORDER BY turn ROWS BETWEEN {2 * H.HISTORY_TURNS} PRECEDING AND CURRENT ROW) AS blocks
+      FROM k),
+p AS (SELECT session, turn, CAST(len(blocks) AS BIGINT) AS n_messages,
+             {_q(chat.DEFAULT_SYSTEM_BLOCK)} || array_to_string(blocks, '') || {_q(chat.GENERATION_PROMPT)} AS prompt
+      FROM f WHERE role = 'user')
+SELECT session, turn, n_messages, prompt, {D.csv(D.encode('prompt', T.MODEL_MAX_LENGTH))} AS prompt_ids_csv FROM p""")
+def q_chat_history_prompts(spark, sf_dir):
+    p = H.history_prompts(_sessions(spark, sf_dir), H.HISTORY_TURNS)
+    return p.select("session", "turn", "n_messages", "prompt", T.csv(F.col("prompt_ids")).alias("prompt_ids_csv"))
+
+
+@register("decode_roundtrip", f"""
+WITH e AS (SELECT doc_id, text, {D.encode(D.as_text('text'))} AS ids FROM documents),
+d AS (SELECT doc_id, text, ids,
+             regexp_replace(decode(unhex(array_to_string(list_transform(list_filter(ids, lambda x: x >= 3),
+                 lambda x: lpad(hex(x - 3), 2, '0')), ''))), {_DUCK_STRIP}, '', 'g') AS decoded
+      FROM e)
+SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, CAST(length(decoded) AS BIGINT) AS decoded_chars,
+       CAST(decoded = regexp_replace({D.as_text('text')}, {_DUCK_STRIP}, '', 'g') AS INTEGER) AS roundtrip_ok
+FROM d""")
+def q_decode_roundtrip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    e = docs.select("doc_id", T.as_text(F.col("text")).alias("text"), T.encode(T.as_text(F.col("text"))).alias("ids"))
+    d = e.select("doc_id", "text", "ids", T.decode(F.col("ids")).alias("decoded"))
+    return d.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                    F.length("decoded").cast("bigint").alias("decoded_chars"),
+                    (F.col("decoded") == T.py_strip(F.col("text"))).cast("int").alias("roundtrip_ok"))

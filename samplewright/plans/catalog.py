@@ -472,3 +472,126 @@ def q_decode_roundtrip(spark, sf_dir):
     return d.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                     F.length("decoded").cast("bigint").alias("decoded_chars"),
                     (F.col("decoded") == T.py_strip(F.col("text"))).cast("int").alias("roundtrip_ok"))
+
+
+# ---------------------------------------------------------------------------
+# Step 6: vocabulary, next-token model, corpus and batch loss
+# ---------------------------------------------------------------------------
+from samplewright.operators import stats as ST  # noqa: E402
+
+_DUCK_WORDS = f"list_filter(regexp_split_to_array({D.as_text('text')}, '{ST.WORD_SPLIT}'), lambda w: w <> '')"
+
+
+def _duck_vocab(V=ST.VOCAB_SIZE) -> str:
+    return f"""
+WITH w AS (SELECT unnest({_DUCK_WORDS}) AS token FROM documents),
+c AS (SELECT token, count(*) AS cnt FROM w GROUP BY token)
+SELECT token, CAST(row_number() OVER (ORDER BY cnt DESC, token ASC) + 2 AS INTEGER) AS id,
+       CAST(cnt AS BIGINT) AS count
+FROM c ORDER BY cnt DESC, token ASC LIMIT {V - 3}"""
+
+
+@register("vocab_build", _duck_vocab())
+def q_vocab_build(spark, sf_dir):
+    return ST.build_vocab(table(spark, sf_dir, "documents"))
+
+
+@register("vocab_encode", f"""
+WITH v AS ({_duck_vocab()}),
+w AS (SELECT doc_id, unnest({_DUCK_WORDS}) AS token, generate_subscripts({_DUCK_WORDS}, 1) AS pos FROM documents),
+j AS (SELECT w.doc_id, w.pos, coalesce(v.id, 0) AS id FROM w LEFT JOIN v ON w.token = v.token)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_words,
+       CAST(sum(CASE WHEN id = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_unk,
+       string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) AS ids_csv
+FROM j GROUP BY doc_id""")
+def q_vocab_encode(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    enc = ST.vocab_encode(docs, ST.build_vocab(docs))
+    return enc.select("doc_id", F.size("ids").cast("bigint").alias("n_words"),
+                      F.size(F.filter("ids", lambda x: x == 0)).cast("bigint").alias("n_unk"),
+                      T.csv(F.col("ids")).alias("ids_csv"))
+
+
+def _duck_pairs(L=PRE_L) -> str:
+    ids = D.pad(f"list_concat([1], {D.encode(D.as_text('text'), L - 2)}, [2])", L)
+    return f"""
+SELECT doc_id, cur, nxt FROM (
+  SELECT doc_id, input_ids[i] AS cur, CASE WHEN input_ids[i + 1] = 0 THEN -100 ELSE input_ids[i + 1] END AS nxt
+  FROM (SELECT doc_id, {ids} AS input_ids FROM documents) s, range(1, {L}) r(i))
+WHERE nxt <> -100"""
+
+
+def _pairs(spark, sf_dir):
+    s = pretrain.encode_pretrain(table(spark, sf_dir, "documents"), max_length=PRE_L)
+    return ST.supervised_pairs(pretrain.causal_pairs(s))
+
+
+def _duck_model() -> str:
+    V, a = ST.BYTES_VOCAB, ST.SMOOTHING
+    return f"""
+WITH p AS ({_duck_pairs()}),
+pc AS (SELECT cur, nxt, count(*) AS pair_count FROM p GROUP BY cur, nxt),
+cc AS (SELECT cur, count(*) AS cur_count FROM p GROUP BY cur)
+SELECT pc.cur, pc.nxt, pair_count, cur_count, (pair_count + {a}) / (cur_count + {a * V}) AS prob
+FROM pc JOIN cc ON pc.cur = cc.cur"""
+
+
+@register("bigram_fit", f"""
+SELECT cur, nxt, CAST(pair_count AS BIGINT) AS pair_count, CAST(cur_count AS BIGINT) AS cur_count,
+       round(prob, 6) AS prob, round(ln(prob), 6) AS logp
+FROM ({_duck_model()})""")
+def q_bigram_fit(spark, sf_dir):
+    m = ST.fit_bigram(_pairs(spark, sf_dir))
+    return m.select("cur", "nxt", "pair_count", "cur_count", F.round("prob", 6).alias("prob"),
+                    F.round("logp", 6).alias("logp"))
+
+
+def _duck_doc_loss() -> str:
+    V, a = ST.BYTES_VOCAB, ST.SMOOTHING
+    return f"""
+WITH m AS ({_duck_model()}),
+u AS (SELECT DISTINCT cur, cur_count FROM m),
+p AS ({_duck_pairs()}),
+g AS (SELECT doc_id, cur, nxt, count(*) AS n FROM p GROUP BY doc_id, cur, nxt),
+s AS (SELECT g.doc_id, g.n, (coalesce(m.pair_count, 0) + {a}) / (coalesce(u.cur_count, 0) + {a * V}) AS prob
+      FROM g LEFT JOIN m ON g.cur = m.cur AND g.nxt = m.nxt LEFT JOIN u ON g.cur = u.cur)
+SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_tokens, sum(-ln(prob) * n) AS sum_nll FROM s GROUP BY doc_id"""
+
+
+def _doc_loss(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    return ST.score_pairs(pairs, ST.fit_bigram(pairs), ["doc_id"])
+
+
+@register("corpus_loss", f"""
+SELECT doc_id, n_tokens, round(sum_nll / n_tokens, 6) AS loss, round(exp(sum_nll / n_tokens), 6) AS ppl
+FROM ({_duck_doc_loss()})""")
+def q_corpus_loss(spark, sf_dir):
+    d = _doc_loss(spark, sf_dir)
+    loss = ST.masked_mean(F.col("sum_nll"), F.col("n_tokens"))
+    return d.select("doc_id", "n_tokens", F.round(loss, 6).alias("loss"), F.round(F.exp(loss), 6).alias("ppl"))
+
+
+@register("loss_by_quality", f"""
+SELECT l.quality, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(d.n_tokens) AS BIGINT) AS n_tokens,
+       round(sum(d.sum_nll) / sum(d.n_tokens), 6) AS loss
+FROM ({_duck_doc_loss()}) d JOIN labels l ON d.doc_id = l.doc_id GROUP BY l.quality""")
+def q_loss_by_quality(spark, sf_dir):
+    d = _doc_loss(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
+    return d.groupBy("quality").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").cast("bigint").alias("n_tokens"),
+        F.round(ST.masked_mean(F.sum("sum_nll"), F.sum("n_tokens")), 6).alias("loss"))
+
+
+@register("batch_loss", f"""
+WITH d AS ({_duck_doc_loss()}),
+b AS (SELECT doc_id, rank, batch_id FROM ({_duck_plan(1, O.PRETRAIN_BATCH, (0,))}))
+SELECT b.rank, b.batch_id, CAST(sum(d.n_tokens) AS BIGINT) AS n_tokens,
+       round(sum(d.sum_nll) / sum(d.n_tokens), 6) AS loss
+FROM b JOIN d ON b.doc_id = d.doc_id GROUP BY b.rank, b.batch_id""")
+def q_batch_loss(spark, sf_dir):
+    plan = _plan(spark, sf_dir, world_size=1, epochs=(0,)).select("doc_id", "rank", "batch_id")
+    d = O.attach_samples(plan, _doc_loss(spark, sf_dir), "doc_id")
+    return d.groupBy("rank", "batch_id").agg(
+        F.sum("n_tokens").cast("bigint").alias("n_tokens"),
+        F.round(ST.masked_mean(F.sum("sum_nll"), F.sum("n_tokens")), 6).alias("loss"))

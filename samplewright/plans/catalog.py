@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from samplewright.functions import tokens as T
@@ -595,3 +595,181 @@ def q_batch_loss(spark, sf_dir):
     return d.groupBy("rank", "batch_id").agg(
         F.sum("n_tokens").cast("bigint").alias("n_tokens"),
         F.round(ST.masked_mean(F.sum("sum_nll"), F.sum("n_tokens")), 6).alias("loss"))
+
+
+# ---------------------------------------------------------------------------
+# Step 7: routing statistics on embeddings, candidate ranking, batch replies
+# ---------------------------------------------------------------------------
+from samplewright.operators import ranking as RK  # noqa: E402
+from samplewright.operators import routing as RT  # noqa: E402
+
+_DUCK_PROBS = f"""
+s AS (SELECT vec_id, label, CAST(unnest(embedding[1:{RT.N_EXPERTS}]) AS DOUBLE) AS x,
+             generate_subscripts(embedding[1:{RT.N_EXPERTS}], 1) - 1 AS expert FROM embeddings),
+m AS (SELECT *, exp(x - max(x) OVER (PARTITION BY vec_id)) AS e FROM s),
+p AS (SELECT vec_id, label, expert, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM m),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, expert ASC) AS rk FROM p),
+t AS (SELECT *, p / (sum(p) OVER (PARTITION BY vec_id) + {RT.NORM_EPS}) AS weight FROM r WHERE rk <= {RT.TOP_K})"""
+
+
+def _routed(spark, sf_dir):
+    return RT.route(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", keep=["label"])
+
+
+@register("topk_route", f"""
+WITH {_DUCK_PROBS}
+SELECT vec_id, CAST(rk - 1 AS INTEGER) AS slot, CAST(expert AS INTEGER) AS expert,
+       round(p, 6) AS p, round(weight, 6) AS weight FROM t""")
+def q_topk_route(spark, sf_dir):
+    a = RT.assignments(_routed(spark, sf_dir), "vec_id")
+    return a.select("vec_id", "slot", "expert", F.round("p", 6).alias("p"), F.round("weight", 6).alias("weight"))
+
+
+@register("load_balance", f"""
+WITH {_DUCK_PROBS},
+pi AS (SELECT expert, avg(p) AS pi FROM p GROUP BY expert),
+ce AS (SELECT expert, count(*) * 1.0 / (SELECT count(*) FROM t) AS share FROM t GROUP BY expert)
+SELECT round({RT.AUX_ALPHA} * sum(pi.pi * coalesce(ce.share, 0) * {RT.N_EXPERTS}), 9) AS aux_loss
+FROM pi LEFT JOIN ce ON pi.expert = ce.expert""")
+def q_load_balance(spark, sf_dir):
+    return RT.load_balance(_routed(spark, sf_dir), "vec_id").select(F.round("aux_loss", 9).alias("aux_loss"))
+
+
+@register("load_balance_seq", f"""
+WITH {_DUCK_PROBS},
+mp AS (SELECT label, expert, avg(p) AS mp, count(*) AS tn FROM p GROUP BY label, expert),
+c AS (SELECT label, expert, count(*) AS c FROM t GROUP BY label, expert),
+g AS (SELECT mp.label, sum(coalesce(c.c, 0) / (mp.tn * {RT.TOP_K} / {RT.N_EXPERTS}.0) * mp.mp) AS g
+      FROM mp LEFT JOIN c ON mp.label = c.label AND mp.expert = c.expert GROUP BY mp.label)
+SELECT round(avg(g) * {RT.AUX_ALPHA}, 9) AS aux_loss FROM g""")
+def q_load_balance_seq(spark, sf_dir):
+    return RT.load_balance_seq(_routed(spark, sf_dir), "vec_id", "label") \
+        .select(F.round("aux_loss", 9).alias("aux_loss"))
+
+
+@register("expert_offsets", f"""
+WITH {_DUCK_PROBS},
+c AS (SELECT CAST(expert AS INTEGER) AS expert, count(*) AS n FROM t GROUP BY expert)
+SELECT expert, CAST(n AS BIGINT) AS n_rows, CAST(sum(n) OVER (ORDER BY expert) - n AS BIGINT) AS start_offset,
+       CAST(sum(n) OVER (ORDER BY expert) AS BIGINT) AS end_offset FROM c""")
+def q_expert_offsets(spark, sf_dir):
+    return RT.expert_offsets(_routed(spark, sf_dir), "vec_id")
+
+
+@register("rms_normalize", f"""
+WITH s AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings),
+r AS (SELECT vec_id, x, 1.0 / sqrt(list_sum(list_transform(x, lambda v: v * v)) / len(x) + {RT.RMS_EPS}) AS inv FROM s)
+SELECT vec_id, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS dim, round(unnest(x) * inv, 6) AS value,
+       round(inv, 6) AS inv_rms FROM r""")
+def q_rms_normalize(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    out, inv = RT.rms_normalize(F.col("embedding"))
+    n = e.select("vec_id", out.alias("y"), inv.alias("inv"))
+    return n.select("vec_id", F.posexplode("y").alias("dim", "v"), "inv").select(
+        "vec_id", "dim", F.round("v", 6).alias("value"), F.round("inv", 6).alias("inv_rms"))
+
+
+def _duck_dense() -> str:
+    V, a = ST.BYTES_VOCAB, ST.SMOOTHING
+    return f"""
+mm AS ({_duck_model()}),
+ctx AS (SELECT DISTINCT cur, cur_count FROM mm),
+g AS (SELECT cur, cur_count, unnest(range(0, {V})) AS nxt FROM ctx),
+d AS (SELECT g.cur, g.nxt, ln((coalesce(mm.pair_count, 0) + {a}) / (g.cur_count + {a * V})) AS logit
+      FROM g LEFT JOIN mm ON g.cur = mm.cur AND g.nxt = mm.nxt)"""
+
+
+def _duck_nucleus(keys: str, src: str, score: str) -> str:
+    """SQL CTEs k1..k5 for temperature / top-k / top-p over ``src`` partitioned by ``keys``."""
+    T_, K, P = RK.TEMPERATURE, RK.TOP_K, RK.TOP_P
+    return f"""
+k1 AS (SELECT *, {score} / {T_} AS sc, row_number() OVER (PARTITION BY {keys} ORDER BY {score} / {T_} DESC, nxt ASC) AS rank FROM {src}),
+k2 AS (SELECT *, exp(sc - max(sc) OVER (PARTITION BY {keys})) AS e FROM k1 WHERE rank <= {K}),
+k3 AS (SELECT *, e / sum(e) OVER (PARTITION BY {keys}) AS q FROM k2),
+k4 AS (SELECT *, coalesce(sum(q) OVER (PARTITION BY {keys} ORDER BY sc DESC, nxt ASC
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS better FROM k3),
+k5 AS (SELECT *, q / sum(q) OVER (PARTITION BY {keys}) AS prob FROM k4 WHERE better < {P})"""
+
+
+def _dense(spark, sf_dir):
+    return RK.dense_model(ST.fit_bigram(_pairs(spark, sf_dir)))
+
+
+@register("greedy_next", f"""
+WITH m AS ({_duck_model()}),
+r AS (SELECT *, row_number() OVER (PARTITION BY cur ORDER BY pair_count DESC, nxt ASC) AS rn FROM m)
+SELECT cur, nxt, round(prob, 6) AS prob FROM r WHERE rn = 1""")
+def q_greedy_next(spark, sf_dir):
+    g = RK.greedy_next(ST.fit_bigram(_pairs(spark, sf_dir)))
+    return g.select("cur", "nxt", F.round("prob", 6).alias("prob"))
+
+
+@register("nucleus_candidates", f"""
+WITH {_duck_dense()}, {_duck_nucleus('cur', 'd', 'logit')}
+SELECT cur, nxt, CAST(rank AS INTEGER) AS rank, round(prob, 6) AS prob FROM k5""")
+def q_nucleus_candidates(spark, sf_dir):
+    n = RK.nucleus(_dense(spark, sf_dir), ["cur"])
+    return n.select("cur", "nxt", "rank", F.round("prob", 6).alias("prob"))
+
+
+
+
+def _duck_prompt_ids() -> str:
+    return f"""
+hk AS ({_duck_live()}),
+hf AS (SELECT session, turn, role,
+              list('<|im_start|>' || role || chr(10) || coalesce(content, '') || '<|im_end|>' || chr(10))
+                OVER (PARTITION BY session ORDER BY turn ROWS BETWEEN {2 * H.HISTORY_TURNS} PRECEDING AND CURRENT ROW) AS blocks
+       FROM hk),
+hp AS (SELECT session, turn,
+              {D.encode(_q(chat.DEFAULT_SYSTEM_BLOCK) + " || array_to_string(blocks, '') || " + _q(chat.GENERATION_PROMPT), T.MODEL_MAX_LENGTH)} AS prompt_ids
+       FROM hf WHERE role = 'user'),
+pc AS (SELECT hp.session, hp.turn, d.nxt,
+              CASE WHEN list_contains(hp.prompt_ids, d.nxt)
+                   THEN (CASE WHEN d.logit > 0 THEN d.logit / {RK.REPETITION_PENALTY} ELSE d.logit * {RK.REPETITION_PENALTY} END)
+                   ELSE d.logit END AS score
+       FROM hp JOIN d ON d.cur = hp.prompt_ids[-1])"""
+
+
+def _penalized(spark, sf_dir):
+    p = H.history_prompts(_sessions(spark, sf_dir), H.HISTORY_TURNS).select(
+        "session", "turn", F.array_distinct("prompt_ids").alias("seen"),
+        F.element_at("prompt_ids", -1).alias("cur"))
+    # dense model: at most V*V rows (bytes tokenizer: 67,081) -> broadcast; all prompts share one context.
+    j = p.join(F.broadcast(_dense(spark, sf_dir)), "cur")
+    return j.select("session", "turn", "nxt",
+                    RK.penalize(F.col("logit"), F.array_contains("seen", F.col("nxt"))).alias("score"))
+
+
+REPORT_TOP = 5
+
+
+@register("repetition_penalty", f"""
+WITH {_duck_dense()}, {_duck_prompt_ids()},
+r AS (SELECT *, row_number() OVER (PARTITION BY session, turn ORDER BY score DESC, nxt ASC) AS rank FROM pc)
+SELECT session, turn, CAST(rank AS INTEGER) AS rank, nxt, round(score, 6) AS score FROM r WHERE rank <= {REPORT_TOP}""")
+def q_repetition_penalty(spark, sf_dir):
+    c = _penalized(spark, sf_dir)
+    w = Window.partitionBy("session", "turn").orderBy(F.col("score").desc(), F.col("nxt").asc())
+    return c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= REPORT_TOP) \
+            .select("session", "turn", "rank", "nxt", F.round("score", 6).alias("score"))
+
+
+@register("sample_next", f"""
+WITH {_duck_dense()}, {_duck_prompt_ids()}, {_duck_nucleus('session, turn', 'pc', 'score')},
+c AS (SELECT *, sum(prob) OVER (PARTITION BY session, turn ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+             {D.hash_unit(42, 0, "concat_ws(':', CAST(session AS VARCHAR), CAST(turn AS VARCHAR))")} AS u FROM k5)
+SELECT session, turn, coalesce(min(CASE WHEN cum > u THEN rank * 100000 + nxt END) % 100000, arg_max(nxt, rank)) AS nxt
+FROM c GROUP BY session, turn""")
+def q_sample_next(spark, sf_dir):
+    dist = RK.nucleus(_penalized(spark, sf_dir), ["session", "turn"], score_col="score")
+    u = T.hash_unit(42, 0, F.concat_ws(":", F.col("session").cast("string"), F.col("turn").cast("string")))
+    return RK.draw(dist, ["session", "turn"], u).select("session", "turn", "nxt")
+
+
+@register("batch_reply")
+def q_batch_reply(spark, sf_dir):
+    p = H.history_prompts(_sessions(spark, sf_dir), H.HISTORY_TURNS).select("session", "turn", "prompt_ids")
+    g = RK.greedy_generate(p, RK.model_row(_dense(spark, sf_dir)))
+    return g.select("session", "turn", F.size("new_ids").cast("bigint").alias("n_new"),
+                    H.reply_text(F.col("new_ids")).alias("reply"))

@@ -773,3 +773,34 @@ def q_batch_reply(spark, sf_dir):
     g = RK.greedy_generate(p, RK.model_row(_dense(spark, sf_dir)))
     return g.select("session", "turn", F.size("new_ids").cast("bigint").alias("n_new"),
                     H.reply_text(F.col("new_ids")).alias("reply"))
+
+
+# ---------------------------------------------------------------------------
+# Step 8: streaming forms (same results as the batch queries)
+# ---------------------------------------------------------------------------
+from samplewright.streaming import stream as SS  # noqa: E402
+
+DOCUMENTS_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+CONVERSATIONS_SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+@register("stream_encode", ORACLE["pretrain_encode"])
+def q_stream_encode(spark, sf_dir):
+    s = SS.stream_encode(spark, sf_dir, DOCUMENTS_SCHEMA, "documents.parquet")
+    path = SS.run_to_table(spark, s, "stream_encode")
+    out = spark.read.parquet(path)
+    return out.select(
+        "doc_id",
+        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("n_tokens"),
+        T.csv(F.col("input_ids")).alias("input_ids_csv"),
+        T.csv(F.col("labels")).alias("labels_csv"),
+        T.csv(F.col("attention_mask")).alias("mask_csv"))
+
+
+@register("stream_history", ORACLE["chat_history_prompts"])
+def q_stream_history(spark, sf_dir):
+    s = SS.stream_history(spark, sf_dir, CONVERSATIONS_SCHEMA, "conversations.parquet")
+    path = SS.run_to_table(spark, s, "stream_history")
+    out = spark.read.parquet(path)
+    return out.select("session", "turn", "n_messages", "prompt",
+                      T.csv(T.encode(F.col("prompt"), T.MODEL_MAX_LENGTH)).alias("prompt_ids_csv"))

@@ -74,8 +74,8 @@ def load_balance_seq(routed: DataFrame, id_col: str, group_col: str, k: int = TO
         F.count(F.lit(1)).alias("c"))
     j = mp.join(cnt, [group_col, "expert"], "left").fillna(0, ["c"])
     per_group = j.groupBy(group_col).agg(
-        F.sum(F.col("c") / (F.col("t") * F.lit(k) / F.lit(n_experts)) * F.col("mp")).alias("g"))
-    return per_group.agg((F.avg("g") * F.lit(alpha)).alias("aux_loss"))
+        F.sum(F.col("c") / (F.col("t") * F.lit(k) / F.lit(n_experts)) * F.col("mp")).alias("_seq_term"))
+    return per_group.agg((F.avg("_seq_term") * F.lit(alpha)).alias("aux_loss"))
 
 
 def expert_offsets(routed: DataFrame, id_col: str) -> DataFrame:

@@ -45,23 +45,22 @@ def as_text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit("None"))
 
 
-def _utf8_ids(cp: Column) -> Column:
-    """Token ids (UTF-8 bytes + 3) of one code point, by arithmetic on the code point."""
-    cont = lambda shift: F.shiftright(cp, shift).bitwiseAND(0x3F) + (0x80 + BYTE_OFFSET)
-    return (
-        F.when(cp < 0x80, F.array(cp + BYTE_OFFSET))
-        .when(cp < 0x800, F.array(F.shiftright(cp, 6) + (0xC0 + BYTE_OFFSET), cont(0)))
-        .when(cp < 0x10000, F.array(F.shiftright(cp, 12) + (0xE0 + BYTE_OFFSET), cont(6), cont(0)))
-        .otherwise(F.array(F.shiftright(cp, 18) + (0xF0 + BYTE_OFFSET), cont(12), cont(6), cont(0)))
-    )
-
-
-def _piece_ids(piece: Column) -> Column:
-    expr = None
+def byte_string(text: Column) -> Column:
+    """The text's UTF-8 bytes as a string with one character per byte (Latin-1 view).
+
+    Special markers are ASCII and survive unchanged, so splitting this string
+    into markers and single characters yields exactly the ``bytes`` tokens.
+    """
+    return F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+
+
+def _byte_piece_id(piece: Column) -> Column:
+    """A byte piece (1-2 storage bytes) -> byte + 3; a marker piece -> its fixed id."""
+    special = None
     for text, tid in SPECIAL_TOKENS.items():
         cond = piece == F.lit(text)
-        expr = F.when(cond, F.array(F.lit(tid))) if expr is None else expr.when(cond, F.array(F.lit(tid)))
-    return expr.otherwise(_utf8_ids(F.ascii(piece)))
+        special = F.when(cond, F.lit(tid)) if special is None else special.when(cond, F.lit(tid))
+    return F.when(F.octet_length(piece) <= 2, F.ascii(piece) + BYTE_OFFSET).otherwise(special)
 
 
 def pieces(text: Column) -> Column:
@@ -72,20 +71,20 @@ def pieces(text: Column) -> Column:
 def encode(text: Column, max_tokens: int | None = None) -> Column:
     """Text -> ARRAY<INT> ids, no added specials; optionally P5 right truncation.
 
-    When a bound is given the string is cut first: the first ``n`` tokens come from
-    at most ``n`` pieces, and ``n`` pieces span at most ``13 n`` characters (at most
-    ``n`` characters when the prefix holds no ``<|``).  Cutting first keeps the
-    per-character work proportional to ``n`` instead of to the document.
+    Works on the byte view of the text (``byte_string``): one ``transform`` over
+    markers and single bytes, no per-character arrays.  With a bound ``n`` the
+    text is cut before any per-character work: ``n`` tokens span at most ``13 n``
+    characters (the longest marker), and exactly ``n`` bytes when no ``<|`` occurs.
     """
     if max_tokens is None:
-        return F.flatten(F.transform(pieces(text), _piece_ids))
+        return F.transform(pieces(byte_string(text)), _byte_piece_id)
     n = int(max_tokens)
     if n <= 0:
         return F.array().cast("array<int>")
-    wide = F.substring(text, 1, LONGEST_SPECIAL * n)
-    cut = F.when(F.instr(wide, "<|") == 0, F.substring(wide, 1, n)).otherwise(wide)
-    ids = F.flatten(F.transform(F.slice(pieces(cut), 1, n), _piece_ids))
-    return F.slice(ids, 1, n)
+    wide = byte_string(F.substring(text, 1, LONGEST_SPECIAL * n))
+    cut = F.when(F.instr(wide, "<|") == 0, F.substring(wide, 1, n)) \
+           .otherwise(F.substring(wide, 1, LONGEST_SPECIAL * n))
+    return F.transform(F.slice(pieces(cut), 1, n), _byte_piece_id)
 
 
 def cut_for_tokens(text: Column, max_tokens: int) -> Column:
@@ -114,11 +113,15 @@ def attention_mask(ids: Column) -> Column:
 
 
 def decode(ids: Column, strip: bool = True) -> Column:
-    """Ids -> text, specials skipped, then surrounding white space stripped."""
-    hexed = F.array_join(
-        F.transform(F.filter(ids, lambda x: x >= BYTE_OFFSET),
-                    lambda x: F.lpad(F.hex(x - BYTE_OFFSET), 2, "0")), "")
-    text = F.decode(F.unhex(hexed), "UTF-8")
+    """Ids -> text, specials skipped, then surrounding white space stripped.
+
+    Each byte id becomes the Latin-1 character of that byte; encoding the string
+    as ISO-8859-1 yields the raw bytes, which are read as UTF-8 with invalid
+    sequences replaced by U+FFFD (as the reference tokenizer's decode does).
+    """
+    latin1 = F.array_join(F.transform(F.filter(ids, lambda x: (x >= BYTE_OFFSET) & (x < BYTE_OFFSET + 256)),
+                                      lambda x: F.chr(x - BYTE_OFFSET)), "")
+    text = F.make_valid_utf8(F.encode(latin1, "ISO-8859-1").cast("string"))
     if strip:
         text = py_strip(text)
     return text

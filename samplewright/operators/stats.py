@@ -68,30 +68,38 @@ def supervised_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.filter(F.col("nxt") != T.IGNORE_INDEX)
 
 
-def fit_bigram(pairs: DataFrame, vocab_size: int = BYTES_VOCAB, alpha: float = SMOOTHING) -> DataFrame:
-    """``cur, nxt, pair_count, cur_count, prob, logp`` for every observed pair."""
-    pc = pairs.groupBy("cur", "nxt").agg(F.count(F.lit(1)).alias("pair_count"))
-    cc = pairs.groupBy("cur").agg(F.count(F.lit(1)).alias("cur_count"))
-    model = pc.join(cc, "cur")
-    prob = (F.col("pair_count") + F.lit(alpha)) / (F.col("cur_count") + F.lit(alpha * vocab_size))
-    return model.select("cur", "nxt", "pair_count", "cur_count", prob.alias("prob"), F.log(prob).alias("logp"))
+def pair_counts(pairs: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
+    """``group_cols, cur, nxt, n``: pairs counted per group (map-side combined)."""
+    return pairs.groupBy(*(group_cols or []), "cur", "nxt").agg(F.count(F.lit(1)).alias("n"))
 
 
-def unigram(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("cur").agg(F.count(F.lit(1)).alias("cur_count"))
+def fit_bigram(pairs: DataFrame | None = None, vocab_size: int = BYTES_VOCAB, alpha: float = SMOOTHING,
+               counts: DataFrame | None = None) -> DataFrame:
+    """``cur, nxt, pair_count, cur_count, prob, logp`` for every observed pair.
+
+    Built from raw pairs or from already grouped ``counts`` (``cur, nxt, n`` per any
+    grouping), so a pipeline that also scores per document reads its pairs once.
+    ``cur_count`` is derived from the pair counts (at most ``V`` rows, broadcast).
+    """
+    if counts is None:
+        counts = pair_counts(pairs)
+    pc = counts.groupBy("cur", "nxt").agg(F.sum("n").cast("bigint").alias("pair_count"))
+    cc = pc.groupBy("cur").agg(F.sum("pair_count").cast("bigint").alias("cur_count"))
+    model = pc.join(F.broadcast(cc), "cur")
+    prob = (F.col("pair_count") + F.lit(alpha)) / (F.col("cur_count") + F.lit(alpha * vocab_size))
+    return model.select("cur", "nxt", "pair_count", "cur_count", prob.alias("prob"), F.log(prob).alias("logp"))
 
 
 def _maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if max_rows <= BROADCAST_PAIR_LIMIT else df
 
 
-def score_pairs(pairs: DataFrame, model: DataFrame, group_cols: list[str],
-                vocab_size: int = BYTES_VOCAB, alpha: float = SMOOTHING) -> DataFrame:
-    """``group_cols, n_tokens, sum_nll`` with the smoothed model; unseen pairs get ``alpha``.
+def score_counts(per: DataFrame, model: DataFrame, group_cols: list[str],
+                 vocab_size: int = BYTES_VOCAB, alpha: float = SMOOTHING) -> DataFrame:
+    """A8 on grouped counts ``group_cols, cur, nxt, n``: ``group_cols, n_tokens, sum_nll``.
 
-    ``pairs`` must already be F4-filtered.  Pairs are counted per group first.
+    Unseen pairs get ``alpha``; unseen contexts the uniform ``1 / V``.
     """
-    per = pairs.groupBy(*group_cols, "cur", "nxt").agg(F.count(F.lit(1)).alias("n"))
     pair_side = _maybe_broadcast(model.select("cur", "nxt", "pair_count"), vocab_size * vocab_size)
     uni_side = _maybe_broadcast(model.select("cur", "cur_count").distinct(), vocab_size)
     scored = per.join(pair_side, ["cur", "nxt"], "left").join(uni_side, ["cur"], "left")
@@ -102,6 +110,15 @@ def score_pairs(pairs: DataFrame, model: DataFrame, group_cols: list[str],
         F.sum(-F.log(prob) * F.col("n")).alias("sum_nll"))
 
 
+def score_pairs(pairs: DataFrame, model: DataFrame, group_cols: list[str],
+                vocab_size: int = BYTES_VOCAB, alpha: float = SMOOTHING) -> DataFrame:
+    """``group_cols, n_tokens, sum_nll``; ``pairs`` must already be F4-filtered.
+
+    Pairs are counted per group first, so each distinct pair of a group is joined once.
+    """
+    return score_counts(pair_counts(pairs, group_cols), model, group_cols, vocab_size, alpha)
+
+
 def masked_mean(sum_nll: Column, n_tokens: Column) -> Column:
     """A1: token-weighted mean; NULL when no label takes part (the reference gives NaN)."""
     return F.when(n_tokens > 0, sum_nll / n_tokens)

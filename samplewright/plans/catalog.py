@@ -559,8 +559,8 @@ SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_tokens, sum(-ln(prob) * n) AS sum_nll
 
 
 def _doc_loss(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir)
-    return ST.score_pairs(pairs, ST.fit_bigram(pairs), ["doc_id"])
+    per = ST.pair_counts(_pairs(spark, sf_dir), ["doc_id"])   # one pass over the samples
+    return ST.score_counts(per, ST.fit_bigram(counts=per), ["doc_id"])
 
 
 @register("corpus_loss", f"""

@@ -28,6 +28,10 @@ PY_WHITESPACE = (r"\t\n\x{0B}\x{0C}\r\x{1C}\x{1D}\x{1E}\x{1F} \x{85}\x{A0}\x{168
 # ---------------------------------------------------------------------------
 
 STRIP_PATTERN = f"^[{PY_WHITESPACE}]+|[{PY_WHITESPACE}]+$"
+# The same characters as a plain set, for trim (which only looks at both ends).
+PY_WHITESPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                       + "".join(chr(c) for c in range(0x2000, 0x200B))
+                       + "\u2028\u2029\u202f\u205f\u3000")
 
 BYTE_OFFSET = 3
 # One special marker or one code point.
@@ -36,8 +40,12 @@ LONGEST_SPECIAL = max(len(s) for s in SPECIAL_TOKENS)  # 13 characters
 
 
 def py_strip(text: Column) -> Column:
-    """Python ``str.strip()``: remove leading and trailing white space."""
-    return F.regexp_replace(text, STRIP_PATTERN, "")
+    """Python ``str.strip()``: remove leading and trailing white space.
+
+    ``trim`` with an explicit character set inspects only the two ends of the
+    string (a regular expression would scan every character).
+    """
+    return F.trim(text, F.lit(PY_WHITESPACE_CHARS))
 
 
 def as_text(col: Column) -> Column:

@@ -95,6 +95,31 @@ def draw(dist: DataFrame, keys: list[str], u: Column) -> DataFrame:
     return c.groupBy(*keys).agg(F.coalesce(pick, last).alias("nxt"))
 
 
+def context_rows(dense: DataFrame) -> DataFrame:
+    """``cur, logits``: one row per context with its ``V`` next-token logits in id order.
+
+    At most ``V`` rows of ``V`` doubles; joined to prompts by the context token.
+    """
+    return dense.groupBy("cur").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("nxt", "logit"))), lambda x: x["logit"]).alias("logits"))
+
+
+def penalized_candidates(prompts: DataFrame, contexts: DataFrame, keys: list[str],
+                         ids_col: str = "prompt_ids", penalty: float = REPETITION_PENALTY) -> DataFrame:
+    """G4 for every prompt: ``keys, nxt, score`` over all ``V`` next tokens of its last token.
+
+    The penalty is applied on the context's logit array inside each prompt row,
+    then exploded, so the join output is one row per prompt (not one per
+    candidate carrying the prompt's token set).  Contexts are broadcast: at most
+    ``V`` rows, and all prompts typically share one context token.
+    """
+    p = prompts.select(*keys, F.array_distinct(ids_col).alias("_seen"),
+                       F.try_element_at(F.col(ids_col), F.lit(-1)).alias("cur"))
+    j = p.join(F.broadcast(contexts), "cur")
+    scores = F.transform("logits", lambda lp, t: penalize(lp, F.array_contains(F.col("_seen"), t), penalty))
+    return j.select(*keys, F.posexplode(scores).alias("nxt", "score"))
+
+
 def model_row(dense: DataFrame, vocab_size: int = ST.BYTES_VOCAB) -> DataFrame:
     """The dense table as one row ``model_key = 0, logits: ARRAY<ARRAY<DOUBLE>>`` indexed by context.
 

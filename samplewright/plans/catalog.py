@@ -732,13 +732,8 @@ pc AS (SELECT hp.session, hp.turn, d.nxt,
 
 
 def _penalized(spark, sf_dir):
-    p = H.history_prompts(_sessions(spark, sf_dir), H.HISTORY_TURNS).select(
-        "session", "turn", F.array_distinct("prompt_ids").alias("seen"),
-        F.element_at("prompt_ids", -1).alias("cur"))
-    # dense model: at most V*V rows (bytes tokenizer: 67,081) -> broadcast; all prompts share one context.
-    j = p.join(F.broadcast(_dense(spark, sf_dir)), "cur")
-    return j.select("session", "turn", "nxt",
-                    RK.penalize(F.col("logit"), F.array_contains("seen", F.col("nxt"))).alias("score"))
+    p = H.history_prompts(_sessions(spark, sf_dir), H.HISTORY_TURNS)
+    return RK.penalized_candidates(p, RK.context_rows(_dense(spark, sf_dir)), ["session", "turn"])
 
 
 REPORT_TOP = 5

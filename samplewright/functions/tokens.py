@@ -120,6 +120,25 @@ def attention_mask(ids: Column) -> Column:
     return F.transform(ids, lambda x: (x != PAD_ID).cast("int"))
 
 
+def labels_after_pad(core: Column, length: int) -> Column:
+    """P7 + P8 from the unpadded ids: PAD-valued ids -> -100 (by value).
+
+    When ``core`` holds no PAD id (the usual case: only a literal
+    ``<|endoftext|>`` in the text produces one) this is a plain concatenation;
+    otherwise the by-value rule is applied element-wise.
+    """
+    pad = F.greatest(F.lit(0), F.lit(length) - F.size(core))
+    fast = F.concat(core, F.array_repeat(F.lit(IGNORE_INDEX), pad))
+    return F.when(F.array_contains(core, PAD_ID), pretrain_labels(pad_right(core, length))).otherwise(fast)
+
+
+def mask_after_pad(core: Column, length: int) -> Column:
+    """P7 + P9 from the unpadded ids: 1 for non-PAD ids, 0 for PAD (padding included)."""
+    pad = F.greatest(F.lit(0), F.lit(length) - F.size(core))
+    fast = F.concat(F.array_repeat(F.lit(1), F.size(core)), F.array_repeat(F.lit(0), pad))
+    return F.when(F.array_contains(core, PAD_ID), attention_mask(pad_right(core, length))).otherwise(fast)
+
+
 def decode(ids: Column, strip: bool = True) -> Column:
     """Ids -> text, specials skipped, then surrounding white space stripped.
 

@@ -286,7 +286,7 @@ def sft_encode(messages: DataFrame, max_length: int = T.SFT_MAX_LENGTH,
         "conv_id",
         T.pad_right(F.col("ids"), max_length).alias("input_ids"),
         T.pad_right(F.col("lab"), max_length, T.IGNORE_INDEX).alias("labels"),
-        T.attention_mask(T.pad_right(F.col("ids"), max_length)).alias("attention_mask"),
+        T.mask_after_pad(F.col("ids"), max_length).alias("attention_mask"),
         F.size("ids").cast("bigint").alias("n_tokens"),
         "injected", "error")
 

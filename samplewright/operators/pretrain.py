@@ -24,12 +24,12 @@ def encode_pretrain(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     projection so the encoder is not evaluated three times.
     """
     ids = T.encode(T.as_text(F.col(text_col)), max_length - 2)
-    framed = df.select(F.col(id_col), T.pad_right(T.frame(ids), max_length).alias("input_ids"))
-    return framed.select(
+    core = df.select(F.col(id_col), T.frame(ids).alias("_core"))
+    return core.select(
         id_col,
-        "input_ids",
-        T.pretrain_labels(F.col("input_ids")).alias("labels"),
-        T.attention_mask(F.col("input_ids")).alias("attention_mask"),
+        T.pad_right(F.col("_core"), max_length).alias("input_ids"),
+        T.labels_after_pad(F.col("_core"), max_length).alias("labels"),
+        T.mask_after_pad(F.col("_core"), max_length).alias("attention_mask"),
     )
 
 

@@ -807,3 +807,13 @@ def q_stream_history(spark, sf_dir):
     out = spark.read.parquet(path)
     return out.select("session", "turn", "n_messages", "prompt",
                       T.csv(T.encode(F.col("prompt"), T.MODEL_MAX_LENGTH)).alias("prompt_ids_csv"))
+
+
+@register("quarantine_reasons", """
+WITH f AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations)
+SELECT conv_id, 'null_system_content' AS reason FROM f WHERE rn = 1 AND role = 'system' AND text IS NULL""")
+def q_quarantine_reasons(spark, sf_dir):
+    """Conversations the template cannot render, with the reason (plain turn tables
+    can only produce a missing first system text; tool errors need tool columns)."""
+    r = chat.render(_messages(spark, sf_dir))
+    return r.filter(F.col("error").isNotNull()).select("conv_id", F.col("error").alias("reason"))

@@ -107,7 +107,7 @@ def _history_fn(history_turns: int):
 
 
 def stream_history(spark: SparkSession, source_dir: str, schema: str, file_glob: str | None = None,
-                   history_turns: int = HISTORY_TURNS) -> DataFrame:
+                   history_turns: int = HISTORY_TURNS, max_files_per_trigger: int | None = None) -> DataFrame:
     """Per-session bounded history -> one prompt per question (equals batch W9 + F2 + F3).
 
     Rows of one micro-batch arrive unordered and are sorted by turn inside the
@@ -115,7 +115,7 @@ def stream_history(spark: SparkSession, source_dir: str, schema: str, file_glob:
     arrival order.  The state keeps ``2h + 1`` messages (the ``2h`` preceding
     ones and room for the question), matching the batch frame.
     """
-    src = file_stream(spark, source_dir, schema, file_glob)
+    src = file_stream(spark, source_dir, schema, file_glob, max_files_per_trigger)
     msgs = src.filter(F.col("role").isin("user", "assistant")).select(
         F.col("conv_id").alias("session"), "turn", "role", "text")
     return msgs.groupBy("session").applyInPandasWithState(

@@ -176,6 +176,12 @@ def eta_minutes(elapsed_s: Column, step: Column, iters: Column) -> Column:
     return F.floor(elapsed_s / (step + 1) * iters / 60) - F.floor(elapsed_s / 60)
 
 
+def reported_loss(loss: Column, aux_loss: Column | float = 0.0, accumulation: int = 1) -> Column:
+    """A5: the logged loss; the step divides ``loss + aux`` by ``A`` and the log multiplies back."""
+    aux = F.lit(aux_loss) if isinstance(aux_loss, (int, float)) else aux_loss
+    return (loss + aux) / F.lit(accumulation) * F.lit(accumulation)
+
+
 def interval_or_last(step: Column, iters: Column, interval: int) -> Column:
     """``step % k == 0 or step == iters``."""
     return (F.pmod(step, F.lit(interval)) == 0) | (step == iters)

@@ -817,3 +817,35 @@ def q_quarantine_reasons(spark, sf_dir):
     can only produce a missing first system text; tool errors need tool columns)."""
     r = chat.render(_messages(spark, sf_dir))
     return r.filter(F.col("error").isNotNull()).select("conv_id", F.col("error").alias("reason"))
+
+
+@register("step_log", f"""
+WITH s AS ({_duck_steps(1, O.PRETRAIN_BATCH, (0,))}),
+d AS ({_duck_doc_loss()}),
+b AS (SELECT epoch, batch_id, doc_id FROM ({_duck_plan(1, O.PRETRAIN_BATCH, (0,))})),
+l AS (SELECT b.epoch, b.batch_id + 1 AS step, sum(d.sum_nll) / sum(d.n_tokens) AS loss
+      FROM b JOIN d ON b.doc_id = d.doc_id GROUP BY b.epoch, b.batch_id)
+SELECT s.epoch, CAST(s.step AS BIGINT) AS step, CAST(s.epoch * s.iters + s.step AS BIGINT) AS global_step,
+       round({O.PRETRAIN_LR} * (0.1 + 0.45 * (1 + cos(pi() * (s.epoch * s.iters + s.step) / (1 * s.iters)))), 12) AS lr,
+       round((l.loss + 0.0) / {O.PRETRAIN_ACCUMULATION} * {O.PRETRAIN_ACCUMULATION}, 6) AS loss,
+       CAST(CASE WHEN s.epoch * (s.iters // {O.PRETRAIN_ACCUMULATION}) + (s.step - 1) // {O.PRETRAIN_ACCUMULATION}
+                      < 1 * (s.iters // {O.PRETRAIN_ACCUMULATION})
+                 THEN s.epoch * (s.iters // {O.PRETRAIN_ACCUMULATION}) + (s.step - 1) // {O.PRETRAIN_ACCUMULATION} END AS BIGINT) AS update_id,
+       CAST(s.step % {LOG_EVERY} = 0 OR s.step = s.iters AS INTEGER) AS logged,
+       CAST(floor(s.step * {SECONDS_PER_STEP} / (s.step + 1) * s.iters / 60) - floor(s.step * {SECONDS_PER_STEP} / 60) AS BIGINT) AS eta_min
+FROM s JOIN l ON s.epoch = l.epoch AND s.step = l.step""")
+def q_step_log(spark, sf_dir):
+    """The per-step table of a pretraining run: W7, A3, A1/A5, W8, F5, A4 on one row."""
+    plan = _plan(spark, sf_dir, world_size=1, epochs=(0,))
+    steps = O.steps_table(plan)
+    per_batch = O.attach_samples(plan.select("doc_id", "epoch", "batch_id"), _doc_loss(spark, sf_dir), "doc_id") \
+        .groupBy("epoch", "batch_id").agg(ST.masked_mean(F.sum("sum_nll"), F.sum("n_tokens")).alias("batch_loss"))
+    j = steps.join(per_batch.select("epoch", (F.col("batch_id") + 1).alias("step"), "batch_loss"), ["epoch", "step"])
+    g = O.global_step(F.col("epoch"), F.col("step"), F.col("iters"))
+    return j.select(
+        "epoch", "step", g.alias("global_step"),
+        F.round(O.lr_at(g, F.lit(1) * F.col("iters"), O.PRETRAIN_LR), 12).alias("lr"),
+        F.round(O.reported_loss(F.col("batch_loss"), 0.0, O.PRETRAIN_ACCUMULATION), 6).alias("loss"),
+        O.accumulation_group(F.col("epoch"), F.col("step"), F.col("iters"), 1, O.PRETRAIN_ACCUMULATION).alias("update_id"),
+        O.interval_or_last(F.col("step"), F.col("iters"), LOG_EVERY).cast("int").alias("logged"),
+        O.eta_minutes(F.col("step") * F.lit(SECONDS_PER_STEP), F.col("step"), F.col("iters")).cast("bigint").alias("eta_min"))

@@ -247,13 +247,15 @@ def segment_ids(prompt: Column) -> Column:
     Gaps come from ``split`` on the span pattern, spans from its group 1; the
     assistant header between them is implied (11 tokens, never supervised).
     With the ``bytes`` tokenizer token-level and string-level marker search are
-    equivalent, and pieces never straddle a gap/span boundary.
+    equivalent, and pieces never straddle a gap/span boundary.  Gaps and spans
+    are zipped first (the last gap has no span), so each regular expression runs
+    once per chat rather than once per segment inside the lambda.
     """
-    gaps = F.split(prompt, SPAN_PATTERN, -1)
-    spans = F.regexp_extract_all(prompt, F.lit(SPAN_PATTERN), 1)
-    return F.transform(gaps, lambda g, i: F.struct(
-        T.encode(g).alias("g"),
-        F.when(i < F.size(spans), T.encode(F.get(spans, i))).alias("s")))
+    zipped = F.arrays_zip(F.split(prompt, SPAN_PATTERN, -1).alias("gap"),
+                          F.regexp_extract_all(prompt, F.lit(SPAN_PATTERN), 1).alias("span"))
+    return F.transform(zipped, lambda z: F.struct(
+        T.encode(z["gap"]).alias("g"),
+        F.when(z["span"].isNotNull(), T.encode(z["span"])).alias("s")))
 
 
 def sft_arrays(segments: Column, max_length: int):

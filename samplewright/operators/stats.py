@@ -27,11 +27,18 @@ VOCAB_SIZE = 6400                         # vocab tokenizer default (model confi
 SMOOTHING = 1.0
 BROADCAST_PAIR_LIMIT = 2_000_000
 WORD_SPLIT = f"[{T.PY_WHITESPACE}]+"
+_OTHER_WHITESPACE = "".join(c for c in T.PY_WHITESPACE_CHARS if c != " ")
 
 
 def words(text: Column) -> Column:
-    """Python ``str.split()``: runs of white space separate, no empty words."""
-    return F.filter(F.split(text, WORD_SPLIT, -1), lambda w: w != "")
+    """Python ``str.split()``: runs of white space separate, no empty words.
+
+    Every white-space character is first mapped to a space with ``translate``
+    (a per-character table lookup), so the split is on a literal single space,
+    which avoids a regular expression over the whole text.
+    """
+    spaced = F.translate(text, _OTHER_WHITESPACE, " " * len(_OTHER_WHITESPACE))
+    return F.filter(F.split(spaced, " ", -1), lambda w: w != "")
 
 
 def build_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = VOCAB_SIZE) -> DataFrame:
@@ -114,9 +121,16 @@ def score_pairs(pairs: DataFrame, model: DataFrame, group_cols: list[str],
                 vocab_size: int = BYTES_VOCAB, alpha: float = SMOOTHING) -> DataFrame:
     """``group_cols, n_tokens, sum_nll``; ``pairs`` must already be F4-filtered.
 
-    Pairs are counted per group first, so each distinct pair of a group is joined once.
+    When the model's size bound ``V * V`` allows a broadcast, every position is
+    scored by a broadcast hash join (no shuffle of pairs at all) and summed per
+    group with map-side partial aggregation.  Beyond that bound the pairs are
+    first counted per ``(group, cur, nxt)``, so a hot pair is one row per group
+    before the shuffle join.
     """
-    return score_counts(pair_counts(pairs, group_cols), model, group_cols, vocab_size, alpha)
+    if vocab_size * vocab_size > BROADCAST_PAIR_LIMIT:
+        return score_counts(pair_counts(pairs, group_cols), model, group_cols, vocab_size, alpha)
+    one = pairs.select(*group_cols, "cur", "nxt", F.lit(1).cast("bigint").alias("n"))
+    return score_counts(one, model, group_cols, vocab_size, alpha)
 
 
 def masked_mean(sum_nll: Column, n_tokens: Column) -> Column:

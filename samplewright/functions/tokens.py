@@ -142,12 +142,14 @@ def mask_after_pad(core: Column, length: int) -> Column:
 def decode(ids: Column, strip: bool = True) -> Column:
     """Ids -> text, specials skipped, then surrounding white space stripped.
 
-    Each byte id becomes the Latin-1 character of that byte; encoding the string
+    Each byte id becomes the Latin-1 character of that byte (looked up in a
+    constant 256-entry array, no per-byte allocation); encoding the string
     as ISO-8859-1 yields the raw bytes, which are read as UTF-8 with invalid
     sequences replaced by U+FFFD (as the reference tokenizer's decode does).
     """
+    table = F.array(*[F.lit(chr(b)) for b in range(256)])  # byte -> its Latin-1 character
     latin1 = F.array_join(F.transform(F.filter(ids, lambda x: (x >= BYTE_OFFSET) & (x < BYTE_OFFSET + 256)),
-                                      lambda x: F.chr(x - BYTE_OFFSET)), "")
+                                      lambda x: F.element_at(table, x - (BYTE_OFFSET - 1))), "")
     text = F.make_valid_utf8(F.encode(latin1, "ISO-8859-1").cast("string"))
     if strip:
         text = py_strip(text)

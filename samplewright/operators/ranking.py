@@ -136,7 +136,73 @@ def model_row(dense: DataFrame, vocab_size: int = ST.BYTES_VOCAB) -> DataFrame:
     return one.select("model_key", dense_rows.alias("logits"))
 
 
+def ranked_model_row(dense: DataFrame, vocab_size: int = ST.BYTES_VOCAB) -> DataFrame:
+    """One row ``model_key = 0, order, lps``: per context the next tokens sorted by logit
+    (descending, ties to the lower id) and their logits in that order.
+
+    At most ``V * V`` ints and doubles; contexts never observed get the uniform
+    row (ids in order).
+    """
+    per_ctx = dense.groupBy("cur").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("logit")).alias("k"), "nxt"))).alias("s"))
+    per_ctx = per_ctx.select("cur", F.transform("s", lambda x: x["nxt"]).alias("order"),
+                             F.transform("s", lambda x: -x["k"]).alias("lps"))
+    one = per_ctx.groupBy(F.lit(0).alias("model_key")).agg(
+        F.array_sort(F.collect_list(F.struct("cur", "order", "lps"))).alias("rows"))
+    ids = F.sequence(F.lit(0), F.lit(vocab_size - 1))
+    uniform = F.array_repeat(F.lit(-math.log(vocab_size)), vocab_size)
+    pick = lambda c: F.try_element_at(F.filter("rows", lambda r: r["cur"] == c), F.lit(1))
+    return one.select(
+        "model_key",
+        F.transform(ids, lambda c: F.coalesce(pick(c)["order"], ids)).alias("orders"),
+        F.transform(ids, lambda c: F.coalesce(pick(c)["lps"], uniform)).alias("lpss"))
+
+
 def greedy_generate(prompts: DataFrame, model: DataFrame, ids_col: str = "prompt_ids",
+                    max_new_tokens: int = MAX_NEW_TOKENS, penalty: float = REPETITION_PENALTY,
+                    eos_id: int = T.EOS_ID) -> DataFrame:
+    """U2 + G1 + G4 + G6: greedy continuation with repetition penalty, stopped at EOS.
+
+    ``model`` comes from ``ranked_model_row``.  With candidates sorted by logit,
+    the penalised argmax is either the first candidate (penalised when already
+    seen) or the first candidate not yet seen; every later candidate is
+    dominated by one of the two.  Each step therefore uses only built-in array
+    functions (``array_except`` keeps order, ``array_union`` updates the seen
+    set), whose loops run compiled rather than element by element in a lambda.
+    """
+    def let(value: Column, body) -> Column:
+        return F.element_at(F.transform(F.array(value), body), 1)
+
+    def pen(lp: Column) -> Column:
+        return F.when(lp > 0, lp / F.lit(penalty)).otherwise(lp * F.lit(penalty))
+
+    def choose(acc, order, lps):
+        first, lp0 = F.element_at(order, 1), F.element_at(lps, 1)
+        return let(F.try_element_at(F.array_except(order, acc["seen"]), F.lit(1)), lambda u: F.when(
+            ~F.array_contains(acc["seen"], first) | u.isNull(), first).otherwise(
+            let(F.element_at(lps, F.array_position(order, u).cast("int")), lambda lpu: F.when(
+                (lpu > pen(lp0)) | ((lpu == pen(lp0)) & (u < first)), u).otherwise(first))))
+
+    def step(acc, _i):
+        ctx = acc["last"] + 1
+        best = choose(acc, F.element_at(F.col("orders"), ctx), F.element_at(F.col("lpss"), ctx)).cast("int")
+        advance = let(best, lambda b: F.struct(
+            F.concat(acc["out"], F.array(b)).alias("out"),
+            F.array_union(acc["seen"], F.array(b)).alias("seen"),
+            b.alias("last"), (b == eos_id).alias("done")))
+        return F.when(acc["done"], acc).otherwise(advance)
+
+    init = F.struct(F.array().cast("array<int>").alias("out"), F.array_distinct(F.col(ids_col)).alias("seen"),
+                    F.try_element_at(F.col(ids_col), F.lit(-1)).alias("last"), F.lit(False).alias("done"))
+    joined = prompts.withColumn("model_key", F.lit(0)).join(F.broadcast(model), "model_key")
+    folded = F.aggregate(F.sequence(F.lit(1), F.lit(max_new_tokens)), init, step)
+    out = joined.withColumn("_gen", folded["out"]).drop("orders", "lpss", "model_key")
+    stop = F.array_position(F.col("_gen"), F.lit(eos_id))
+    new_ids = F.when(stop > 0, F.slice("_gen", 1, (stop - 1).cast("int"))).otherwise(F.col("_gen"))
+    return out.withColumn("new_ids", new_ids).drop("_gen")
+
+
+def greedy_generate_dense(prompts: DataFrame, model: DataFrame, ids_col: str = "prompt_ids",
                     vocab_size: int = ST.BYTES_VOCAB, max_new_tokens: int = MAX_NEW_TOKENS,
                     penalty: float = REPETITION_PENALTY, eos_id: int = T.EOS_ID) -> DataFrame:
     """U2 + G1 + G4 + G6: greedy continuation with repetition penalty, stopped at EOS.

@@ -774,7 +774,7 @@ def q_sample_next(spark, sf_dir):
 @register("batch_reply")
 def q_batch_reply(spark, sf_dir):
     p = H.history_prompts(_sessions(spark, sf_dir), H.HISTORY_TURNS).select("session", "turn", "prompt_ids")
-    g = RK.greedy_generate(p, RK.model_row(_dense(spark, sf_dir)))
+    g = RK.greedy_generate(p, RK.ranked_model_row(_dense(spark, sf_dir)))
     return g.select("session", "turn", F.size("new_ids").cast("bigint").alias("n_new"),
                     H.reply_text(F.col("new_ids")).alias("reply"))
 

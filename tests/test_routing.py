@@ -30,3 +30,21 @@ def test_rms(spark):
     out, inv = RT.rms_normalize(F.col("v"), eps=0.0)
     row = df.select(out.alias("o"), inv.alias("i")).first()
     assert abs(row["i"] - 1 / (12.5 ** 0.5)) < 1e-12
+
+
+def test_ranked_greedy_equals_dense_fold(spark):
+    """The two-candidate greedy rule equals the full penalised argmax over all V tokens."""
+    import os
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        return
+    from samplewright.operators import history as H
+    from samplewright.operators import ranking as RK
+    from samplewright.plans import catalog as C
+    sf = "/root/testdata/sf0.001"
+    p = H.history_prompts(C._sessions(spark, sf), 3).select("session", "turn", "prompt_ids")
+    dense = C._dense(spark, sf)
+    fast = {(r[0], r[1]): r[2] for r in RK.greedy_generate(p, RK.ranked_model_row(dense), max_new_tokens=40)
+            .select("session", "turn", "new_ids").collect()}
+    slow = {(r[0], r[1]): r[2] for r in RK.greedy_generate_dense(p, RK.model_row(dense), max_new_tokens=40)
+            .select("session", "turn", "new_ids").collect()}
+    assert fast == slow and len(fast) > 0

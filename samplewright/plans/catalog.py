@@ -683,7 +683,7 @@ def _duck_dense() -> str:
     return f"""
 mm AS ({_duck_model()}),
 ctx AS (SELECT DISTINCT cur, cur_count FROM mm),
-g AS (SELECT cur, cur_count, unnest(range(0, {V})) AS nxt FROM ctx),
+g AS (SELECT cur, cur_count, CAST(unnest(range(0, {V})) AS INTEGER) AS nxt FROM ctx),
 d AS (SELECT g.cur, g.nxt, ln((coalesce(mm.pair_count, 0) + {a}) / (g.cur_count + {a * V})) AS logit
       FROM g LEFT JOIN mm ON g.cur = mm.cur AND g.nxt = mm.nxt)"""
 
@@ -763,7 +763,7 @@ def q_repetition_penalty(spark, sf_dir):
 WITH {_duck_dense()}, {_duck_prompt_ids()}, {_duck_nucleus('session, turn', 'pc', 'score')},
 c AS (SELECT *, sum(prob) OVER (PARTITION BY session, turn ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
              {D.hash_unit(42, 0, "concat_ws(':', CAST(session AS VARCHAR), CAST(turn AS VARCHAR))")} AS u FROM k5)
-SELECT session, turn, coalesce(min(CASE WHEN cum > u THEN rank * 100000 + nxt END) % 100000, arg_max(nxt, rank)) AS nxt
+SELECT session, turn, CAST(coalesce(min(CASE WHEN cum > u THEN rank * 100000 + nxt END) % 100000, arg_max(nxt, rank)) AS INTEGER) AS nxt
 FROM c GROUP BY session, turn""")
 def q_sample_next(spark, sf_dir):
     dist = RK.nucleus(_penalized(spark, sf_dir), ["session", "turn"], score_col="score")

@@ -558,18 +558,17 @@ s AS (SELECT g.doc_id, g.n, (coalesce(m.pair_count, 0) + {a}) / (coalesce(u.cur_
 SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_tokens, sum(-ln(prob) * n) AS sum_nll FROM s GROUP BY doc_id"""
 
 
-def _doc_pairs(spark, sf_dir):
-    """Supervised causal pairs ``doc_id, pos, cur, nxt``, persisted: the model fit,
-    its unigram side and the scoring all read them, and column pruning makes
-    those branches differ, so exchange reuse alone would re-encode the corpus
-    once per branch.  Lost blocks are recomputed from lineage."""
+def _model(spark, sf_dir):
+    """The bigram model, persisted.  It holds at most ``V * V`` rows, and the
+    scoring join, its unigram side and the ranking tables all read it; caching
+    the small model (not the per-position pairs, which grow with the corpus)
+    keeps a fit-then-score job at two passes over the corpus."""
     from pyspark import StorageLevel
-    return _pairs(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    return ST.fit_bigram(_pairs(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _doc_loss(spark, sf_dir):
-    pairs = _doc_pairs(spark, sf_dir)   # one pass over the samples
-    return ST.score_pairs(pairs, ST.fit_bigram(pairs), ["doc_id"])
+    return ST.score_pairs(_pairs(spark, sf_dir), _model(spark, sf_dir), ["doc_id"])
 
 
 @register("corpus_loss", f"""
@@ -701,7 +700,7 @@ k5 AS (SELECT *, q / sum(q) OVER (PARTITION BY {keys}) AS prob FROM k4 WHERE bet
 
 
 def _dense(spark, sf_dir):
-    return RK.dense_model(ST.fit_bigram(_doc_pairs(spark, sf_dir)))
+    return RK.dense_model(_model(spark, sf_dir))
 
 
 @register("greedy_next", f"""

@@ -130,8 +130,78 @@ def _with_tool_fields(messages: DataFrame) -> DataFrame:
     return plain.unionByName(with_py)
 
 
+def _neighbours_window(m: DataFrame) -> DataFrame:
+    """``pos, prev_role, next_role, role0`` from one window per conversation (any turn values)."""
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    return m.select("*", (F.row_number().over(w) - 1).alias("pos"), F.lag("role").over(w).alias("prev_role"),
+                    F.lead("role").over(w).alias("next_role"), F.first("role").over(w).alias("role0"))
+
+
+def _neighbours_join(m: DataFrame, key_source: DataFrame | None = None) -> DataFrame:
+    """The same columns without a per-conversation window, for ``turn`` = 0-based position.
+
+    Neighbours come from equi-joins on ``(conv_id, turn +- 1)``, which hash-partition
+    by turn as well, so one very long conversation is spread over many tasks.  The
+    first role joins on ``conv_id`` (one row per conversation); AQE splits a skewed
+    partition of that join.
+    """
+    key = (key_source if key_source is not None else m).select("conv_id", "turn", "role")
+    prev = key.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("prev_role"))
+    nxt = key.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next_role"))
+    first = key.filter(F.col("turn") == 0).select("conv_id", F.col("role").alias("role0"))
+    j = m.join(prev, ["conv_id", "turn"], "left").join(nxt, ["conv_id", "turn"], "left") \
+         .join(first, "conv_id", "left")
+    return j.withColumn("pos", F.col("turn"))
+
+
+def _cut_window(out: DataFrame, cut_chars: int) -> DataFrame:
+    before = Window.partitionBy("conv_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    return out.withColumn("offset", F.coalesce(F.sum(F.length("block")).over(before), F.lit(0)))
+
+
+# Shortest possible block per role beyond its content (characters), for the prefilter.
+_MIN_BLOCK = {"user": len("<|im_start|>user\n<|im_end|>\n"),
+              "assistant": len(ASSISTANT_HEADER + "<|im_end|>\n"),
+              "system": len("<|im_start|>system\n<|im_end|>\n"),
+              "tool": len("\n" + TOOL_RESPONSE_OPEN + "\n\n" + TOOL_RESPONSE_CLOSE)}
+
+
+def _lower_block_length(role: Column, content: Column, turn: Column) -> Column:
+    """A lower bound of a message's rendered length that needs no neighbours."""
+    n = F.coalesce(F.length(content), F.lit(0))
+    body = F.lit(0)
+    for r, k in _MIN_BLOCK.items():
+        body = F.when(role == r, F.lit(k) + n).otherwise(body)
+    header = F.when((turn == 0) & ~role.eqNullSafe(F.lit("system")), F.lit(_MIN_BLOCK["system"])).otherwise(0)
+    return body + header
+
+
+def within_cut(messages: DataFrame, cut_chars: int, bucket_rows: int = 1024) -> DataFrame:
+    """Messages that can start before character ``cut_chars`` of the rendered chat.
+
+    Requires ``turn`` = 0-based position.  A prefix sum of the lower-bound lengths
+    is at most the true start offset, so a message whose bound already reaches
+    the cut cannot contribute to the first ``cut_chars`` characters.  The prefix
+    sum has two levels (inside buckets of ``bucket_rows`` turns, then over
+    buckets) and runs on three narrow columns, so no task sees a whole
+    conversation.  The result is a semi-join on ``(conv_id, turn)``.
+    """
+    narrow = messages.select("conv_id", "turn", F.floor(F.col("turn") / F.lit(bucket_rows)).alias("_bucket"),
+                             _lower_block_length(F.col("role"), F.col("content"), F.col("turn")).alias("_len"))
+    inside = Window.partitionBy("conv_id", "_bucket").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    pre = narrow.withColumn("_inpre", F.coalesce(F.sum("_len").over(inside), F.lit(0)))
+    totals = narrow.groupBy("conv_id", "_bucket").agg(F.sum("_len").alias("_blen"))
+    over_buckets = Window.partitionBy("conv_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("conv_id", "_bucket",
+                           F.coalesce(F.sum("_blen").over(over_buckets), F.lit(0)).alias("_bstart"))
+    keep = pre.join(starts, ["conv_id", "_bucket"]) \
+              .filter(F.col("_bstart") + F.col("_inpre") < F.lit(int(cut_chars))).select("conv_id", "turn")
+    return messages.join(keep, ["conv_id", "turn"], "left_semi")
+
+
 def message_blocks(messages: DataFrame, augment: dict | None = None,
-                   cut_chars: int | None = None) -> DataFrame:
+                   cut_chars: int | None = None, dense_turns: bool = False,
+                   bucket_rows: int = 1024) -> DataFrame:
     """Render every message's block of the chat template.
 
     Returns ``conv_id, pos, block, error, role, content, prev_role`` where ``pos``
@@ -139,15 +209,20 @@ def message_blocks(messages: DataFrame, augment: dict | None = None,
     default block or tools block) is part of the block at ``pos = 0``.
     With ``cut_chars`` only blocks starting before that character offset are
     kept, each cut to ``cut_chars``.
+
+    ``dense_turns=True`` declares that ``turn`` is the 0-based position (as
+    ``posexplode`` produces and the turn tables provide).  Messages that cannot
+    reach the cut are dropped before rendering (``within_cut``), neighbours come
+    from equi-joins instead of one window per conversation, and rows that render
+    nothing are dropped before collection, so even a conversation holding a
+    large share of all rows is split across tasks and collects about
+    ``cut_chars / 28`` blocks.
     """
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    m = _with_tool_fields(messages).select(
-        "*",
-        (F.row_number().over(w) - 1).alias("pos"),
-        F.lag("role").over(w).alias("prev_role"),
-        F.lead("role").over(w).alias("next_role"),
-        F.first("role").over(w).alias("role0"),
-    )
+    if dense_turns:
+        kept = within_cut(messages, cut_chars, bucket_rows) if cut_chars is not None else messages
+        m = _neighbours_join(_with_tool_fields(kept), key_source=messages)
+    else:
+        m = _neighbours_window(_with_tool_fields(messages))
     role = F.col("role")
     content = F.coalesce(F.col("content"), F.lit(""))
     first = F.col("pos") == 0
@@ -192,13 +267,17 @@ def message_blocks(messages: DataFrame, augment: dict | None = None,
                    F.coalesce(block, F.lit("")).alias("block"), error.alias("error"),
                    aug_flag.alias("augmented"), aug_idx.alias("prompt_idx"),
                    F.col("role0").alias("first_role"))
-    if cut_chars is not None:
-        before = Window.partitionBy("conv_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-        out = (out.withColumn("offset", F.coalesce(F.sum(F.length("block")).over(before), F.lit(0)))
-               .filter(F.col("offset") < cut_chars)
+    if cut_chars is None:
+        return out
+    if dense_turns:
+        # Already prefiltered by a lower bound; the caller cuts the joined text exactly.
+        # Rows that render nothing matter only as neighbours (already resolved).
+        out = out.filter((F.col("block") != "") | (F.col("pos") == 0) | F.col("error").isNotNull())
+        return out.withColumn("block", F.substring("block", 1, int(cut_chars)))
+    out = _cut_window(out, cut_chars)
+    return (out.filter(F.col("offset") < cut_chars)
                .withColumn("block", F.substring("block", 1, int(cut_chars)))
                .drop("offset"))
-    return out
 
 
 def _is_genuine_user(role: Column, content: Column) -> Column:
@@ -207,13 +286,14 @@ def _is_genuine_user(role: Column, content: Column) -> Column:
 
 
 def render(messages: DataFrame, augment: dict | None = None, generation_prompt: bool = False,
-           enable_thinking: bool | None = None, cut_chars: int | None = None) -> DataFrame:
+           enable_thinking: bool | None = None, cut_chars: int | None = None,
+           dense_turns: bool = False) -> DataFrame:
     """P16 (+P13, P16g, P16h): one row per conversation.
 
     Columns: ``conv_id, prompt, n_messages, last_query_index, augmented,
     prompt_idx, first_role, injected, error``.
     """
-    blocks = message_blocks(messages, augment=augment, cut_chars=cut_chars)
+    blocks = message_blocks(messages, augment=augment, cut_chars=cut_chars, dense_turns=dense_turns)
     agg = blocks.groupBy("conv_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "block"))),
                                  lambda x: x["block"]), "").alias("prompt"),
@@ -272,7 +352,7 @@ def sft_arrays(segments: Column, max_length: int):
 
 
 def sft_encode(messages: DataFrame, max_length: int = T.SFT_MAX_LENGTH,
-               augment: dict | None = None) -> DataFrame:
+               augment: dict | None = None, dense_turns: bool = False) -> DataFrame:
     """Conversations -> ``conv_id, input_ids, labels, attention_mask, n_tokens, injected, error``.
 
     ``max_length`` is the plain ``[:L]`` cut of P11 (nothing reserved).  Labels
@@ -280,7 +360,7 @@ def sft_encode(messages: DataFrame, max_length: int = T.SFT_MAX_LENGTH,
     labelling sliced ids.  Padding positions get label -100.
     """
     cut = T.LONGEST_SPECIAL * max_length
-    rendered = render(messages, augment=augment, cut_chars=cut)
+    rendered = render(messages, augment=augment, cut_chars=cut, dense_turns=dense_turns)
     seg = rendered.select("conv_id", "injected", "error", segment_ids(F.col("prompt")).alias("seg"))
     arrs = seg.select("conv_id", "injected", "error", *[
         c.alias(n) for c, n in zip(sft_arrays(F.col("seg"), max_length), ("ids", "lab"))])

@@ -175,7 +175,8 @@ FROM f"""
 
 
 def _sft_query(spark, sf_dir, L, augment):
-    s = chat.sft_encode(_messages(spark, sf_dir), max_length=L, augment=augment)
+    # The turn tables number turns 0..n-1 per conversation: use the skew-safe path.
+    s = chat.sft_encode(_messages(spark, sf_dir), max_length=L, augment=augment, dense_turns=True)
     return s.filter(F.col("error").isNull()).select(
         "conv_id", "n_tokens",
         chat.supervised_count(F.col("labels")).alias("n_supervised"),

@@ -122,3 +122,23 @@ def test_accumulation_matches_loop_simulation(spark):
             want[key] = None
         for (e, s), u in want.items():
             assert got[(iters, a, epochs, e, s)] == u, (iters, a, epochs, e, s)
+
+
+def test_dense_turn_path_equals_window_path(spark):
+    """The skew-safe SFT path (joins + two-level prefix sums) equals the window path,
+    including tool groups, unknown roles and a conversation spanning many buckets."""
+    rng = random.Random(23)
+    roles = ["user", "assistant", "tool", "tool", "system", "wizard", "user", "assistant"]
+    rows = []
+    for cid in range(120):
+        for turn in range(rng.randint(1, 9)):
+            rows.append((cid, turn, rng.choice(roles), rand_text(rng, 12), None, None, None))
+    for turn in range(3000):  # one long conversation: crosses several 1024-row buckets
+        rows.append((999, turn, rng.choice(roles), rand_text(rng, 3), None, None, None))
+    msgs = spark.createDataFrame(rows, SCHEMA)
+    for L in (40, 3000):
+        a = chat.sft_encode(msgs, max_length=L, augment={"seed": 1, "epoch": 0, "ratio": 0.5})
+        b = chat.sft_encode(msgs, max_length=L, augment={"seed": 1, "epoch": 0, "ratio": 0.5}, dense_turns=True)
+        cols = ["conv_id", "input_ids", "labels", "attention_mask", "n_tokens", "error"]
+        assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+        assert b.select(cols).exceptAll(a.select(cols)).count() == 0

@@ -48,6 +48,68 @@ def live_messages(sessions: DataFrame) -> DataFrame:
                  .drop("_ended", "text")
 
 
+def _two_level_prefix(df: DataFrame, key: str, order: str, value: str, agg, out: str,
+                      bucket_rows: int, inclusive: bool) -> DataFrame:
+    """Running ``agg`` (F.sum / F.max) of ``value`` per ``key`` in ``order`` without a
+    window over a whole key: inside buckets of ``bucket_rows`` order values, then over
+    the per-bucket totals (one row per bucket), joined back on ``(key, bucket)``."""
+    b = df.withColumn("_bk", F.floor(F.col(order) / F.lit(bucket_rows)))
+    end = 0 if inclusive else -1
+    inside = Window.partitionBy(key, "_bk").orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+    b = b.withColumn("_in", agg(value).over(inside))
+    totals = b.groupBy(key, "_bk").agg(agg(value).alias("_bt"))
+    before = Window.partitionBy(key).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(key, "_bk", agg("_bt").over(before).alias("_bs"))
+    j = b.join(starts, [key, "_bk"])
+    if agg is F.sum:
+        combined = F.coalesce(F.col("_bs"), F.lit(0)) + F.coalesce(F.col("_in"), F.lit(0))
+    else:
+        combined = F.greatest(F.coalesce(F.col("_bs"), F.col("_in")), F.coalesce(F.col("_in"), F.col("_bs")))
+    return j.withColumn(out, combined).drop("_bk", "_in", "_bs")
+
+
+def live_messages_bucketed(sessions: DataFrame, bucket_rows: int = 1024) -> DataFrame:
+    """F2 + F3 like ``live_messages`` without a window over a whole session.
+
+    ``turn`` values must be unique integers per session (gaps allowed).  Adds
+    ``live_pos``, the dense 0-based position among the kept messages.
+    """
+    q = F.when(F.col("role") == "user", py_strip(F.coalesce(F.col("text"), F.lit("")))).otherwise(F.col("text"))
+    m = sessions.withColumn("content", q).withColumn(
+        "_exit", ((F.col("role") == "user") & F.lower(F.col("content")).isin(*EXIT_COMMANDS)).cast("int"))
+    m = _two_level_prefix(m, "session", "turn", "_exit", F.max, "_ended", bucket_rows, inclusive=True)
+    live = m.filter((F.col("_ended") == 0) & ~((F.col("role") == "user") & (F.col("content") == ""))) \
+            .drop("_ended", "_exit", "text").withColumn("_one", F.lit(1))
+    live = _two_level_prefix(live, "session", "turn", "_one", F.sum, "_cnt", bucket_rows, inclusive=False)
+    return live.withColumn("live_pos", F.col("_cnt").cast("bigint")).drop("_one", "_cnt")
+
+
+def history_prompts_joined(messages: DataFrame, history_turns: int = HISTORY_TURNS,
+                           max_prompt_tokens: int = T.MODEL_MAX_LENGTH) -> DataFrame:
+    """W9 like ``history_prompts`` for ``h > 0`` without a window over a whole session.
+
+    ``messages`` come from ``live_messages_bucketed`` (dense ``live_pos``).  Each
+    question is exploded into its ``2h + 1`` frame positions and joined to the
+    messages on ``(session, live_pos)``; the regrouping per question holds at most
+    ``2h + 1`` rows.
+    """
+    k = 2 * int(history_turns)
+    block = F.concat(F.lit("<|im_start|>"), F.col("role"), F.lit("\n"),
+                     F.coalesce(F.col("content"), F.lit("")), F.lit("<|im_end|>\n"))
+    blocks = messages.select("session", "live_pos", block.alias("block"))
+    questions = messages.filter(F.col("role") == "user").select(
+        "session", "turn", F.col("live_pos").alias("q_pos"),
+        F.explode(F.sequence(F.lit(0), F.lit(k))).alias("back"))
+    wanted = questions.withColumn("live_pos", F.col("q_pos") - F.col("back")).filter(F.col("live_pos") >= 0)
+    framed = wanted.join(blocks, ["session", "live_pos"]).groupBy("session", "turn").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("live_pos", "block"))), lambda x: x["block"])
+        .alias("_blocks"))
+    prompt = F.concat(F.lit(DEFAULT_SYSTEM_BLOCK), F.array_join("_blocks", ""), F.lit(GENERATION_PROMPT))
+    return framed.select("session", "turn", F.size("_blocks").cast("bigint").alias("n_messages"),
+                         prompt.alias("prompt")) \
+                 .withColumn("prompt_ids", T.encode(F.col("prompt"), max_prompt_tokens))
+
+
 def history_prompts(messages: DataFrame, history_turns: int = HISTORY_TURNS,
                     max_prompt_tokens: int = T.MODEL_MAX_LENGTH) -> DataFrame:
     """W9 + P16 + P11b: the prompt sent for every question.

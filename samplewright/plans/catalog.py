@@ -434,7 +434,8 @@ SELECT session, turn, role, content FROM e WHERE ended = 0 AND NOT (role = 'user
 
 
 def _sessions(spark, sf_dir):
-    return H.live_messages(H.sessions_from_turns(table(spark, sf_dir, "conversations")))
+    # Bucketed form: no window ever holds a whole session.
+    return H.live_messages_bucketed(H.sessions_from_turns(table(spark, sf_dir, "conversations")))
 
 
 @register("session_end_filter", _duck_live())
@@ -453,7 +454,7 @@ p AS (SELECT session, turn, CAST(len(blocks) AS BIGINT) AS n_messages,
       FROM f WHERE role = 'user')
 SELECT session, turn, n_messages, prompt, {D.csv(D.encode('prompt', T.MODEL_MAX_LENGTH))} AS prompt_ids_csv FROM p""")
 def q_chat_history_prompts(spark, sf_dir):
-    p = H.history_prompts(_sessions(spark, sf_dir), H.HISTORY_TURNS)
+    p = H.history_prompts_joined(_sessions(spark, sf_dir), H.HISTORY_TURNS)
     return p.select("session", "turn", "n_messages", "prompt", T.csv(F.col("prompt_ids")).alias("prompt_ids_csv"))
 
 
@@ -741,7 +742,7 @@ pc AS (SELECT hp.session, hp.turn, d.nxt,
 
 
 def _penalized(spark, sf_dir):
-    p = H.history_prompts(_sessions(spark, sf_dir), H.HISTORY_TURNS)
+    p = H.history_prompts_joined(_sessions(spark, sf_dir), H.HISTORY_TURNS)
     return RK.penalized_candidates(p, RK.context_rows(_dense(spark, sf_dir)), ["session", "turn"])
 
 
@@ -773,7 +774,7 @@ def q_sample_next(spark, sf_dir):
 
 @register("batch_reply")
 def q_batch_reply(spark, sf_dir):
-    p = H.history_prompts(_sessions(spark, sf_dir), H.HISTORY_TURNS).select("session", "turn", "prompt_ids")
+    p = H.history_prompts_joined(_sessions(spark, sf_dir), H.HISTORY_TURNS).select("session", "turn", "prompt_ids")
     g = RK.greedy_generate(p, RK.ranked_model_row(_dense(spark, sf_dir)))
     return g.select("session", "turn", F.size("new_ids").cast("bigint").alias("n_new"),
                     H.reply_text(F.col("new_ids")).alias("reply"))

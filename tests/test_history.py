@@ -23,3 +23,27 @@ def test_blank_and_exit(spark):
             (2, 0, "user", "/exit now"), (2, 1, "assistant", "ok")]
     live = H.live_messages(sessions(spark, rows)).orderBy("session", "turn").collect()
     assert [(r["session"], r["turn"]) for r in live] == [(1, 1), (1, 2), (2, 0), (2, 1)]
+
+
+def test_bucketed_paths_equal_window_paths(spark):
+    import random
+    rng = random.Random(9)
+    words = ["hi", "  ", "", "/exit", " /QUIT ", "/exit now", "yo", None, "a b"]
+    rows = []
+    for sid in range(60):
+        for turn in range(rng.randint(1, 12)):
+            if rng.random() < 0.1:
+                continue  # gaps in turn numbers
+            rows.append((sid, turn, rng.choice(["user", "assistant"]), rng.choice(words)))
+    for turn in range(2600):  # one long session crossing several buckets
+        rows.append((999, turn, "user" if turn % 2 == 0 else "assistant", f"m{turn}"))
+    s = sessions(spark, rows)
+    a = H.live_messages(s).select("session", "turn", "role", "content")
+    b = H.live_messages_bucketed(s).select("session", "turn", "role", "content")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for h in (1, 3):
+        pa = H.history_prompts(H.live_messages(s), h).select("session", "turn", "n_messages", "prompt", "prompt_ids")
+        pb = H.history_prompts_joined(H.live_messages_bucketed(s), h).select(
+            "session", "turn", "n_messages", "prompt", "prompt_ids")
+        assert pa.count() == pb.count() > 0
+        assert pa.exceptAll(pb).count() == 0 and pb.exceptAll(pa).count() == 0

@@ -189,7 +189,7 @@ def _sft_query(spark, sf_dir, L, augment):
 SELECT conv_id, prompt, n_messages, CAST(length(prompt) AS BIGINT) AS prompt_chars
 FROM ({_duck_render(None)})""")
 def q_chat_render(spark, sf_dir):
-    r = chat.render(_messages(spark, sf_dir))
+    r = chat.render(_messages(spark, sf_dir), dense_turns=True)
     return r.select("conv_id", "prompt", "n_messages", F.length("prompt").cast("bigint").alias("prompt_chars"))
 
 
@@ -198,7 +198,7 @@ SELECT conv_id, augmented, prompt_idx, first_role,
        CAST(length(prompt) AS BIGINT) AS prompt_chars
 FROM ({_duck_render(AUGMENT)})""")
 def q_system_augment(spark, sf_dir):
-    r = chat.render(_messages(spark, sf_dir), augment=AUGMENT)
+    r = chat.render(_messages(spark, sf_dir), augment=AUGMENT, dense_turns=True)
     return r.select("conv_id", "augmented", "prompt_idx", "first_role",
                     F.length("prompt").cast("bigint").alias("prompt_chars"))
 
@@ -232,7 +232,7 @@ def q_supervised_tokens(spark, sf_dir):
 SELECT conv_id, prompt, {D.csv(D.encode('prompt', T.MODEL_MAX_LENGTH))} AS prompt_ids_csv
 FROM ({_duck_render(None, chat.GENERATION_PROMPT)})""")
 def q_generation_prompt(spark, sf_dir):
-    r = chat.render(_messages(spark, sf_dir), generation_prompt=True)
+    r = chat.render(_messages(spark, sf_dir), generation_prompt=True, dense_turns=True)
     return r.select("conv_id", "prompt",
                     T.csv(T.encode(F.col("prompt"), T.MODEL_MAX_LENGTH)).alias("prompt_ids_csv"))
 
@@ -240,7 +240,7 @@ def q_generation_prompt(spark, sf_dir):
 @register("last_user_turn", f"""
 SELECT conv_id, last_query_index, n_messages FROM ({_duck_render(None)})""")
 def q_last_user_turn(spark, sf_dir):
-    return chat.render(_messages(spark, sf_dir)).select("conv_id", "last_query_index", "n_messages")
+    return chat.render(_messages(spark, sf_dir), dense_turns=True).select("conv_id", "last_query_index", "n_messages")
 
 
 # ---------------------------------------------------------------------------
@@ -817,7 +817,7 @@ SELECT conv_id, 'null_system_content' AS reason FROM f WHERE rn = 1 AND role = '
 def q_quarantine_reasons(spark, sf_dir):
     """Conversations the template cannot render, with the reason (plain turn tables
     can only produce a missing first system text; tool errors need tool columns)."""
-    r = chat.render(_messages(spark, sf_dir))
+    r = chat.render(_messages(spark, sf_dir), dense_turns=True)
     return r.filter(F.col("error").isNotNull()).select("conv_id", F.col("error").alias("reason"))
 
 

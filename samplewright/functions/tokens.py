@@ -95,11 +95,6 @@ def encode(text: Column, max_tokens: int | None = None) -> Column:
     return F.transform(F.slice(pieces(cut), 1, n), _byte_piece_id)
 
 
-def cut_for_tokens(text: Column, max_tokens: int) -> Column:
-    """Cut a string so that its first ``max_tokens`` tokens are unchanged."""
-    return F.substring(text, 1, LONGEST_SPECIAL * int(max_tokens))
-
-
 def frame(ids: Column) -> Column:
     """[BOS] + ids + [EOS]."""
     return F.concat(F.array(F.lit(BOS_ID)), ids, F.array(F.lit(EOS_ID)))

@@ -49,8 +49,6 @@ SPAN_PATTERN = r"(?s)<\|im_start\|>assistant\n(.*?(?:<\|im_end\|>\n|\z))"
 SPECIAL_PATTERN = r"<\|(?:im_start|im_end|endoftext)\|>"
 HEADER_TOKENS = len(ASSISTANT_HEADER.encode("utf-8")) - len("<|im_start|>") + 1  # 11
 
-MESSAGE_COLUMNS = ["conv_id", "turn", "role", "content", "tools", "functions", "tool_calls"]
-
 
 # ---------------------------------------------------------------------------
 # Shapes of conversation input

@@ -3,9 +3,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
-from samplewright.functions import tokens as T
 from samplewright.operators import chat
 
 SCHEMA = "conv_id long, turn long, role string, content string, tools string, functions string, tool_calls string"

@@ -1,6 +1,5 @@
 """Order, shards, batches, resume, schedules (FIXTURES section 3)."""
 
-import math
 
 from pyspark.sql import functions as F
 

@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from samplewright.operators import history as H
 from samplewright.streaming import stream as SS

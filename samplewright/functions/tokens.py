@@ -76,6 +76,14 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE_PATTERN), 0)
 
 
+def _ids_of_byte_string(b: Column) -> Column:
+    """Ids of a byte-view string.  Without any ``<|`` every piece is one byte, and a
+    plain per-character ``split`` (much cheaper than the marker regex) yields them."""
+    plain = F.when(F.length(b) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(F.split(b, "", -1), lambda p: F.ascii(p) + BYTE_OFFSET))
+    return F.when(F.instr(b, "<|") == 0, plain).otherwise(F.transform(pieces(b), _byte_piece_id))
+
+
 def encode(text: Column, max_tokens: int | None = None) -> Column:
     """Text -> ARRAY<INT> ids, no added specials; optionally P5 right truncation.
 
@@ -85,14 +93,15 @@ def encode(text: Column, max_tokens: int | None = None) -> Column:
     characters (the longest marker), and exactly ``n`` bytes when no ``<|`` occurs.
     """
     if max_tokens is None:
-        return F.transform(pieces(byte_string(text)), _byte_piece_id)
+        return _ids_of_byte_string(byte_string(text))
     n = int(max_tokens)
     if n <= 0:
         return F.array().cast("array<int>")
     wide = byte_string(F.substring(text, 1, LONGEST_SPECIAL * n))
-    cut = F.when(F.instr(wide, "<|") == 0, F.substring(wide, 1, n)) \
-           .otherwise(F.substring(wide, 1, LONGEST_SPECIAL * n))
-    return F.transform(F.slice(pieces(cut), 1, n), _byte_piece_id)
+    plain = F.when(F.length(wide) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(F.split(F.substring(wide, 1, n), "", -1), lambda p: F.ascii(p) + BYTE_OFFSET))
+    marked = F.transform(F.slice(pieces(F.substring(wide, 1, LONGEST_SPECIAL * n)), 1, n), _byte_piece_id)
+    return F.when(F.instr(wide, "<|") == 0, plain).otherwise(marked)
 
 
 def frame(ids: Column) -> Column:

@@ -48,3 +48,12 @@ def test_ranked_greedy_equals_dense_fold(spark):
     slow = {(r[0], r[1]): r[2] for r in RK.greedy_generate_dense(p, RK.model_row(dense), max_new_tokens=40)
             .select("session", "turn", "new_ids").collect()}
     assert fast == slow and len(fast) > 0
+
+
+def test_dispatch_colocates_each_expert(spark):
+    """A12 physical form: after dispatch every expert's rows sit in one partition."""
+    df = spark.createDataFrame([(i, [float(i % 5), float(i % 3), 0.5, -1.0]) for i in range(200)],
+                               "id long, s array<double>")
+    moved = RT.dispatch(RT.assignments(RT.route(df, "id", "s"), "id"))
+    spread = moved.groupBy("expert").agg(F.countDistinct(F.spark_partition_id()).alias("parts")).collect()
+    assert spread and all(r["parts"] == 1 for r in spread)

@@ -21,6 +21,7 @@ NORM_EPS = 1e-20
 
 
 def softmax(scores: Column) -> Column:
+    """Softmax of an array, maximum subtracted first (pass a column reference, not an expression)."""
     m = F.array_max(scores)
     e = F.transform(scores, lambda x: F.exp(x - m))
     z = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
@@ -31,16 +32,18 @@ def route(df: DataFrame, id_col: str, scores_col: str, k: int = TOP_K, n_experts
           keep: list[str] | None = None) -> DataFrame:
     """``probs`` (softmax over the first ``n_experts`` scores) and ``routes``
     (top ``k`` experts, ties to the lower index, weights renormalised by ``sum + 1e-20``)."""
+    keep = list(keep or [])
     scores = F.transform(F.slice(F.col(scores_col), 1, n_experts), lambda x: x.cast("double"))
-    probs = softmax(scores)
-    ranked = F.array_sort(F.transform(probs, lambda p, i: F.struct((-p).alias("neg"), i.alias("expert"),
-                                                                   p.alias("p"))))
-    top = F.slice(ranked, 1, k)
-    base = df.select(F.col(id_col), *(keep or []), probs.alias("probs"), top.alias("_top"))
+    # Separate projections: the scores, the softmax and the top-k are each computed once.
+    base = df.select(F.col(id_col), *keep, scores.alias("_s"))
+    base = base.select(id_col, *keep, softmax(F.col("_s")).alias("probs"))
+    ranked = F.array_sort(F.transform("probs", lambda p, i: F.struct((-p).alias("neg"), i.alias("expert"),
+                                                                     p.alias("p"))))
+    base = base.select(id_col, *keep, "probs", F.slice(ranked, 1, k).alias("_top"))
     denom = F.aggregate(F.col("_top"), F.lit(0.0), lambda a, t: a + t["p"]) + F.lit(NORM_EPS)
     routes = F.transform(F.col("_top"), lambda t: F.struct(t["expert"].alias("expert"), t["p"].alias("p"),
                                                            (t["p"] / denom).alias("weight")))
-    return base.select(F.col(id_col), *(keep or []), "probs", routes.alias("routes"))
+    return base.select(F.col(id_col), *keep, "probs", routes.alias("routes"))
 
 
 def assignments(routed: DataFrame, id_col: str, keep: list[str] | None = None) -> DataFrame:

@@ -76,21 +76,32 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE_PATTERN), 0)
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element transform acts as ``let``)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _plain_ids(b: Column) -> Column:
+    """Ids of a byte-view string holding no marker: one byte per character."""
+    return F.when(F.length(b) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(F.split(b, "", -1), lambda p: F.ascii(p) + BYTE_OFFSET))
+
+
 def _ids_of_byte_string(b: Column) -> Column:
     """Ids of a byte-view string.  Without any ``<|`` every piece is one byte, and a
     plain per-character ``split`` (much cheaper than the marker regex) yields them."""
-    plain = F.when(F.length(b) == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.split(b, "", -1), lambda p: F.ascii(p) + BYTE_OFFSET))
-    return F.when(F.instr(b, "<|") == 0, plain).otherwise(F.transform(pieces(b), _byte_piece_id))
+    return _let(b, lambda v: F.when(F.instr(v, "<|") == 0, _plain_ids(v))
+                .otherwise(F.transform(pieces(v), _byte_piece_id)))
 
 
 def encode(text: Column, max_tokens: int | None = None) -> Column:
     """Text -> ARRAY<INT> ids, no added specials; optionally P5 right truncation.
 
-    Works on the byte view of the text (``byte_string``): one ``transform`` over
-    markers and single bytes, no per-character arrays.  With a bound ``n`` the
-    text is cut before any per-character work: ``n`` tokens span at most ``13 n``
-    characters (the longest marker), and exactly ``n`` bytes when no ``<|`` occurs.
+    Works on the byte view of the text (``byte_string``, computed once per value):
+    a per-character split when no marker can occur, otherwise the marker regex,
+    then one ``transform`` to ids.  With a bound ``n`` the text is cut before any
+    per-character work: ``n`` tokens span at most ``13 n`` characters (the longest
+    marker), and exactly ``n`` bytes when no ``<|`` occurs.
     """
     if max_tokens is None:
         return _ids_of_byte_string(byte_string(text))
@@ -98,10 +109,8 @@ def encode(text: Column, max_tokens: int | None = None) -> Column:
     if n <= 0:
         return F.array().cast("array<int>")
     wide = byte_string(F.substring(text, 1, LONGEST_SPECIAL * n))
-    plain = F.when(F.length(wide) == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.split(F.substring(wide, 1, n), "", -1), lambda p: F.ascii(p) + BYTE_OFFSET))
-    marked = F.transform(F.slice(pieces(F.substring(wide, 1, LONGEST_SPECIAL * n)), 1, n), _byte_piece_id)
-    return F.when(F.instr(wide, "<|") == 0, plain).otherwise(marked)
+    return _let(wide, lambda w: F.when(F.instr(w, "<|") == 0, _plain_ids(F.substring(w, 1, n))).otherwise(
+        F.transform(F.slice(pieces(w), 1, n), _byte_piece_id)))
 
 
 def frame(ids: Column) -> Column:

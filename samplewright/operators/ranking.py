@@ -81,6 +81,72 @@ def nucleus(cands: DataFrame, keys: list[str], score_col: str = "logit", tempera
     return kept.select(*keys, "nxt", "rank", "prob")
 
 
+def ranked_scores(scores: Column, temperature: float = 1.0) -> Column:
+    """``ARRAY<STRUCT<neg, nxt, s>>`` of an id-indexed score array, best first (ties to the lower id)."""
+    return F.array_sort(F.transform(scores, lambda x, i: F.struct(
+        (-(x / F.lit(temperature))).alias("neg"), i.alias("nxt"), (x / F.lit(temperature)).alias("s"))))
+
+
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element transform acts as ``let``).
+
+    Separate projections are not enough here: the optimizer may inline a column
+    that a lambda references once, and the lambda then re-evaluates it per element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def nucleus_array(scores: Column, temperature: float = TEMPERATURE, top_k: int = TOP_K,
+                  top_p: float = TOP_P) -> Column:
+    """G2 + G3b + G3 on an id-indexed score array: ``ARRAY<STRUCT<nxt, rank, prob>>``.
+
+    Temperature, the ``top_k`` best (ties to the lower id), softmax over them with
+    the maximum subtracted, the prefix whose strictly-better mass stays below
+    ``top_p`` (never empty), renormalised.  Every intermediate is bound once.
+    """
+    def with_top(t):
+        e_of = F.transform(t, lambda x: F.exp(x["s"] - F.element_at(t, 1)["s"]))
+        return _let(e_of, lambda e: _let(F.aggregate(e, F.lit(0.0), lambda a, y: a + y), lambda z: _let(
+            F.transform(e, lambda x: x / z), lambda q: _let(
+                F.aggregate(q, F.struct(F.array().cast("array<double>").alias("out"), F.lit(0.0).alias("run")),
+                            lambda acc, x: F.struct(F.concat(acc["out"], F.array(acc["run"])).alias("out"),
+                                                    (acc["run"] + x).alias("run")))["out"],
+                lambda better: _let(
+                    F.filter(F.transform(q, lambda x, i: F.struct(
+                        F.element_at(t, i + 1)["nxt"].alias("nxt"), (i + 1).alias("rank"), x.alias("q"),
+                        F.element_at(better, i + 1).alias("b"))), lambda c: c["b"] < F.lit(top_p)),
+                    lambda kept: _let(F.aggregate(kept, F.lit(0.0), lambda a, c: a + c["q"]), lambda tot: F.transform(
+                        kept, lambda c: F.struct(c["nxt"].alias("nxt"), c["rank"].alias("rank"),
+                                                 (c["q"] / tot).alias("prob")))))))))
+
+    return _let(F.slice(ranked_scores(scores, temperature), 1, top_k), with_top)
+
+
+def nucleus_arrays(df: DataFrame, keys: list[str], scores_col: str, temperature: float = TEMPERATURE,
+                   top_k: int = TOP_K, top_p: float = TOP_P) -> DataFrame:
+    """``nucleus`` without exploding the ``V`` candidates or any window: rows ``keys, nxt, rank, prob``."""
+    kept = df.select(*keys, F.explode(nucleus_array(F.col(scores_col), temperature, top_k, top_p)).alias("_c"))
+    return kept.select(*keys, F.col("_c.nxt").alias("nxt"), F.col("_c.rank").alias("rank"),
+                       F.col("_c.prob").alias("prob"))
+
+
+def penalized_scores(prompts: DataFrame, contexts: DataFrame, keys: list[str],
+                     ids_col: str = "prompt_ids", penalty: float = REPETITION_PENALTY) -> DataFrame:
+    """G4 per prompt as an id-indexed array ``scores`` (see ``penalized_candidates``)."""
+    p = prompts.select(*keys, F.array_distinct(ids_col).alias("_seen"),
+                       F.try_element_at(F.col(ids_col), F.lit(-1)).alias("cur"))
+    j = p.join(F.broadcast(contexts), "cur")
+    return j.select(*keys, F.transform("logits", lambda lp, t: penalize(
+        lp, F.array_contains(F.col("_seen"), t), penalty)).alias("scores"))
+
+
+def top_candidates(df: DataFrame, keys: list[str], scores_col: str, n: int) -> DataFrame:
+    """The ``n`` best ``(nxt, score)`` of an id-indexed score array per row, as rows with ``rank``."""
+    out = df.select(*keys, F.posexplode(F.slice(ranked_scores(F.col(scores_col)), 1, n)).alias("_i", "_t"))
+    return out.select(*keys, (F.col("_i") + 1).alias("rank"), F.col("_t.nxt").alias("nxt"),
+                      F.col("_t.s").alias("score"))
+
+
 def draw(dist: DataFrame, keys: list[str], u: Column) -> DataFrame:
     """First candidate (in rank order) whose cumulative probability exceeds ``u``.
 

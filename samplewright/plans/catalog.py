@@ -718,7 +718,7 @@ def q_greedy_next(spark, sf_dir):
 WITH {_duck_dense()}, {_duck_nucleus('cur', 'd', 'logit')}
 SELECT cur, nxt, CAST(rank AS INTEGER) AS rank, round(prob, 6) AS prob FROM k5""")
 def q_nucleus_candidates(spark, sf_dir):
-    n = RK.nucleus(_dense(spark, sf_dir), ["cur"])
+    n = RK.nucleus_arrays(RK.context_rows(_dense(spark, sf_dir)), ["cur"], "logits")
     return n.select("cur", "nxt", "rank", F.round("prob", 6).alias("prob"))
 
 
@@ -742,8 +742,9 @@ pc AS (SELECT hp.session, hp.turn, d.nxt,
 
 
 def _penalized(spark, sf_dir):
+    """Penalised scores per prompt as an id-indexed array (narrow: no candidate rows)."""
     p = H.history_prompts_joined(_sessions(spark, sf_dir), H.HISTORY_TURNS)
-    return RK.penalized_candidates(p, RK.context_rows(_dense(spark, sf_dir)), ["session", "turn"])
+    return RK.penalized_scores(p, RK.context_rows(_dense(spark, sf_dir)), ["session", "turn"])
 
 
 REPORT_TOP = 5
@@ -754,10 +755,8 @@ WITH {_duck_dense()}, {_duck_prompt_ids()},
 r AS (SELECT *, row_number() OVER (PARTITION BY session, turn ORDER BY score DESC, nxt ASC) AS rank FROM pc)
 SELECT session, turn, CAST(rank AS INTEGER) AS rank, nxt, round(score, 6) AS score FROM r WHERE rank <= {REPORT_TOP}""")
 def q_repetition_penalty(spark, sf_dir):
-    c = _penalized(spark, sf_dir)
-    w = Window.partitionBy("session", "turn").orderBy(F.col("score").desc(), F.col("nxt").asc())
-    return c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= REPORT_TOP) \
-            .select("session", "turn", "rank", "nxt", F.round("score", 6).alias("score"))
+    top = RK.top_candidates(_penalized(spark, sf_dir), ["session", "turn"], "scores", REPORT_TOP)
+    return top.select("session", "turn", "rank", "nxt", F.round("score", 6).alias("score"))
 
 
 @register("sample_next", f"""
@@ -767,7 +766,7 @@ c AS (SELECT *, sum(prob) OVER (PARTITION BY session, turn ORDER BY rank ROWS BE
 SELECT session, turn, CAST(coalesce(min(CASE WHEN cum > u THEN rank * 100000 + nxt END) % 100000, arg_max(nxt, rank)) AS INTEGER) AS nxt
 FROM c GROUP BY session, turn""")
 def q_sample_next(spark, sf_dir):
-    dist = RK.nucleus(_penalized(spark, sf_dir), ["session", "turn"], score_col="score")
+    dist = RK.nucleus_arrays(_penalized(spark, sf_dir), ["session", "turn"], "scores")
     u = T.hash_unit(42, 0, F.concat_ws(":", F.col("session").cast("string"), F.col("turn").cast("string")))
     return RK.draw(dist, ["session", "turn"], u).select("session", "turn", "nxt")
 

@@ -1,0 +1,11 @@
+"""Language-model data work as Spark jobs.
+
+Functions of this package that run inside tasks are shipped by value, so executors
+need not have the package on their own path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

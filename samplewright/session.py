@@ -38,7 +38,8 @@ def get_session(master: str | None = None, app: str = "samplewright",
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("SW_DRIVER_MEMORY", "16g"))
+    if os.environ.get("SW_DRIVER_MEMORY"):
+        builder = builder.config("spark.driver.memory", os.environ["SW_DRIVER_MEMORY"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

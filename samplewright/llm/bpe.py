@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from samplewright.llm.common import list_array, offsets_of
 
 #: White space as Unicode defines it; written out, since Java's ``\s`` is ASCII only.
-SPACE = r"\t-\r\x20\x85\xA0  -     　"
+SPACE = r"\t-\r\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 #: Rank that no pair of a vocabulary has.
 NONE = np.int64(1) << 40
 #: Words beyond this many bytes merge one at a time with a heap.

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samplewright.llm import bpe
+from samplewright.llm import bpe, decontam, html_text, minhash, pii, repeats, secret_scan, shards, topk, toxicity
 from samplewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,13 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_minhash")
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents at similarity 0.85 of 5-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 @register("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, decode the ids, digest both."""
@@ -37,3 +44,74 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(bpe.ids_csv(F.col("token_ids")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op4_toxicity_chain")
+def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities of all documents by a chain fitted on the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.classify(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", F.round("p_low_quality", 6).alias("p_low_quality"), F.round("p_toxic", 6).alias("p_toxic"), "rejected")
+
+
+@register("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    rows = pii.with_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
+
+    def count(kind: str):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("pii", lambda s: s["rank"] < len(pii.BASE))
+    return rows.select("doc_id", *[count(kind) for kind in pii.BASE],
+                       F.sha2(pii.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+                       pii.spans_text(F.col("pii")).alias("spans"))
+
+
+@register("op5_string_tiling")
+def op5_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that cover half or more of a benchmark item's words."""
+    return decontam.leaked_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op9_lookup_shards")
+def op9_lookup_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A shard of 64 for every document."""
+    names = [f"shard-{i:03d}" for i in range(64)]
+    return shards.assign(table(spark, sf_dir, "documents").select("doc_id", "source"), names)
+
+
+@register("op10_secret_field")
+def op10_secret_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    rows = secret_scan.with_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("secrets", lambda s: s["kind"] != "crf")
+    return rows.select("doc_id", *[count(kind) for kind in ("assign", "access", "hex")],
+                       F.sha2(secret_scan.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+                       secret_scan.spans_text(F.col("secrets")).alias("spans"))
+
+
+@register("op6_repeats")
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 400-byte strings that also start elsewhere."""
+    rows = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    kept = (F.when(F.col("n_removed") == 0, F.col("whole_sha256"))
+            .otherwise(F.sha2(F.coalesce("kept", F.lit("").cast("binary")), 256)))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", kept.alias("kept_sha256"))
+
+
+@register("op7_html_cut")
+def op7_html_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.with_main_text(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@register("op8_top_k")
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every fiftieth vector against all."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"))

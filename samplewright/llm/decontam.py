@@ -128,6 +128,17 @@ class Index:
         return out
 
 
+def _leaks(index: Index, coverage: float):
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("n_words", pa.int32()), ("covered", pa.int32()), ("n_tiles", pa.int32())]))
+
+    @F.arrow_udf(f"array<{LEAK}>")
+    def leaks(rows: pa.Array) -> pa.Array:
+        out = [pa.array(index.leaks(rows.slice(a, b - a), coverage), kind) for a, b in slices(rows)]
+        return pa.chunked_array(out, kind).combine_chunks()
+
+    return leaks
+
+
 def with_leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE,
                text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -136,19 +147,11 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, covera
              .select(F.col(item_col).cast("long").alias("id"), F.coalesce(item_text, F.lit("")).alias("text")))
     total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     blocks = max(1, -(-total // block_words))
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("n_words", pa.int32()), ("covered", pa.int32()), ("n_tiles", pa.int32())]))
     found = []
     for b in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).orderBy("id", "text").toArrow()
         ids, texts = part["id"].to_numpy(), pa.chunked_array(part["text"].chunks, pa.string()).combine_chunks()
-        index = Index(ids, texts, least)
-
-        @F.arrow_udf(f"array<{LEAK}>")
-        def leaks(rows: pa.Array, index=index) -> pa.Array:
-            out = [pa.array(index.leaks(rows.slice(a, b - a), coverage), kind) for a, b in slices(rows)]
-            return pa.chunked_array(out, kind).combine_chunks()
-
-        found.append(leaks(F.col(text_col)))
+        found.append(_leaks(Index(ids, texts, least), coverage)(F.col(text_col)))
     return docs.withColumn("leaks", F.array_sort(F.concat(*found)) if len(found) > 1 else F.array_sort(found[0]))
 
 

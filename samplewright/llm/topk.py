@@ -70,13 +70,13 @@ def batches(parts: Iterator[pa.RecordBatch], dim: int, scale: float, queries: np
             yield ids[a:a + step], scores(queries, vectors[a:a + step]), own[:, None] != ids[a:a + step][None, :]
 
 
-def _histograms(own, queries, low, width, need, dim, scale):
+def _histograms(own, queries, low, high, width, need, dim, scale):
     """Task function: counts of (query, bin) from the highest bin down to where ``need`` is reached."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(own), BINS), np.int64)
         for _, s, usable in batches(parts, dim, scale, queries, own):
             place = (s - low[:, None]) // width[:, None]
-            inside = usable & (place >= 0) & (place < BINS)
+            inside = usable & (s >= low[:, None]) & (s < high[:, None])
             flat = (place + np.arange(len(own))[:, None] * BINS)[inside]
             counts += np.bincount(flat, minlength=counts.size).reshape(counts.shape)
         above = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1] - counts
@@ -108,7 +108,7 @@ def _selected(vectors: DataFrame, own: np.ndarray, queries: np.ndarray, most: fl
     settled = np.zeros(len(own), bool)
     while not settled.all():
         width = np.maximum(-(-(high - low) // BINS), 1)
-        counts = (vectors.mapInArrow(_histograms(own, queries, low, width, need, dim, scale), "q int, bin int, n bigint")
+        counts = (vectors.mapInArrow(_histograms(own, queries, low, high, width, need, dim, scale), "q int, bin int, n bigint")
                   .groupBy("q", "bin").agg(F.sum("n").alias("n")))
         above = F.sum("n").over(Window.partitionBy("q").orderBy(F.desc("bin"))) - F.col("n")
         rows = counts.withColumn("above", above).toArrow()

@@ -42,6 +42,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def distinct_sorted(x: np.ndarray) -> np.ndarray:
+    """Distinct values in order; sorting beats hashing for the arrays met here."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges of at most ``most`` bytes of text, one row at least."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)

@@ -20,7 +20,8 @@ no link between groups is lost.
 
 Defined results: a null or blank text has the empty set and is linked with nothing; a
 text of fewer words than a shingle has its whole word sequence as one; repeated
-texts link; other columns do not matter.  Document ids must be unique and not null.
+texts link; other columns do not matter.  Rows of null id are linked with nothing, have
+a null component and stay; rows that repeat an id stay or go together.
 """
 
 from __future__ import annotations
@@ -152,7 +153,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """A row for each document: its id, n_shingles and component_id, the least id reachable by links."""
     rows = written(_sketched(docs, id_col, text_col, words, bins, band), "sketch")
     # Identical sets link without comparison; only the smallest document of each goes on.
-    same = rows.filter("n > 0").groupBy("n", "lo", "hi").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
+    same = rows.filter("n > 0 and id is not null").groupBy("n", "lo", "hi").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
     keys = written(same.select("rep", "n", F.explode("bands").alias("key")), "bands")
     shared = keys.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("rep", "n")).alias("star")).filter("m > 1")
     buckets = written(keys.join(shared, "key").select("key", "rep", "n", F.col("star.rep").alias("star"), F.col("star.n").alias("star_n")), "buckets")
@@ -188,7 +189,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "n", "lo", "hi", F.coalesce("root", "rep").alias("component_id"))
     return (rows.select("id", "n", "lo", "hi").join(rep, ["n", "lo", "hi"], "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "id").alias("component_id")))
+                    F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

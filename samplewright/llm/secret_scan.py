@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samplewright.llm.common import slices
+from samplewright.llm.common import distinct_sorted, slices
 
 # The base patterns and the least length that a match of each needs.
 ASSIGN = re.compile(rb"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -36,11 +36,11 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "crf")
 
 #: Documents that the field is fitted on, at most: half that hold a base pattern, half any.
-SAMPLE = 2_000
+SAMPLE = 1_000
 #: Tokens on either side of a training window's middle, and windows a document gives at most.
-REACH, WINDOWS = 8, 8
+REACH, WINDOWS = 8, 4
 #: Tokens in a chunk of exact decoding.
-CHUNK = 64
+CHUNK = 512
 #: Sizes of the categories of a token; see ``describe``.
 SIZES = (40, 20, 8, 20, 12, 40, 40, 12)
 CODES = "array<struct<codes:array<int>,tag:int>>"
@@ -78,8 +78,10 @@ class Tokens:
         start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
         cuts = self.at[1:-1]
         cuts = cuts[(cuts > 0) & (cuts < len(self.raw))]
-        cuts = np.unique(cuts[(inside[cuts] == 1) & (inside[cuts - 1] == 1)])
-        return np.union1d(start, cuts), np.union1d(end, cuts)
+        cuts = distinct_sorted(cuts[(inside[cuts] == 1) & (inside[cuts - 1] == 1)])
+        if len(cuts):  # a text ends inside a run of the slice
+            start, end = (np.sort(np.concatenate([x, cuts]), kind="stable") for x in (start, end))
+        return start, end
 
     def text_of(self, place: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.at, place, side="right") - 1
@@ -189,11 +191,18 @@ class Field:
         fresh = fresh.reshape(width, CHUNK)
         # A text's first token scores alike from every state: texts follow each other in one chain.
         def arcs(t: int) -> np.ndarray:
-            return np.where(fresh[:, t, None, None], self.first[None, None, :], self.moves) + step[:, t, None, :]
+            out = self.moves + step[:, t, None, :]
+            if fresh[:, t].any():
+                out[fresh[:, t]] = (self.first + step[fresh[:, t], t])[:, None, :]
+            return out
 
         reach = np.where(np.eye(3, dtype=bool), 0.0, -np.inf) + np.zeros((width, 3, 3))
         for t in range(CHUNK):  # best score into each tag from each state before the chunk
-            reach = (reach[:, :, :, None] + arcs(t)[:, None]).max(axis=2)
+            arc = arcs(t)
+            best = reach[:, :, 0, None] + arc[:, None, 0]
+            for tag in (1, 2):
+                np.maximum(best, reach[:, :, tag, None] + arc[:, None, tag], out=best)
+            reach = best
         state, into = np.zeros(3), np.zeros((width, 3))
         for c in range(width):
             into[c] = state
@@ -201,8 +210,13 @@ class Field:
             state -= state.max()
         now, back = into, np.zeros((CHUNK, width, 3), np.int8)
         for t in range(CHUNK):
-            ways = now[:, :, None] + arcs(t)
-            back[t], now = ways.argmax(axis=1), ways.max(axis=1)
+            arc = arcs(t)
+            best = now[:, 0, None] + arc[:, 0]
+            for tag in (1, 2):
+                ways = now[:, tag, None] + arc[:, tag]
+                back[t][ways > best] = tag
+                np.maximum(best, ways, out=best)
+            now = best
         # The tag before each chunk, from the last chunk to the first.
         trail = np.tile(np.arange(3, dtype=np.int8), (width, 1))
         for t in range(CHUNK - 1, -1, -1):
@@ -222,7 +236,7 @@ class Field:
 FORBIDDEN = -1e4
 
 
-def fit_field(codes: np.ndarray, tags: np.ndarray, rounds: int = 120, l2: float = 1e-3) -> Field:
+def fit_field(codes: np.ndarray, tags: np.ndarray, rounds: int = 80, l2: float = 1e-3) -> Field:
     """Maximum likelihood by full-batch Adam over windows of equal length; forward and backward sums are exact."""
     n, length, k = codes.shape
     ends = np.cumsum([0, *SIZES])

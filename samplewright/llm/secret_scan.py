@@ -43,6 +43,8 @@ REACH, WINDOWS = 8, 4
 CHUNK = 512
 #: Sizes of the categories of a token; see ``describe``.
 SIZES = (40, 20, 8, 20, 12, 40, 40, 12)
+#: The category of the keyword and the separator before a token.
+CONTEXT = 4
 CODES = "array<struct<codes:array<int>,tag:int>>"
 SPAN = "struct<start:int,kind:string,end:int>"
 
@@ -313,7 +315,10 @@ def fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
     length = 2 * REACH + 1
     tags = flat.field("tag").to_numpy(zero_copy_only=False).reshape(-1, length)
     codes = flat.field("codes").flatten().to_numpy(zero_copy_only=False).reshape(-1, length, len(SIZES))
-    return fit_field(codes, tags) if (tags == 1).any() else None
+    # Each window also once without its separators and keywords, so that shape alone can tell a secret.
+    bare = codes.copy()
+    bare[..., CONTEXT] = 0
+    return fit_field(np.concatenate([codes, bare]), np.concatenate([tags, tags])) if (tags == 1).any() else None
 
 
 def scan(texts: pa.Array, field: Field | None) -> list[list[dict]]:

@@ -59,8 +59,8 @@ BOOST, NEAR, THRESHOLD = 0.3, 40, 0.5
 
 def _places(text: Column, pattern: str) -> Column:
     """Each match as (start, end, hit): every piece runs from the last match's end over a gap to the next match."""
-    piece = F.regexp_extract_all(text, F.lit(f"(?s)(.*?)({pattern})"), F.lit(0))
-    hit = F.regexp_extract_all(text, F.lit(f"(?s)(.*?)({pattern})"), F.lit(2))
+    piece = F.regexp_extract_all(text, F.lit(f"(?s)\\G(.*?)({pattern})"), F.lit(0))
+    hit = F.regexp_extract_all(text, F.lit(f"(?s)\\G(.*?)({pattern})"), F.lit(2))
     steps = F.zip_with(piece, hit, lambda p, h: F.struct(F.char_length(p).alias("n"), h.alias("hit")))
     zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,hit:string>>)").alias("out"))
 

@@ -36,23 +36,28 @@ def plugin_encoder(loader: Callable[[], Callable[[str], list[int]]]):
     return encode
 
 
-def scan_labels(ids: np.ndarray, start: list[int], end: list[int], max_length: int) -> np.ndarray:
-    """Token-level assistant spans: after each start marker, up to and including the end marker."""
-    n = len(ids)
-    labels = np.full(n, T.IGNORE_INDEX, dtype=np.int32)
-    ls, le = len(start), len(end)
-    start_a, end_a = np.asarray(start), np.asarray(end)
-    i = 0
-    while i < n:
-        if i + ls > n or not np.array_equal(ids[i:i + ls], start_a):
-            i += 1
-            continue
-        s = e = i + ls
-        while e < n and not (e + le <= n and np.array_equal(ids[e:e + le], end_a)):
-            e += 1
-        stop = min(e + le, max_length, n)
-        labels[s:stop] = ids[s:stop]
-        i = e + le if e < n else n
+def _marker_places(ids: np.ndarray, marker: list[int]) -> np.ndarray:
+    """Every place where ``marker`` stands in ``ids``."""
+    if len(ids) < len(marker):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero((np.lib.stride_tricks.sliding_window_view(ids, len(marker)) == marker).all(axis=1))
+
+
+def marker_labels(ids: np.ndarray, start: list[int], end: list[int], max_length: int) -> np.ndarray:
+    """Token-level assistant spans: after each start marker, up to and including the next end marker.
+
+    Markers are found by comparing all windows at once; a reply is paired with its end
+    by binary search, and start markers inside a reply do not open another.
+    """
+    opens, closes = _marker_places(ids, start) + len(start), _marker_places(ids, end)
+    nearest = np.searchsorted(closes, opens)
+    stops = np.append(closes + len(end), len(ids))[nearest]
+    labels = np.full(len(ids), T.IGNORE_INDEX, dtype=np.int32)
+    free = 0
+    for a, b in zip(opens.tolist(), stops.tolist()):
+        if a - len(start) >= free:
+            labels[a:min(b, max_length)] = ids[a:min(b, max_length)]
+            free = b
     return labels
 
 
@@ -61,8 +66,8 @@ def token_labels(start_ids: list[int], end_ids: list[int], max_length: int):
 
     @F.pandas_udf("array<int>")
     def labels(ids: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else scan_labels(np.asarray(x, dtype=np.int32), start_ids,
-                                                                 end_ids, max_length) for x in ids])
+        return pd.Series([None if x is None else marker_labels(np.asarray(x, dtype=np.int32), start_ids,
+                                                                   end_ids, max_length) for x in ids])
 
     return labels
 

@@ -2,12 +2,13 @@
 
 Messages are kept in long form, one row per message:
 ``conv_id, turn, role, content, tools, functions, tool_calls``.
-Rendering is one shuffle on ``conv_id``: a window (partitioned by ``conv_id``,
-ordered by ``turn``) gives each message its neighbours, each message renders
-its own block, and an ordered ``collect_list`` joins the blocks.  For SFT the
-window also carries each block's character offset, so only blocks that can
-reach the first ``max_length`` tokens are collected: the per-conversation state
-is bounded by ``13 * max_length`` characters however long a conversation is.
+Rendering has two levels.  Windows over buckets of a conversation's turns give
+each message its neighbours and a lower bound of its start; one row per bucket
+settles the edges, so no task ever holds a whole conversation.  Each message then
+renders its own block, and one aggregation per conversation joins the blocks.  For
+SFT only blocks that can reach the first ``max_length`` tokens are collected (at
+most ``13 * max_length`` characters), while flags, counts and errors always come
+from all messages.
 """
 
 from __future__ import annotations
@@ -78,14 +79,6 @@ def messages_from_nested(df: DataFrame, id_col: str = "conv_id",
         get(F.col("m"), "tool_calls").alias("tool_calls"))
 
 
-def nest(messages: DataFrame) -> DataFrame:
-    """Long form -> one row per conversation with the ordered message list."""
-    return messages.groupBy("conv_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(
-            "turn", "role", "content", "tools", "functions", "tool_calls"))),
-            lambda m: m.dropFields("turn")).alias("conversations"))
-
-
 def empty_conversations(nested: DataFrame, id_col: str = "conv_id",
                         list_col: str = "conversations") -> DataFrame:
     """Quarantine rows of the nested form that the template cannot render (empty list)."""
@@ -128,35 +121,6 @@ def _with_tool_fields(messages: DataFrame) -> DataFrame:
     return plain.unionByName(with_py)
 
 
-def _neighbours_window(m: DataFrame) -> DataFrame:
-    """``pos, prev_role, next_role, role0`` from one window per conversation (any turn values)."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    return m.select("*", (F.row_number().over(w) - 1).alias("pos"), F.lag("role").over(w).alias("prev_role"),
-                    F.lead("role").over(w).alias("next_role"), F.first("role").over(w).alias("role0"))
-
-
-def _neighbours_join(m: DataFrame, key_source: DataFrame | None = None) -> DataFrame:
-    """The same columns without a per-conversation window, for ``turn`` = 0-based position.
-
-    Neighbours come from equi-joins on ``(conv_id, turn +- 1)``, which hash-partition
-    by turn as well, so one very long conversation is spread over many tasks.  The
-    first role joins on ``conv_id`` (one row per conversation); AQE splits a skewed
-    partition of that join.
-    """
-    key = (key_source if key_source is not None else m).select("conv_id", "turn", "role")
-    prev = key.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("prev_role"))
-    nxt = key.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next_role"))
-    first = key.filter(F.col("turn") == 0).select("conv_id", F.col("role").alias("role0"))
-    j = m.join(prev, ["conv_id", "turn"], "left").join(nxt, ["conv_id", "turn"], "left") \
-         .join(first, "conv_id", "left")
-    return j.withColumn("pos", F.col("turn"))
-
-
-def _cut_window(out: DataFrame, cut_chars: int) -> DataFrame:
-    before = Window.partitionBy("conv_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return out.withColumn("offset", F.coalesce(F.sum(F.length("block")).over(before), F.lit(0)))
-
-
 # Shortest possible block per role beyond its content (characters), for the prefilter.
 _MIN_BLOCK = {"user": len("<|im_start|>user\n<|im_end|>\n"),
               "assistant": len(ASSISTANT_HEADER + "<|im_end|>\n"),
@@ -164,63 +128,75 @@ _MIN_BLOCK = {"user": len("<|im_start|>user\n<|im_end|>\n"),
               "tool": len("\n" + TOOL_RESPONSE_OPEN + "\n\n" + TOOL_RESPONSE_CLOSE)}
 
 
-def _lower_block_length(role: Column, content: Column, turn: Column) -> Column:
+def _lower_block_length(role: Column, content: Column) -> Column:
     """A lower bound of a message's rendered length that needs no neighbours."""
     n = F.coalesce(F.length(content), F.lit(0))
     body = F.lit(0)
     for r, k in _MIN_BLOCK.items():
         body = F.when(role == r, F.lit(k) + n).otherwise(body)
-    header = F.when((turn == 0) & ~role.eqNullSafe(F.lit("system")), F.lit(_MIN_BLOCK["system"])).otherwise(0)
-    return body + header
+    return body
+
+
+def tool_status(messages: DataFrame) -> DataFrame:
+    """``conv_id, turn, tools_status, calls_status``, each ok, malformed or absent.
+
+    Absent covers NULL, an empty text, JSON null and an empty list.
+    """
+    m = _with_tool_fields(messages)
+
+    def status(text: str, error: str) -> Column:
+        return (F.when(F.col(f"tj.{error}").isNotNull(), "malformed")
+                .when(F.col(f"tj.{text}").isNotNull(), "ok").otherwise("absent"))
 
+    return m.select("conv_id", "turn", status("tools_text", "tools_error").alias("tools_status"),
+                    status("calls_text", "calls_error").alias("calls_status"))
 
-def within_cut(messages: DataFrame, cut_chars: int, bucket_rows: int = 1024) -> DataFrame:
-    """Messages that can start before character ``cut_chars`` of the rendered chat.
 
-    Requires ``turn`` = 0-based position.  A prefix sum of the lower-bound lengths
-    is at most the true start offset, so a message whose bound already reaches
-    the cut cannot contribute to the first ``cut_chars`` characters.  The prefix
-    sum has two levels (inside buckets of ``bucket_rows`` turns, then over
-    buckets) and runs on three narrow columns, so no task sees a whole
-    conversation.  The result is a semi-join on ``(conv_id, turn)``.
+def located(m: DataFrame, bucket_rows: int = 1024) -> DataFrame:
+    """Each message with ``pos`` (0-based), ``prev_role, next_role, role0`` and ``bound``.
+
+    ``turn`` may be any integers, unique in a conversation.  ``bound`` is at most
+    the character offset of the message's block.  Windows span ``bucket_rows`` turn
+    values; the bucket table holds one row per bucket and returns on the partitioning
+    that the windows already have, so a message's text is shuffled once here.
     """
-    narrow = messages.select("conv_id", "turn", F.floor(F.col("turn") / F.lit(bucket_rows)).alias("_bucket"),
-                             _lower_block_length(F.col("role"), F.col("content"), F.col("turn")).alias("_len"))
-    inside = Window.partitionBy("conv_id", "_bucket").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    pre = narrow.withColumn("_inpre", F.coalesce(F.sum("_len").over(inside), F.lit(0)))
-    totals = narrow.groupBy("conv_id", "_bucket").agg(F.sum("_len").alias("_blen"))
-    over_buckets = Window.partitionBy("conv_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("conv_id", "_bucket",
-                           F.coalesce(F.sum("_blen").over(over_buckets), F.lit(0)).alias("_bstart"))
-    keep = pre.join(starts, ["conv_id", "_bucket"]) \
-              .filter(F.col("_bstart") + F.col("_inpre") < F.lit(int(cut_chars))).select("conv_id", "turn")
-    return messages.join(keep, ["conv_id", "turn"], "left_semi")
-
-
-def message_blocks(messages: DataFrame, augment: dict | None = None,
-                   cut_chars: int | None = None, dense_turns: bool = False,
+    bucket = F.floor(F.col("turn") / F.lit(bucket_rows))
+    low = _lower_block_length(F.col("role"), F.col("content"))
+    inside = Window.partitionBy("conv_id", "_bk").orderBy("turn")
+    rows = m.withColumns({"_bk": bucket, "_low": low}).select(
+        "*", (F.row_number().over(inside) - 1).alias("_rn"), F.lag("role").over(inside).alias("_prev"),
+        F.lead("role").over(inside).alias("_next"),
+        F.coalesce(F.sum("_low").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_in"))
+    totals = m.select("conv_id", "turn", "role", bucket.alias("_bk"), low.alias("_low")).groupBy("conv_id", "_bk").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_low").alias("_len"),
+        F.min_by(F.struct("role"), "turn").alias("_first"), F.max_by(F.struct("role"), "turn").alias("_last"))
+    over = Window.partitionBy("conv_id").orderBy("_bk")
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    edges = totals.select(
+        "conv_id", "_bk", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+        F.coalesce(F.sum("_len").over(before), F.lit(0)).alias("_start"),
+        F.lag("_last").over(over)["role"].alias("_before"), F.lead("_first").over(over)["role"].alias("_after"),
+        F.first("_first").over(over)["role"].alias("role0"))
+    j = rows.join(edges, ["conv_id", "_bk"])
+    return j.withColumns({
+        "pos": (F.col("_off") + F.col("_rn")).cast("bigint"),
+        "prev_role": F.when(F.col("_rn") == 0, F.col("_before")).otherwise(F.col("_prev")),
+        "next_role": F.when(F.col("_rn") == F.col("_n") - 1, F.col("_after")).otherwise(F.col("_next")),
+        "bound": F.col("_start") + F.col("_in"),
+    }).drop("_bk", "_low", "_rn", "_prev", "_next", "_in", "_n", "_off", "_start", "_before", "_after")
+
+
+def message_blocks(messages: DataFrame, augment: dict | None = None, cut_chars: int | None = None,
                    bucket_rows: int = 1024) -> DataFrame:
     """Render every message's block of the chat template.
 
-    Returns ``conv_id, pos, block, error, role, content, prev_role`` where ``pos``
-    is the 0-based position in the conversation.  The header (system block,
-    default block or tools block) is part of the block at ``pos = 0``.
-    With ``cut_chars`` only blocks starting before that character offset are
-    kept, each cut to ``cut_chars``.
-
-    ``dense_turns=True`` declares that ``turn`` is the 0-based position (as
-    ``posexplode`` produces and the turn tables provide).  Messages that cannot
-    reach the cut are dropped before rendering (``within_cut``), neighbours come
-    from equi-joins instead of one window per conversation, and rows that render
-    nothing are dropped before collection, so even a conversation holding a
-    large share of all rows is split across tasks and collects about
-    ``cut_chars / 28`` blocks.
+    Returns ``conv_id, pos, turn, role, content, prev_role, block, error, ...`` where
+    ``pos`` is the 0-based position in the conversation.  The header (system block,
+    default block or tools block) is part of the block at ``pos = 0``.  With
+    ``cut_chars`` the block is NULL where it cannot start before that character
+    offset, and otherwise cut to ``cut_chars``; every message keeps its row.
     """
-    if dense_turns:
-        kept = within_cut(messages, cut_chars, bucket_rows) if cut_chars is not None else messages
-        m = _neighbours_join(_with_tool_fields(kept), key_source=messages)
-    else:
-        m = _neighbours_window(_with_tool_fields(messages))
+    m = located(_with_tool_fields(messages), bucket_rows)
     role = F.col("role")
     content = F.coalesce(F.col("content"), F.lit(""))
     first = F.col("pos") == 0
@@ -264,18 +240,11 @@ def message_blocks(messages: DataFrame, augment: dict | None = None,
     out = m.select("conv_id", "pos", "turn", "role", "content", "prev_role",
                    F.coalesce(block, F.lit("")).alias("block"), error.alias("error"),
                    aug_flag.alias("augmented"), aug_idx.alias("prompt_idx"),
-                   F.col("role0").alias("first_role"))
+                   F.col("role0").alias("first_role"), "bound")
     if cut_chars is None:
-        return out
-    if dense_turns:
-        # Already prefiltered by a lower bound; the caller cuts the joined text exactly.
-        # Rows that render nothing matter only as neighbours (already resolved).
-        out = out.filter((F.col("block") != "") | (F.col("pos") == 0) | F.col("error").isNotNull())
-        return out.withColumn("block", F.substring("block", 1, int(cut_chars)))
-    out = _cut_window(out, cut_chars)
-    return (out.filter(F.col("offset") < cut_chars)
-               .withColumn("block", F.substring("block", 1, int(cut_chars)))
-               .drop("offset"))
+        return out.drop("bound")
+    near = F.when(F.col("bound") < int(cut_chars), F.substring("block", 1, int(cut_chars)))
+    return out.withColumn("block", near).drop("bound")
 
 
 def _is_genuine_user(role: Column, content: Column) -> Column:
@@ -284,16 +253,17 @@ def _is_genuine_user(role: Column, content: Column) -> Column:
 
 
 def render(messages: DataFrame, augment: dict | None = None, generation_prompt: bool = False,
-           enable_thinking: bool | None = None, cut_chars: int | None = None,
-           dense_turns: bool = False) -> DataFrame:
+           enable_thinking: bool | None = None, cut_chars: int | None = None) -> DataFrame:
     """P16 (+P13, P16g, P16h): one row per conversation.
 
     Columns: ``conv_id, prompt, n_messages, last_query_index, augmented,
-    prompt_idx, first_role, injected, error``.
+    prompt_idx, first_role, injected, error``.  All but the prompt cover every
+    message, also beyond ``cut_chars``.
     """
-    blocks = message_blocks(messages, augment=augment, cut_chars=cut_chars, dense_turns=dense_turns)
+    blocks = message_blocks(messages, augment=augment, cut_chars=cut_chars)
+    shown = F.when(F.col("block") != "", F.struct("pos", "block"))
     agg = blocks.groupBy("conv_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "block"))),
+        F.array_join(F.transform(F.array_sort(F.collect_list(shown)),
                                  lambda x: x["block"]), "").alias("prompt"),
         F.max("pos").alias("_last"),
         F.max(F.when(_is_genuine_user(F.col("role"), F.col("content")), F.col("pos"))).alias("_lq"),
@@ -350,7 +320,7 @@ def sft_arrays(segments: Column, max_length: int):
 
 
 def sft_encode(messages: DataFrame, max_length: int = T.SFT_MAX_LENGTH,
-               augment: dict | None = None, dense_turns: bool = False) -> DataFrame:
+               augment: dict | None = None) -> DataFrame:
     """Conversations -> ``conv_id, input_ids, labels, attention_mask, n_tokens, injected, error``.
 
     ``max_length`` is the plain ``[:L]`` cut of P11 (nothing reserved).  Labels
@@ -358,7 +328,7 @@ def sft_encode(messages: DataFrame, max_length: int = T.SFT_MAX_LENGTH,
     labelling sliced ids.  Padding positions get label -100.
     """
     cut = T.LONGEST_SPECIAL * max_length
-    rendered = render(messages, augment=augment, cut_chars=cut, dense_turns=dense_turns)
+    rendered = render(messages, augment=augment, cut_chars=cut)
     seg = rendered.select("conv_id", "injected", "error", segment_ids(F.col("prompt")).alias("seg"))
     arrs = seg.select("conv_id", "injected", "error", *[
         c.alias(n) for c, n in zip(sft_arrays(F.col("seg"), max_length), ("ids", "lab"))])

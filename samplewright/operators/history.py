@@ -86,13 +86,16 @@ def live_messages_bucketed(sessions: DataFrame, bucket_rows: int = 1024) -> Data
 
 def history_prompts_joined(messages: DataFrame, history_turns: int = HISTORY_TURNS,
                            max_prompt_tokens: int = T.MODEL_MAX_LENGTH) -> DataFrame:
-    """W9 like ``history_prompts`` for ``h > 0`` without a window over a whole session.
+    """W9 like ``history_prompts`` without a window over a whole session.
 
-    ``messages`` come from ``live_messages_bucketed`` (dense ``live_pos``).  Each
+    ``h = 0`` keeps every earlier message, so a prompt itself holds its session so far
+    and the window form serves it.  Otherwise ``messages`` come from ``live_messages_bucketed`` (dense ``live_pos``).  Each
     question is exploded into its ``2h + 1`` frame positions and joined to the
     messages on ``(session, live_pos)``; the regrouping per question holds at most
     ``2h + 1`` rows.
     """
+    if not history_turns:
+        return history_prompts(messages, 0, max_prompt_tokens)
     k = 2 * int(history_turns)
     block = F.concat(F.lit("<|im_start|>"), F.col("role"), F.lit("\n"),
                      F.coalesce(F.col("content"), F.lit("")), F.lit("<|im_end|>\n"))

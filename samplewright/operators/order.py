@@ -11,8 +11,7 @@ Scale notes:
   ``bucket_hex`` hex digits of their digest (16**4 = 65,536 buckets by default;
   digests are uniform, so buckets are even and no key can be hot).  A per-bucket
   count (at most ``epochs * 16**bucket_hex`` rows, a proven bound) gives each
-  bucket its offset; that small table is broadcast, and ranks are computed
-  inside each bucket.
+  bucket its offset, and ranks are computed inside each bucket.
 * Everything after W1 is narrow (``explode`` of wrap-around copies, integer
   arithmetic) except materialising batches, which groups at most ``B`` rows.
 * Step-level quantities (global step, accumulation group, log/save points) are
@@ -61,8 +60,8 @@ def epoch_order(df: DataFrame, id_col: str, epochs=(0,), seed: int = DEFAULT_SEE
                             F.sum("_n").over(Window.partitionBy("epoch")).alias("n_in_epoch"))
     inner = Window.partitionBy("epoch", "_bucket").orderBy("_h", id_col)
     ranked = base.withColumn("_rn", F.row_number().over(inner))
-    # offsets holds at most len(epochs) * 16**bucket_hex rows: safe to broadcast.
-    joined = ranked.join(F.broadcast(offsets), ["epoch", "_bucket"])
+    # One row per epoch and bucket; Spark picks the join by its measured size.
+    joined = ranked.join(offsets, ["epoch", "_bucket"])
     return joined.select(id_col, *keep, "epoch",
                          (F.col("_offset") + F.col("_rn") - 1).cast("bigint").alias("order_idx"),
                          F.col("n_in_epoch").cast("bigint").alias("n_in_epoch"))
@@ -131,18 +130,30 @@ def rescale_step(step: Column, saved_world_size: Column, current_world_size: Col
     return F.when(saved_world_size != cur, F.floor(step * saved_world_size / cur)).otherwise(step).cast("bigint")
 
 
-def steps_table(batched: DataFrame) -> DataFrame:
+def batches_table(samples: DataFrame, world_size: int, batch_size: int, epochs=(0,)) -> DataFrame:
+    """Every batch of a plan from one count: ``epoch, rank, batch_id, iters, n_samples, n_in_epoch``.
+
+    Each of ``W`` ranks holds ``ceil(N / W)`` samples in batches of ``B``, all full but the
+    last, so what the batches are does not depend on the order of the samples.
+    """
+    n = samples.agg(F.count(F.lit(1)).alias("n_in_epoch")).filter("n_in_epoch > 0")
+    per_rank = F.ceil(F.col("n_in_epoch") / F.lit(world_size)).cast("bigint")
+    sized = n.select("n_in_epoch", per_rank.alias("_list"), F.ceil(per_rank / F.lit(batch_size)).cast("bigint").alias("iters"),
+                     F.explode(F.array(*[F.lit(int(e)) for e in epochs])).alias("epoch"))
+    ranked = sized.withColumn("rank", F.explode(F.sequence(F.lit(0), F.lit(world_size - 1))))
+    every = ranked.withColumn("batch_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("iters") - 1)))
+    return every.select("epoch", "rank", "batch_id", "iters",
+                        F.least(F.lit(batch_size), F.col("_list") - F.col("batch_id") * batch_size).cast("bigint").alias("n_samples"),
+                        "n_in_epoch")
+
+
+def steps_table(samples: DataFrame, world_size: int, batch_size: int, epochs=(0,)) -> DataFrame:
     """One row per ``(epoch, step)`` of rank 0, with ``iters`` = batches in that epoch.
 
     ``step = batch_id + 1`` (steps are counted from ``start_step + 1`` and the
-    first kept batch is ``start_step``).  ``iters`` comes from a per-epoch max
-    joined back on ``epoch`` (one row per epoch: broadcast-safe).
+    first kept batch is ``start_step``).
     """
-    steps = batched.filter(F.col("rank") == 0).groupBy("epoch", "batch_id").agg(
-        F.count(F.lit(1)).alias("n_samples"))
-    iters = batched.filter(F.col("rank") == 0).groupBy("epoch").agg(
-        (F.max("batch_id") + 1).alias("iters"))
-    return steps.join(F.broadcast(iters), "epoch").select(
+    return batches_table(samples, world_size, batch_size, epochs).filter("rank = 0").select(
         "epoch", (F.col("batch_id") + 1).cast("bigint").alias("step"), "iters", "n_samples")
 
 

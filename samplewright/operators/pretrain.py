@@ -7,6 +7,8 @@ per-character work (see ``tokens.encode``).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,3 +79,56 @@ def causal_pairs(samples: DataFrame, id_col: str = "doc_id") -> DataFrame:
             F.slice("labels", 2, F.size("labels") - 1).alias("nxt"),
         )).alias("pos", "pair"),
     ).select(id_col, "pos", F.col("pair.cur").alias("cur"), F.col("pair.nxt").alias("nxt"))
+
+
+# Markers as byte strings with their ids, for the in-task pair counts.
+_MARKERS = tuple((marker.encode(), i) for marker, i in T.SPECIAL_TOKENS.items())
+_VOCAB = 256 + T.BYTE_OFFSET
+
+
+def _window_pairs(text: str, inner: int) -> np.ndarray:
+    """``cur * V + nxt`` of every causal pair of a text cut into framed windows of ``inner`` tokens."""
+    raw = text.encode()
+    ids = np.frombuffer(raw, np.uint8).astype(np.int64) + T.BYTE_OFFSET
+    if b"<|" in raw:
+        kept = np.ones(len(ids), bool)
+        for marker, i in _MARKERS:
+            at = raw.find(marker)
+            while at >= 0:
+                ids[at] = i
+                kept[at + 1:at + len(marker)] = False
+                at = raw.find(marker, at + len(marker))
+        ids = ids[kept]
+    cur, nxt = np.concatenate([[T.BOS_ID], ids]), np.concatenate([ids, [T.EOS_ID]])
+    cuts = np.arange(inner, len(ids), inner)  # a window ends before and the next begins at each
+    ends = ids[cuts - 1] * _VOCAB + T.EOS_ID
+    cur[cuts] = T.BOS_ID
+    return np.concatenate([cur * _VOCAB + nxt, ends])
+
+
+def document_pair_counts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                         max_length: int = T.PRETRAIN_MAX_LENGTH) -> DataFrame:
+    """P12 + F4 over whole texts: ``id, cur, nxt, n`` per distinct pair of a document.
+
+    A text is cut into consecutive windows of ``max_length - 2`` tokens, each framed by
+    BOS and EOS, with no remainder lost; targets equal to the pad id are not labels.
+    Counting happens inside the row, so only distinct pairs leave it.
+    """
+    kind = pa.list_(pa.struct([("cur", pa.int32()), ("nxt", pa.int32()), ("n", pa.int64())]))
+
+    @F.arrow_udf("array<struct<cur:int,nxt:int,n:bigint>>")
+    def counts(texts: pa.Array) -> pa.Array:
+        keys, n, ends = [], [], [0]
+        for text in texts:
+            pairs = np.sort(_window_pairs(text.as_py(), max_length - 2))
+            first = np.flatnonzero(np.diff(pairs, prepend=-1))
+            labelled = pairs[first] % _VOCAB != T.PAD_ID
+            keys.append(pairs[first][labelled])
+            n.append(np.diff(first, append=len(pairs))[labelled])
+            ends.append(ends[-1] + len(keys[-1]))
+        flat, total = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (keys, n))
+        items = pa.StructArray.from_arrays([pa.array((flat // _VOCAB).astype(np.int32)), pa.array((flat % _VOCAB).astype(np.int32)),
+                                            pa.array(total)], fields=list(kind.value_type))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
+
+    return df.select(id_col, F.explode(counts(T.as_text(F.col(text_col)))).alias("_p")).select(id_col, "_p.*")

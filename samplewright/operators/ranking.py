@@ -5,18 +5,22 @@ The next-token table comes from ``stats.fit_bigram``: for every context token
 log-probabilities.  Processing order follows the generation library the
 reference calls: repetition penalty, then temperature, top-k, top-p, draw.
 
-Scale notes: the dense table has ``V * V`` rows (67,081 for the ``bytes``
-tokenizer) and is broadcast on that proven bound; all prompts usually share
-the same context token (the generation prompt ends in a newline), so a shuffle
-join on the context would put every prompt in one task, and broadcasting
-avoids that hot key.  Per prompt work is bounded by ``V`` candidates and
-``max_new_tokens`` steps.
+Scale notes: the dense table has ``V * V`` rows (67,081 for the ``bytes`` tokenizer),
+one row of ``V`` logits per context once grouped; Spark broadcasts it where its
+measured size allows, and splits the hot context otherwise (all prompts end in the
+same token).  Per prompt work is bounded by ``V`` candidates and ``max_new_tokens``
+steps.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,27 +64,6 @@ def penalize(logit: Column, seen: Column, penalty: float = REPETITION_PENALTY) -
             .otherwise(logit)
 
 
-def nucleus(cands: DataFrame, keys: list[str], score_col: str = "logit", temperature: float = TEMPERATURE,
-            top_k: int = TOP_K, top_p: float = TOP_P) -> DataFrame:
-    """G2 + G3b + G3: temperature softmax, keep the ``top_k`` best, then the smallest
-    prefix whose strictly-better mass stays below ``top_p`` (never empty).
-
-    Returns ``keys, nxt, rank, prob`` with ``prob`` renormalised over the kept set.
-    Windows are partitioned by the context keys (at most ``V`` rows each).
-    """
-    by_key = Window.partitionBy(*keys)
-    order = Window.partitionBy(*keys).orderBy(F.col("_s").desc(), F.col("nxt").asc())
-    s = cands.withColumn("_s", F.col(score_col) / F.lit(temperature))
-    s = s.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k)
-    s = s.withColumn("_e", F.exp(F.col("_s") - F.max("_s").over(by_key)))
-    s = s.withColumn("_q", F.col("_e") / F.sum("_e").over(by_key))
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumn("_better", F.coalesce(F.sum("_q").over(before), F.lit(0.0)))
-    kept = s.filter(F.col("_better") < F.lit(top_p))
-    kept = kept.withColumn("prob", F.col("_q") / F.sum("_q").over(by_key))
-    return kept.select(*keys, "nxt", "rank", "prob")
-
-
 def ranked_scores(scores: Column, temperature: float = 1.0) -> Column:
     """``ARRAY<STRUCT<neg, nxt, s>>`` of an id-indexed score array, best first (ties to the lower id)."""
     return F.array_sort(F.transform(scores, lambda x, i: F.struct(
@@ -131,34 +114,45 @@ def nucleus_arrays(df: DataFrame, keys: list[str], scores_col: str, temperature:
 
 
 def penalized_scores(prompts: DataFrame, contexts: DataFrame, keys: list[str],
-                     ids_col: str = "prompt_ids", penalty: float = REPETITION_PENALTY) -> DataFrame:
-    """G4 per prompt as an id-indexed array ``scores`` (see ``penalized_candidates``)."""
+                     ids_col: str = "prompt_ids", penalty: float = REPETITION_PENALTY,
+                     vocab_size: int = ST.BYTES_VOCAB) -> DataFrame:
+    """G4 per prompt as an id-indexed array ``scores`` over all ``V`` next tokens of its last token.
+
+    The penalty is applied on the context's logit array inside each prompt row.  A
+    prompt whose last token the model has never seen gets the uniform row, as does
+    one without tokens.
+    """
     p = prompts.select(*keys, F.array_distinct(ids_col).alias("_seen"),
                        F.try_element_at(F.col(ids_col), F.lit(-1)).alias("cur"))
-    j = p.join(F.broadcast(contexts), "cur")
+    uniform = F.array_repeat(F.lit(-math.log(vocab_size)), vocab_size)
+    j = p.join(contexts, "cur", "left").withColumn("logits", F.coalesce("logits", uniform))
     return j.select(*keys, F.transform("logits", lambda lp, t: penalize(
-        lp, F.array_contains(F.col("_seen"), t), penalty)).alias("scores"))
+        lp, F.coalesce(F.array_contains(F.col("_seen"), t), F.lit(False)), penalty)).alias("scores"))
 
 
-def top_candidates(df: DataFrame, keys: list[str], scores_col: str, n: int) -> DataFrame:
-    """The ``n`` best ``(nxt, score)`` of an id-indexed score array per row, as rows with ``rank``."""
-    out = df.select(*keys, F.posexplode(F.slice(ranked_scores(F.col(scores_col)), 1, n)).alias("_i", "_t"))
+def all_candidates(df: DataFrame, keys: list[str], scores_col: str) -> DataFrame:
+    """Every ``(nxt, score)`` of an id-indexed score array per row, as rows with ``rank`` from 1."""
+    out = df.select(*keys, F.posexplode(ranked_scores(F.col(scores_col))).alias("_i", "_t"))
     return out.select(*keys, (F.col("_i") + 1).alias("rank"), F.col("_t.nxt").alias("nxt"),
                       F.col("_t.s").alias("score"))
 
 
-def draw(dist: DataFrame, keys: list[str], u: Column) -> DataFrame:
-    """First candidate (in rank order) whose cumulative probability exceeds ``u``.
+def draw_array(candidates: Column, u: Column) -> Column:
+    """The first candidate, in rank order, whose cumulative probability exceeds ``u``.
 
-    ``u`` is a per-row deterministic uniform (hash of seed and keys), so a rerun
-    draws the same token.  Falls back to the last kept candidate if rounding
-    leaves the total just below ``u``.
+    ``u`` is a deterministic uniform (hash of seed and keys), so a rerun draws the
+    same token.  Falls back to the last kept candidate if rounding leaves the total
+    just below ``u``.
     """
-    order = Window.partitionBy(*keys).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    c = dist.withColumn("_cum", F.sum("prob").over(order)).withColumn("_u", u)
-    pick = F.min_by(F.col("nxt"), F.when(F.col("_cum") > F.col("_u"), F.col("rank")))
-    last = F.max_by(F.col("nxt"), F.col("rank"))
-    return c.groupBy(*keys).agg(F.coalesce(pick, last).alias("nxt"))
+    zero = F.struct(F.lit(0.0).alias("run"), F.lit(None).cast("int").alias("nxt"))
+
+    def step(acc: Column, c: Column) -> Column:
+        run = acc["run"] + c["prob"]
+        return F.struct(run.alias("run"), F.when(acc["nxt"].isNull() & (run > u), c["nxt"].cast("int"))
+                        .otherwise(acc["nxt"]).alias("nxt"))
+
+    return F.coalesce(F.aggregate(candidates, zero, step, lambda acc: acc["nxt"]),
+                      F.element_at(candidates, -1)["nxt"].cast("int"))
 
 
 def context_rows(dense: DataFrame) -> DataFrame:
@@ -170,137 +164,93 @@ def context_rows(dense: DataFrame) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("nxt", "logit"))), lambda x: x["logit"]).alias("logits"))
 
 
-def penalized_candidates(prompts: DataFrame, contexts: DataFrame, keys: list[str],
-                         ids_col: str = "prompt_ids", penalty: float = REPETITION_PENALTY) -> DataFrame:
-    """G4 for every prompt: ``keys, nxt, score`` over all ``V`` next tokens of its last token.
+def sparse_model(model: DataFrame, vocab_size: int = ST.BYTES_VOCAB, alpha: float = ST.SMOOTHING,
+                 most: int = 4_000_000) -> dict:
+    """The bigram model for generation inside tasks: per context its observed next tokens and their logits.
 
-    The penalty is applied on the context's logit array inside each prompt row,
-    then exploded, so the join output is one row per prompt (not one per
-    candidate carrying the prompt's token set).  Contexts are broadcast: at most
-    ``V`` rows, and all prompts typically share one context token.
+    At most ``V * V`` entries, and never more than ``most``: a larger model is refused
+    rather than carried through the driver.
     """
-    p = prompts.select(*keys, F.array_distinct(ids_col).alias("_seen"),
-                       F.try_element_at(F.col(ids_col), F.lit(-1)).alias("cur"))
-    j = p.join(F.broadcast(contexts), "cur")
-    scores = F.transform("logits", lambda lp, t: penalize(lp, F.array_contains(F.col("_seen"), t), penalty))
-    return j.select(*keys, F.posexplode(scores).alias("nxt", "score"))
+    rows = model.select("cur", "nxt", "pair_count", "cur_count")
+    entries = rows.count()
+    if entries > most:
+        raise ValueError(f"the model has {entries} entries; generation carries at most {most}")
+    table = rows.toArrow()
+    cur, nxt, n, total = (table[c].to_numpy() for c in ("cur", "nxt", "pair_count", "cur_count"))
+    order = np.argsort(cur, kind="stable")
+    cur, nxt, n, total = cur[order], nxt[order], n[order], total[order]
+    first = np.flatnonzero(np.diff(cur, prepend=-1))
+    out = {}
+    for a, b in zip(first, np.append(first[1:], len(cur))):
+        scale = total[a] + alpha * vocab_size
+        out[int(cur[a])] = (nxt[a:b], np.log((n[a:b] + alpha) / scale), float(np.log(alpha / scale)))
+    return out
+
+
+def next_token(scores: np.ndarray, u: float, temperature: float, top_k: int, top_p: float) -> int:
+    """G1 for ``temperature <= 0``, otherwise G2, G3b, G3 and G5; ties to the lower id."""
+    if temperature <= 0:
+        return int(scores.argmax())
+    order = np.argsort(-scores, kind="stable")[:top_k]
+    q = np.exp((scores[order] - scores[order[0]]) / temperature)
+    q /= q.sum()
+    better = np.concatenate([[0.0], np.cumsum(q)[:-1]])
+    order, q = order[better < top_p], q[better < top_p]
+    over = np.flatnonzero(np.cumsum(q / q.sum()) > u)
+    return int(order[over[0]] if len(over) else order[-1])
+
+
+def continuation(ids, model: dict, draws: Callable[[int], float], vocab_size: int, max_new_tokens: int,
+                 penalty: float, temperature: float, top_k: int, top_p: float, eos_id: int) -> list[int]:
+    """New tokens after ``ids`` until EOS (left out) or ``max_new_tokens``; unseen contexts are uniform."""
+    seen = np.zeros(vocab_size, bool)
+    seen[ids] = True
+    last, out = (int(ids[-1]) if len(ids) else -1), []
+    for step in range(max_new_tokens):
+        nxt, logits, rest = model.get(last, ((), (), -math.log(vocab_size)))
+        scores = np.full(vocab_size, rest)
+        if len(nxt):
+            scores[nxt] = logits
+        scores[seen] = np.where(scores[seen] > 0, scores[seen] / penalty, scores[seen] * penalty)
+        last = next_token(scores, draws(step), temperature, top_k, top_p)
+        if last == eos_id:
+            break
+        out.append(last)
+        seen[last] = True
+    return out
+
+
+def generate(prompts: DataFrame, model: DataFrame, keys: list[str], ids_col: str = "prompt_ids", seed: int = 42,
+             temperature: float = TEMPERATURE, top_k: int = TOP_K, top_p: float = TOP_P,
+             penalty: float = REPETITION_PENALTY, max_new_tokens: int = MAX_NEW_TOKENS,
+             vocab_size: int = ST.BYTES_VOCAB, alpha: float = ST.SMOOTHING, eos_id: int = T.EOS_ID) -> DataFrame:
+    """U2 + G1-G6: ``prompts`` with ``new_ids``, the model's continuation of every prompt.
+
+    The model (``stats.fit_bigram``) goes to the tasks once, and each step looks up the
+    row of its context.  The draw of step ``i`` is the hash of ``seed``, ``i`` and the
+    prompt's keys, so reruns agree; ``temperature <= 0`` takes the best token instead.
+    """
+    rows = sparse_model(model, vocab_size, alpha)
 
+    @F.arrow_udf("array<int>")
+    def reply(key: pa.Array, ids: pa.Array) -> pa.Array:
+        def draws(k: str) -> Callable[[int], float]:
+            return lambda step: int(hashlib.md5(f"{seed}|{step}|{k}".encode()).hexdigest()[:8], 16) / 4294967296.0
 
-def model_row(dense: DataFrame, vocab_size: int = ST.BYTES_VOCAB) -> DataFrame:
-    """The dense table as one row ``model_key = 0, logits: ARRAY<ARRAY<DOUBLE>>`` indexed by context.
+        return pa.array([continuation(np.array(x.as_py() or [], np.int64), rows, draws(k.as_py()), vocab_size, max_new_tokens,
+                                      penalty, temperature, top_k, top_p, eos_id) for k, x in zip(key, ids)], pa.list_(pa.int32()))
 
-    At most ``V * V`` doubles (0.5 MB for the ``bytes`` tokenizer); contexts never
-    observed get a uniform row.
-    """
-    per_ctx = dense.groupBy("cur").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("nxt", "logit"))), lambda x: x["logit"]).alias("row"))
-    one = per_ctx.groupBy(F.lit(0).alias("model_key")).agg(
-        F.array_sort(F.collect_list(F.struct("cur", "row"))).alias("rows"))
-    uniform = F.array_repeat(F.lit(-math.log(vocab_size)), vocab_size)
-    dense_rows = F.transform(F.sequence(F.lit(0), F.lit(vocab_size - 1)), lambda c: F.coalesce(
-        F.try_element_at(F.filter("rows", lambda r: r["cur"] == c), F.lit(1))["row"], uniform))
-    return one.select("model_key", dense_rows.alias("logits"))
+    key = F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
+    return prompts.withColumn("new_ids", reply(key, F.col(ids_col)))
 
 
-def ranked_model_row(dense: DataFrame, vocab_size: int = ST.BYTES_VOCAB) -> DataFrame:
-    """One row ``model_key = 0, order, lps``: per context the next tokens sorted by logit
-    (descending, ties to the lower id) and their logits in that order.
+def reply_with(prompts: DataFrame, loader: Callable[[], Callable[[list[str]], list[str]]], prompt_col: str = "prompt",
+               reply_col: str = "reply") -> DataFrame:
+    """Replies of a user's own function, loaded once per task and called on batches of prompt texts."""
+    @F.pandas_udf("string")
+    def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        answer = loader()
+        for texts in batches:
+            yield pd.Series(answer(texts.tolist()))
 
-    At most ``V * V`` ints and doubles; contexts never observed get the uniform
-    row (ids in order).
-    """
-    per_ctx = dense.groupBy("cur").agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("logit")).alias("k"), "nxt"))).alias("s"))
-    per_ctx = per_ctx.select("cur", F.transform("s", lambda x: x["nxt"]).alias("order"),
-                             F.transform("s", lambda x: -x["k"]).alias("lps"))
-    one = per_ctx.groupBy(F.lit(0).alias("model_key")).agg(
-        F.array_sort(F.collect_list(F.struct("cur", "order", "lps"))).alias("rows"))
-    ids = F.sequence(F.lit(0), F.lit(vocab_size - 1))
-    uniform = F.array_repeat(F.lit(-math.log(vocab_size)), vocab_size)
-    pick = lambda c: F.try_element_at(F.filter("rows", lambda r: r["cur"] == c), F.lit(1))
-    return one.select(
-        "model_key",
-        F.transform(ids, lambda c: F.coalesce(pick(c)["order"], ids)).alias("orders"),
-        F.transform(ids, lambda c: F.coalesce(pick(c)["lps"], uniform)).alias("lpss"))
-
-
-def greedy_generate(prompts: DataFrame, model: DataFrame, ids_col: str = "prompt_ids",
-                    max_new_tokens: int = MAX_NEW_TOKENS, penalty: float = REPETITION_PENALTY,
-                    eos_id: int = T.EOS_ID) -> DataFrame:
-    """U2 + G1 + G4 + G6: greedy continuation with repetition penalty, stopped at EOS.
-
-    ``model`` comes from ``ranked_model_row``.  With candidates sorted by logit,
-    the penalised argmax is either the first candidate (penalised when already
-    seen) or the first candidate not yet seen; every later candidate is
-    dominated by one of the two.  Each step therefore uses only built-in array
-    functions (``array_except`` keeps order, ``array_union`` updates the seen
-    set), whose loops run compiled rather than element by element in a lambda.
-    """
-    def let(value: Column, body) -> Column:
-        return F.element_at(F.transform(F.array(value), body), 1)
-
-    def pen(lp: Column) -> Column:
-        return F.when(lp > 0, lp / F.lit(penalty)).otherwise(lp * F.lit(penalty))
-
-    def choose(acc, order, lps):
-        first, lp0 = F.element_at(order, 1), F.element_at(lps, 1)
-        return let(F.try_element_at(F.array_except(order, acc["seen"]), F.lit(1)), lambda u: F.when(
-            ~F.array_contains(acc["seen"], first) | u.isNull(), first).otherwise(
-            let(F.element_at(lps, F.array_position(order, u).cast("int")), lambda lpu: F.when(
-                (lpu > pen(lp0)) | ((lpu == pen(lp0)) & (u < first)), u).otherwise(first))))
-
-    def step(acc, _i):
-        ctx = acc["last"] + 1
-        best = choose(acc, F.element_at(F.col("orders"), ctx), F.element_at(F.col("lpss"), ctx)).cast("int")
-        advance = let(best, lambda b: F.struct(
-            F.concat(acc["out"], F.array(b)).alias("out"),
-            F.array_union(acc["seen"], F.array(b)).alias("seen"),
-            b.alias("last"), (b == eos_id).alias("done")))
-        return F.when(acc["done"], acc).otherwise(advance)
-
-    init = F.struct(F.array().cast("array<int>").alias("out"), F.array_distinct(F.col(ids_col)).alias("seen"),
-                    F.try_element_at(F.col(ids_col), F.lit(-1)).alias("last"), F.lit(False).alias("done"))
-    joined = prompts.withColumn("model_key", F.lit(0)).join(F.broadcast(model), "model_key")
-    folded = F.aggregate(F.sequence(F.lit(1), F.lit(max_new_tokens)), init, step)
-    out = joined.withColumn("_gen", folded["out"]).drop("orders", "lpss", "model_key")
-    stop = F.array_position(F.col("_gen"), F.lit(eos_id))
-    new_ids = F.when(stop > 0, F.slice("_gen", 1, (stop - 1).cast("int"))).otherwise(F.col("_gen"))
-    return out.withColumn("new_ids", new_ids).drop("_gen")
-
-
-def greedy_generate_dense(prompts: DataFrame, model: DataFrame, ids_col: str = "prompt_ids",
-                    vocab_size: int = ST.BYTES_VOCAB, max_new_tokens: int = MAX_NEW_TOKENS,
-                    penalty: float = REPETITION_PENALTY, eos_id: int = T.EOS_ID) -> DataFrame:
-    """U2 + G1 + G4 + G6: greedy continuation with repetition penalty, stopped at EOS.
-
-    A fold over ``max_new_tokens`` positions inside each row: the state holds the
-    new tokens, a ``seen`` flag per vocabulary id and the last token.  The model
-    row is attached by a broadcast equi-join (one row of ``V * V`` doubles).
-    Adds ``new_ids`` (EOS excluded).
-    """
-    V = vocab_size
-    distinct_ids = F.array_distinct(F.col(ids_col))
-    seen0 = F.transform(F.sequence(F.lit(0), F.lit(V - 1)), lambda t: F.array_contains(distinct_ids, t))
-    init = F.struct(F.array().cast("array<int>").alias("out"), seen0.alias("seen"),
-                    F.try_element_at(F.col(ids_col), F.lit(-1)).alias("last"), F.lit(False).alias("done"))
-
-    def let(value: Column, body) -> Column:
-        # Evaluate ``value`` once and bind it (a one-element transform acts as ``let``).
-        return F.element_at(F.transform(F.array(value), body), 1)
-
-    def step(acc, _i):
-        row = F.element_at(F.col("logits"), acc["last"] + 1)
-        scores = F.transform(row, lambda lp, t: penalize(lp, F.element_at(acc["seen"], t + 1), penalty))
-        best = let(scores, lambda s: (F.array_position(s, F.array_max(s)) - 1).cast("int"))
-        advance = let(best, lambda b: F.struct(
-            F.concat(acc["out"], F.array(b)).alias("out"),
-            F.transform(acc["seen"], lambda x, t: x | (t == b)).alias("seen"),
-            b.alias("last"), (b == eos_id).alias("done")))
-        return F.when(acc["done"], acc).otherwise(advance)
-
-    joined = prompts.withColumn("model_key", F.lit(0)).join(F.broadcast(model), "model_key")
-    folded = F.aggregate(F.sequence(F.lit(1), F.lit(max_new_tokens)), init, step)
-    out = joined.withColumn("_gen", folded["out"]).drop("logits", "model_key")
-    stop = F.array_position(F.col("_gen"), F.lit(eos_id))
-    new_ids = F.when(stop > 0, F.slice("_gen", 1, (stop - 1).cast("int"))).otherwise(F.col("_gen"))
-    return out.withColumn("new_ids", new_ids).drop("_gen")
+    return prompts.withColumn(reply_col, call(F.col(prompt_col)))

@@ -28,12 +28,26 @@ def softmax(scores: Column) -> Column:
     return F.transform(e, lambda x: x / z)
 
 
+def example_gate(dim: int, n_experts: int = N_EXPERTS) -> list[list[float]]:
+    """A fixed gate of small weights, ``((7 i + 13 e) mod 11 - 5) / 20`` for component i and expert e."""
+    return [[((i * 7 + e * 13) % 11 - 5) / 20.0 for i in range(dim)] for e in range(n_experts)]
+
+
+def gate_scores(df: DataFrame, vec_col: str, gate: list[list[float]], out_col: str = "scores") -> DataFrame:
+    """A9's scores: the dot product of the whole vector with each expert's gate row."""
+    def dot(row: list[float]) -> Column:
+        weights = F.array(*[F.lit(float(w)) for w in row])
+        return F.aggregate(F.zip_with(vec_col, weights, lambda x, w: x.cast("double") * w), F.lit(0.0), lambda a, x: a + x)
+
+    return df.withColumn(out_col, F.array(*[dot(row) for row in gate]))
+
+
 def route(df: DataFrame, id_col: str, scores_col: str, k: int = TOP_K, n_experts: int = N_EXPERTS,
           keep: list[str] | None = None) -> DataFrame:
-    """``probs`` (softmax over the first ``n_experts`` scores) and ``routes``
+    """``probs`` (softmax over ``n_experts`` scores) and ``routes``
     (top ``k`` experts, ties to the lower index, weights renormalised by ``sum + 1e-20``)."""
     keep = list(keep or [])
-    scores = F.transform(F.slice(F.col(scores_col), 1, n_experts), lambda x: x.cast("double"))
+    scores = F.transform(F.col(scores_col), lambda x: x.cast("double"))
     # Separate projections: the scores, the softmax and the top-k are each computed once.
     base = df.select(F.col(id_col), *keep, scores.alias("_s"))
     base = base.select(id_col, *keep, softmax(F.col("_s")).alias("probs"))
@@ -57,27 +71,28 @@ def expert_probs(routed: DataFrame, id_col: str, keep: list[str] | None = None)
     return routed.select(id_col, *(keep or []), F.posexplode("probs").alias("expert", "p"))
 
 
+def _per_expert(routed: DataFrame, n_experts: int, groups: list[str]) -> DataFrame:
+    """Per group and expert: rows ``t``, sum of probabilities ``p``, chosen count ``c``; one aggregation."""
+    rows = routed.select(*groups, F.explode(F.transform("probs", lambda p, i: F.struct(
+        i.alias("expert"), p.alias("p"), F.exists("routes", lambda r: r["expert"] == i).cast("int").alias("hit")))).alias("x"))
+    return rows.groupBy(*groups, F.col("x.expert").alias("expert")).agg(
+        F.count(F.lit(1)).alias("t"), F.sum("x.p").alias("p"), F.sum("x.hit").alias("c"))
+
+
 def load_balance(routed: DataFrame, id_col: str, n_experts: int = N_EXPERTS,
                  alpha: float = AUX_ALPHA) -> DataFrame:
     """A10: ``alpha * sum_e mean(p_e) * (E * share_e)``; share over all ``N * k`` assignments."""
-    pi = expert_probs(routed, id_col).groupBy("expert").agg(F.avg("p").alias("pi"))
-    ce = assignments(routed, id_col).groupBy("expert").agg(F.count(F.lit(1)).alias("c"))
-    total = Window.partitionBy()  # over at most E rows
-    share = ce.select("expert", (F.col("c") / F.sum("c").over(total)).alias("share"))
-    j = pi.join(share, "expert", "left").fillna(0.0, ["share"])
-    return j.agg((F.lit(alpha) * F.sum(F.col("pi") * F.col("share") * F.lit(n_experts))).alias("aux_loss"))
+    total = F.sum("c").over(Window.partitionBy())  # over at most E rows
+    per = _per_expert(routed, n_experts, []).select((F.col("p") / F.col("t")).alias("pi"), (F.col("c") / total).alias("share"))
+    return per.agg((F.lit(alpha) * F.sum(F.col("pi") * F.col("share") * F.lit(n_experts))).alias("aux_loss"))
 
 
 def load_balance_seq(routed: DataFrame, id_col: str, group_col: str, k: int = TOP_K,
                      n_experts: int = N_EXPERTS, alpha: float = AUX_ALPHA) -> DataFrame:
     """Per group ``sum_e count_e / (T k / E) * mean p_e``, averaged over groups, times alpha."""
-    mp = expert_probs(routed, id_col, [group_col]).groupBy(group_col, "expert").agg(
-        F.avg("p").alias("mp"), F.count(F.lit(1)).alias("t"))
-    cnt = assignments(routed, id_col, [group_col]).groupBy(group_col, "expert").agg(
-        F.count(F.lit(1)).alias("c"))
-    j = mp.join(cnt, [group_col, "expert"], "left").fillna(0, ["c"])
-    per_group = j.groupBy(group_col).agg(
-        F.sum(F.col("c") / (F.col("t") * F.lit(k) / F.lit(n_experts)) * F.col("mp")).alias("_seq_term"))
+    per = _per_expert(routed, n_experts, [group_col])
+    term = F.col("c") / (F.col("t") * F.lit(k) / F.lit(n_experts)) * F.col("p") / F.col("t")
+    per_group = per.groupBy(group_col).agg(F.sum(term).alias("_seq_term"))
     return per_group.agg((F.avg("_seq_term") * F.lit(alpha)).alias("aux_loss"))
 
 
@@ -90,9 +105,15 @@ def expert_offsets(routed: DataFrame, id_col: str) -> DataFrame:
                          F.sum("n_rows").over(w).cast("bigint").alias("end_offset"))
 
 
-def dispatch(assigned: DataFrame, n_experts: int = N_EXPERTS) -> DataFrame:
-    """Physical grouped dispatch: co-locate each expert's rows (one partition per expert)."""
-    return assigned.repartition(n_experts, "expert")
+def dispatch(assigned: DataFrame, id_col: str, n_experts: int = N_EXPERTS, tasks_per_expert: int = 8) -> DataFrame:
+    """Grouped dispatch: each expert's rows in ``tasks_per_expert`` partitions, none shared by two experts.
+
+    Range partitioning on ``(expert, salt)`` keeps an expert's rows adjacent, as a sort
+    by expert would, without giving a popular expert to a single task.
+    """
+    salt = F.pmod(F.xxhash64(id_col), F.lit(tasks_per_expert)).cast("int")
+    return (assigned.withColumn("_salt", salt)
+            .repartitionByRange(n_experts * tasks_per_expert, "expert", "_salt").drop("_salt"))
 
 
 def rms_normalize(vec: Column, eps: float = RMS_EPS, weight: Column | None = None):

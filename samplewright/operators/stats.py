@@ -10,13 +10,14 @@ Scale notes:
   a hot pair (say ``' ' -> 't'``) is combined before the shuffle.
 * Scoring pre-aggregates ``(doc, cur, nxt) -> n`` before touching the model,
   so each distinct pair of a document is joined once however often it occurs.
-* The model has at most ``V * V`` rows; it is broadcast only when that bound is
-  below ``BROADCAST_PAIR_LIMIT`` (the ``bytes`` tokenizer: 259**2 = 67,081 rows),
-  otherwise the join is a shuffle join (AQE splits skewed partitions).
+* The model has at most ``V * V`` rows; Spark picks the join by its measured size.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +26,6 @@ from samplewright.functions import tokens as T
 BYTES_VOCAB = 256 + T.BYTE_OFFSET        # 259 ids for the bytes tokenizer
 VOCAB_SIZE = 6400                         # vocab tokenizer default (model config)
 SMOOTHING = 1.0
-BROADCAST_PAIR_LIMIT = 2_000_000
 WORD_SPLIT = f"[{T.PY_WHITESPACE}]+"
 _OTHER_WHITESPACE = "".join(c for c in T.PY_WHITESPACE_CHARS if c != " ")
 
@@ -59,15 +59,22 @@ def build_vocab(df: DataFrame, text_col: str = "text", vocab_size: int = VOCAB_S
 
 def vocab_encode(df: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """Word -> id by a broadcast left join on the word (vocab has at most V rows); unknown -> 0.
+    """Word -> id inside each row; unknown -> 0.  Returns ``id_col, ids`` with ids in word order.
 
-    Returns ``id_col, ids`` with ids in word order.
+    The vocabulary has at most V rows by construction and travels with the task; words
+    stay in their row, so nothing is shuffled.
     """
-    w = df.select(id_col, F.posexplode(words(T.as_text(F.col(text_col)))).alias("pos", "token"))
-    joined = w.join(F.broadcast(vocab.select("token", "id")), "token", "left")
-    return joined.groupBy(id_col).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(T.PAD_ID)).alias("id")))),
-                    lambda x: x["id"]).alias("ids"))
+    known = {r["token"]: r["id"] for r in vocab.select("token", "id").collect()}
+
+    @F.arrow_udf("array<int>")
+    def ids_of(rows: pa.Array) -> pa.Array:
+        coded = rows.flatten().dictionary_encode()
+        ids = np.array([known.get(w, T.PAD_ID) for w in coded.dictionary.to_pylist()], np.int32)
+        flat = ids[coded.indices.to_numpy(zero_copy_only=False)] if len(ids) else ids
+        size = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(flat, pa.int32()))
+
+    return df.select(id_col, ids_of(words(T.as_text(F.col(text_col)))).alias("ids"))
 
 
 def supervised_pairs(pairs: DataFrame) -> DataFrame:
@@ -97,40 +104,34 @@ def fit_bigram(pairs: DataFrame | None = None, vocab_size: int = BYTES_VOCAB, al
     return model.select("cur", "nxt", "pair_count", "cur_count", prob.alias("prob"), F.log(prob).alias("logp"))
 
 
-def _maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(df) if max_rows <= BROADCAST_PAIR_LIMIT else df
-
-
 def score_counts(per: DataFrame, model: DataFrame, group_cols: list[str],
                  vocab_size: int = BYTES_VOCAB, alpha: float = SMOOTHING) -> DataFrame:
     """A8 on grouped counts ``group_cols, cur, nxt, n``: ``group_cols, n_tokens, sum_nll``.
 
     Unseen pairs get ``alpha``; unseen contexts the uniform ``1 / V``.
     """
-    pair_side = _maybe_broadcast(model.select("cur", "nxt", "pair_count"), vocab_size * vocab_size)
-    uni_side = _maybe_broadcast(model.select("cur", "cur_count").distinct(), vocab_size)
+    pair_side = model.select("cur", "nxt", "pair_count")
+    uni_side = model.select("cur", "cur_count").distinct()
     scored = per.join(pair_side, ["cur", "nxt"], "left").join(uni_side, ["cur"], "left")
     prob = (F.coalesce("pair_count", F.lit(0)) + F.lit(alpha)) / \
            (F.coalesce("cur_count", F.lit(0)) + F.lit(alpha * vocab_size))
     return scored.groupBy(*group_cols).agg(
         F.sum("n").cast("bigint").alias("n_tokens"),
-        F.sum(-F.log(prob) * F.col("n")).alias("sum_nll"))
+        F.sum(F.when(F.col("n") > 0, -F.log(prob) * F.col("n"))).alias("sum_nll"))
 
 
 def score_pairs(pairs: DataFrame, model: DataFrame, group_cols: list[str],
                 vocab_size: int = BYTES_VOCAB, alpha: float = SMOOTHING) -> DataFrame:
-    """``group_cols, n_tokens, sum_nll``; ``pairs`` must already be F4-filtered.
+    """``group_cols, n_tokens, sum_nll`` of every group of ``pairs``.
 
-    When the model's size bound ``V * V`` allows a broadcast, every position is
-    scored by a broadcast hash join (no shuffle of pairs at all) and summed per
-    group with map-side partial aggregation.  Beyond that bound the pairs are
-    first counted per ``(group, cur, nxt)``, so a hot pair is one row per group
-    before the shuffle join.
+    F4 applies inside: a pair whose target is -100 counts for nothing, and a group of
+    such pairs alone has ``n_tokens`` 0 and a NULL sum.  Pairs are counted per
+    ``(group, cur, nxt)`` first, so a hot pair is one row per group at the join.
     """
-    if vocab_size * vocab_size > BROADCAST_PAIR_LIMIT:
-        return score_counts(pair_counts(pairs, group_cols), model, group_cols, vocab_size, alpha)
-    one = pairs.select(*group_cols, "cur", "nxt", F.lit(1).cast("bigint").alias("n"))
-    return score_counts(one, model, group_cols, vocab_size, alpha)
+    labelled = F.when(F.col("nxt") != T.IGNORE_INDEX, F.col("nxt"))
+    counts = pairs.withColumn("nxt", labelled).groupBy(*group_cols, F.when(F.col("nxt").isNotNull(), F.col("cur")).alias("cur"), "nxt").agg(
+        F.count("nxt").alias("n"))
+    return score_counts(counts, model, group_cols, vocab_size, alpha)
 
 
 def masked_mean(sum_nll: Column, n_tokens: Column) -> Column:

@@ -9,6 +9,7 @@ places so that hashes are stable across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from samplewright.functions import tokens as T
 from samplewright.operators import pretrain
 from samplewright.plans import duck as D
+from samplewright.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,7 +103,7 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _duck_render(augment: dict | None = None, tail: str = "") -> str:
+def _duck_render(augment: dict | None = None, tail: str = "", source: str = "SELECT conv_id, turn, role, text AS content FROM conversations") -> str:
     """SQL that renders every conversation: columns conv_id, prompt, n_messages, ..."""
     if augment:
         flag = (f"(role0 IS DISTINCT FROM 'system' AND "
@@ -112,12 +114,12 @@ def _duck_render(augment: dict | None = None, tail: str = "") -> str:
     prompts = " ".join(f"WHEN {i} THEN {_q(p)}" for i, p in enumerate(chat.SYSTEM_PROMPTS))
     return f"""
 WITH w AS (
-  SELECT conv_id, turn, role, text AS content,
+  SELECT conv_id, turn, role, content,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos,
          lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role,
          lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role,
          first_value(role) OVER (PARTITION BY conv_id ORDER BY turn) AS role0
-  FROM conversations),
+  FROM ({source})),
 a AS (SELECT *, {flag} AS aug, {idx} AS aug_idx FROM w),
 b AS (
   SELECT conv_id, pos, role, content, aug, aug_idx, role0,
@@ -176,7 +178,7 @@ FROM f"""
 
 def _sft_query(spark, sf_dir, L, augment):
     # The turn tables number turns 0..n-1 per conversation: use the skew-safe path.
-    s = chat.sft_encode(_messages(spark, sf_dir), max_length=L, augment=augment, dense_turns=True)
+    s = chat.sft_encode(_messages(spark, sf_dir), max_length=L, augment=augment)
     return s.filter(F.col("error").isNull()).select(
         "conv_id", "n_tokens",
         chat.supervised_count(F.col("labels")).alias("n_supervised"),
@@ -189,7 +191,7 @@ def _sft_query(spark, sf_dir, L, augment):
 SELECT conv_id, prompt, n_messages, CAST(length(prompt) AS BIGINT) AS prompt_chars
 FROM ({_duck_render(None)})""")
 def q_chat_render(spark, sf_dir):
-    r = chat.render(_messages(spark, sf_dir), dense_turns=True)
+    r = chat.render(_messages(spark, sf_dir))
     return r.select("conv_id", "prompt", "n_messages", F.length("prompt").cast("bigint").alias("prompt_chars"))
 
 
@@ -198,7 +200,7 @@ SELECT conv_id, augmented, prompt_idx, first_role,
        CAST(length(prompt) AS BIGINT) AS prompt_chars
 FROM ({_duck_render(AUGMENT)})""")
 def q_system_augment(spark, sf_dir):
-    r = chat.render(_messages(spark, sf_dir), augment=AUGMENT, dense_turns=True)
+    r = chat.render(_messages(spark, sf_dir), augment=AUGMENT)
     return r.select("conv_id", "augmented", "prompt_idx", "first_role",
                     F.length("prompt").cast("bigint").alias("prompt_chars"))
 
@@ -232,7 +234,7 @@ def q_supervised_tokens(spark, sf_dir):
 SELECT conv_id, prompt, {D.csv(D.encode('prompt', T.MODEL_MAX_LENGTH))} AS prompt_ids_csv
 FROM ({_duck_render(None, chat.GENERATION_PROMPT)})""")
 def q_generation_prompt(spark, sf_dir):
-    r = chat.render(_messages(spark, sf_dir), generation_prompt=True, dense_turns=True)
+    r = chat.render(_messages(spark, sf_dir), generation_prompt=True)
     return r.select("conv_id", "prompt",
                     T.csv(T.encode(F.col("prompt"), T.MODEL_MAX_LENGTH)).alias("prompt_ids_csv"))
 
@@ -240,7 +242,7 @@ def q_generation_prompt(spark, sf_dir):
 @register("last_user_turn", f"""
 SELECT conv_id, last_query_index, n_messages FROM ({_duck_render(None)})""")
 def q_last_user_turn(spark, sf_dir):
-    return chat.render(_messages(spark, sf_dir), dense_turns=True).select("conv_id", "last_query_index", "n_messages")
+    return chat.render(_messages(spark, sf_dir)).select("conv_id", "last_query_index", "n_messages")
 
 
 # ---------------------------------------------------------------------------
@@ -313,15 +315,14 @@ SELECT epoch, rank, CAST(count(*) AS BIGINT) AS n_batches_remaining,
             - CASE WHEN epoch = 0 THEN {RESUME_SKIP} ELSE 0 END) AS BIGINT) AS n_batches_formula
 FROM b GROUP BY epoch, rank""")
 def q_resume_remaining(spark, sf_dir):
-    plan = _plan(spark, sf_dir, world_size=2)
+    # Which samples are left needs no order: every rank's batches are full but the last.
+    plan = O.batches_table(table(spark, sf_dir, "documents"), 2, O.PRETRAIN_BATCH, PLAN_EPOCHS)
     done = plan.filter((F.col("epoch") == 0) & (F.col("batch_id") < RESUME_SKIP))
     rest = O.remaining_after(plan, done)
-    per_batch = rest.groupBy("epoch", "rank", "batch_id").agg(
-        F.count(F.lit(1)).alias("c"), F.max("n_in_epoch").alias("n"))
-    return per_batch.groupBy("epoch", "rank").agg(
+    return rest.groupBy("epoch", "rank").agg(
         F.count(F.lit(1)).alias("n_batches_remaining"),
-        F.sum("c").cast("bigint").alias("n_samples_remaining"),
-        O.num_batches(F.ceil(F.max("n") / F.lit(2.0)), O.PRETRAIN_BATCH,
+        F.sum("n_samples").cast("bigint").alias("n_samples_remaining"),
+        O.num_batches(F.ceil(F.max("n_in_epoch") / F.lit(2.0)), O.PRETRAIN_BATCH,
                       F.when(F.col("epoch") == 0, F.lit(RESUME_SKIP)).otherwise(F.lit(0)))
         .alias("n_batches_formula"))
 
@@ -334,7 +335,7 @@ FROM ({_duck_plan(world_size, batch_size, epochs)}) WHERE rank = 0 GROUP BY epoc
 
 
 def _steps(spark, sf_dir, world_size=PLAN_W, batch_size=O.PRETRAIN_BATCH, epochs=PLAN_EPOCHS):
-    return O.steps_table(_plan(spark, sf_dir, world_size, batch_size, epochs))
+    return O.steps_table(table(spark, sf_dir, "documents"), world_size, batch_size, epochs)
 
 
 @register("accumulation_groups", f"""
@@ -410,7 +411,37 @@ def q_resume_rescale(spark, sf_dir):
     manifest = parts[0]
     for p in parts[1:]:
         manifest = manifest.unionByName(p)
-    return MF.resume_point(MF.latest_progress(manifest), RESUME_WORLD)
+    path = shared_path(spark, f"manifest-{uuid.uuid4().hex}")
+    manifest.write.mode("append").parquet(path)
+    return MF.resume_point(MF.latest_progress(MF.read_manifest(spark, path)), RESUME_WORLD)
+
+
+from samplewright.sources import readers as R  # noqa: E402
+
+
+@register("sample_files", f"""
+WITH p AS ({_duck_plan(2, O.PRETRAIN_BATCH, (0,))}), s AS ({ORACLE["pretrain_encode"]})
+SELECT p.rank, p.batch_id, p.pos_in_batch, p.doc_id, s.n_tokens, md5(s.input_ids_csv) AS ids_md5 FROM p JOIN s ON p.doc_id = s.doc_id""")
+def q_sample_files(spark, sf_dir):
+    """S5 + J1: the samples of an epoch written by rank in batch order, and read back."""
+    plan = _plan(spark, sf_dir, world_size=2, epochs=(0,)).select("doc_id", "rank", "batch_id", "pos_in_batch")
+    samples = pretrain.encode_pretrain(table(spark, sf_dir, "documents"), max_length=PRE_L)
+    path = shared_path(spark, f"samples-{uuid.uuid4().hex}")
+    R.write_samples(O.attach_samples(plan, samples, "doc_id"), path)
+    return spark.read.parquet(path).select(
+        "rank", "batch_id", "pos_in_batch", "doc_id",
+        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("n_tokens"),
+        F.md5(T.csv(F.col("input_ids"))).alias("ids_md5"))
+
+
+@register("text_lines", """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS sample_id, md5(text) AS text_md5 FROM documents""")
+def q_text_lines(spark, sf_dir):
+    """S1 + S4: the documents as JSON Lines in order of id, read back with their positions."""
+    path = shared_path(spark, f"lines-{uuid.uuid4().hex}")
+    docs = table(spark, sf_dir, "documents")
+    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select("text").write.json(path)
+    return R.read_text_corpus(spark, path).select(F.col("doc_id").alias("sample_id"), F.md5("text").alias("text_md5"))
 
 
 # ---------------------------------------------------------------------------
@@ -421,9 +452,26 @@ from samplewright.operators import history as H  # noqa: E402
 _DUCK_STRIP = f"'{T.STRIP_PATTERN}'"
 
 
-def _duck_live() -> str:
+# Sessions as the given table lacks them: some questions become an exit command, blank or null.
+def _eventful(df):
+    user = F.col("role") == "user"
+    return df.withColumn("text", F.when(user & (F.col("conv_id") % 5 == 0) & (F.col("turn") >= 2), F.lit(" \t/EXIT\n"))
+                         .when(user & (F.col("conv_id") % 5 == 1) & (F.col("turn") >= 2), F.lit("/exit now"))
+                         .when(user & (F.col("conv_id") % 5 == 2) & (F.col("turn") % 4 < 2), F.lit(" \u3000\n "))
+                         .when(user & (F.col("conv_id") % 5 == 3), F.lit(None).cast("string")).otherwise(F.col("text")))
+
+
+_DUCK_EVENTFUL = """
+SELECT conv_id, turn, role, CASE WHEN role = 'user' AND conv_id % 5 = 0 AND turn >= 2 THEN ' ' || chr(9) || '/EXIT' || chr(10)
+  WHEN role = 'user' AND conv_id % 5 = 1 AND turn >= 2 THEN '/exit now'
+  WHEN role = 'user' AND conv_id % 5 = 2 AND turn % 4 < 2 THEN ' ' || chr(12288) || chr(10) || ' '
+  WHEN role = 'user' AND conv_id % 5 = 3 THEN NULL ELSE text END AS text
+FROM conversations"""
+
+
+def _duck_live(source: str = "conversations") -> str:
     return f"""
-WITH s AS (SELECT conv_id AS session, turn, role, text FROM conversations WHERE role IN ('user', 'assistant')),
+WITH s AS (SELECT conv_id AS session, turn, role, text FROM {source} WHERE role IN ('user', 'assistant')),
 m AS (SELECT session, turn, role,
              CASE WHEN role = 'user' THEN regexp_replace(coalesce(text, ''), {_DUCK_STRIP}, '', 'g') ELSE text END AS content
       FROM s),
@@ -438,9 +486,27 @@ def _sessions(spark, sf_dir):
     return H.live_messages_bucketed(H.sessions_from_turns(table(spark, sf_dir, "conversations")))
 
 
-@register("session_end_filter", _duck_live())
+@register("session_end_filter", _duck_live(f"({_DUCK_EVENTFUL})"))
 def q_session_end_filter(spark, sf_dir):
-    return _sessions(spark, sf_dir).select("session", "turn", "role", "content")
+    """F2 + F3 over the sessions with derived exits, blanks and nulls."""
+    sessions = H.sessions_from_turns(_eventful(table(spark, sf_dir, "conversations")))
+    return H.live_messages_bucketed(sessions).select("session", "turn", "role", "content")
+
+
+@register("unlimited_history", f"""
+WITH k AS ({_duck_live(f"({_DUCK_EVENTFUL})")}),
+f AS (SELECT session, turn, role,
+             list('<|im_start|>' || role || chr(10) || coalesce(content, '') || '<|im_end|>' || chr(10))
+               OVER (PARTITION BY session ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS blocks
+      FROM k)
+SELECT session, turn, CAST(len(blocks) AS BIGINT) AS n_messages,
+       {_q(chat.DEFAULT_SYSTEM_BLOCK)} || array_to_string(blocks, '') || {_q(chat.GENERATION_PROMPT)} AS prompt
+FROM f WHERE role = 'user'""")
+def q_unlimited_history(spark, sf_dir):
+    """W9 with h = 0: every earlier message stays."""
+    sessions = H.sessions_from_turns(_eventful(table(spark, sf_dir, "conversations")))
+    p = H.history_prompts_joined(H.live_messages_bucketed(sessions), 0)
+    return p.select("session", "turn", "n_messages", "prompt")
 
 
 @register("chat_history_prompts", f"""
@@ -523,15 +589,35 @@ SELECT doc_id, cur, nxt FROM (
 WHERE nxt <> -100"""
 
 
+def _duck_all_pairs(L=PRE_L) -> str:
+    """Pairs of whole texts in consecutive framed windows."""
+    W = L - 2
+    return f"""
+SELECT doc_id, cur, nxt FROM (
+  SELECT doc_id, CASE WHEN (i - 1) % {W} = 0 THEN 1 ELSE ids[i - 1] END AS cur, ids[i] AS nxt
+  FROM (SELECT doc_id, ids, unnest(range(1, len(ids) + 1)) AS i FROM (SELECT doc_id, {D.encode(D.as_text('text'))} AS ids FROM documents))
+  UNION ALL
+  SELECT doc_id, CASE WHEN len(ids) = 0 THEN 1 ELSE ids[i] END AS cur, 2 AS nxt
+  FROM (SELECT doc_id, ids, unnest(list_distinct(list_concat(range({W}, len(ids) + 1, {W}), [len(ids)]))) AS i
+        FROM (SELECT doc_id, {D.encode(D.as_text('text'))} AS ids FROM documents)))
+WHERE nxt <> 0"""
+
+
 def _pairs(spark, sf_dir):
+    """Pairs of the P10 samples, which are cut; target -100 included."""
     s = pretrain.encode_pretrain(table(spark, sf_dir, "documents"), max_length=PRE_L)
-    return ST.supervised_pairs(pretrain.causal_pairs(s))
+    return pretrain.causal_pairs(s)
+
+
+def _all_pairs(spark, sf_dir):
+    """Counted pairs of whole texts."""
+    return pretrain.document_pair_counts(table(spark, sf_dir, "documents"), max_length=PRE_L)
 
 
 def _duck_model() -> str:
     V, a = ST.BYTES_VOCAB, ST.SMOOTHING
     return f"""
-WITH p AS ({_duck_pairs()}),
+WITH p AS ({_duck_all_pairs()}),
 pc AS (SELECT cur, nxt, count(*) AS pair_count FROM p GROUP BY cur, nxt),
 cc AS (SELECT cur, count(*) AS cur_count FROM p GROUP BY cur)
 SELECT pc.cur, pc.nxt, pair_count, cur_count, (pair_count + {a}) / (cur_count + {a * V}) AS prob
@@ -543,17 +629,17 @@ SELECT cur, nxt, CAST(pair_count AS BIGINT) AS pair_count, CAST(cur_count AS BIG
        round(prob, 6) AS prob, round(ln(prob), 6) AS logp
 FROM ({_duck_model()})""")
 def q_bigram_fit(spark, sf_dir):
-    m = ST.fit_bigram(_pairs(spark, sf_dir))
+    m = ST.fit_bigram(counts=_all_pairs(spark, sf_dir))
     return m.select("cur", "nxt", "pair_count", "cur_count", F.round("prob", 6).alias("prob"),
                     F.round("logp", 6).alias("logp"))
 
 
-def _duck_doc_loss() -> str:
+def _duck_doc_loss(pairs: str | None = None) -> str:
     V, a = ST.BYTES_VOCAB, ST.SMOOTHING
     return f"""
 WITH m AS ({_duck_model()}),
 u AS (SELECT DISTINCT cur, cur_count FROM m),
-p AS ({_duck_pairs()}),
+p AS ({pairs or _duck_all_pairs()}),
 g AS (SELECT doc_id, cur, nxt, count(*) AS n FROM p GROUP BY doc_id, cur, nxt),
 s AS (SELECT g.doc_id, g.n, (coalesce(m.pair_count, 0) + {a}) / (coalesce(u.cur_count, 0) + {a * V}) AS prob
       FROM g LEFT JOIN m ON g.cur = m.cur AND g.nxt = m.nxt LEFT JOIN u ON g.cur = u.cur)
@@ -561,15 +647,19 @@ SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_tokens, sum(-ln(prob) * n) AS sum_nll
 
 
 def _model(spark, sf_dir):
-    """The bigram model, persisted.  It holds at most ``V * V`` rows, and the
-    scoring join, its unigram side and the ranking tables all read it; caching
-    the small model (not the per-position pairs, which grow with the corpus)
-    keeps a fit-then-score job at two passes over the corpus."""
-    from pyspark import StorageLevel
-    return ST.fit_bigram(_pairs(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    """The bigram model, at most ``V * V`` rows, written once to the shared folder: the
+    scoring join, its unigram side and the ranking tables all read it."""
+    path = shared_path(spark, f"bigram-{uuid.uuid4().hex}")
+    ST.fit_bigram(counts=_all_pairs(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _doc_loss(spark, sf_dir):
+    return ST.score_counts(_all_pairs(spark, sf_dir), _model(spark, sf_dir), ["doc_id"])
+
+
+def _sample_loss(spark, sf_dir):
+    """Loss of the cut pretraining samples under the corpus model."""
     return ST.score_pairs(_pairs(spark, sf_dir), _model(spark, sf_dir), ["doc_id"])
 
 
@@ -594,19 +684,67 @@ def q_loss_by_quality(spark, sf_dir):
 
 
 @register("batch_loss", f"""
-WITH d AS ({_duck_doc_loss()}),
+WITH d AS ({_duck_doc_loss(_duck_pairs())}),
 b AS (SELECT doc_id, rank, batch_id FROM ({_duck_plan(1, O.PRETRAIN_BATCH, (0,))}))
 SELECT b.rank, b.batch_id, CAST(sum(d.n_tokens) AS BIGINT) AS n_tokens,
        round(sum(d.sum_nll) / sum(d.n_tokens), 6) AS loss
 FROM b JOIN d ON b.doc_id = d.doc_id GROUP BY b.rank, b.batch_id""")
 def q_batch_loss(spark, sf_dir):
     plan = _plan(spark, sf_dir, world_size=1, epochs=(0,)).select("doc_id", "rank", "batch_id")
-    d = O.attach_samples(plan, _doc_loss(spark, sf_dir), "doc_id")
+    d = O.attach_samples(plan, _sample_loss(spark, sf_dir), "doc_id")
     return d.groupBy("rank", "batch_id").agg(
         F.sum("n_tokens").cast("bigint").alias("n_tokens"),
         F.round(ST.masked_mean(F.sum("sum_nll"), F.sum("n_tokens")), 6).alias("loss"))
 
 
+SFT_EPOCHS = (0, 1)
+
+
+def _duck_sft_rows(epoch: int) -> str:
+    return f"SELECT {epoch} AS epoch, * FROM ({_duck_sft(SFT_L, {**AUGMENT, 'epoch': epoch})})"
+
+
+def _sft_rows(spark, sf_dir, epoch):
+    s = chat.sft_encode(_messages(spark, sf_dir), max_length=SFT_L, augment={**AUGMENT, "epoch": epoch})
+    return s.filter(F.col("error").isNull()).select(F.lit(epoch).alias("epoch"), "conv_id", "input_ids", "labels", "n_tokens")
+
+
+@register("sft_loss", f"""
+WITH m AS ({_duck_model()}),
+u AS (SELECT DISTINCT cur, cur_count FROM m),
+r AS (SELECT conv_id, string_split(input_ids_csv, ',')::INTEGER[] AS ids, string_split(labels_csv, ',')::INTEGER[] AS lab FROM ({_duck_sft(SFT_L, AUGMENT)})),
+p AS (SELECT conv_id, ids[i] AS cur, lab[i + 1] AS nxt FROM r, range(1, {SFT_L}) x(i) WHERE lab[i + 1] <> -100),
+g AS (SELECT conv_id, count(*) AS n, sum(-ln((coalesce(m.pair_count, 0) + {ST.SMOOTHING}) / (coalesce(u.cur_count, 0) + {ST.SMOOTHING * ST.BYTES_VOCAB}))) AS nll
+      FROM p LEFT JOIN m ON p.cur = m.cur AND p.nxt = m.nxt LEFT JOIN u ON p.cur = u.cur GROUP BY conv_id)
+SELECT r.conv_id, CAST(coalesce(g.n, 0) AS BIGINT) AS n_tokens, round(g.nll / g.n, 6) AS loss FROM r LEFT JOIN g ON r.conv_id = g.conv_id""")
+def q_sft_loss(spark, sf_dir):
+    """A1 over the assistant labels of SFT samples; NULL where a sample has none."""
+    pairs = pretrain.causal_pairs(_sft_rows(spark, sf_dir, 0), "conv_id")
+    d = ST.score_pairs(pairs, _model(spark, sf_dir), ["conv_id"])
+    return d.select("conv_id", "n_tokens", F.round(ST.masked_mean(F.col("sum_nll"), F.col("n_tokens")), 6).alias("loss"))
+
+
+@register("sft_plan", f"""
+WITH c AS (SELECT DISTINCT conv_id AS doc_id FROM conversations),
+p AS ({_duck_plan(2, O.SFT_BATCH, SFT_EPOCHS).replace("FROM documents,", "FROM c,").replace("WITH o AS", "WITH o AS", 1)}),
+s AS ({" UNION ALL ".join(_duck_sft_rows(e) for e in SFT_EPOCHS)})
+SELECT p.epoch, p.rank, p.batch_id, p.pos_in_batch, p.doc_id AS conv_id, s.n_tokens, s.n_supervised, md5(s.input_ids_csv) AS ids_md5
+FROM p LEFT JOIN s ON p.doc_id = s.conv_id AND p.epoch = s.epoch""")
+def q_sft_plan(spark, sf_dir):
+    """Two SFT epochs of batches over two ranks, joined to the samples as each epoch draws them."""
+    convs = table(spark, sf_dir, "conversations").select("conv_id").distinct()
+    order = O.epoch_order(convs, "conv_id", epochs=SFT_EPOCHS)
+    plan = O.batch(O.shard(order, F.col("n_in_epoch"), 2), O.SFT_BATCH)
+    samples = _sft_rows(spark, sf_dir, SFT_EPOCHS[0])
+    for e in SFT_EPOCHS[1:]:
+        samples = samples.unionByName(_sft_rows(spark, sf_dir, e))
+    ready = samples.select("epoch", "conv_id", "n_tokens", chat.supervised_count(F.col("labels")).alias("n_supervised"),
+                           F.md5(T.csv(F.col("input_ids"))).alias("ids_md5"))
+    # A sample that is missing shows as NULL instead of shortening the step.
+    return plan.join(ready, ["epoch", "conv_id"], "left").select(
+        "epoch", "rank", "batch_id", "pos_in_batch", "conv_id", "n_tokens", "n_supervised", "ids_md5")
+
+
 # ---------------------------------------------------------------------------
 # Step 7: routing statistics on embeddings, candidate ranking, batch replies
 # ---------------------------------------------------------------------------
@@ -614,8 +752,9 @@ from samplewright.operators import ranking as RK  # noqa: E402
 from samplewright.operators import routing as RT  # noqa: E402
 
 _DUCK_PROBS = f"""
-s AS (SELECT vec_id, label, CAST(unnest(embedding[1:{RT.N_EXPERTS}]) AS DOUBLE) AS x,
-             generate_subscripts(embedding[1:{RT.N_EXPERTS}], 1) - 1 AS expert FROM embeddings),
+v AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS c, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings),
+s AS (SELECT vec_id, label, e AS expert, sum(c * (((i * 7 + e * 13) % 11) - 5) / 20.0) AS x
+      FROM v, range(0, {RT.N_EXPERTS}) r(e) GROUP BY vec_id, label, e),
 m AS (SELECT *, exp(x - max(x) OVER (PARTITION BY vec_id)) AS e FROM s),
 p AS (SELECT vec_id, label, expert, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM m),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, expert ASC) AS rk FROM p),
@@ -623,7 +762,8 @@ t AS (SELECT *, p / (sum(p) OVER (PARTITION BY vec_id) + {RT.NORM_EPS}) AS weigh
 
 
 def _routed(spark, sf_dir):
-    return RT.route(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", keep=["label"])
+    scored = RT.gate_scores(table(spark, sf_dir, "embeddings"), "embedding", RT.example_gate(64))
+    return RT.route(scored, "vec_id", "scores", keep=["label"])
 
 
 @register("topk_route", f"""
@@ -686,7 +826,9 @@ mm AS ({_duck_model()}),
 ctx AS (SELECT DISTINCT cur, cur_count FROM mm),
 g AS (SELECT cur, cur_count, CAST(unnest(range(0, {V})) AS INTEGER) AS nxt FROM ctx),
 d AS (SELECT g.cur, g.nxt, ln((coalesce(mm.pair_count, 0) + {a}) / (g.cur_count + {a * V})) AS logit
-      FROM g LEFT JOIN mm ON g.cur = mm.cur AND g.nxt = mm.nxt)"""
+      FROM g LEFT JOIN mm ON g.cur = mm.cur AND g.nxt = mm.nxt),
+dd AS (SELECT cur, nxt, logit FROM d UNION ALL
+       SELECT c.i, n.i, -ln({V}) FROM range(0, {V}) c(i), range(0, {V}) n(i) WHERE c.i NOT IN (SELECT cur FROM ctx))"""
 
 
 def _duck_nucleus(keys: str, src: str, score: str) -> str:
@@ -710,7 +852,7 @@ WITH m AS ({_duck_model()}),
 r AS (SELECT *, row_number() OVER (PARTITION BY cur ORDER BY pair_count DESC, nxt ASC) AS rn FROM m)
 SELECT cur, nxt, round(prob, 6) AS prob FROM r WHERE rn = 1""")
 def q_greedy_next(spark, sf_dir):
-    g = RK.greedy_next(ST.fit_bigram(_pairs(spark, sf_dir)))
+    g = RK.greedy_next(ST.fit_bigram(counts=_all_pairs(spark, sf_dir)))
     return g.select("cur", "nxt", F.round("prob", 6).alias("prob"))
 
 
@@ -738,7 +880,7 @@ pc AS (SELECT hp.session, hp.turn, d.nxt,
               CASE WHEN list_contains(hp.prompt_ids, d.nxt)
                    THEN (CASE WHEN d.logit > 0 THEN d.logit / {RK.REPETITION_PENALTY} ELSE d.logit * {RK.REPETITION_PENALTY} END)
                    ELSE d.logit END AS score
-       FROM hp JOIN d ON d.cur = hp.prompt_ids[-1])"""
+       FROM hp JOIN dd d ON d.cur = hp.prompt_ids[-1])"""
 
 
 def _penalized(spark, sf_dir):
@@ -747,16 +889,13 @@ def _penalized(spark, sf_dir):
     return RK.penalized_scores(p, RK.context_rows(_dense(spark, sf_dir)), ["session", "turn"])
 
 
-REPORT_TOP = 5
-
-
 @register("repetition_penalty", f"""
 WITH {_duck_dense()}, {_duck_prompt_ids()},
 r AS (SELECT *, row_number() OVER (PARTITION BY session, turn ORDER BY score DESC, nxt ASC) AS rank FROM pc)
-SELECT session, turn, CAST(rank AS INTEGER) AS rank, nxt, round(score, 6) AS score FROM r WHERE rank <= {REPORT_TOP}""")
+SELECT session, turn, CAST(rank AS INTEGER) AS rank, nxt, round(score, 6) AS score FROM r""")
 def q_repetition_penalty(spark, sf_dir):
-    top = RK.top_candidates(_penalized(spark, sf_dir), ["session", "turn"], "scores", REPORT_TOP)
-    return top.select("session", "turn", "rank", "nxt", F.round("score", 6).alias("score"))
+    every = RK.all_candidates(_penalized(spark, sf_dir), ["session", "turn"], "scores")
+    return every.select("session", "turn", "rank", "nxt", F.round("score", 6).alias("score"))
 
 
 @register("sample_next", f"""
@@ -766,17 +905,73 @@ c AS (SELECT *, sum(prob) OVER (PARTITION BY session, turn ORDER BY rank ROWS BE
 SELECT session, turn, CAST(coalesce(min(CASE WHEN cum > u THEN rank * 100000 + nxt END) % 100000, arg_max(nxt, rank)) AS INTEGER) AS nxt
 FROM c GROUP BY session, turn""")
 def q_sample_next(spark, sf_dir):
-    dist = RK.nucleus_arrays(_penalized(spark, sf_dir), ["session", "turn"], "scores")
+    kept = _penalized(spark, sf_dir).select("session", "turn", RK.nucleus_array(F.col("scores")).alias("kept"))
     u = T.hash_unit(42, 0, F.concat_ws(":", F.col("session").cast("string"), F.col("turn").cast("string")))
-    return RK.draw(dist, ["session", "turn"], u).select("session", "turn", "nxt")
+    return kept.select("session", "turn", RK.draw_array(F.col("kept"), u).alias("nxt"))
+
+
+_DUCK_STEP = f"""
+SELECT g.session, g.turn, g.step, g.seen, g.out, m.nxt,
+       CASE WHEN list_contains(g.seen, m.nxt) THEN (CASE WHEN m.logit > 0 THEN m.logit / {RK.REPETITION_PENALTY} ELSE m.logit * {RK.REPETITION_PENALTY} END)
+            ELSE m.logit END AS score
+FROM gen g JOIN dd m ON m.cur = g.last WHERE g.step < {RK.MAX_NEW_TOKENS} AND NOT g.done"""
 
+_DUCK_REPLY_START = """
+SELECT session, turn, 0 AS step, CAST(list_distinct(prompt_ids) AS INTEGER[]) AS seen, CAST([] AS INTEGER[]) AS out,
+       CAST(prompt_ids[-1] AS INTEGER) AS last, false AS done FROM hp"""
+
+
+def _duck_replies(pick: str) -> str:
+    """Recursive generation; ``pick`` gives session, turn, step, seen, out and the chosen token b."""
+    return f"""
+WITH RECURSIVE {_duck_dense().replace("dd AS (", "dd AS MATERIALIZED (")}, {_duck_prompt_ids()},
+gen AS ({_DUCK_REPLY_START} UNION ALL
+  SELECT session, turn, step + 1, list_append(seen, b), CASE WHEN b = 2 THEN out ELSE list_append(out, b) END, b, b = 2 FROM ({pick}))
+SELECT session, turn, CAST(len(out) AS BIGINT) AS n_new, {D.csv('out')} AS new_ids_csv
+FROM (SELECT *, row_number() OVER (PARTITION BY session, turn ORDER BY step DESC) AS rn FROM gen) WHERE rn = 1"""
 
-@register("batch_reply")
+
+def _replies(spark, sf_dir, temperature):
+    p = H.history_prompts_joined(_sessions(spark, sf_dir), H.HISTORY_TURNS).select("session", "turn", "prompt_ids")
+    g = RK.generate(p, _model(spark, sf_dir), ["session", "turn"], temperature=temperature)
+    return g.select("session", "turn", F.size("new_ids").cast("bigint").alias("n_new"), T.csv(F.col("new_ids")).alias("new_ids_csv"))
+
+
+@register("batch_reply", _duck_replies(f"""
+SELECT session, turn, step, seen, out, CAST(arg_max(nxt, {{'s': score, 'n': -nxt}}) AS INTEGER) AS b
+FROM ({_DUCK_STEP}) GROUP BY session, turn, step, seen, out"""))
 def q_batch_reply(spark, sf_dir):
+    """Greedy replies: temperature 0."""
+    return _replies(spark, sf_dir, 0.0)
+
+
+_DUCK_DRAWN = f"""
+SELECT session, turn, step, seen, out,
+       CAST(coalesce(min(CASE WHEN cum > {D.hash_unit(42, 'step', "concat_ws(':', CAST(session AS VARCHAR), CAST(turn AS VARCHAR))")} THEN rank * 100000 + nxt END) % 100000,
+                     arg_max(nxt, rank)) AS INTEGER) AS b
+FROM (SELECT *, sum(prob) OVER (PARTITION BY session, turn ORDER BY rank) AS cum
+      FROM (SELECT *, q / sum(q) OVER (PARTITION BY session, turn) AS prob
+            FROM (SELECT *, coalesce(sum(q) OVER (PARTITION BY session, turn ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS better
+                  FROM (SELECT *, e / sum(e) OVER (PARTITION BY session, turn) AS q
+                        FROM (SELECT *, exp(sc - max(sc) OVER (PARTITION BY session, turn)) AS e
+                              FROM (SELECT *, score / {RK.TEMPERATURE} AS sc, row_number() OVER (PARTITION BY session, turn ORDER BY score DESC, nxt) AS rank
+                                    FROM ({_DUCK_STEP})) WHERE rank <= {RK.TOP_K})))
+            WHERE better < {RK.TOP_P}))
+GROUP BY session, turn, step, seen, out"""
+
+
+@register("batch_reply_sampled", _duck_replies(_DUCK_DRAWN))
+def q_batch_reply_sampled(spark, sf_dir):
+    """Sampled replies at the default temperature, top-k and top-p."""
+    return _replies(spark, sf_dir, RK.TEMPERATURE)
+
+
+@register("batch_reply_text")
+def q_batch_reply_text(spark, sf_dir):
+    """Greedy replies as text."""
     p = H.history_prompts_joined(_sessions(spark, sf_dir), H.HISTORY_TURNS).select("session", "turn", "prompt_ids")
-    g = RK.greedy_generate(p, RK.ranked_model_row(_dense(spark, sf_dir)))
-    return g.select("session", "turn", F.size("new_ids").cast("bigint").alias("n_new"),
-                    H.reply_text(F.col("new_ids")).alias("reply"))
+    g = RK.generate(p, _model(spark, sf_dir), ["session", "turn"], temperature=0.0)
+    return g.select("session", "turn", H.reply_text(F.col("new_ids")).alias("reply"))
 
 
 # ---------------------------------------------------------------------------
@@ -810,19 +1005,92 @@ def q_stream_history(spark, sf_dir):
                       T.csv(T.encode(F.col("prompt"), T.MODEL_MAX_LENGTH)).alias("prompt_ids_csv"))
 
 
-@register("quarantine_reasons", """
-WITH f AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations)
-SELECT conv_id, 'null_system_content' AS reason FROM f WHERE rn = 1 AND role = 'system' AND text IS NULL""")
+# Conversations with tools, derived from the given rows: the first message of some becomes a system
+# message with tools or functions, replies get calls, later questions become tool results.
+def _tool_turns(df):
+    c, t, role = F.col("conv_id"), F.col("turn"), F.col("role")
+    named = F.format_string('[{"type":"function","function":{"name":"f%d","tags":["a",%d]}}]', c, t)
+    calls = F.format_string('[{"function":{"name":"look","arguments":{"x":%d,"y":[1,2.5]}}},{"name":"raw","arguments":"as is"}]', t)
+    first = t == 0
+    tooled = c % 4 < 2
+    return df.select(
+        "conv_id", "turn",
+        F.when(first & tooled, "system").when(tooled & (role == "user") & (t % 3 > 0), "tool").otherwise(role).alias("role"),
+        F.when(first & (c % 24 == 1), F.lit(None).cast("string")).when((role == "assistant") & (c % 3 == 0), F.lit(""))
+        .when((role == "user") & (t == 3), F.lit("<tool_response>x</tool_response>")).otherwise(F.col("text")).alias("text"),
+        F.when(first & (c % 8 == 0), named).when(first & (c % 8 == 4), F.lit("null")).when(first & (c % 16 == 1), F.lit("{bad")).alias("tools"),
+        F.when(first & (c % 8 == 4), named).when(first & (c % 8 == 5), F.lit("")).alias("functions"),
+        F.when((role == "assistant") & (c % 4 == 0), calls).when((role == "assistant") & (c % 20 == 5), F.lit('{"x":1')).alias("tool_calls"))
+
+
+_DUCK_TOOLS = """
+SELECT conv_id, turn, CASE WHEN turn = 0 AND conv_id % 4 < 2 THEN 'system' WHEN conv_id % 4 < 2 AND role = 'user' AND turn % 3 > 0 THEN 'tool' ELSE role END AS role,
+  CASE WHEN turn = 0 AND conv_id % 24 = 1 THEN NULL WHEN role = 'assistant' AND conv_id % 3 = 0 THEN ''
+       WHEN role = 'user' AND turn = 3 THEN '<tool_response>x</tool_response>' ELSE text END AS content,
+  CASE WHEN turn = 0 AND conv_id % 4 = 0
+       THEN chr(10) || '{"type": "function", "function": {"name": "f' || conv_id || '", "tags": ["a", ' || turn || ']}}' END AS tools_text,
+  CASE WHEN role = 'assistant' AND conv_id % 4 = 0
+       THEN '<tool_call>' || chr(10) || '{"name": "look", "arguments": {"x": ' || turn || ', "y": [1, 2.5]}}' || chr(10) || '</tool_call>' || chr(10)
+            || '<tool_call>' || chr(10) || '{"name": "raw", "arguments": as is}' || chr(10) || '</tool_call>' END AS calls_text,
+  turn = 0 AND conv_id % 16 = 1 AS bad_tools, role = 'assistant' AND conv_id % 20 = 5 AS bad_calls
+FROM conversations"""
+
+_DUCK_TOOL_BLOCKS = f"""
+WITH s AS ({_DUCK_TOOLS}),
+w AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_role,
+             lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role FROM s)
+SELECT conv_id, pos, role, content,
+  CASE WHEN pos = 0 AND role = 'system' AND content IS NULL THEN 'null_system_content'
+       WHEN pos = 0 AND role = 'system' AND bad_tools THEN 'bad_tools' WHEN role = 'assistant' AND bad_calls THEN 'bad_tool_calls' END AS error,
+  coalesce((CASE WHEN pos > 0 THEN '' WHEN role = 'system' AND tools_text IS NOT NULL
+          THEN {_q('<|im_start|>system' + chr(10))} || content || {_q(chr(10) * 2 + chat.TOOLS_PREAMBLE)} || tools_text || {_q(chat.TOOLS_POSTAMBLE)}
+        WHEN role = 'system' THEN {_q('<|im_start|>system' + chr(10))} || content || {_q('<|im_end|>' + chr(10))} ELSE {_q(chat.DEFAULT_SYSTEM_BLOCK)} END) ||
+  (CASE WHEN role = 'user' OR (role = 'system' AND pos > 0) THEN '<|im_start|>' || role || chr(10) || coalesce(content, '') || {_q('<|im_end|>' + chr(10))}
+        WHEN role = 'assistant' THEN {_q(chat.ASSISTANT_HEADER)} || coalesce(content, '')
+          || (CASE WHEN calls_text IS NULL THEN '' WHEN coalesce(content, '') <> '' THEN chr(10) || calls_text ELSE calls_text END) || {_q('<|im_end|>' + chr(10))}
+        WHEN role = 'tool' THEN (CASE WHEN pos = 0 OR prev_role IS DISTINCT FROM 'tool' THEN '<|im_start|>user' ELSE '' END)
+          || {_q(chr(10) + '<tool_response>' + chr(10))} || coalesce(content, '') || {_q(chr(10) + '</tool_response>')}
+          || (CASE WHEN next_role IS DISTINCT FROM 'tool' THEN {_q('<|im_end|>' + chr(10))} ELSE '' END)
+        ELSE '' END), '') AS block
+FROM w"""
+
+
+def _tool_messages(spark, sf_dir):
+    return chat.messages_from_turns(_tool_turns(table(spark, sf_dir, "conversations")))
+
+
+@register("tool_render", f"""
+SELECT conv_id, string_agg(block, '' ORDER BY pos) AS prompt, CAST(max(pos) + 1 AS BIGINT) AS n_messages,
+       CAST(coalesce(max(CASE WHEN role = 'user' AND content IS NOT NULL
+              AND NOT (starts_with(content, '<tool_response>') AND ends_with(content, '</tool_response>')) THEN pos END), max(pos)) AS BIGINT) AS last_query_index
+FROM ({_DUCK_TOOL_BLOCKS}) GROUP BY conv_id HAVING min(error) IS NULL""")
+def q_tool_render(spark, sf_dir):
+    """P14-P16 with tools, functions, calls, tool results and wrapped questions."""
+    r = chat.render(_tool_messages(spark, sf_dir)).filter(F.col("error").isNull())
+    return r.select("conv_id", "prompt", "n_messages", "last_query_index")
+
+
+@register("tool_group", """
+SELECT conv_id, turn,
+  CASE WHEN turn = 0 AND conv_id % 8 IN (0, 4) THEN 'ok' WHEN turn = 0 AND conv_id % 16 = 1 THEN 'malformed' ELSE 'absent' END AS tools_status,
+  CASE WHEN role = 'assistant' AND conv_id % 4 = 0 THEN 'ok' WHEN role = 'assistant' AND conv_id % 20 = 5 THEN 'malformed' ELSE 'absent' END AS calls_status
+FROM conversations""")
+def q_tool_group(spark, sf_dir):
+    """P14's status of the tool fields of every message: ok, malformed or absent."""
+    return chat.tool_status(_tool_messages(spark, sf_dir)).select("conv_id", "turn", "tools_status", "calls_status")
+
+
+@register("quarantine_reasons", f"""
+SELECT conv_id, min(error) AS reason FROM ({_DUCK_TOOL_BLOCKS}) GROUP BY conv_id HAVING min(error) IS NOT NULL""")
 def q_quarantine_reasons(spark, sf_dir):
-    """Conversations the template cannot render, with the reason (plain turn tables
-    can only produce a missing first system text; tool errors need tool columns)."""
-    r = chat.render(_messages(spark, sf_dir), dense_turns=True)
+    """Conversations the template cannot render, with the reason; also from messages beyond the SFT cut."""
+    r = chat.sft_encode(_tool_messages(spark, sf_dir))
     return r.filter(F.col("error").isNotNull()).select("conv_id", F.col("error").alias("reason"))
 
 
 @register("step_log", f"""
 WITH s AS ({_duck_steps(1, O.PRETRAIN_BATCH, (0,))}),
-d AS ({_duck_doc_loss()}),
+d AS ({_duck_doc_loss(_duck_pairs())}),
 b AS (SELECT epoch, batch_id, doc_id FROM ({_duck_plan(1, O.PRETRAIN_BATCH, (0,))})),
 l AS (SELECT b.epoch, b.batch_id + 1 AS step, sum(d.sum_nll) / sum(d.n_tokens) AS loss
       FROM b JOIN d ON b.doc_id = d.doc_id GROUP BY b.epoch, b.batch_id)
@@ -838,8 +1106,8 @@ FROM s JOIN l ON s.epoch = l.epoch AND s.step = l.step""")
 def q_step_log(spark, sf_dir):
     """The per-step table of a pretraining run: W7, A3, A1/A5, W8, F5, A4 on one row."""
     plan = _plan(spark, sf_dir, world_size=1, epochs=(0,))
-    steps = O.steps_table(plan)
-    per_batch = O.attach_samples(plan.select("doc_id", "epoch", "batch_id"), _doc_loss(spark, sf_dir), "doc_id") \
+    steps = _steps(spark, sf_dir, 1, O.PRETRAIN_BATCH, (0,))
+    per_batch = O.attach_samples(plan.select("doc_id", "epoch", "batch_id"), _sample_loss(spark, sf_dir), "doc_id") \
         .groupBy("epoch", "batch_id").agg(ST.masked_mean(F.sum("sum_nll"), F.sum("n_tokens")).alias("batch_loss"))
     j = steps.join(per_batch.select("epoch", (F.col("batch_id") + 1).alias("step"), "batch_loss"), ["epoch", "step"])
     g = O.global_step(F.col("epoch"), F.col("step"), F.col("iters"))

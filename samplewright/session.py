@@ -49,13 +49,16 @@ def get_session(master: str | None = None, app: str = "samplewright",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return ``spark.checkpoint.dir``; set a scratch one only when unset.
 
-    On a cluster this setting names a shared folder and is respected as is.
-    Only local runs (tests, benchmarks) get a fresh scratch directory.
+    On a cluster this setting names a shared folder and is respected as is; without
+    it a cluster run fails here.  Only a local master (tests, benchmarks) gets a fresh
+    scratch directory.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir() if hasattr(
             spark.sparkContext, "getCheckpointDir") else None
+    if not current and not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="sw-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)

@@ -10,6 +10,7 @@ tensors are not part of this library.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +31,6 @@ def save_progress(spark: SparkSession, path: str, run_id: str, epoch: int, step:
     row.coalesce(1).write.mode("append").parquet(path)
 
 
-def save_progress_rows(rows: DataFrame, path: str) -> None:
-    """S6 for many runs at once: ``rows`` must have the manifest columns."""
-    rows.select("run_id", F.col("epoch").cast("int"), F.col("step").cast("bigint"),
-                F.col("world_size").cast("int")).write.mode("append").parquet(path)
-
-
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
@@ -59,7 +54,9 @@ def start_for(spark: SparkSession, path: str, run_id: str, current_world_size: i
     """Start ``(epoch, step)`` for one run; ``(0, 0)`` when nothing was saved."""
     try:
         m = read_manifest(spark, path).filter(F.col("run_id") == run_id)
-    except Exception:  # noqa: BLE001 - no manifest yet
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise  # an outage or a damaged manifest must not restart a run from zero
         return 0, 0
     rows = resume_point(latest_progress(m), current_world_size).select("epoch", "start_step").take(1)
     return (int(rows[0][0]), int(rows[0][1])) if rows else (0, 0)

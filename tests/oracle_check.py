@@ -55,7 +55,7 @@ def run(sf_dir, names=None, spark=None):
     import __spark_entry__ as E
     from samplewright.session import get_session
 
-    spark = spark or get_session("local[8]", shuffle_partitions=8)
+    spark = spark or get_session("local[3]", shuffle_partitions=6)
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck_connect(sf_dir)
     report = {}

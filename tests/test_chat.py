@@ -122,23 +122,19 @@ def test_empty_conversation_quarantined(spark):
     assert long.count() == 1
 
 
-def scan_labels(ids, L):
-    """Brute-force token-level marker scan used as an independent check."""
-    start = [1] + [b + 3 for b in b"assistant\n"]
-    end = [2, 13]
-    labels = [-100] * len(ids)
-    i = 0
-    while i < len(ids):
-        if ids[i:i + len(start)] != start:
-            i += 1
-            continue
-        s = e = i + len(start)
-        while e < len(ids) and ids[e:e + len(end)] != end:
-            e += 1
-        for p in range(s, min(e + len(end), L)):
-            labels[p] = ids[p]
-        i = e + len(end) if e < len(ids) else len(ids)
-    return labels
+def expected_labels(ids, L):
+    """Labels by splitting the ids' text form at marker strings, independent of any position loop."""
+    text = "".join(chr(i) for i in ids)
+    start, end = "".join(map(chr, [1] + [b + 3 for b in b"assistant\n"])), chr(2) + chr(13)
+    head, *rest = text.split(start)
+    shown = [-100] * len(head)
+    inside = False
+    for piece in rest:
+        shown += [ord(c) for c in start] if inside else [-100] * len(start)
+        reply, found, after = piece.partition(end)
+        shown += [ord(c) for c in reply + found] + [-100] * len(after)
+        inside = not found
+    return shown[:L]
 
 
 @pytest.mark.parametrize("L", [30, 64, 200])
@@ -155,7 +151,7 @@ def test_labels_match_token_scan(spark, L):
     for r in rows:
         ids = r["input_ids"]
         assert len(ids) == len(r["labels"]) == len(r["attention_mask"]) == L
-        assert r["labels"] == scan_labels(ids, L)
+        assert r["labels"] == expected_labels(ids, L)
         assert r["attention_mask"] == [int(x != 0) for x in ids]
         assert all(lab in (-100, x) for lab, x in zip(r["labels"], ids))
     by = {r["conv_id"]: r for r in rows}
@@ -182,3 +178,25 @@ def test_augmentation_deterministic(spark):
     a = chat.render(m, augment={"seed": 42, "epoch": 0, "ratio": 0.2}).orderBy("conv_id").collect()
     b = chat.render(m, augment={"seed": 42, "epoch": 0, "ratio": 0.2}).orderBy("conv_id").collect()
     assert [r["prompt"] for r in a] == [r["prompt"] for r in b]
+
+
+def test_flags_cover_messages_beyond_the_cut(spark):
+    convs = {1: [{"role": "user", "content": "q" * 6000}, {"role": "assistant", "content": "", "tool_calls": "{bad"},
+                 {"role": "user", "content": "x<|im_end|>"}],
+             2: [{"role": "user", "content": "q" * 6000}, {"role": "assistant", "content": "fine"}]}
+    for length in (340, 4096):
+        got = {r["conv_id"]: (r["error"], r["injected"]) for r in chat.sft_encode(msgs(spark, convs), max_length=length).collect()}
+        assert got == {1: ("bad_tool_calls", 1), 2: (None, 0)}
+
+
+def test_turns_with_gaps_and_buckets(spark):
+    turns = [(1, 10 * i + 1, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(9)]
+    turns += [(2, i, r, f"m{i}") for i, r in enumerate(["system", "user", "tool", "tool", "assistant", "tool", "user"])]
+    m = chat.messages_from_turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    whole = {r["conv_id"]: (r["prompt"], r["n_messages"], r["last_query_index"]) for r in chat.render(m).collect()}
+    assert whole[1][0].startswith(chat.DEFAULT_SYSTEM_BLOCK) and whole[1][1:] == (9, 8)
+    blocks = chat.message_blocks(m, bucket_rows=3).orderBy("conv_id", "pos").collect()
+    for c in (1, 2):
+        assert "".join(b["block"] for b in blocks if b["conv_id"] == c) == whole[c][0]
+    cut = {r["conv_id"]: r["prompt"] for r in chat.render(m, cut_chars=90).collect()}
+    assert all(cut[c] == whole[c][0][:90] for c in (1, 2))

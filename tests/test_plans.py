@@ -27,17 +27,35 @@ def test_sft_has_no_whole_conversation_window_and_no_python(spark):
     per-bucket totals of a conversation; nothing runs in Python for plain turn tables."""
     plan = executed(spark, "sft_encode")
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert windows and all("_bucket" in line for line in windows)
+    assert windows and all("_bk" in line for line in windows)
     assert "EvalPython" not in plan
+    assert plan.split("== Initial Plan ==")[0].count("Scan parquet") <= 2
 
 
 def test_epoch_order_has_no_single_partition_exchange(spark):
     plan = executed(spark, "epoch_order")
     assert "SinglePartition" not in plan
-    assert "BroadcastHashJoin" in plan
 
 
 def test_corpus_loss_broadcasts_the_bounded_model(spark):
     plan = executed(spark, "corpus_loss")
     assert "SortMergeJoin" not in plan
     assert "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("name", ["accumulation_groups", "lr_schedule", "log_steps"])
+def test_step_tables_need_one_count(spark, name):
+    plan = executed(spark, name).split("== Initial Plan ==")[0]
+    assert "Window" not in plan and plan.count("Scan parquet") == 1 and "md5" not in plan
+
+
+def test_vocab_encode_shuffles_no_words(spark):
+    from samplewright.operators import stats as ST
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    df = ST.vocab_encode(docs, ST.build_vocab(docs))
+    df.write.format("noop").mode("overwrite").save()
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_replies_join_nothing(spark):
+    assert "NestedLoop" not in executed(spark, "batch_reply")

@@ -10,7 +10,7 @@ from samplewright.functions import plugin as PL
 from samplewright.functions import tokens as T
 from samplewright.operators import chat
 from samplewright.operators import order as O
-from test_chat import SCHEMA, scan_labels
+from test_chat import SCHEMA, expected_labels
 
 ALPHABET = ["a", "b", " ", "\n", "é", "日", "😀", "<", "|", ">", "　", "<|im_start|>", "<|im_end|>",
             "<|endoftext|>", "assistant", "<|im_start|>assistant\n", "<|im_end|>\n"]
@@ -48,7 +48,7 @@ def test_sft_labels_match_token_scan(spark):
     msgs = spark.createDataFrame(rows, SCHEMA)
     for L in (24, 96):
         for r in chat.sft_encode(msgs, max_length=L).collect():
-            assert r["labels"] == scan_labels(r["input_ids"], L)
+            assert r["labels"] == expected_labels(r["input_ids"], L)
             assert r["attention_mask"] == [int(x != 0) for x in r["input_ids"]]
 
 
@@ -124,9 +124,9 @@ def test_accumulation_matches_loop_simulation(spark):
             assert got[(iters, a, epochs, e, s)] == u, (iters, a, epochs, e, s)
 
 
-def test_dense_turn_path_equals_window_path(spark):
-    """The skew-safe SFT path (joins + two-level prefix sums) equals the window path,
-    including tool groups, unknown roles and a conversation spanning many buckets."""
+def test_buckets_equal_one_window(spark):
+    """Two-level neighbours and bounds equal those of one window per conversation,
+    including tool groups, unknown roles, gaps and a conversation spanning many buckets."""
     rng = random.Random(23)
     roles = ["user", "assistant", "tool", "tool", "system", "wizard", "user", "assistant"]
     rows = []
@@ -136,9 +136,12 @@ def test_dense_turn_path_equals_window_path(spark):
     for turn in range(3000):  # one long conversation: crosses several 1024-row buckets
         rows.append((999, turn, rng.choice(roles), rand_text(rng, 3), None, None, None))
     msgs = spark.createDataFrame(rows, SCHEMA)
-    for L in (40, 3000):
-        a = chat.sft_encode(msgs, max_length=L, augment={"seed": 1, "epoch": 0, "ratio": 0.5})
-        b = chat.sft_encode(msgs, max_length=L, augment={"seed": 1, "epoch": 0, "ratio": 0.5}, dense_turns=True)
-        cols = ["conv_id", "input_ids", "labels", "attention_mask", "n_tokens", "error"]
-        assert a.select(cols).exceptAll(b.select(cols)).count() == 0
-        assert b.select(cols).exceptAll(a.select(cols)).count() == 0
+    cols = ["conv_id", "pos", "role0", "prev_role", "next_role", "bound"]
+    gapped = msgs.withColumn("turn", F.col("turn") * 3 + 7)
+    one = chat.located(msgs, bucket_rows=10**9).select(cols)
+    for other in (chat.located(msgs, bucket_rows=64), chat.located(gapped, bucket_rows=100)):
+        assert one.exceptAll(other.select(cols)).count() == 0 and one.count() == msgs.count()
+    whole = {r["conv_id"]: r["prompt"] for r in chat.render(msgs).collect()}
+    for cut in (400, 3000):
+        got = {r["conv_id"]: r["prompt"] for r in chat.render(msgs, cut_chars=cut).collect()}
+        assert got == {c: p[:cut] for c, p in whole.items()}

@@ -59,6 +59,33 @@ def test_write_samples(spark, tmp_path):
     assert back.count() == 12 and back.filter("rank = 1").count() == 6
 
 
+def test_write_samples_splits_ranks(spark, tmp_path):
+    df = spark.range(4000).selectExpr("cast(id % 2 as int) rank", "id div 20 batch_id", "cast(id % 20 as int) pos_in_batch").repartition(4)
+    out = str(tmp_path / "samples")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as large data would have it
+    try:
+        R.write_samples(df, out, batches_per_file=10)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [f for f in os.listdir(f"{out}/rank=0") if f.endswith(".parquet")]
+    assert len(files) > 1  # a rank is written by several tasks
+    for f in files:
+        batches = [(r.batch_id, r.pos_in_batch) for r in spark.read.parquet(f"{out}/rank=0/{f}").collect()]
+        by_range = {}
+        for b in batches:
+            by_range.setdefault(b[0] // 10, []).append(b)
+        assert batches == sorted(batches) and all(len(v) == 100 for v in by_range.values())
+
+
+def test_marker_labels_pairs_and_cuts():
+    import numpy as np
+    start, end = [1, 9], [2, 13]
+    ids = np.array([1, 9, 5, 1, 9, 6, 2, 13, 7, 1, 9, 8, 8])
+    assert PL.marker_labels(ids, start, end, 100).tolist() == [-100, -100, 5, 1, 9, 6, 2, 13, -100, -100, -100, 8, 8]
+    assert PL.marker_labels(ids, start, end, 7).tolist() == [-100, -100, 5, 1, 9, 6, 2] + [-100] * 6
+    assert PL.marker_labels(ids[:1], start, end, 7).tolist() == [-100]
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data missing")
 def test_plugin_encoder_equals_builtin(spark):
     enc = PL.plugin_encoder(PL.python_bytes_encoder)

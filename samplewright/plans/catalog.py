@@ -177,9 +177,11 @@ FROM f"""
 
 
 def _sft_query(spark, sf_dir, L, augment):
-    # The turn tables number turns 0..n-1 per conversation: use the skew-safe path.
-    s = chat.sft_encode(_messages(spark, sf_dir), max_length=L, augment=augment)
-    return s.filter(F.col("error").isNull()).select(
+    return _sft_shown(chat.sft_encode(_messages(spark, sf_dir), max_length=L, augment=augment))
+
+
+def _sft_shown(samples):
+    return samples.filter(F.col("error").isNull()).select(
         "conv_id", "n_tokens",
         chat.supervised_count(F.col("labels")).alias("n_supervised"),
         T.csv(F.col("input_ids")).alias("input_ids_csv"),
@@ -996,6 +998,22 @@ def q_stream_encode(spark, sf_dir):
         T.csv(F.col("attention_mask")).alias("mask_csv"))
 
 
+NESTED_SCHEMA = "conv_id long, conversations array<struct<role: string, content: string>>"
+
+
+@register("stream_sft", ORACLE["sft_encode"])
+def q_stream_sft(spark, sf_dir):
+    """T1 for conversations: written as nested rows, streamed, encoded per micro-batch."""
+    base = shared_path(spark, f"stream-sft-{uuid.uuid4().hex}")
+    turns = table(spark, sf_dir, "conversations")
+    nested = turns.groupBy("conv_id").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))),
+        lambda m: m.dropFields("turn")).alias("conversations"))
+    nested.write.parquet(f"{base}/in")
+    path = SS.stream_sft(spark, f"{base}/in", NESTED_SCHEMA, f"{base}/out", f"{base}/ckpt", max_length=SFT_L, augment=AUGMENT)
+    return _sft_shown(spark.read.parquet(path))
+
+
 @register("stream_history", ORACLE["chat_history_prompts"])
 def q_stream_history(spark, sf_dir):
     s = SS.stream_history(spark, sf_dir, CONVERSATIONS_SCHEMA, "conversations.parquet")

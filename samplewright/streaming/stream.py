@@ -1,9 +1,11 @@
 """Structured Streaming forms.
 
 T1 encodes arriving documents with exactly the batch expressions (stateless).
-T2 keeps one chat history per session in ``applyInPandasWithState``: the state
-is at most ``2h`` messages plus an ``ended`` flag, so it stays bounded however
-long a session runs.  T3 is the checkpoint: a restarted query continues from
+Conversations (one row each, with their list of messages) are encoded per
+micro-batch.  T2 keeps one chat history per session in ``applyInPandasWithState``: the
+state is at most ``2h`` messages plus an ``ended`` flag, emptied when the session ends
+and, in continuous queries, dropped when it has been silent for ``ttl_ms``, so it stays
+bounded however long a session runs and however many there have been.  T3 is the checkpoint: a restarted query continues from
 its committed offsets and state, and ``trigger(availableNow=True)`` processes
 what has arrived and stops.
 
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from samplewright.functions import tokens as T
-from samplewright.operators import pretrain
+from samplewright.operators import chat, pretrain
 from samplewright.operators.chat import DEFAULT_SYSTEM_BLOCK, GENERATION_PROMPT
 from samplewright.operators.history import EXIT_COMMANDS, HISTORY_TURNS
 from samplewright.session import shared_path
@@ -66,57 +68,83 @@ def stream_encode(spark: SparkSession, source_dir: str, schema: str, file_glob:
     return pretrain.encode_pretrain(file_stream(spark, source_dir, schema, file_glob), max_length=max_length)
 
 
-def _history_fn(history_turns: int):
+def stream_sft(spark: SparkSession, source_dir: str, schema: str, path: str, checkpoint: str,
+               file_glob: str | None = None, max_length: int = T.SFT_MAX_LENGTH, augment: dict | None = None,
+               max_files_per_trigger: int | None = None) -> str:
+    """Nested conversations (``conv_id, conversations``) arriving as parquet files -> SFT samples under ``path``.
+
+    Each micro-batch is encoded by the batch operator into its own folder, which a
+    repeated micro-batch overwrites, so a restart neither loses nor doubles samples.
+    """
+    def encode(rows: DataFrame, batch: int) -> None:
+        samples = chat.sft_encode(chat.messages_from_nested(rows), max_length=max_length, augment=augment)
+        samples.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    q = (file_stream(spark, source_dir, schema, file_glob, max_files_per_trigger).writeStream
+         .foreachBatch(encode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return path
+
+
+def _history_fn(history_turns: int, ttl_ms: int | None):
     keep = 2 * int(history_turns)
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         if state.exists:
             roles, contents, ended = state.get
             roles, contents, ended = list(roles), list(contents), bool(ended)
         else:
             roles, contents, ended = [], [], False
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values("turn", kind="stable")
-        out = []
-        for turn, role, text in zip(batch["turn"], batch["role"], batch["text"]):
-            if ended:
-                break
-            if role == "user":
-                q = "" if text is None else str(text).strip()
-                if q.lower() in EXIT_COMMANDS:
-                    ended = True
+        for chunk in pdfs:
+            out = []
+            chunk = chunk.sort_values("turn", kind="stable")
+            for turn, role, text in zip(chunk["turn"], chunk["role"], chunk["text"]):
+                if ended:
                     break
-                if not q:
-                    continue
-                roles.append("user")
-                contents.append(q)
-                blocks = "".join(f"<|im_start|>{r}\n{c}<|im_end|>\n"
-                                 for r, c in zip(roles[-(keep + 1):] if keep else roles,
-                                                 contents[-(keep + 1):] if keep else contents))
-                n = min(len(roles), keep + 1) if keep else len(roles)
-                out.append((key[0], int(turn), n, DEFAULT_SYSTEM_BLOCK + blocks + GENERATION_PROMPT))
-            elif role == "assistant":
-                roles.append("assistant")
-                contents.append("" if text is None else str(text))
-            if keep:
-                roles, contents = roles[-keep - 1:], contents[-keep - 1:]
+                if role == "user":
+                    q = "" if text is None else str(text).strip()
+                    if q.lower() in EXIT_COMMANDS:
+                        roles, contents, ended = [], [], True
+                        break
+                    if not q:
+                        continue
+                    roles.append("user")
+                    contents.append(q)
+                    shown = list(zip(roles, contents))[-(keep + 1):] if keep else list(zip(roles, contents))
+                    blocks = "".join(f"<|im_start|>{r}\n{c}<|im_end|>\n" for r, c in shown)
+                    out.append((key[0], int(turn), len(shown), DEFAULT_SYSTEM_BLOCK + blocks + GENERATION_PROMPT))
+                elif role == "assistant":
+                    roles.append("assistant")
+                    contents.append("" if text is None else str(text))
+                if keep:
+                    roles, contents = roles[-keep - 1:], contents[-keep - 1:]
+            if out:
+                yield pd.DataFrame(out, columns=["session", "turn", "n_messages", "prompt"])
         state.update((roles, contents, ended))
-        if out:
-            yield pd.DataFrame(out, columns=["session", "turn", "n_messages", "prompt"])
+        if ttl_ms:
+            state.setTimeoutDuration(ttl_ms)
 
     return fn
 
 
 def stream_history(spark: SparkSession, source_dir: str, schema: str, file_glob: str | None = None,
-                   history_turns: int = HISTORY_TURNS, max_files_per_trigger: int | None = None) -> DataFrame:
+                   history_turns: int = HISTORY_TURNS, max_files_per_trigger: int | None = None,
+                   ttl_ms: int | None = None) -> DataFrame:
     """Per-session bounded history -> one prompt per question (equals batch W9 + F2 + F3).
 
-    Rows of one micro-batch arrive unordered and are sorted by turn inside the
-    function; a turn arriving after a later turn was processed is appended in
-    arrival order.  The state keeps ``2h + 1`` messages (the ``2h`` preceding
+    Rows are folded chunk by chunk, sorted by turn inside a chunk; a turn arriving
+    after a later turn was processed is appended in arrival order.  ``ttl_ms`` drops the
+    state of a session that has been silent for so long; a processing-time timeout
+    keeps an ``availableNow`` run from ending, so give it to continuous queries only.  The state keeps ``2h + 1`` messages (the ``2h`` preceding
     ones and room for the question), matching the batch frame.
     """
     src = file_stream(spark, source_dir, schema, file_glob, max_files_per_trigger)
     msgs = src.filter(F.col("role").isin("user", "assistant")).select(
         F.col("conv_id").alias("session"), "turn", "role", "text")
     return msgs.groupBy("session").applyInPandasWithState(
-        _history_fn(history_turns), PROMPT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _history_fn(history_turns, ttl_ms), PROMPT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout)

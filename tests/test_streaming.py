@@ -39,3 +39,34 @@ def test_history_state_across_micro_batches(spark, tmp_path):
         "session", "turn", "n_messages", "prompt")
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_ended_and_silent_sessions_leave_no_messages():
+    """State of an ended session is empty, and a timeout removes it."""
+    import pandas as pd
+
+    from samplewright.streaming import stream as SS
+
+    class State:
+        def __init__(self):
+            self.value, self.hasTimedOut, self.ttl = None, False, None
+
+        exists = property(lambda self: self.value is not None)
+        get = property(lambda self: self.value)
+
+        def update(self, value):
+            self.value = value
+
+        def remove(self):
+            self.value = None
+
+        def setTimeoutDuration(self, ms):
+            self.ttl = ms
+
+    fold, state = SS._history_fn(1, 60_000), State()
+    rows = pd.DataFrame([(0, "user", "a"), (1, "assistant", "b"), (2, "user", "c"), (3, "user", " /EXIT ")], columns=["turn", "role", "text"])
+    out = pd.concat(list(fold((7,), iter([rows[:2], rows[2:]]), state)))
+    assert out["turn"].tolist() == [0, 2] and state.value == ([], [], True) and state.ttl == 60_000
+    assert list(fold((7,), iter([pd.DataFrame([(4, "user", "late")], columns=["turn", "role", "text"])]), state)) == []
+    state.hasTimedOut = True
+    assert list(fold((7,), iter([]), state)) == [] and not state.exists

@@ -1,6 +1,7 @@
 """Byte-level BPE encoding and decoding (operator 2).
 
-A text is split by the tokenizer's pattern with one built-in regular expression.
+A text is split by the tokenizer's pattern with one built-in regular expression
+(texts with code points newer than the JVM's Unicode version by the regex module).
 The distinct words of a bounded slice become byte arrays, and ranked merges are
 folded over all of them at once: each round merges, in every word, the leftmost
 adjacent pair of least rank, as looked up in the literal rank map, until no pair
@@ -22,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ from samplewright.llm.common import list_array, offsets_of
 
 #: White space as Unicode defines it; written out, since Java's ``\s`` is ASCII only.
 SPACE = r"\t-\r\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+#: Code points that the JVM's Unicode version does not know; a newer one may call them letters.
+UNKNOWN = r"\p{Cn}"
 #: Rank that no pair of a vocabulary has.
 NONE = np.int64(1) << 40
 #: Words beyond this many bytes merge one at a time with a heap.
@@ -194,10 +198,21 @@ def split_words(text: Column, pattern: str) -> Column:
 def encode(df: DataFrame, ranks: Ranks, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """``df`` with the ids of ``text_col``, each match of the pattern encoded by itself."""
     @F.arrow_udf("array<int>")
-    def ids_of(words: pa.Array) -> pa.Array:
-        return encode_lists(words, ranks)
-
-    return df.withColumn(ids_col, ids_of(split_words(F.col(text_col), ranks.pattern)))
+    def ids_of(words: pa.Array, newer: pa.Array) -> pa.Array:
+        out = encode_lists(words, ranks)
+        rows = np.flatnonzero(newer.is_valid().to_numpy(zero_copy_only=False)).tolist()
+        if not rows:
+            return out
+        parts, done = [], 0
+        for i in rows:
+            split = pa.array([regex.findall(ranks.pattern, newer[i].as_py())], pa.list_(pa.string()))
+            parts += [out.slice(done, i - done), encode_lists(split, ranks)]
+            done = i + 1
+        return pa.chunked_array([*parts, out.slice(done)], out.type).combine_chunks()
+
+    text = F.col(text_col)
+    newer = F.coalesce(text.rlike(UNKNOWN), F.lit(False))
+    return df.withColumn(ids_col, ids_of(F.when(~newer, split_words(text, ranks.pattern)), F.when(newer, text)))
 
 
 def decode(df: DataFrame, ranks: Ranks, ids_col: str = "token_ids", bytes_col: str = "decoded") -> DataFrame:

@@ -58,7 +58,7 @@ NAME = re.compile(r"[a-z]+")
 SENTENCE = re.compile(r"[.!?。！？](?:\s|$)")
 
 # The classifier's weights, in units of log-odds.
-ANCESTOR, LENGTH, MOST_LENGTH, LINKS, ENDS, PLAIN, BARE = 6.0, 1 / 120, 2.0, 4.0, 1.0, 0.8, -1.5
+ANCESTOR, LENGTH, MOST_LENGTH, LINKS, ENDS, PLAIN, HEADING, BARE = 6.0, 1 / 120, 2.0, 4.0, 1.0, 0.8, 2.2, -1.5
 ADJACENT, SIBLING = 1.2, 0.4
 
 
@@ -81,8 +81,10 @@ class Block:
         value = BARE + ANCESTOR * self.side + min(n * LENGTH, MOST_LENGTH) - LINKS * self.links / n
         if SENTENCE.search(self.text):
             value += ENDS
-        if self.tag == "p" or self.tag in HEADINGS:
+        if self.tag == "p":
             value += PLAIN
+        elif self.tag in HEADINGS:
+            value += HEADING
         return value
 
 

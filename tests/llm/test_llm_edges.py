@@ -87,7 +87,8 @@ def test_bpe_odd(spark, odd):
     import tiktoken
     r = ranks()
     plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks={p: i for i, p in enumerate(r.pieces) if p}, special_tokens={})
-    more = frame(spark, [(20, "it's we'LL  　 x\r\n\n y\x1c\x85z ١٢ !!! 12.5% "), (21, "ab" * 4000), (22, " " * 3000 + "!" * 900)])
+    more = frame(spark, [(20, "it's we'LL  　 x\r\n\n y\x1c\x85z ١٢ !!! 12.5% "), (21, "ab" * 4000), (22, " " * 3000 + "!" * 900),
+                         (23, "a" + chr(0x31350) + chr(0x2EBF0) + " b" + chr(0x1E4D0) * 2 + chr(0x10FFFF) + " c"), (24, "plain")])
     for df in (odd.select("doc_id", "text"), more):
         for row in bpe.decode(bpe.encode(df, r), r).collect():
             assert row.token_ids == plain.encode_ordinary(row.text or "")
@@ -230,6 +231,14 @@ def test_main_text(spark):
     assert len(got) == 11 and html_text.with_main_text(pages.limit(0)).count() == 0
 
 
+def test_main_text_without_article_tags():
+    body = "".join(f"<div class='row'><p>Paragraph {i} tells something about the matter at hand, at some length. And more.</p></div>" for i in range(4))
+    page = f"""<html><body><div><a href=/>Home</a> <a href=/x>News</a> <a href=/y>About us</a></div><h1>A plain title</h1>{body}
+    <div class="user-comments"><p>Nice article, I read all of it twice and liked it.</p></div><div id="footer">All rights reserved by us. Contact.</div></body></html>"""
+    assert html_text.main_text(page).split("\n") == ["A plain title", *[
+        f"Paragraph {i} tells something about the matter at hand, at some length. And more." for i in range(4)]]
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(7)
     for _ in range(60):

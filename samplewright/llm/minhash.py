@@ -12,11 +12,12 @@ Coordinates are banded; documents that share a band are candidates, and every li
 is confirmed on the full sets.  With 125 coordinates in 25 bands of 5, a pair at
 similarity 0.85 shares no band with probability 4e-7, at 0.8 with 5e-5.
 
-Identical sets are joined through one representative.  Candidate pairs are never
-emitted for whole buckets at first: members are compared with their bucket's
-smallest document, linked groups are contracted, and only pairs across groups that
-still share a bucket are compared further, so a bucket of copies costs its size and
-no link between groups is lost.
+Identical sets are joined through one representative.  Buckets are not expanded into
+pairs: their members are compared with one of them, the star, that with the least
+share of shingles that no other candidate has, and linked groups are contracted.  Of
+the pairs across groups that still share a bucket, only those are compared whose
+differences from the star could cancel out far enough, so a bucket of copies costs its
+size and no link between groups is lost.
 
 Defined results: a null or blank text has the empty set and is linked with nothing; a
 text of fewer words than a shingle has its whole word sequence as one; repeated
@@ -113,15 +114,13 @@ def _sketched(docs: DataFrame, id_col: str, text_col: str, words: int, bins: int
     return docs.select(F.col(id_col).alias("id"), sketch(F.col(text_col)).alias("s")).select("id", "s.*")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
+def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with their sets' sizes and what they share: a, b, na, nb, both."""
     left = sets.select(F.col("id").alias("a"), F.col("els").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("els").alias("right"))
     both = F.size(F.array_intersect("left", "right")).cast("long")
-    union = F.size("left") + F.size("right") - F.col("both")
-    return (pairs.join(left, "a").join(right, "b")
-            .select("a", "b", "left", "right", both.alias("both"))
-            .filter(100 * F.col("both") >= percent * union).select("a", "b"))
+    return pairs.join(left, "a").join(right, "b").select(
+        "a", "b", F.size("left").cast("long").alias("na"), F.size("right").cast("long").alias("nb"), both.alias("both"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -154,9 +153,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = written(_sketched(docs, id_col, text_col, words, bins, band), "sketch")
     # Identical sets link without comparison; only the smallest document of each goes on.
     same = rows.filter("n > 0 and id is not null").groupBy("n", "lo", "hi").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
-    keys = written(same.select("rep", "n", F.explode("bands").alias("key")), "bands")
-    shared = keys.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("rep", "n")).alias("star")).filter("m > 1")
-    buckets = written(keys.join(shared, "key").select("key", "rep", "n", F.col("star.rep").alias("star"), F.col("star.n").alias("star_n")), "buckets")
+    keys = written(same.select("rep", F.explode("bands").alias("key")), "bands")
+    # Written, so that the join reads plain shuffles, which Spark can split at a hot key.
+    shared = written(keys.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key"), "shared")
+    buckets = written(keys.join(shared, "key"), "buckets")
     wanted = buckets.select(F.col("rep").alias(id_col)).distinct()
 
     @F.arrow_udf("array<bigint>")
@@ -169,21 +169,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     sets = written(docs.select(id_col, text_col).join(wanted, id_col, "left_semi")
                    .select(F.col(id_col).alias("id"), elements(F.col(text_col)).alias("els")), "sets")
-    def near(n: str, m: str):  # sets of sizes further apart cannot reach the similarity
-        return 100 * F.least(n, m) >= percent * F.greatest(n, m)
-
-    stars = buckets.filter((F.col("rep") != F.col("star")) & near("n", "star_n")).select(F.col("star").alias("a"), F.col("rep").alias("b")).distinct()
-    links = written(_confirmed(stars, sets, percent), "links")
+    # Shingles that one candidate alone has are in no intersection, but in every union.
+    alone = (sets.select("id", F.explode("els").alias("e")).groupBy("e").agg(F.count("*").alias("m"), F.min("id").alias("id"))
+             .filter("m = 1").groupBy("id").agg(F.count("*").alias("u")))
+    sizes = sets.select("id", F.size("els").alias("n")).distinct().join(alone, "id", "left").select(
+        F.col("id").alias("rep"), "n", F.coalesce("u", F.lit(0)).alias("u"))
+    able = 100 * (F.col("n") - F.col("u")) >= percent * F.col("n")
+    members = written(buckets.join(sizes.filter(able), "rep").select("key", "rep", "n", "u"), "members")
+
+    linked = 100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))
+    stars = written(members.groupBy("key").agg(F.min(F.struct(F.expr("u / n").alias("x"), "rep")).alias("star"))
+                    .select("key", F.col("star.rep").alias("star")), "stars")
+    placed = written(members.join(stars, "key").filter("rep <> star"), "placed")
+    compared = written(_shared(placed.select(F.col("star").alias("a"), F.col("rep").alias("b")).distinct(), sets), "compared")
+    links = compared.filter(linked).select("a", "b")
     group = components(links)
-    # What is left: pairs of one bucket in different groups; those with the star are settled.
-    placed = buckets.join(group.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "key", "rep", "n", "star", F.coalesce("root", "rep").alias("root"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key")
-    open_rows = placed.join(mixed, "key").filter("rep <> star").select("key", "rep", "n", "root")
-    first = open_rows.select("key", F.col("rep").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-    second = open_rows.select("key", F.col("rep").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-    cross = first.join(second, "key").filter("a < b and ra <> rb").filter(near("na", "nb")).select("a", "b").distinct()
-    more = written(_confirmed(cross, sets, percent), "links")
+    # Across groups: with d shingles of difference from the star, u of them nobody else's, two members differ
+    # in at least d + d' - 2 min(d - u, d' - u') shingles, which the similarity bounds.
+    apart = compared.select(F.col("a").alias("star"), F.col("b").alias("rep"), (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("d"))
+    roots = group.select(F.col("id").alias("rep"), "root")
+    rest = written(placed.join(apart, ["star", "rep"]).join(roots, "rep", "left").join(
+        roots.toDF("star", "star_root"), "star", "left").select(
+        "key", "rep", "n", F.coalesce("root", "rep").alias("root"), F.coalesce("star_root", "star").alias("star_root"),
+        "d", (F.col("d") - F.col("u")).alias("v")), "rest")
+    # Every pair across groups has a member that its star does not link.
+    one = rest.filter("root <> star_root").select("key", *[F.col(c).alias(f"{c}1") for c in ("rep", "n", "root", "d", "v")])
+    two = rest.select("key", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "root", "d", "v")])
+    differ = F.col("d1") + F.col("d2") - 2 * F.least("v1", "v2")
+    pairs = (one.join(two, "key").filter("root1 <> root2")
+             .filter((100 + percent) * differ <= (100 - percent) * (F.col("n1") + F.col("n2")))
+             .filter(100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2"))
+             .select(F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct())
+    more = written(_shared(pairs, sets).filter(linked).select("a", "b"), "links")
     group = components(links.union(more))
     rep = same.select("n", "lo", "hi", "rep").join(group, F.col("rep") == F.col("id"), "left").select(
         "n", "lo", "hi", F.coalesce("root", "rep").alias("component_id"))

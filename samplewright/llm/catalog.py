@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samplewright.llm import bpe, decontam, html_text, minhash, pii, repeats, secret_scan, shards, topk, toxicity
+from samplewright.llm import bpe, decontam, html_text, minhash, oracle, pii, repeats, secret_scan, shards, topk, toxicity
 from samplewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,7 +26,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-@register("op1_minhash")
+@register("op1_minhash", oracle.NEAR_DUPLICATES)
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents at similarity 0.85 of 5-word shingles."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).select(
@@ -95,7 +95,7 @@ def op10_secret_field(spark: SparkSession, sf_dir: str) -> DataFrame:
                        secret_scan.spans_text(F.col("secrets")).alias("spans"))
 
 
-@register("op6_repeats")
+@register("op6_repeats", oracle.REPEATS)
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 400-byte strings that also start elsewhere."""
     rows = repeats.remove_repeats(table(spark, sf_dir, "documents"))
@@ -111,7 +111,7 @@ def op7_html_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-@register("op8_top_k")
+@register("op8_top_k", oracle.TOP_K)
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest integer inner products of every fiftieth vector against all."""
     return topk.top_k(table(spark, sf_dir, "embeddings"))

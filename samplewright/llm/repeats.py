@@ -100,13 +100,18 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _extract(length: int, gram: int):
-    """Task function: the contexts of the marked places; the bytes of equal contexts of a batch come once, with their count."""
+    """Task function: the contexts of the marked places; of equal contexts near each other the bytes come once, with their count."""
     reach = length - gram
+    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int32())
+
+    def batch(rows: list[list]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [[]] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["h", "ctx", "before", "after", "n", "id", "pos"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, rows = {}, []
         for part in parts:
-            ids, seen, rows = part.column(0).to_pylist(), {}, []
-            for k, i in enumerate(ids):
+            for k, i in enumerate(part.column(0).to_pylist()):
                 raw = part.column(1)[k].as_py().encode()
                 for place, h in zip(part.column(2)[k].as_py(), part.column(3)[k].as_py()):
                     # Byte 0 ends short contexts, and 255 is no part of UTF-8.
@@ -119,10 +124,10 @@ def _extract(length: int, gram: int):
                     else:
                         seen[ctx] = len(rows)
                         rows.append([h, ctx, before, after, 1, i, place])
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int32())
-            columns = list(zip(*rows)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
-                                             ["h", "ctx", "before", "after", "n", "id", "pos"])
+                    if len(rows) >= 2 * ROWS:
+                        yield batch(rows)
+                        seen, rows = {}, []
+        yield batch(rows)
     return run
 
 
@@ -242,7 +247,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.chunked_array(out, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32())]))).combine_chunks()
 
     seeds = written(texts.select("id", F.explode(anchors(F.col("text"))).alias("a")).select("id", "a.*"), "anchors")
-    repeated = seeds.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1").select("h")
+    # Written, so that the join reads plain shuffles, which Spark can split at a hot anchor.
+    repeated = written(seeds.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1").select("h"), "repeated")
     places = (seeds.join(repeated, "h").join(info.filter("first").select("id"), "id")
               .groupBy("id").agg(F.collect_list(F.struct("pos", "h")).alias("p")))
     marked = written(texts.join(places, "id").select("id", "text", "p.pos", "p.h"), "marked")

@@ -8,6 +8,9 @@ inside the JVM (no Python worker) and composes into one projection.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -152,21 +155,29 @@ def mask_after_pad(core: Column, length: int) -> Column:
     return F.when(F.array_contains(core, PAD_ID), attention_mask(pad_right(core, length))).otherwise(fast)
 
 
+def _text_of(ids: pa.Array) -> pa.Array:
+    """The text of each list of ids: byte ids as UTF-8, invalid sequences as U+FFFD; null stays null."""
+    flat = ids.flatten().to_numpy(zero_copy_only=False)
+    size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    kept = (flat >= BYTE_OFFSET) & (flat < BYTE_OFFSET + 256)
+    raw = (flat[kept] - BYTE_OFFSET).astype(np.uint8).tobytes()
+    ends = np.concatenate([[0], np.cumsum(kept)])[ends]
+    valid = ids.is_valid().to_pylist()
+    return pa.array([raw[a:b].decode("utf-8", "replace") if ok else None for a, b, ok in zip(ends, ends[1:], valid)], pa.string())
+
+
 def decode(ids: Column, strip: bool = True) -> Column:
     """Ids -> text, specials skipped, then surrounding white space stripped.
 
-    Each byte id becomes the Latin-1 character of that byte (looked up in a
-    constant 256-entry array, no per-byte allocation); encoding the string
-    as ISO-8859-1 yields the raw bytes, which are read as UTF-8 with invalid
-    sequences replaced by U+FFFD (as the reference tokenizer's decode does).
+    One Arrow pass: the byte ids of a batch become one byte string, of which each row
+    reads its part.  A lambda per id measured slower.
     """
-    table = F.array(*[F.lit(chr(b)) for b in range(256)])  # byte -> its Latin-1 character
-    latin1 = F.array_join(F.transform(F.filter(ids, lambda x: (x >= BYTE_OFFSET) & (x < BYTE_OFFSET + 256)),
-                                      lambda x: F.element_at(table, x - (BYTE_OFFSET - 1))), "")
-    text = F.make_valid_utf8(F.encode(latin1, "ISO-8859-1").cast("string"))
-    if strip:
-        text = py_strip(text)
-    return text
+    @F.arrow_udf("string")
+    def text_of(lists: pa.Array) -> pa.Array:
+        return _text_of(lists)
+
+    return py_strip(text_of(ids)) if strip else text_of(ids)
 
 
 def csv(ids: Column) -> Column:

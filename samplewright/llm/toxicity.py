@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from samplewright.llm.common import hash_words, list_array, mix, offsets_of, slices, word_codes
 
 #: Labelled rows that the models are fitted on, at most.
-SAMPLE = 10_000
+SAMPLE = 6_000
 #: Features that the models weigh, at most: those most associated with a category.
 SELECTED = 4_096
 #: Least association, in standard deviations, and least rows of a weighed feature.

@@ -202,8 +202,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select(F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct())
     more = written(_shared(pairs, sets).filter(linked).select("a", "b"), "links")
     group = components(links.union(more))
-    rep = same.select("n", "lo", "hi", "rep").join(group, F.col("rep") == F.col("id"), "left").select(
-        "n", "lo", "hi", F.coalesce("root", "rep").alias("component_id"))
+    rep = written(same.select("n", "lo", "hi", "rep").join(group, F.col("rep") == F.col("id"), "left").select(
+        "n", "lo", "hi", F.coalesce("root", "rep").alias("component_id")), "reps")
     return (rows.select("id", "n", "lo", "hi").join(rep, ["n", "lo", "hi"], "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")))

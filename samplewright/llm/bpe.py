@@ -37,7 +37,7 @@ UNKNOWN = r"\p{Cn}"
 NONE = np.int64(1) << 40
 #: Words beyond this many bytes merge one at a time with a heap.
 LONG_WORD = 256
-SLICE_WORDS = 500_000
+SLICE_WORDS = 250_000
 
 
 @dataclass

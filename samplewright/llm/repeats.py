@@ -124,7 +124,7 @@ def _extract(length: int, gram: int):
                     else:
                         seen[ctx] = len(rows)
                         rows.append([h, ctx, before, after, 1, i, place])
-                    if len(rows) >= 2 * ROWS:
+                    if len(rows) >= ROWS // 2:
                         yield batch(rows)
                         seen, rows = {}, []
         yield batch(rows)

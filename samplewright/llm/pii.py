@@ -2,7 +2,8 @@
 
 A regular expression proposes spans of each kind; validators confirm them: Luhn for
 payment cards, mod-97 for bank accounts, value ranges for addresses and digit counts
-for phone numbers.  A span's score is its kind's prior, raised by a nearby context word
+for phone numbers.  A bank account may be followed by capitals that look like more of it,
+so it is tried with every end that the pattern allows.  A span's score is its kind's prior, raised by a nearby context word
 before it.  Spans of the base kinds always stay; those of the added kinds stay from
 ``THRESHOLD`` on.
 
@@ -13,7 +14,8 @@ the costlier patterns; possessive loops keep these linear and free of recursion.
 Defined results: null and empty texts have no spans; places are code points, ends
 exclusive; spans come by start, then kind as listed in ``KINDS``; spans of different
 kinds may overlap, and redaction covers an overlap once, under the first span's name;
-repeated rows give repeated results, other columns pass through.
+repeated rows give repeated results, other columns pass through.  Of an account's valid
+ends the one at its country's length counts, else the longest; no account starts inside another.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9]))",  # the rest is looked at, not passed
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
 }
 #: A necessary condition that is cheaper than the pattern.
@@ -39,7 +41,7 @@ GATES = {
     "ip": lambda t: t.rlike(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]"),
     "card": lambda t: t.rlike(r"[0-9](?:[\x20-]?[0-9]){11}"),
     "phone": lambda t: t.contains("+") & t.rlike(r"\+[0-9]"),
-    "iban": lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}"),
+    "iban": lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11}"),
     "ssn": lambda t: t.rlike(r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
 }
 KINDS = tuple(PATTERNS)
@@ -53,6 +55,11 @@ CONTEXT = {
     "iban": "iban|bank|account|konto|compte|cuenta",
     "ssn": "ssn|social|security|tax",
 }
+#: Account numbers' countries with their fixed lengths.
+LENGTHS = """AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18
+FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25
+MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24
+SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30""".split()
 #: What a context word within ``NEAR`` characters before the span adds to the score.
 BOOST, NEAR, THRESHOLD = 0.3, 40, 0.5
 
@@ -93,6 +100,39 @@ def mod97(hit: Column) -> Column:
     return left == 1
 
 
+def _account(hit: Column) -> Column:
+    """The valid account number that a candidate begins with, ending before one of its spaces or at its end; null without any."""
+    words = F.split(hit, " ")
+
+    def tried(k: Column) -> Column:
+        begin = F.array_join(F.slice(words, F.lit(1), k), " ")
+        n = F.length(F.regexp_replace(begin, " ", ""))
+        of_country = F.concat(F.substring(begin, 1, 2), n.cast("string")).isin(*LENGTHS)
+        return F.when((n >= 15) & mod97(begin), F.struct(of_country.alias("of_country"), n.alias("n"), begin.alias("hit")))
+
+    return F.array_max(F.transform(F.sequence(F.lit(1), F.size(words)), tried))["hit"]
+
+
+def _accounts(text: Column) -> Column:
+    """As ``_places``, for account numbers: from the left, a start inside the last account does not count."""
+    piece, head, rest = [F.regexp_extract_all(text, F.lit(f"(?s)\\G(.*?)({PATTERNS['iban']})"), F.lit(k)) for k in (0, 2, 3)]
+    hits = F.transform(F.zip_with(head, rest, lambda h, r: F.concat(h, r)), _account)
+    steps = F.zip_with(piece, hits, lambda p, h: F.struct(F.char_length(p).alias("n"), h.alias("hit")))
+    none = "cast(array() as array<struct<start:int,end:int,hit:string>>)"
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), F.expr(none).alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        at = acc["at"] + x["n"]
+        start = at - 4  # a piece ends behind the country code and check digits
+        end = start + F.char_length(x["hit"])
+        new = x["hit"].isNotNull() & (start >= acc["free"])
+        span = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit"))
+        return F.struct(at.alias("at"), F.when(new, end).otherwise(acc["free"]).alias("free"),
+                        F.when(new, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(steps, zero, step, lambda acc: acc["out"])
+
+
 def _valid(kind: str, hit: Column) -> Column:
     if kind == "ip":
         return hit.rlike(rf"^(?:{_PART}\.){{3}}{_PART}$")
@@ -100,8 +140,6 @@ def _valid(kind: str, hit: Column) -> Column:
         return F.length(_digits(hit)).between(12, 19) & luhn(hit)
     if kind == "phone":
         return F.length(_digits(hit)).between(9, 15)
-    if kind == "iban":
-        return mod97(hit)
     if kind == "ssn":
         return ~hit.rlike("^(?:000|666|9..)-|-00-|-0000$")
     return F.lit(True)
@@ -114,7 +152,8 @@ def _spans(kind: str, text: Column) -> Column:
         return F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"),
                         s["end"].alias("end"), F.least(score, F.lit(1.0)).alias("score"))
 
-    found = F.transform(F.filter(_places(text, PATTERNS[kind]), lambda s: _valid(kind, s["hit"])), scored)
+    places = _accounts(text) if kind == "iban" else F.filter(_places(text, PATTERNS[kind]), lambda s: _valid(kind, s["hit"]))
+    found = F.transform(places, scored)
     if kind not in BASE:
         found = F.filter(found, lambda s: s["score"] >= THRESHOLD)
     none = F.expr("cast(array() as array<struct<start:int,rank:int,kind:string,end:int,score:double>>)")

@@ -117,6 +117,30 @@ def test_pii_base_and_added(spark, odd):
     assert pii.with_pii(odd).count() == 10 and pii.with_pii(odd.limit(0)).count() == 0
 
 
+def test_pii_accounts_before_capitals_and_digits(spark):
+    def valid(country, rest):
+        code = "".join(str(int(c, 36)) for c in rest + country + "00")
+        return f"{country}{98 - int(code) % 97:02d}{rest}"
+
+    de, gb, long = "DE89370400440532013000", "GB82WEST12345698765432", valid("ZZ", "7A" * 15)
+    spaced = "DE89 3704 0044 0532 0130 00"
+    swallowed = next(f"{de} {c}{d}" for c in "ABCDEFGH" for d in range(10, 100)
+                     if int("".join(str(int(x, 36)) for x in f"{de[4:]}{c}{d}{de[:4]}")) % 97 == 1)
+    cases = {  # text: accounts
+        f"IBAN {de} Bank Muster": [de], f"{gb} Please pay": [gb], f"{spaced} BIC COBADEFF": [spaced], f"{spaced} 2024 10 01": [spaced],
+        f"{de} BIC COBADEFFXXX, {gb} 12 A": [de, gb], f"{spaced} GB82 WEST 1234 5698 7654 32 X": [spaced, "GB82 WEST 1234 5698 7654 32"],
+        f"AB12 REF {de} Y": [de], "DE89 370 400 440 532 013 000 EUR": ["DE89 370 400 440 532 013 000"], f"é\U0001F600 {long} A B": [long],
+        f"{long}, {long} 99": [long, long], f"{de}X {de}x x{de} {de}": [de], f"{de[:-1]}1 BIC": [], swallowed: [de],
+        f"{valid('NO', '93860' + '123456')} ANNA": [valid("NO", "93860123456")], "AB12 " * 900: [], "A" * 5000 + "AB12" * 999: [],
+    }
+    rows = pii.with_pii(frame(spark, list(enumerate(cases)))).withColumn("shown", pii.redact(pii.F.col("text"), pii.F.col("pii"))).collect()
+    assert len(rows) == len(cases)
+    for r in rows:
+        spans = [s for s in r.pii if s.kind == "iban"]
+        assert [r.text[s.start:s.end] for s in spans] == cases[r.text], r.text[:80]
+        assert not any(a in r.shown for a in cases[r.text]) or "x" + de in r.shown
+
+
 def test_toxicity_chain(spark):
     rng = random.Random(9)
     rows, labels = [], []

@@ -3,6 +3,10 @@
 A page is cut into text blocks at block-level tags.  A linear classifier gives each
 block a cost for either label from its nearest telling ancestor, its own tag, its length,
 its links and its sentences; the costs are the capacities to the two terminals.
+A class or id tells by a whole name or a compound of known words, not by any word in it.
+Outside articles such a name decides what is below it; inside one it only lowers the score,
+which long blocks of several sentences outweigh, and counts on block-level elements only
+(a word in mid-sentence stays) and not as the id of a heading or section.
 Neighbouring blocks are joined by edges that weaken with their distance in the
 document tree, and so are successive blocks of one parent.  The minimum cut
 separates content from boilerplate, by maximum flow over what is left after blocks
@@ -33,7 +37,8 @@ footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup
 tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
-DEAD = RAW | frozenset("head svg math canvas object audio video select button datalist input label".split())
+DEAD = RAW | frozenset("""head svg canvas object audio video select button datalist input label
+annotation annotation-xml""".split())
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "optgroup": {"option", "optgroup"}}
 #: Elements that an implied end does not reach over.
@@ -48,38 +53,52 @@ cookie cookies consent gdpr notice notices alert popup modal overlay sidebar sid
 breadcrumbs footer masthead topbar comment comments commentlist reply replies respond disqus related recommended recommendations
 share sharing social newsletter subscribe subscription signup login search widget widgets pagination pager toolbar copyright
 legal disclaimer feedback""".split())
+#: Words that a compound such as comments-area or site-footer-links may have besides those.
+LAYOUT = GOOD_NAMES | frozenset("""a aside area b bar block body bottom box btn button buttons center col column container desktop element
+entries fixed foot global grid group holder icon icons id inline inner item items js label large layout left level link links list
+mobile module outer page panel parent placeholder position posts primary rail recent region right root row secondary section site
+slot small sticky tab tabs text thread title top unit user users view wrap wrapper x header""".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*+(?:\"[^\"]*\"[^>\"']*+|'[^']*'[^>\"']*+)*+)>"
                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>?", re.S)
 ATTRIBUTE = re.compile(r"(?i)\b(class|id|role|itemprop|style|type|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?=[\s/=]|$)")
-NAME = re.compile(r"[a-z]+")
+NAME = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?。！？](?:\s|$)")
 
 # The classifier's weights, in units of log-odds.
 ANCESTOR, LENGTH, MOST_LENGTH, LINKS, ENDS, PLAIN, HEADING, BARE = 6.0, 1 / 120, 2.0, 4.0, 1.0, 0.8, 2.2, -1.5
+#: For blocks below a boilerplate name inside an article; their length and sentences count further.
+NAMED, NAMED_LENGTH, NAMED_ENDS = 9.0, 4.0, 4
 ADJACENT, SIBLING = 1.2, 0.4
 
 
 class Element:
-    __slots__ = ("tag", "side", "dead", "path", "inside")
+    __slots__ = ("tag", "side", "dead", "path", "inside", "named")
 
-    def __init__(self, tag: str, side: int, dead: bool, path: tuple, inside: bool):
-        self.tag, self.side, self.dead, self.path, self.inside = tag, side, dead, path, inside
+    def __init__(self, tag: str, side: int, dead: bool, path: tuple, inside: bool, named: bool):
+        self.tag, self.side, self.dead, self.path, self.inside, self.named = tag, side, dead, path, inside, named
+
+    def splits(self, parent: Element) -> bool:
+        """Whether its text is not of one block with its parent's; what a dead one in mid-sentence holds just goes."""
+        return (self.side, self.named) != (parent.side, parent.named)
 
 
 class Block:
-    __slots__ = ("text", "links", "tag", "side", "path")
+    __slots__ = ("text", "links", "tag", "side", "path", "named")
 
-    def __init__(self, text: str, links: int, tag: str, side: int, path: tuple):
-        self.text, self.links, self.tag, self.side, self.path = text, links, tag, side, path
+    def __init__(self, text: str, links: int, tag: str, side: int, path: tuple, named: bool):
+        self.text, self.links, self.tag, self.side, self.path, self.named = text, links, tag, side, path, named
 
     def score(self) -> float:
         """Cost of calling the block boilerplate, less that of calling it content."""
         n = len(self.text)
         value = BARE + ANCESTOR * self.side + min(n * LENGTH, MOST_LENGTH) - LINKS * self.links / n
-        if SENTENCE.search(self.text):
+        if self.named:
+            value += min(max(n * LENGTH - MOST_LENGTH, 0.0), NAMED_LENGTH - MOST_LENGTH) - NAMED
+            value += ENDS * min(len(SENTENCE.findall(self.text)), NAMED_ENDS)
+        elif SENTENCE.search(self.text):
             value += ENDS
         if self.tag == "p":
             value += PLAIN
@@ -88,22 +107,35 @@ class Block:
         return value
 
 
+def _boilerplate(value: str, inside: bool) -> bool:
+    """Whether one of the names is of boilerplate, or a compound of such and layout words."""
+    for name in value.split():
+        words = set(NAME.findall(name))
+        bad = words & BAD_NAMES or not inside and "header" in words
+        if bad and words <= BAD_NAMES | LAYOUT:
+            return True
+    return False
+
+
 def _opened(tag: str, attributes: str, parent: Element, serial: int) -> Element:
     """What an element says about the text inside it."""
-    side, dead, inside = parent.side, parent.dead or tag in DEAD, parent.inside
+    side, dead, inside, named = parent.side, parent.dead or tag in DEAD, parent.inside, parent.named
     if tag in GOOD_TAGS:
         side, inside = 1, True
     elif tag in BAD_TAGS or tag == "header" and not inside:
         side = -1
     if attributes and not attributes.isspace():
         dead = dead or HIDDEN.search(attributes) is not None
-        for key, a, b, c in ATTRIBUTE.findall(attributes):
-            key, value = key.lower(), (a or b or c).lower()
+        found = [(key.lower(), (a or b or c).lower()) for key, a, b, c in ATTRIBUTE.findall(attributes)]
+        section = tag in HEADINGS or tag == "section" or any(key == "class" and "section" in value.split() for key, value in found)
+        for key, value in found:
             if key in ("class", "id", "itemprop") and tag not in ("html", "body"):
-                names = set(NAME.findall(value))
-                if names & BAD_NAMES or "header" in names and not inside:
-                    side = -1
-                elif names & GOOD_NAMES and side == parent.side == 0:
+                if _boilerplate(value, inside) and not (key == "id" and section and (inside or tag in HEADINGS)):
+                    if parent.inside:
+                        named = named or tag in BLOCK
+                    else:
+                        side = -1
+                elif not GOOD_NAMES.isdisjoint(NAME.findall(value)) and side == parent.side == 0:
                     side, inside = 1, True
             elif key == "role":
                 side = 1 if value in GOOD_ROLES else -1 if value in BAD_ROLES else side
@@ -111,12 +143,12 @@ def _opened(tag: str, attributes: str, parent: Element, serial: int) -> Element:
                 dead = dead or "display:none" in value.replace(" ", "")
             elif key == "aria-hidden":
                 dead = dead or value == "true"
-    return Element(tag, side, dead, (*parent.path, serial) if tag in BLOCK else parent.path, inside)
+    return Element(tag, side, dead, (*parent.path, serial) if tag in BLOCK else parent.path, inside, named)
 
 
 def blocks_of(page: str) -> list[Block]:
     """The visible text blocks of a page, in order."""
-    stack = [Element("", 0, False, (), False)]
+    stack = [Element("", 0, False, (), False, False)]
     blocks: list[Block] = []
     pieces: list[str] = []
     state = {"links": 0, "tag": ""}
@@ -126,7 +158,7 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join(unescape("".join(pieces)).split())
         if text:
             top = stack[-1]
-            blocks.append(Block(text, min(state["links"], len(text)), state["tag"], top.side, top.path))
+            blocks.append(Block(text, min(state["links"], len(text)), state["tag"], top.side, top.path, top.named))
         pieces.clear()
         state["links"] = 0
 
@@ -156,7 +188,7 @@ def blocks_of(page: str) -> list[Block]:
             place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             if not place or tag not in BLOCK and any(e.tag in SCOPES for e in stack[place + 1:]):
                 continue
-            if any(e.tag in BLOCK or e.side != stack[place - 1].side or e.dead for e in stack[place:]):
+            if any(e.tag in BLOCK or e.splits(stack[place - 1]) for e in stack[place:]):
                 flush()
         else:
             if tag in VOID:
@@ -179,7 +211,7 @@ def blocks_of(page: str) -> list[Block]:
                     if stack[i].tag in SCOPES:
                         break
             element = _opened(tag, attributes, stack[-1], serial)
-            if element.side != stack[-1].side or element.dead != stack[-1].dead:
+            if element.splits(stack[-1]):
                 flush()
             stack.append(element)
         if close:

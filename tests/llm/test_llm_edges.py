@@ -263,6 +263,20 @@ def test_main_text_without_article_tags():
         f"Paragraph {i} tells something about the matter at hand, at some length. And more." for i in range(4)]]
 
 
+def test_names_inside_articles():
+    long = "This paragraph is a part of the article and goes on for quite a while. " * 5
+    keep = ["Legal status", "The court ruled so.", "Social impact", "It was large.", "Search", "Comments on it", "Short words here.",
+            long.strip(), "A ready reply in mid-sentence stays whole.", "Area a = πr2 holds."]
+    page = f"""<body><div class="has-sidebar"><article><h2 id="legal-status">{keep[0]}</h2><p>{keep[1]}</p>
+<section id="social-impact"><h2 id="social">{keep[2]}</h2><p>{keep[3]}</p></section><div id="search-algorithms"><h3>{keep[4]}</h3></div>
+<div class="section" id="comments"><h2>{keep[5]}</h2><p>{keep[6]}</p></div><div class="notice"><p>{keep[7]}</p></div>
+<p>A ready <span class="reply">reply</span> in mid-sentence stays whole.</p><div class="ad-box-2">Buy this now! Really.</div>
+<p>Area <math><semantics><mi>a</mi> <mo>=</mo> <mi>πr</mi><mn>2</mn><annotation>TeX</annotation></semantics></math> holds.</p>
+<div class="social-share-buttons"><p>Share this with your friends.</p></div><div class="comments-area"><p>I like it very much.</p></div>
+</article><div id="comments"><article class="comment"><p>{long}</p></article></div><div class="site-footer"><p>{long}</p></div></div></body>"""
+    assert html_text.main_text(page).split("\n") == keep
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(7)
     for _ in range(60):

@@ -62,8 +62,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*+(?:\"[^\"]*\"[^>\"']*+|'[^']*'[^>\"']*+)*+)>"
                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>?", re.S)
-ATTRIBUTE = re.compile(r"(?i)\b(class|id|role|itemprop|style|type|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
-HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?=[\s/=]|$)")
+ATTRIBUTE = re.compile(r"([^\s=/>\"'][^\s=/>]*+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?。！？](?:\s|$)")
 
@@ -125,7 +124,6 @@ def _opened(tag: str, attributes: str, parent: Element, serial: int) -> Element:
     elif tag in BAD_TAGS or tag == "header" and not inside:
         side = -1
     if attributes and not attributes.isspace():
-        dead = dead or HIDDEN.search(attributes) is not None
         found = [(key.lower(), (a or b or c).lower()) for key, a, b, c in ATTRIBUTE.findall(attributes)]
         section = tag in HEADINGS or tag == "section" or any(key == "class" and "section" in value.split() for key, value in found)
         for key, value in found:
@@ -143,6 +141,8 @@ def _opened(tag: str, attributes: str, parent: Element, serial: int) -> Element:
                 dead = dead or "display:none" in value.replace(" ", "")
             elif key == "aria-hidden":
                 dead = dead or value == "true"
+            elif key == "hidden":
+                dead = True
     return Element(tag, side, dead, (*parent.path, serial) if tag in BLOCK else parent.path, inside, named)
 
 

@@ -277,6 +277,19 @@ def test_names_inside_articles():
     assert html_text.main_text(page).split("\n") == keep
 
 
+def test_hidden_is_an_attribute_only():
+    shown = ['title="The Hidden Fortress"', "title='a hidden track'", 'class="a hidden md"', 'alt="x hidden"', 'data-x="style=display:none hidden"',
+             "data-hidden=1", 'title="role=search id=ad" lang=en', 'aria-hidden="false"', 'title=" hidden " / ']
+    dead = ["hidden", "HIDDEN=''", 'class="x" hidden', 'title="a"hidden id=b', 'hidden="until-found" class=a', "hidden/", 'style="display: none"',
+            "aria-hidden=true", "a=b/ hidden"]
+    for attributes in shown:
+        page = f"<article><p>See <a href=/f {attributes}>this film</a> in full.</p><p {attributes}>All of it is shown.</p></article>"
+        assert html_text.main_text(page) == "See this film in full.\nAll of it is shown.", attributes
+    for attributes in dead:
+        page = f"<article><p>See <i {attributes}>this film</i> in full.</p><p {attributes}>All of it is shown.</p></article>"
+        assert html_text.main_text(page) == "See in full.", attributes
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(7)
     for _ in range(60):

@@ -20,7 +20,9 @@ passage that very many documents share costs one context in a batch.
 
 Defined results: a null text is empty; texts shorter than the threshold keep all bytes;
 matches never cross documents but may overlap within one; what is judged is the
-input, not what is left.  Document ids must be unique and not null.
+input, not what is left.  Every row is a document of its own, under a key written once,
+and gives one row: ids are only carried along, so they may be null or repeat with
+equal or different texts.
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ ROWS = 20_000
 
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0x5851F42D4C957F2D
-CONTEXT = "h bigint, ctx binary, before binary, after binary, n int, id bigint, pos int"
+CONTEXT = "h bigint, ctx binary, before binary, after binary, n int, key bigint, pos int"
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -106,7 +108,7 @@ def _extract(length: int, gram: int):
 
     def batch(rows: list[list]) -> pa.RecordBatch:
         columns = list(zip(*rows)) or [[]] * len(kinds)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["h", "ctx", "before", "after", "n", "id", "pos"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["h", "ctx", "before", "after", "n", "key", "pos"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, rows = {}, []
@@ -229,11 +231,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``n_removed`` is 0 for a document that stays whole and ``n_bytes`` for one that goes whole.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    digests = texts.select("id", F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("digest"),
+    texts = written(docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).alias("id"),
+                                F.coalesce(F.col(text_col), F.lit("")).alias("text")), "texts", "zstd")
+    digests = texts.select("key", "id", F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("digest"),
                            F.sha2("text", 256).alias("whole_sha256"))
-    groups = digests.groupBy("digest", "n_bytes").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    info = written(digests.join(groups, ["digest", "n_bytes"]).select("id", "n_bytes", "whole_sha256", "copies", (F.col("id") == F.col("rep")).alias("first")), "info")
+    groups = digests.groupBy("digest", "n_bytes").agg(F.min("key").alias("rep"), F.count("*").alias("copies"))
+    info = written(digests.join(groups, ["digest", "n_bytes"]).select("key", "id", "n_bytes", "whole_sha256", "copies", (F.col("key") == F.col("rep")).alias("first")), "info")
 
     @F.arrow_udf("array<struct<h:bigint,pos:int>>")
     def anchors(rows: pa.Array) -> pa.Array:
@@ -246,18 +249,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out.append(list_array(np.searchsorted(places, at), items))
         return pa.chunked_array(out, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32())]))).combine_chunks()
 
-    seeds = written(texts.select("id", F.explode(anchors(F.col("text"))).alias("a")).select("id", "a.*"), "anchors")
+    seeds = written(texts.select("key", F.explode(anchors(F.col("text"))).alias("a")).select("key", "a.*"), "anchors")
     # Written, so that the join reads plain shuffles, which Spark can split at a hot anchor.
     repeated = written(seeds.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1").select("h"), "repeated")
-    places = (seeds.join(repeated, "h").join(info.filter("first").select("id"), "id")
-              .groupBy("id").agg(F.collect_list(F.struct("pos", "h")).alias("p")))
-    marked = written(texts.join(places, "id").select("id", "text", "p.pos", "p.h"), "marked")
+    places = (seeds.join(repeated, "h").join(info.filter("first").select("key"), "key")
+              .groupBy("key").agg(F.collect_list(F.struct("pos", "h")).alias("p")))
+    marked = written(texts.join(places, "key").select("key", "text", "p.pos", "p.h"), "marked", "zstd")
     contexts = marked.mapInArrow(_extract(length, gram), CONTEXT)
     heads = contexts.filter("n > 0").select("h", "ctx", "before", "after", "n")
     reach = (heads.repartition(F.col("h")).sortWithinPartitions("h")
              .mapInArrow(_expand_task(length), "ctx binary, ahead int, behind int"))
-    spans = (contexts.select("ctx", "id", "pos").join(reach, "ctx")
-             .groupBy("id").agg(F.collect_list(F.struct((F.col("pos") - F.col("ahead")).alias("a"), (F.col("pos") + F.col("behind")).alias("b"))).alias("s")))
+    spans = (contexts.select("ctx", "key", "pos").join(reach, "ctx")
+             .groupBy("key").agg(F.collect_list(F.struct((F.col("pos") - F.col("ahead")).alias("a"), (F.col("pos") + F.col("behind")).alias("b"))).alias("s")))
 
     @F.arrow_udf("n_removed bigint, n_spans bigint, kept binary")
     def cut(rows: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
@@ -266,10 +269,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.StructArray.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())],
                                           ["n_removed", "n_spans", "kept"])
 
-    partly = (marked.select("id", "text").join(spans, "id")
-              .select("id", cut(F.col("text"), F.col("s.a"), F.col("s.b")).alias("c")).select("id", "c.*"))
+    partly = (marked.select("key", "text").join(spans, "key")
+              .select("key", cut(F.col("text"), F.col("s.a"), F.col("s.b")).alias("c")).select("key", "c.*"))
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
-    return info.join(partly, "id", "left").select(
+    return info.join(partly, "key", "left").select(
         F.col("id").alias(id_col), "n_bytes",
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),

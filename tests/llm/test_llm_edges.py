@@ -214,6 +214,17 @@ def test_repeats_on_made_texts(spark):
     assert repeats.remove_repeats(frame(spark, docs).limit(0)).count() == 0
 
 
+def test_repeats_null_and_repeated_ids(spark):
+    rng = random.Random(6)
+    shared, other, twice = prose(rng, 150), prose(rng, 90), prose(rng, 200)
+    rows = [(None, "A " + shared + other), (1, prose(rng, 20) + shared), (2, twice), (2, twice), (3, prose(rng, 30) + other + prose(rng, 400)),
+            (3, "short"), (None, None), (None, "short"), (4, "é" + other[5:]), (4, prose(rng, 90)), (None, twice + "!"), (3, "short")]
+    want = brute.repeats([(k, t) for k, (_, t) in enumerate(rows)])
+    want = sorted(repr((i, n, removed, spans, kept if 0 < removed < n else None)) for (i, _), (n, removed, spans, kept) in zip(rows, want.values()))
+    got = repeats.remove_repeats(frame(spark, rows)).collect()
+    assert sorted(repr((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept and bytes(r.kept))) for r in got) == want
+
+
 def test_repeats_short_threshold():
     """Every split of the interval tree, on a small alphabet and a small threshold."""
     rng = random.Random(1)

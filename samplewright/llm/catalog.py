@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samplewright.llm import bpe, decontam, html_text, minhash, oracle, pii, repeats, secret_scan, shards, topk, toxicity
+from samplewright.llm import bpe, decontam, html_text, minhash, oracle, pii, repeats, secret_scan, shards, token_files, topk, toxicity
 from samplewright.llm.common import table
+from samplewright.session import shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER_FILE = "byte_bpe_50k.json"
+END_ID = 2
 
 
 def register(name: str, sql: str | None = None):
@@ -115,3 +119,12 @@ def op7_html_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest integer inner products of every fiftieth vector against all."""
     return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@register("op13_token_files")
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document written to entropy-coded files and read back from them."""
+    path = shared_path(spark, f"token-files-{uuid.uuid4().hex}")
+    with open(public_tokenizers.path(TOKENIZER_FILE), encoding="utf-8") as spec:
+        token_files.write_ids(table(spark, sf_dir, "documents"), path, spec.read(), END_ID)
+    return token_files.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from samplewright.llm import bpe, decontam, html_text, minhash, oracle, pii, repeats, secret_scan, shards, token_files, topk, toxicity
+from samplewright.llm import ball_search, bpe, decontam, html_text, minhash, oracle, pii, repeats, secret_scan, shards, spelling, token_files, topk, toxicity
 from samplewright.llm.common import table
 from samplewright.session import shared_path
 
@@ -128,3 +128,15 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path(TOKENIZER_FILE), encoding="utf-8") as spec:
         token_files.write_ids(table(spark, sf_dir, "documents"), path, spec.read(), END_ID)
     return token_files.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@register("op11_spelling_variants", oracle.SPELLING)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word, the frequent word it is one edit from, and the last of that chain."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@register("op12_ball_search", oracle.RANKED_SEARCH)
+def op12_ball_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest-scoring documents for each benchmark item."""
+    return ball_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -42,3 +42,55 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(l
       FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 5"""
+
+
+def _quarter_steps() -> list[int]:
+    """What four steps of the reflected crc32 polynomial make of each value of four bits."""
+    out = []
+    for value in range(16):
+        for _ in range(4):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        out.append(value)
+    return out
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a string's UTF-8, folded over its half bytes, the low one first."""
+    digits = f"list_transform(range(0, len(hex(encode({text})))), lambda i: strpos('0123456789ABCDEF', substr(hex(encode({text})), CAST(xor(i, 1) + 1 AS INTEGER), 1)) - 1)"
+    step = f"lambda c, d: xor(({_quarter_steps()}::BIGINT[])[xor(c, d) & 15 + 1], c >> 4)".replace("xor(c, d) & 15 + 1", "(xor(c, d) & 15) + 1")
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, CAST({digits} AS BIGINT[])), {step}), 4294967295::BIGINT)"
+
+
+#: op11: noise by a folded crc32, near words by their spellings without one code point, chains by a recursive query.
+SPELLING = f"""
+WITH RECURSIVE t AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{6,}}')) AS run FROM documents),
+u AS (SELECT concat(doc_id, ':', run) AS named, run, k FROM (SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS run, count(*) AS k FROM t GROUP BY ALL)),
+h AS (SELECT run, k, {_crc32('named')} AS h FROM u),
+w AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, k FROM h)
+      WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+p AS (SELECT word, i, substr(word, CAST(1 AS INTEGER), CAST(i - 1 AS INTEGER)) || substr(word, CAST(i + 1 AS INTEGER)) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+e AS (SELECT a.word AS x, b.word AS y FROM p a JOIN p b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+      UNION SELECT p.word, w.word FROM p JOIN w ON p.rest = w.word
+      UNION SELECT w.word, p.word FROM p JOIN w ON p.rest = w.word),
+b AS (SELECT x, y, w.n AS m, count(*) OVER (PARTITION BY x) AS n_near, row_number() OVER (PARTITION BY x ORDER BY w.n DESC, y) AS place FROM e JOIN w ON w.word = e.y),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * w.n THEN y END AS form, CASE WHEN m >= 5 * w.n THEN m END AS form_n
+      FROM w LEFT JOIN b ON b.x = w.word AND place = 1),
+c AS (SELECT word, word AS at FROM f UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.at WHERE f.form IS NOT NULL),
+r AS (SELECT c.word, c.at AS root FROM c JOIN f ON f.word = c.at WHERE f.form IS NULL)
+SELECT f.word, f.form, r.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM f JOIN r ON r.word = f.word"""
+
+_TERMS = f"unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"
+
+#: op12: every score, ranked.
+RANKED_SEARCH = f"""
+WITH f AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} AS term FROM documents) GROUP BY ALL),
+s AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM f GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM s),
+m AS (SELECT doc_id, 100 - 25 + (25 * n * docs) // total AS m FROM s, c),
+q AS (SELECT item_id, term, count(*) AS k FROM (SELECT item_id, {_TERMS} AS term FROM benchmark) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM f GROUP BY term), c),
+x AS (SELECT item_id, f.doc_id, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM q JOIN w ON w.term = q.term JOIN f ON f.term = q.term JOIN m ON m.doc_id = f.doc_id GROUP BY item_id, f.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20"""

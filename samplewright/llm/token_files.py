@@ -60,6 +60,9 @@ CHUNK = 1 << 20
 #: Words whose ids a task remembers, and words that go through the library as one text.
 REMEMBERED = 1 << 20
 TOGETHER = 64
+#: Bytes of text whose words are looked up at once, and of pieces split at once.
+SLICE = 16 << 20
+PIECE = 1 << 16
 #: How byte-level vocabularies write a space.
 BYTE_SPACE = "\u0120"
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = range(5)
@@ -79,7 +82,7 @@ CHUNK_DDL = ("part int, chunk int, ahead bigint, n_tokens bigint, doc_ids array<
 class TextEncoder:
     """The library's ids of many texts, each distinct word merged once."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
         self.library = Tokenizer.from_str(spec)
         self.library.no_padding()
@@ -93,6 +96,8 @@ class TextEncoder:
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.opens[[i for piece, i in vocabulary.items() if piece.startswith(BYTE_SPACE)]] = True
+        most = max([end_id, *self.library.get_vocab().values()])
+        self.total, self.kind_of_ids = np.zeros(most + 1, np.int64), "<u2" if most < 1 << 16 else "<u4"
         self.forget()
 
     def forget(self) -> None:
@@ -178,44 +183,58 @@ class TextEncoder:
             self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
         return places
 
-    def split_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Number of ids of each text and all ids, of texts without added tokens."""
+    def split_ids(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Number of ids of each text and all ids, a piece of texts without added tokens after the other."""
         ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
         raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
         ends = ends - ends[0]
-        starts, counts = self.starts(raw, ends)
-        bounds = np.append(starts, len(raw)).astype(np.int32)
-        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(raw)).dictionary_encode()
-        where = self.word_ids(words.dictionary.to_pylist())
+        pieces = list(slices(texts, PIECE))  # numpy's arrays then stay in the processor's cache
+        split = [self.starts(raw[ends[a]:ends[b]], ends[a:b + 1] - ends[a]) for a, b in pieces]
+        bounds = np.concatenate([*(at + ends[a] for (a, _), (at, _) in zip(pieces, split)), [len(raw)]]).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(raw)).dictionary_encode()
+        where, used = self.word_ids(words.dictionary.to_pylist()), words.indices.to_numpy(zero_copy_only=False)
         offsets = np.concatenate([[0], np.cumsum(self.sizes)])
-        picked, word_ends = gather(offsets, where[words.indices.to_numpy(zero_copy_only=False)])
-        return np.diff(word_ends[np.concatenate([[0], np.cumsum(counts)])]), self.flat[picked]
+        picked, word_ends = gather(offsets, where)
+        self.add(self.flat[picked], np.repeat(np.bincount(used, minlength=len(where)), np.diff(word_ends)))
+        done = 0
+        for _, counts in split:
+            mine = where[used[done:done + counts.sum()]]
+            done += len(mine)
+            picked, word_ends = gather(offsets, mine)
+            yield np.diff(word_ends[np.concatenate([[0], np.cumsum(counts)])]), self.flat[picked]
+
+    def add(self, ids: np.ndarray, times: np.ndarray | None = None) -> None:
+        self.total += np.bincount(ids, times, minlength=len(self.total)).astype(np.int64)
 
     def encode(self, texts: pa.Array, end_id: int) -> pa.Array:
-        """The ids of each text and the end id, as 32-bit little-endian integers."""
+        """The ids of each text and the end id, as little-endian integers of ``kind``; ``total`` counts them all."""
         out = [pa.array([], pa.binary())]
-        for a, b in slices(texts):
+        for a, b in slices(texts, SLICE):
             part = texts.slice(a, b - a)
             whole = np.full(len(part), not self.by_word)
             for token in self.added:
                 whole |= pc.match_substring(part, token).to_numpy(zero_copy_only=False)
             edges = np.unique(np.concatenate([[0, len(part)], np.flatnonzero(np.diff(whole)) + 1])).tolist()
             for i, j in zip(edges, edges[1:]):
-                if whole[i]:
-                    lists = [e.ids for e in self.library.encode_batch_fast(part.slice(i, j - i).to_pylist(), add_special_tokens=False)]
-                    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-                    ids = np.fromiter((x for ids in lists for x in ids), np.uint32)
-                else:
-                    sizes, ids = self.split_ids(part.slice(i, j - i))
-                ends = np.cumsum(sizes + 1)
-                closed = np.full(ends[-1], end_id, np.uint32)
-                inner = np.ones(len(closed), bool)
-                inner[ends - 1] = False
-                closed[inner] = ids
-                bounds = np.concatenate([[0], 4 * ends]).astype(np.int32)
-                out.append(pa.BinaryArray.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(bounds), pa.py_buffer(closed.astype("<u4"))]))
+                for sizes, ids in self.whole_ids(part.slice(i, j - i)) if whole[i] else self.split_ids(part.slice(i, j - i)):
+                    ends = np.cumsum(sizes + 1)
+                    closed = np.full(ends[-1], end_id, self.kind_of_ids)
+                    inner = np.ones(len(closed), bool)
+                    inner[ends - 1] = False
+                    closed[inner] = ids
+                    bounds = np.concatenate([[0], closed.itemsize * ends]).astype(np.int32)
+                    out.append(pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(closed)]))
+            self.total[end_id] += len(part)
         return pa.concat_arrays(out)
 
+    def whole_ids(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same from the library alone."""
+        for a, b in slices(texts, PIECE):
+            lists = [e.ids for e in self.library.encode_batch_fast(texts.slice(a, b - a).to_pylist(), add_special_tokens=False)]
+            ids = np.fromiter(chain.from_iterable(lists), np.uint32)
+            self.add(ids)
+            yield np.fromiter(map(len, lists), np.int64, len(lists)), ids
+
 
 @dataclass
 class Frequencies:
@@ -237,57 +256,58 @@ class Frequencies:
 
     def __post_init__(self):
         self.cum = np.concatenate([[0], np.cumsum(self.freq)]).astype(np.uint64)[:-1]
+        self.place = np.zeros(int(self.ids.max(initial=0)) + 1, np.int32)
+        self.place[self.ids] = np.arange(len(self.ids))
 
 
 def encode_ids(ids: np.ndarray, table: Frequencies) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words, their number in each block, states and word places of the checkpoints."""
     n, rows = len(ids), -(-len(ids) // BLOCK)
-    if rows == 1:  # no more steps than the ids need
-        steps = -(-n // SEGMENT) * SEGMENT // LANES
-    else:
-        steps = BLOCK // LANES
-    pad = len(table.ids)  # its frequency is the total, so it leaves a state as it is
+    steps = BLOCK // LANES if rows > 1 else -(-n // SEGMENT) * SEGMENT // LANES  # one block takes no more than it needs
+    grid = np.full(rows * steps * LANES, len(table.ids), np.int32)  # what pads a block leaves a state as it is
+    grid[:n] = table.place[ids]
+    grid = np.ascontiguousarray(grid.reshape(rows, steps, LANES).swapaxes(0, 1))
     freq, cum = np.append(table.freq, np.uint64(1 << table.bits)), np.append(table.cum, np.uint64(0))
-    grid = np.full(rows * steps * LANES, pad, np.int64)
-    grid[:n] = np.searchsorted(table.ids, ids)
-    grid = grid.reshape(rows, steps, LANES)
-    shift, limit = np.uint64(table.bits), np.uint64(1 << (63 - table.bits))
+    shift, limit = np.uint64(table.bits), np.uint64(63 - table.bits)
     state = np.full((rows, LANES), LEAST, np.uint64)
     sent, words = np.zeros(grid.shape, bool), np.zeros(grid.shape, np.uint32)
     apart = SEGMENT // LANES
     states = np.zeros((rows, steps // apart, LANES), np.uint64)
     for t in range(steps - 1, -1, -1):
-        f = freq[grid[:, t]]
-        full = state >= f * limit
-        sent[:, t], words[:, t] = full, state & LOW
-        state = np.where(full, state >> WORD, state)
+        f = freq[grid[t]]
+        full = np.greater_equal(state, f << limit, out=sent[t])
+        words[t] = state  # the low half
+        np.right_shift(state, WORD, out=state, where=full)
         times = state // f
-        state = (times << shift) + (state - times * f) + cum[grid[:, t]]
+        state += cum[grid[t]] + times * ((np.uint64(1) << shift) - f)  # times * 2**bits + remainder + cum
         if t % apart == 0:
             states[:, t // apart] = state
-    counts = sent.reshape(-1, apart * LANES).sum(axis=1)
+    sent, words = sent.swapaxes(0, 1), words.swapaxes(0, 1)
+    counts = sent.reshape(rows, -1, apart * LANES).sum(axis=2)
     places = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    return words[sent], counts.reshape(rows, -1).sum(axis=1), states, places
+    return words[sent], counts.sum(axis=1), states, places
 
 
 def decode_ids(words: np.ndarray, states: np.ndarray, places: np.ndarray, table: Frequencies) -> np.ndarray:
     """Ids of all segments, each from its checkpoint; those of a last short segment are followed by others."""
     symbol = np.repeat(np.arange(len(table.ids), dtype=np.int32), table.freq.astype(np.int64))
+    freq, base = table.freq[symbol].astype(np.uint32), np.arange(len(symbol), dtype=np.uint32) - table.cum[symbol].astype(np.uint32)
     state, at = states.reshape(-1, LANES).copy(), places.astype(np.int64).copy()
-    out = np.zeros((len(state), SEGMENT // LANES, LANES), np.int32)
+    out = np.zeros((SEGMENT // LANES, *state.shape), np.int32)
     mask, shift = np.uint64((1 << table.bits) - 1), np.uint64(table.bits)
     words = np.append(words, np.uint32(0)).astype(np.uint64)
-    for t in range(out.shape[1]):
-        slot = state & mask
-        s = symbol[slot.astype(np.int64)]
-        out[:, t] = s
-        state = table.freq[s] * (state >> shift) + slot - table.cum[s]
+    for t in range(len(out)):
+        slot = (state & mask).astype(np.int32)
+        out[t] = symbol[slot]
+        state >>= shift
+        state *= freq[slot]
+        state += base[slot]
         short = state < LEAST
-        taken = np.cumsum(short, axis=1)
+        taken = np.cumsum(short, axis=1, dtype=np.int32)
         where = np.minimum(at[:, None] + taken - short, len(words) - 1)
         state = np.where(short, state << WORD | words[where], state)
         at += taken[:, -1]
-    return table.ids[out.reshape(-1)]
+    return table.ids[out.swapaxes(0, 1).reshape(-1)]
 
 
 def _crcs(values: np.ndarray, sizes: np.ndarray) -> list[int]:
@@ -300,27 +320,36 @@ def _block_sizes(n: int) -> np.ndarray:
     return np.minimum(BLOCK, n - np.arange(0, n, BLOCK))
 
 
-def _pack(table: Frequencies):
+def _pack(table: Frequencies, kind: str):
     """Task function: chunk rows from sorted documents (doc_id, ids)."""
-    def row(part, chunk, ahead, docs, lists):
-        ids = np.frombuffer(b"".join(lists), "<u4")
+    width = np.dtype(kind).itemsize
+
+    def row(part, chunk, ahead, docs, sizes, pieces):
+        ids = np.concatenate(pieces)
         words, per_block, states, places = encode_ids(ids, table)
-        values = [part, chunk, ahead, len(ids), docs, [len(x) // 4 for x in lists], words.astype("<u4").tobytes(),
+        values = [part, chunk, ahead, len(ids), np.concatenate(docs), np.concatenate(sizes), words.astype("<u4").tobytes(),
                   states.astype("<u8").tobytes(), places, _crcs(words, per_block), _crcs(ids, _block_sizes(len(ids)))]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, CHUNK_ROW)], schema=CHUNK_ROW)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, chunk, ahead, size, docs, lists = TaskContext.get().partitionId(), 0, 0, 0, [], []
+        part, chunk, ahead, size, docs, sizes, pieces = TaskContext.get().partitionId(), 0, 0, 0, [], [], []
         for batch in parts:
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
-                docs.append(doc)
-                lists.append(ids.as_buffer().to_pybytes())
-                size += len(lists[-1]) // 4
+            lists = batch.column(1)
+            ends = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset:lists.offset + len(lists) + 1].astype(np.int64) // width
+            ids, names, start = np.frombuffer(lists.buffers()[2], kind), np.array(batch.column(0).to_pylist(), object), 0
+            while start < len(lists):
+                stop = min(max(start, int(np.searchsorted(ends, ends[start] + CHUNK - size))), len(lists) - 1) + 1 if size < CHUNK else start + 1
+                stop = min(stop, len(lists))
+                docs.append(names[start:stop])
+                sizes.append(np.diff(ends[start:stop + 1]))
+                pieces.append(ids[ends[start]:ends[stop]].copy())
+                size += len(pieces[-1])
+                start = stop
                 if size >= CHUNK:
-                    yield row(part, chunk, ahead, docs, lists)
-                    chunk, ahead, size, docs, lists = chunk + 1, ahead + size, 0, [], []
+                    yield row(part, chunk, ahead, docs, sizes, pieces)
+                    chunk, ahead, size, docs, sizes, pieces = chunk + 1, ahead + size, 0, [], [], []
         if docs:
-            yield row(part, chunk, ahead, docs, lists)
+            yield row(part, chunk, ahead, docs, sizes, pieces)
     return run
 
 
@@ -347,32 +376,29 @@ def _unpack(table: Frequencies):
 
 
 def with_ids(docs: DataFrame, spec: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, row (a number of its own) and ids (32-bit little endian, end id last) of every document."""
+    """doc_id, row (a number of its own) and ids (little endian, end id last, 16 bits where the vocabulary allows) of every document.
+
+    Each task ends with a row that has no ids but how often it met each: id_seen, n_seen.
+    """
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(spec)
+        encoder, names = TextEncoder(spec, end_id), ["doc_id", "row", "ids", "id_seen", "n_seen"]
+        longs = pa.list_(pa.int64())
         for part in parts:
-            texts = part.column(2).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), encoder.encode(texts, end_id)], ["doc_id", "row", "ids"])
+            ids, none = encoder.encode(part.column(2).cast(pa.string()), end_id), pa.nulls(len(part), longs)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids, none, none], names)
+        seen = np.flatnonzero(encoder.total)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                                          pa.array([seen], longs), pa.array([encoder.total[seen]], longs)], names)
 
     text = F.coalesce(F.make_valid_utf8(F.col(text_col).cast("string")), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, row bigint, ids binary")
+    return rows.mapInArrow(run, "doc_id bigint, row bigint, ids binary, id_seen array<bigint>, n_seen array<bigint>")
 
 
 def counted(rows: DataFrame) -> dict[int, int]:
     """How often each id occurs; as many entries as the vocabulary has, at most."""
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
-        for part in parts:
-            for ids in part.column(0):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=len(total))
-                found[:len(total)] += total
-                total = found
-        id_ = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(id_), pa.array(total[id_])], ["id", "n"])
-
-    rows = rows.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
-    return {r["id"]: r["n"] for r in rows.collect()}
+    seen = rows.select(F.explode(F.arrays_zip("id_seen", "n_seen")).alias("s")).groupBy("s.id_seen").agg(F.sum("s.n_seen").alias("n"))
+    return {r["id_seen"]: r["n"] for r in seen.collect()}
 
 
 def write_ids(docs: DataFrame, path: str, spec: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -383,8 +409,9 @@ def write_ids(docs: DataFrame, path: str, spec: str, end_id: int, id_col: str =
     spark.createDataFrame([(table.bits, i, f) for i, f in zip(table.ids.tolist(), table.freq.tolist())],
                           "bits int, id bigint, freq bigint").coalesce(1).write.parquet(f"{path}/table")
     place = ("doc_id", F.crc32("ids"), "row")  # the row number lets ranges cut through one id
-    dealt = rows.repartitionByRange(*place).sortWithinPartitions(*place).select("doc_id", "ids")
-    dealt.mapInArrow(_pack(table), CHUNK_DDL).write.parquet(f"{path}/chunks", compression="none")
+    dealt = rows.filter("ids is not null").select("doc_id", "ids", "row").repartitionByRange(*place).sortWithinPartitions(*place)
+    kind = TextEncoder(spec, end_id).kind_of_ids
+    dealt.select("doc_id", "ids").mapInArrow(_pack(table, kind), CHUNK_DDL).write.parquet(f"{path}/chunks", compression="none")
     parts = spark.read.schema(CHUNK_DDL).parquet(f"{path}/chunks").groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"))
     ahead = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     (parts.select("part", (ahead - F.col("n_tokens")).alias("first"), "n_tokens")  # a row for each file

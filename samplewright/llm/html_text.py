@@ -4,15 +4,18 @@ A page is cut into text blocks at block-level tags.  A linear classifier gives e
 block a cost for either label from its nearest telling ancestor, its own tag, its length,
 its links and its sentences; the costs are the capacities to the two terminals.
 A class or id tells by a whole name or a compound of known words, not by any word in it.
-Outside articles such a name decides what is below it; inside one it only lowers the score,
-which long blocks of several sentences outweigh, and counts on block-level elements only
-(a word in mid-sentence stays) and not as the id of a heading or section.
+Outside articles such a name decides what is below it.  Inside one it counts on block-level
+elements only (a word in mid-sentence stays) and not as the id of a heading or section; the name of
+a container that no article has a part of (comments, adverts, newsletters, notices) decides there
+too, and a word that may be a topic (legal, search, reply) only lowers the score, which
+long blocks of several sentences outweigh.
 Neighbouring blocks are joined by edges that weaken with their distance in the
 document tree, and so are successive blocks of one parent.  The minimum cut
 separates content from boilerplate, by maximum flow over what is left after blocks
 whose cost exceeds all their edges have been fixed (which no minimum cut contradicts).
 
-A page is one row; nothing is shuffled.
+A page is one row; nothing is shuffled.  Time and memory grow with the page's length, however
+deeply it nests and whatever it leaves open.
 
 Defined results: null and empty pages, and pages without content, have the empty
 text; what scripts, styles, comments, forms and hidden elements hold is never
@@ -24,6 +27,7 @@ badly nested tags never fail; repeated rows give repeated results.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import deque
 from html import unescape
 
@@ -53,6 +57,8 @@ cookie cookies consent gdpr notice notices alert popup modal overlay sidebar sid
 breadcrumbs footer masthead topbar comment comments commentlist reply replies respond disqus related recommended recommendations
 share sharing social newsletter subscribe subscription signup login search widget widgets pagination pager toolbar copyright
 legal disclaimer feedback""".split())
+#: Those that may be what an article is about.
+TOPICS = frozenset("alert banner copyright disclaimer feedback header legal login menu menus navigation overlay pager reply replies respond search side signup social toolbar".split())
 #: Words that a compound such as comments-area or site-footer-links may have besides those.
 LAYOUT = GOOD_NAMES | frozenset("""a aside area b bar block body bottom box btn button buttons center col column container desktop element
 entries fixed foot global grid group holder icon icons id inline inner item items js label large layout left level link links list
@@ -60,8 +66,9 @@ mobile module outer page panel parent placeholder position posts primary rail re
 slot small sticky tab tabs text thread title top unit user users view wrap wrapper x header""".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*+(?:\"[^\"]*\"[^>\"']*+|'[^']*'[^>\"']*+)*+)>"
-                 r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>?", re.S)
+NAMED_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+QUOTED = re.compile(r"[^>\"']*+(?:\"[^\"]*\"[^>\"']*+|'[^']*'[^>\"']*+)*+>")
+SPECIAL = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=/>\"'][^\s=/>]*+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?。！？](?:\s|$)")
@@ -73,11 +80,32 @@ NAMED, NAMED_LENGTH, NAMED_ENDS = 9.0, 4.0, 4
 ADJACENT, SIBLING = 1.2, 0.4
 
 
+class Node:
+    """A place in the document tree: the block-level elements around a text."""
+
+    __slots__ = ("parent", "depth")
+
+    def __init__(self, parent: Node | None):
+        self.parent, self.depth = (parent, parent.depth + 1) if parent else (self, 0)
+
+    def distance(self, other: Node) -> int:
+        """Steps in the tree from one place to the other; only what was closed and opened in between is walked."""
+        a, b, steps = self, other, 0
+        while a is not b:
+            if a.depth >= b.depth:
+                a = a.parent
+            else:
+                b = b.parent
+            steps += 1
+        return steps
+
+
 class Element:
-    __slots__ = ("tag", "side", "dead", "path", "inside", "named")
+    __slots__ = ("tag", "side", "dead", "node", "inside", "named", "block", "scopes")
 
-    def __init__(self, tag: str, side: int, dead: bool, path: tuple, inside: bool, named: bool):
-        self.tag, self.side, self.dead, self.path, self.inside, self.named = tag, side, dead, path, inside, named
+    def __init__(self, tag: str, side: int, dead: bool, node: Node, inside: bool, named: bool, block: str, scopes: int):
+        self.tag, self.side, self.dead, self.node, self.inside, self.named = tag, side, dead, node, inside, named
+        self.block, self.scopes = block, scopes  # the nearest block-level tag, and how many elements from the root on bound implied ends
 
     def splits(self, parent: Element) -> bool:
         """Whether its text is not of one block with its parent's; what a dead one in mid-sentence holds just goes."""
@@ -85,10 +113,10 @@ class Element:
 
 
 class Block:
-    __slots__ = ("text", "links", "tag", "side", "path", "named")
+    __slots__ = ("text", "links", "tag", "side", "node", "named")
 
-    def __init__(self, text: str, links: int, tag: str, side: int, path: tuple, named: bool):
-        self.text, self.links, self.tag, self.side, self.path, self.named = text, links, tag, side, path, named
+    def __init__(self, text: str, links: int, tag: str, side: int, node: Node, named: bool):
+        self.text, self.links, self.tag, self.side, self.node, self.named = text, links, tag, side, node, named
 
     def score(self) -> float:
         """Cost of calling the block boilerplate, less that of calling it content."""
@@ -106,21 +134,24 @@ class Block:
         return value
 
 
-def _boilerplate(value: str, inside: bool) -> bool:
-    """Whether one of the names is of boilerplate, or a compound of such and layout words."""
+def _boilerplate(value: str, inside: bool) -> int:
+    """2 if one of the names is of a container that is never content, or a compound of such and layout words; 1 if it may be a topic; else 0."""
+    found = 0
     for name in value.split():
         words = set(NAME.findall(name))
         bad = words & BAD_NAMES or not inside and "header" in words
         if bad and words <= BAD_NAMES | LAYOUT:
-            return True
-    return False
+            found = max(found, 1 if words & BAD_NAMES <= TOPICS else 2)
+    return found
 
 
-def _opened(tag: str, attributes: str, parent: Element, serial: int) -> Element:
+def _opened(tag: str, attributes: str, parent: Element) -> Element:
     """What an element says about the text inside it."""
     side, dead, inside, named = parent.side, parent.dead or tag in DEAD, parent.inside, parent.named
     if tag in GOOD_TAGS:
-        side, inside = 1, True
+        if not (parent.inside and parent.side < 0):  # a comment in a list of comments may be an article
+            side = 1
+        inside = True
     elif tag in BAD_TAGS or tag == "header" and not inside:
         side = -1
     if attributes and not attributes.isspace():
@@ -128,11 +159,12 @@ def _opened(tag: str, attributes: str, parent: Element, serial: int) -> Element:
         section = tag in HEADINGS or tag == "section" or any(key == "class" and "section" in value.split() for key, value in found)
         for key, value in found:
             if key in ("class", "id", "itemprop") and tag not in ("html", "body"):
-                if _boilerplate(value, inside) and not (key == "id" and section and (inside or tag in HEADINGS)):
-                    if parent.inside:
-                        named = named or tag in BLOCK
-                    else:
+                bad = _boilerplate(value, inside)
+                if bad and not (key == "id" and section and (inside or tag in HEADINGS)):
+                    if not parent.inside or bad > 1 and tag in BLOCK:
                         side = -1
+                    else:
+                        named = named or tag in BLOCK
                 elif not GOOD_NAMES.isdisjoint(NAME.findall(value)) and side == parent.side == 0:
                     side, inside = 1, True
             elif key == "role":
@@ -143,53 +175,135 @@ def _opened(tag: str, attributes: str, parent: Element, serial: int) -> Element:
                 dead = dead or value == "true"
             elif key == "hidden":
                 dead = True
-    return Element(tag, side, dead, (*parent.path, serial) if tag in BLOCK else parent.path, inside, named)
+    block = tag in BLOCK
+    return Element(tag, side, dead, Node(parent.node) if block else parent.node, inside, named,
+                   tag if block else parent.block, parent.scopes + (tag in SCOPES))
+
+
+class Tags:
+    """The tags, comments and declarations of a page, each found once."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.places: list[int] | None = None
+
+    def end(self, at: int) -> int:
+        """Where a tag whose attributes begin at ``at`` ends: behind the first ``>`` outside quotes, or else behind the first."""
+        if self.places is None:
+            found = QUOTED.match(self.page, at)
+            if found:
+                return found.end()
+            self._plan()
+        k = bisect_left(self.places, at)
+        stop = self.closing[k] if k < len(self.places) else -1
+        return (stop if stop >= 0 else self.page.find(">", at)) + 1
+
+    def _plan(self) -> None:
+        """For each quote and ``>``, the ``>`` that ends a tag if it stands outside quotes; in one pass from the back."""
+        marks = [(m.start(), m.group()) for m in SPECIAL.finditer(self.page)]
+        self.places, self.closing = [p for p, _ in marks], [-1] * len(marks)
+        after = {'"': -1, "'": -1}
+        for k in range(len(marks) - 1, -1, -1):
+            place, mark = marks[k]
+            if mark == ">":
+                self.closing[k] = place
+            else:
+                j = after[mark]
+                self.closing[k] = self.closing[j + 1] if 0 <= j < len(marks) - 1 else -1
+                after[mark] = k
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start, end, slash, name and attributes of what follows; the name is empty for comments and declarations."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            if page.startswith("<!--", start):
+                stop = page.find("-->", start + 4)
+                return start, (stop + 3 if stop >= 0 else len(page)), "", "", ""
+            if page.startswith(("<!", "<?"), start):
+                stop = page.find(">", start)
+                return start, (stop + 1 if stop >= 0 else len(page)), "", "", ""
+            if start > self.last:
+                at = start + 1
+                continue
+            found = NAMED_TAG.match(page, start)
+            if not found:
+                at = start + 1
+                continue
+            stop = self.end(found.end())
+            return start, stop, found.group(1), found.group(2).lower(), page[found.end():stop - 1]
+        return None
+
+
+class Stack:
+    """The open elements, with where each tag stands, so that no tag is looked for."""
+
+    def __init__(self):
+        self.open = [Element("", 0, False, Node(None), False, False, "", 0)]
+        self.places: dict[str, list[int]] = {}
+        self.bounds = [0]
+
+    def top(self) -> Element:
+        return self.open[-1]
+
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.tag, []).append(len(self.open))
+        if element.tag in SCOPES:
+            self.bounds.append(len(self.open))
+        self.open.append(element)
+
+    def place(self, tag: str) -> int:
+        """The place of the innermost ``tag``, 0 if none is open."""
+        found = self.places.get(tag)
+        return found[-1] if found else 0
+
+    def cut(self, place: int) -> None:
+        for element in self.open[place:]:
+            self.places[element.tag].pop()
+        del self.open[place:]
+        while self.bounds[-1] >= place:
+            self.bounds.pop()
 
 
 def blocks_of(page: str) -> list[Block]:
     """The visible text blocks of a page, in order."""
-    stack = [Element("", 0, False, (), False, False)]
+    stack, tags = Stack(), Tags(page)
     blocks: list[Block] = []
     pieces: list[str] = []
-    state = {"links": 0, "tag": ""}
-    links_open = 0
+    links, block_tag = 0, ""
 
     def flush() -> None:
+        nonlocal links
         text = " ".join(unescape("".join(pieces)).split())
         if text:
-            top = stack[-1]
-            blocks.append(Block(text, min(state["links"], len(text)), state["tag"], top.side, top.path, top.named))
+            top = stack.top()
+            blocks.append(Block(text, min(links, len(text)), block_tag, top.side, top.node, top.named))
         pieces.clear()
-        state["links"] = 0
+        links = 0
 
     def add(text: str) -> None:
-        if text and not stack[-1].dead:
+        nonlocal links
+        if text and not stack.top().dead:
             pieces.append(text)
-            if links_open and not text.isspace():
-                state["links"] += len(text.strip())
-
-    at, serial, n = 0, 0, len(page)
-    while at < n:
-        found = TAG.search(page, at)
-        if found is None:
-            add(page[at:])
-            break
-        add(page[at:found.start()])
-        at = found.end()
-        close, tag, attributes = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
+            if stack.place("a") and not text.isspace():
+                links += len(text.strip())
+
+    at = 0
+    while (found := tags.next(at)) is not None:
+        start, stop, close, tag, attributes = found
+        add(page[at:start])
+        at = stop
         if not tag:
             continue
-        tag = tag.lower()
-        serial += 1
         if close:
-            if tag == "br" or tag == "p" and all(e.tag != "p" for e in stack):
+            place = stack.place(tag)
+            if tag == "br" or tag == "p" and not place:
                 add(" ")
                 continue
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if not place or tag not in BLOCK and any(e.tag in SCOPES for e in stack[place + 1:]):
+            if not place or tag not in BLOCK and stack.top().scopes > stack.open[place].scopes:
                 continue
-            if any(e.tag in BLOCK or e.splits(stack[place - 1]) for e in stack[place:]):
+            if any(e.tag in BLOCK or e.splits(stack.open[place - 1]) for e in stack.open[place:]):
                 flush()
+            stack.cut(place)
         else:
             if tag in VOID:
                 if tag == "hr":
@@ -199,47 +313,68 @@ def blocks_of(page: str) -> list[Block]:
                 continue
             if tag in RAW:
                 end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
-                at = end.end() if end else n
+                at = end.end() if end else len(page)
                 continue
             if tag in BLOCK:
                 flush()
-                ends = {"p"} | CLOSES.get(tag, set())
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag in ends:
-                        del stack[i:]
-                        break
-                    if stack[i].tag in SCOPES:
-                        break
-            element = _opened(tag, attributes, stack[-1], serial)
-            if element.splits(stack[-1]):
+                ended = max(map(stack.place, {"p"} | CLOSES.get(tag, set())))
+                if ended and ended >= stack.bounds[-1]:
+                    stack.cut(ended)
+            element = _opened(tag, attributes, stack.top())
+            if element.splits(stack.top()):
                 flush()
-            stack.append(element)
-        if close:
-            del stack[place:]
-        links_open = sum(e.tag == "a" for e in stack)
-        state["tag"] = next((e.tag for e in reversed(stack) if e.tag in BLOCK), "")
+            stack.push(element)
+        block_tag = stack.top().block
+    add(page[at:])
     flush()
     return blocks
 
 
 def edges_of(blocks: list[Block]) -> list[tuple[int, int, float]]:
     """Smoothness edges: of page neighbours, by their distance in the tree, and of one parent's successive blocks."""
-    edges, last = [], {}
+    edges: list[tuple[int, int, float]] = []
+    last: dict[Node, int] = {}
     for i, block in enumerate(blocks):
         if i:
-            a, b, common = blocks[i - 1].path, block.path, 0
-            for x, y in zip(a, b):
-                if x != y:
-                    break
-                common += 1
-            edges.append((i - 1, i, ADJACENT / (1 + len(a) + len(b) - 2 * common)))
-        parent = block.path[:-1]
+            edges.append((i - 1, i, ADJACENT / (1 + blocks[i - 1].node.distance(block.node))))
+        parent = block.node.parent
         if last.get(parent, i) < i - 1:
             edges.append((last[parent], i, SIBLING))
         last[parent] = i
     return edges
 
 
+def _source_side(part: list[int], value: list[float], links: list[list[tuple[int, float]]], side: list[int]) -> set[int]:
+    """The open nodes of ``part`` that residual capacity still reaches from the source after maximum flow."""
+    source, sink = -1, -2
+    room: dict[int, dict[int, float]] = {i: {} for i in (*part, source, sink)}
+    for i in part:
+        for j, w in links[i]:
+            if not side[j]:
+                room[i][j] = room[i].get(j, 0.0) + w
+        a, b = (source, i) if value[i] > 0 else (i, sink)
+        if value[i]:
+            room[a][b], room[b][a] = abs(value[i]), 0.0
+    while True:
+        came, queue = {source: source}, deque([source])
+        while queue and sink not in came:
+            a = queue.popleft()
+            for b, w in room[a].items():
+                if w > 1e-9 and b not in came:
+                    came[b] = a
+                    queue.append(b)
+        if sink not in came:
+            return set(came)
+        path, b = [], sink
+        while b != source:
+            path.append((came[b], b))
+            b = came[b]
+        flow = min(room[a][b] for a, b in path)
+        for a, b in path:
+            room[a][b] -= flow
+            room[b][a] = room[b].get(a, 0.0) + flow
+
+
 def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """True for the nodes on the side of the source in the least minimum cut.
 
@@ -261,37 +396,20 @@ def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> lis
             if not side[j]:
                 value[j] += w * side[i]
                 waiting.append(j)
-    left = [i for i in range(n) if not side[i]]
-    if left:
-        source, sink = n, n + 1
-        room: dict[int, dict[int, float]] = {i: {} for i in (*left, source, sink)}
-        for i in left:
-            for j, w in links[i]:
-                if not side[j]:
-                    room[i][j] = room[i].get(j, 0.0) + w
-            a, b = (source, i) if value[i] > 0 else (i, sink)
-            if value[i]:
-                room[a][b], room[b][a] = abs(value[i]), 0.0
-        while True:
-            came, queue = {source: source}, deque([source])
-            while queue and sink not in came:
-                a = queue.popleft()
-                for b, w in room[a].items():
-                    if w > 1e-9 and b not in came:
-                        came[b] = a
-                        queue.append(b)
-            if sink not in came:
-                break
-            path, b = [], sink
-            while b != source:
-                path.append((came[b], b))
-                b = came[b]
-            flow = min(room[a][b] for a, b in path)
-            for a, b in path:
-                room[a][b] -= flow
-                room[b][a] = room[b].get(a, 0.0) + flow
-        for i in left:
-            side[i] = 1 if i in came else -1
+    for start in range(n):
+        if side[start]:
+            continue
+        part, queue = [start], [start]  # what is joined by edges between open nodes is settled by itself
+        met = {start}
+        while queue:
+            for j, _ in links[queue.pop()]:
+                if not side[j] and j not in met:
+                    met.add(j)
+                    part.append(j)
+                    queue.append(j)
+        reached = _source_side(part, value, links, side)
+        for i in part:
+            side[i] = 1 if i in reached else -1
     return [s > 0 for s in side]
 
 

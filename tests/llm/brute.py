@@ -138,3 +138,64 @@ def tiles(doc, item, least=5):
         for k in range(n):
             in_doc[a + k] = in_item[b + k] = True
         covered += n
+
+
+def spelling(docs, noise=199):
+    """word -> (form, root, n, n_near, form_n)"""
+    import zlib
+    from collections import Counter
+    count = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % noise == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1:]
+            count[run] += 1
+    n = {w: c for w, c in count.items() if len(w) >= 6 and c >= 5}
+
+    def one_edit(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        if len(a) > len(b):
+            a, b = b, a
+        return len(b) - len(a) == 1 and any(b[:k] + b[k + 1:] == a for k in range(len(b)))
+
+    near = {w: [v for v in n if v != w and one_edit(w, v)] for w in n}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 5 * n[w] else None
+    out = {}
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None)
+    return out
+
+
+def ranked(docs, items, k=20):
+    """Rows (item row, rank, doc_id, score) of every item with a text."""
+    import math
+    from collections import Counter
+
+    def terms(text):
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+    rows = [(i, Counter(terms(t))) for i, t in docs if terms(t)]
+    total, length = len(rows), sum(sum(c.values()) for _, c in rows)
+    df = Counter(t for _, c in rows for t in c)
+    out = []
+    for row, (_, text) in enumerate(items):
+        asked, scores = Counter(terms(text)), []
+        for i, c in rows:
+            m = 100 - 25 + (25 * sum(c.values()) * total) // length
+            s = sum(r * math.floor(1000 * math.log((2 * total + 2) / (2 * df[t] + 1))) * (1000000000 * c[t] // (1000 * c[t] + 12 * m))
+                    for t, r in asked.items() if c[t])
+            if s > 0:
+                scores.append((-s, i is None, i))
+        out += [(row, r, i, -s) for r, (s, _, i) in enumerate(sorted(scores, key=lambda x: (x[0], x[1], x[2] or 0))[:k], 1)]
+    return out

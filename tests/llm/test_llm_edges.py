@@ -280,7 +280,7 @@ def test_names_inside_articles():
             long.strip(), "A ready reply in mid-sentence stays whole.", "Area a = πr2 holds."]
     page = f"""<body><div class="has-sidebar"><article><h2 id="legal-status">{keep[0]}</h2><p>{keep[1]}</p>
 <section id="social-impact"><h2 id="social">{keep[2]}</h2><p>{keep[3]}</p></section><div id="search-algorithms"><h3>{keep[4]}</h3></div>
-<div class="section" id="comments"><h2>{keep[5]}</h2><p>{keep[6]}</p></div><div class="notice"><p>{keep[7]}</p></div>
+<div class="section" id="comments"><h2>{keep[5]}</h2><p>{keep[6]}</p></div><div class="legal"><p>{keep[7]}</p></div><div class="notice"><p>{long}</p></div>
 <p>A ready <span class="reply">reply</span> in mid-sentence stays whole.</p><div class="ad-box-2">Buy this now! Really.</div>
 <p>Area <math><semantics><mi>a</mi> <mo>=</mo> <mi>πr</mi><mn>2</mn><annotation>TeX</annotation></semantics></math> holds.</p>
 <div class="social-share-buttons"><p>Share this with your friends.</p></div><div class="comments-area"><p>I like it very much.</p></div>
@@ -288,6 +288,36 @@ def test_names_inside_articles():
     assert html_text.main_text(page).split("\n") == keep
 
 
+WRAPPERS = ["<section class=comments><p>{}</p></section>", "<div id=comments><div class=comment><p>{}</p></div></div>", "<div class=advert>{}</div>",
+            "<div class='ad'><p>{}</p></div>", "<div class=newsletter><p>{}</p></div>", "<div class=cookie-notice><p>{}</p></div>",
+            "<div class='notice'><p>{}</p></div>", "<div class=related-posts><ul><li>{}</li></ul></div>", "<div class=sponsored><p>{}</p></div>",
+            "<div class=share-buttons>{}</div>", "<div class=comments-area><article class=comment><p>{}</p></article></div>", "<div class=consent>{}</div>",
+            "<ol class=commentlist><li class=comment><article><p>{}</p></article></li></ol>"]
+
+
+@pytest.mark.parametrize("sentences", [1, 3, 10])
+@pytest.mark.parametrize("container", ["article", "main", "div class=content"])
+def test_boilerplate_inside_articles_goes(container, sentences):
+    """Reader comments, adverts and notices go however long they are; what stands around them stays."""
+    said = "I read this one with a great deal of interest last night. " * sentences
+    body = ["A heading", "The first paragraph of the text says something. It has two sentences.", "Short one.", "The last paragraph closes the matter for good."]
+    for wrapper in WRAPPERS:
+        parts = [f"<h1>{body[0]}</h1><p>{body[1]}</p>", f"<p>{body[2]}</p>", f"<h2 id=legal-notice>{body[0]}</h2><p>{body[3]}</p>"]
+        page = f"<body><{container}>{parts[0]}{wrapper.format(said)}{parts[1]}{parts[2]}{wrapper.format(said)}</{container.split()[0]}></body>"
+        assert html_text.main_text(page).split("\n") == [*body[:3], body[0], body[3]], wrapper
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<div>t", "<a ", '<a t="x>', "<a<a", "<b>x<i>", "<b><div></b>", "<tr><td>x", "<p><span>y. ", "'<b \"", "<!", "</p>"])
+def test_long_odd_pages_take_little(piece):
+    """A megabyte of nesting, open tags or open quotes takes time and memory in proportion."""
+    import resource
+    import time
+    before, start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.process_time()
+    html_text.main_text(piece * (1_000_000 // len(piece)))
+    assert time.process_time() - start < 8
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600 << 10
+
+
 def test_hidden_is_an_attribute_only():
     shown = ['title="The Hidden Fortress"', "title='a hidden track'", 'class="a hidden md"', 'alt="x hidden"', 'data-x="style=display:none hidden"',
              "data-hidden=1", 'title="role=search id=ad" lang=en', 'aria-hidden="false"', 'title=" hidden " / ']

@@ -34,39 +34,79 @@ def test_history_state_across_micro_batches(spark, tmp_path):
     conv.filter("turn < 2").coalesce(1).write.parquet(src + "/a")
     conv.filter("turn >= 2").coalesce(1).write.parquet(src + "/b")
     s = SS.stream_history(spark, src + "/*", CONVS, max_files_per_trigger=1)
-    got = spark.read.parquet(SS.run_to_table(spark, s, "h")).select("session", "turn", "n_messages", "prompt")
+    got = SS.latest_prompts(spark.read.parquet(SS.run_to_table(spark, s, "h")))
     want = H.history_prompts(H.live_messages(H.sessions_from_turns(conv))).select(
         "session", "turn", "n_messages", "prompt")
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_ended_and_silent_sessions_leave_no_messages():
-    """State of an ended session is empty, and a timeout removes it."""
-    import pandas as pd
+class State:
+    """A group's state without a query."""
 
-    from samplewright.streaming import stream as SS
+    def __init__(self):
+        self.value, self.hasTimedOut, self.ttl = None, False, None
 
-    class State:
-        def __init__(self):
-            self.value, self.hasTimedOut, self.ttl = None, False, None
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
 
-        exists = property(lambda self: self.value is not None)
-        get = property(lambda self: self.value)
+    def update(self, value):
+        self.value = value
 
-        def update(self, value):
-            self.value = value
+    def remove(self):
+        self.value = None
 
-        def remove(self):
-            self.value = None
+    def setTimeoutDuration(self, ms):
+        self.ttl = ms
 
-        def setTimeoutDuration(self, ms):
-            self.ttl = ms
 
-    fold, state = SS._history_fn(1, 60_000), State()
-    rows = pd.DataFrame([(0, "user", "a"), (1, "assistant", "b"), (2, "user", "c"), (3, "user", " /EXIT ")], columns=["turn", "role", "text"])
-    out = pd.concat(list(fold((7,), iter([rows[:2], rows[2:]]), state)))
-    assert out["turn"].tolist() == [0, 2] and state.value == ([], [], True) and state.ttl == 60_000
-    assert list(fold((7,), iter([pd.DataFrame([(4, "user", "late")], columns=["turn", "role", "text"])]), state)) == []
+def arrive(fold, state, rows):
+    import pandas as pd
+    return list(fold((7,), iter([pd.DataFrame(rows, columns=["turn", "role", "text"])]), state))
+
+
+def made_session(rng, n):
+    """Turns with blanks, nulls, gaps and now and then an exit."""
+    out = []
+    for turn in sorted(rng.sample(range(3 * n), n)):
+        role = rng.choice(["user", "user", "assistant"])
+        text = rng.choice(["hi", " a question ", "", " \t", None, f"text {turn}", "/exit now"] + (["/QUIT "] if rng.random() < 0.1 else []))
+        out.append((turn, role, text))
+    return out
+
+
+@pytest.mark.parametrize("h", [1, 3, 0])
+def test_any_order_of_arrival_gives_the_batch_prompts(spark, h):
+    import random
+    rng, rows, want = random.Random(h), [], {}
+    for session in range(40):
+        turns = made_session(rng, rng.randrange(1, 25))
+        rows += [(session, *t) for t in turns]
+        fold, state, revisions = SS._history_fn(h, None, None), State(), {}
+        rng.shuffle(turns)
+        while turns:  # a micro-batch of one to four turns
+            n = rng.randrange(1, 5)
+            now, turns = turns[:n], turns[n:]
+            for out in arrive(fold, state, now):
+                for r in out.itertuples():
+                    revisions[r.turn] = (None if r.prompt is None else (int(r.n_messages), r.prompt))
+        want.update({(session, t): p for t, p in revisions.items() if p is not None})
+    table = spark.createDataFrame(rows, "session long, turn long, role string, text string")
+    batch = H.history_prompts_joined(H.live_messages_bucketed(table), h)
+    got = {(r.session, r.turn): (r.n_messages, r.prompt) for r in batch.collect()}
+    assert got == want and got
+
+
+def test_state_stays_bounded_and_empties():
+    """With a bound on lateness a long session keeps what can still matter; a timeout removes it."""
+    fold, state = SS._history_fn(2, 10, 60_000), State()
+    for turn in range(500):
+        arrive(fold, state, [(turn, "user" if turn % 2 == 0 else "assistant", f"m{turn}")])
+        assert len(state.value[0]) <= 4 + 11
+    assert state.ttl == 60_000
+    late = arrive(fold, state, [(495, "assistant", "said late")])
+    assert late[0]["turn"].tolist() == [496, 498] and "said late" in late[0]["prompt"][0]
+    assert arrive(fold, state, [(501, "user", " /EXIT ")])[0]["prompt"].tolist() == [None]
+    assert arrive(fold, state, [(502, "user", "after")])[0]["prompt"].tolist() == [None]
     state.hasTimedOut = True
     assert list(fold((7,), iter([]), state)) == [] and not state.exists

@@ -72,15 +72,49 @@ def token_labels(start_ids: list[int], end_ids: list[int], max_length: int):
     return labels
 
 
+def marker_label_expr(ids: Column, start: list[int], end: list[int], max_length: int) -> Column:
+    """P17b without Python: the same labels as ``marker_labels`` from array functions.
+
+    Markers are compared where their first id stands; one fold over the few start markers pairs
+    each with the next end and skips those inside a reply; the labels are joined from runs of -100
+    and slices of the ids, so the cost is that of the ids once, not once for every reply.
+    """
+    def places(marker: list[int], x: Column) -> Column:
+        last = F.size(x) - len(marker)
+        here = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: (F.get(x, i) == marker[0])
+                        & (F.slice(x, i + 1, F.lit(len(marker))) == F.array(*[F.lit(t) for t in marker])))
+        return F.when(last >= 0, here).otherwise(F.array().cast("array<int>"))
+
+    def segments(x: Column, closes: Column) -> Column:
+        def step(acc: Column, o: Column) -> Column:
+            nearest = F.try_element_at(F.filter(closes, lambda c: c >= o + len(start)), F.lit(1))
+            stop = F.least(F.coalesce(nearest + len(end), F.size(x)), F.size(x))
+            opened = F.struct(stop.alias("free"), F.concat(acc["spans"], F.array(F.struct(
+                acc["free"].alias("gap"), (o + len(start)).alias("a"), stop.alias("b")))).alias("spans"))
+            return F.when(o >= acc["free"], opened).otherwise(acc)
+
+        nothing = F.struct(F.lit(0).alias("free"), F.array().cast("array<struct<gap:int,a:int,b:int>>").alias("spans"))
+        found = F.aggregate(places(start, x), nothing, step)
+        return T.let(found, lambda f: F.concat(
+            F.flatten(F.transform(f["spans"], lambda s: F.concat(
+                F.array_repeat(F.lit(T.IGNORE_INDEX), s["a"] - s["gap"]), F.slice(x, s["a"] + 1, s["b"] - s["a"])))),
+            F.array_repeat(F.lit(T.IGNORE_INDEX), F.size(x) - f["free"])))
+
+    def cut(labels: Column) -> Column:
+        return F.concat(F.slice(labels, 1, max_length), F.array_repeat(F.lit(T.IGNORE_INDEX), F.size(labels) - max_length))
+
+    return T.let(ids, lambda x: T.let(places(end, x), lambda closes: T.let(segments(x, closes), cut)))
+
+
 def sft_plugin_arrays(prompt: Column, encode_udf, start_ids: list[int], end_ids: list[int],
                       max_length: int, pad_id: int = T.PAD_ID):
     """(input_ids, labels, attention_mask) for a rendered chat with a plug-in tokenizer.
 
     Cut to ``max_length`` (nothing reserved), pad, then scan the padded ids, as the
-    reference does.  The mask and padding stay SQL expressions.
+    reference does.  Only the encoder runs in Python.
     """
     ids = T.pad_right(F.slice(encode_udf(prompt), 1, max_length), max_length, pad_id)
-    return ids, token_labels(start_ids, end_ids, max_length)(ids), T.attention_mask(ids)
+    return ids, marker_label_expr(ids, start_ids, end_ids, max_length), T.attention_mask(ids)
 
 
 def python_bytes_encoder() -> Callable[[str], list[int]]:

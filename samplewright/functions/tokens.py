@@ -79,8 +79,12 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE_PATTERN), 0)
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (a one-element transform acts as ``let``)."""
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element transform acts as ``let``).
+
+    Separate projections are not enough where a lambda uses the value: the optimizer may inline a
+    column that is referenced once, and the lambda then evaluates it again for each element.
+    """
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
@@ -93,7 +97,7 @@ def _plain_ids(b: Column) -> Column:
 def _ids_of_byte_string(b: Column) -> Column:
     """Ids of a byte-view string.  Without any ``<|`` every piece is one byte, and a
     plain per-character ``split`` (much cheaper than the marker regex) yields them."""
-    return _let(b, lambda v: F.when(F.instr(v, "<|") == 0, _plain_ids(v))
+    return let(b, lambda v: F.when(F.instr(v, "<|") == 0, _plain_ids(v))
                 .otherwise(F.transform(pieces(v), _byte_piece_id)))
 
 
@@ -112,7 +116,7 @@ def encode(text: Column, max_tokens: int | None = None) -> Column:
     if n <= 0:
         return F.array().cast("array<int>")
     wide = byte_string(F.substring(text, 1, LONGEST_SPECIAL * n))
-    return _let(wide, lambda w: F.when(F.instr(w, "<|") == 0, _plain_ids(F.substring(w, 1, n))).otherwise(
+    return let(wide, lambda w: F.when(F.instr(w, "<|") == 0, _plain_ids(F.substring(w, 1, n))).otherwise(
         F.transform(F.slice(pieces(w), 1, n), _byte_piece_id)))
 
 

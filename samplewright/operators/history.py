@@ -21,6 +21,8 @@ EXIT_COMMANDS = ["/exit", "/quit"]
 HISTORY_TURNS = 3
 MAX_NEW_TOKENS = 128
 # ---------------------------------------------------------------------------
+#: Messages of a piece of a session's text.
+PIECE_ROWS = 256
 
 py_strip = T.py_strip
 
@@ -84,22 +86,51 @@ def live_messages_bucketed(sessions: DataFrame, bucket_rows: int = 1024) -> Data
     return live.withColumn("live_pos", F.col("_cnt").cast("bigint")).drop("_one", "_cnt")
 
 
+def _block() -> Column:
+    return F.concat(F.lit("<|im_start|>"), F.col("role"), F.lit("\n"),
+                    F.coalesce(F.col("content"), F.lit("")), F.lit("<|im_end|>\n"))
+
+
+def history_rope(messages: DataFrame, piece_rows: int = PIECE_ROWS) -> tuple[DataFrame, DataFrame]:
+    """W9 for ``h = 0`` in size of the input: the texts of all sessions in pieces, and what each prompt is made of.
+
+    ``session, piece, text`` has the blocks of ``piece_rows`` consecutive live messages; a prompt
+    ``session, turn, n_messages, piece, tail`` is the pieces before its own and then ``tail``.
+    No window or group holds more than a piece.
+    """
+    m = messages.select("session", "turn", "role", "live_pos", F.floor(F.col("live_pos") / piece_rows).alias("piece"), _block().alias("block"))
+    pieces = m.groupBy("session", "piece").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("live_pos", "block"))), lambda x: x["block"]), "").alias("text"))
+    so_far = Window.partitionBy("session", "piece").orderBy("live_pos").rowsBetween(-piece_rows, 0)
+    prompts = m.withColumn("tail", F.collect_list("block").over(so_far)).filter(F.col("role") == "user").select(
+        "session", "turn", (F.col("live_pos") + 1).cast("bigint").alias("n_messages"), "piece", F.array_join("tail", "").alias("tail"))
+    return pieces, prompts
+
+
+def rope_prompts(pieces: DataFrame, prompts: DataFrame, max_prompt_tokens: int = T.MODEL_MAX_LENGTH) -> DataFrame:
+    """The whole text of every prompt of a rope; a row is as long as its session so far."""
+    earlier = prompts.filter("piece > 0").select("session", "turn", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("piece") - 1)).alias("piece"))
+    heads = earlier.join(pieces, ["session", "piece"]).groupBy("session", "turn").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("piece", "text"))), lambda x: x["text"]), "").alias("head"))
+    prompt = F.concat(F.lit(DEFAULT_SYSTEM_BLOCK), F.coalesce("head", F.lit("")), "tail", F.lit(GENERATION_PROMPT))
+    return (prompts.join(heads, ["session", "turn"], "left").select("session", "turn", "n_messages", prompt.alias("prompt"))
+            .withColumn("prompt_ids", T.encode(F.col("prompt"), max_prompt_tokens)))
+
+
 def history_prompts_joined(messages: DataFrame, history_turns: int = HISTORY_TURNS,
                            max_prompt_tokens: int = T.MODEL_MAX_LENGTH) -> DataFrame:
     """W9 like ``history_prompts`` without a window over a whole session.
 
-    ``h = 0`` keeps every earlier message, so a prompt itself holds its session so far
-    and the window form serves it.  Otherwise ``messages`` come from ``live_messages_bucketed`` (dense ``live_pos``).  Each
+    ``messages`` come from ``live_messages_bucketed`` (dense ``live_pos``).  Each
     question is exploded into its ``2h + 1`` frame positions and joined to the
     messages on ``(session, live_pos)``; the regrouping per question holds at most
-    ``2h + 1`` rows.
+    ``2h + 1`` rows.  ``h = 0`` keeps every earlier message: prompts are put together from
+    the pieces of ``history_rope``.
     """
     if not history_turns:
-        return history_prompts(messages, 0, max_prompt_tokens)
+        return rope_prompts(*history_rope(messages), max_prompt_tokens)
     k = 2 * int(history_turns)
-    block = F.concat(F.lit("<|im_start|>"), F.col("role"), F.lit("\n"),
-                     F.coalesce(F.col("content"), F.lit("")), F.lit("<|im_end|>\n"))
-    blocks = messages.select("session", "live_pos", block.alias("block"))
+    blocks = messages.select("session", "live_pos", _block().alias("block"))
     questions = messages.filter(F.col("role") == "user").select(
         "session", "turn", F.col("live_pos").alias("q_pos"),
         F.explode(F.sequence(F.lit(0), F.lit(k))).alias("back"))

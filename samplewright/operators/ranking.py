@@ -17,15 +17,19 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from samplewright.functions import tokens as T
 from samplewright.operators import stats as ST
+from samplewright.session import written
 
 # ---------------------------------------------------------------------------
 # The reference's generation settings and the library defaults.
@@ -35,6 +39,12 @@ TOP_K = 50
 REPETITION_PENALTY = 1.05
 MAX_NEW_TOKENS = 128
 # ---------------------------------------------------------------------------
+#: Largest model that a task carries, and what one observed pair takes in it.
+CARRY_BYTES = 64 << 20
+ENTRY_BYTES = 12
+#: Scores that a task holds at once, and prompts that wait for one copy of a context's row.
+CELLS = 1 << 20
+GROUP = 4096
 
 
 def dense_model(model: DataFrame, vocab_size: int = ST.BYTES_VOCAB,
@@ -70,15 +80,6 @@ def ranked_scores(scores: Column, temperature: float = 1.0) -> Column:
         (-(x / F.lit(temperature))).alias("neg"), i.alias("nxt"), (x / F.lit(temperature)).alias("s"))))
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (a one-element transform acts as ``let``).
-
-    Separate projections are not enough here: the optimizer may inline a column
-    that a lambda references once, and the lambda then re-evaluates it per element.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def nucleus_array(scores: Column, temperature: float = TEMPERATURE, top_k: int = TOP_K,
                   top_p: float = TOP_P) -> Column:
     """G2 + G3b + G3 on an id-indexed score array: ``ARRAY<STRUCT<nxt, rank, prob>>``.
@@ -89,20 +90,20 @@ def nucleus_array(scores: Column, temperature: float = TEMPERATURE, top_k: int =
     """
     def with_top(t):
         e_of = F.transform(t, lambda x: F.exp(x["s"] - F.element_at(t, 1)["s"]))
-        return _let(e_of, lambda e: _let(F.aggregate(e, F.lit(0.0), lambda a, y: a + y), lambda z: _let(
-            F.transform(e, lambda x: x / z), lambda q: _let(
+        return T.let(e_of, lambda e: T.let(F.aggregate(e, F.lit(0.0), lambda a, y: a + y), lambda z: T.let(
+            F.transform(e, lambda x: x / z), lambda q: T.let(
                 F.aggregate(q, F.struct(F.array().cast("array<double>").alias("out"), F.lit(0.0).alias("run")),
                             lambda acc, x: F.struct(F.concat(acc["out"], F.array(acc["run"])).alias("out"),
                                                     (acc["run"] + x).alias("run")))["out"],
-                lambda better: _let(
+                lambda better: T.let(
                     F.filter(F.transform(q, lambda x, i: F.struct(
                         F.element_at(t, i + 1)["nxt"].alias("nxt"), (i + 1).alias("rank"), x.alias("q"),
                         F.element_at(better, i + 1).alias("b"))), lambda c: c["b"] < F.lit(top_p)),
-                    lambda kept: _let(F.aggregate(kept, F.lit(0.0), lambda a, c: a + c["q"]), lambda tot: F.transform(
+                    lambda kept: T.let(F.aggregate(kept, F.lit(0.0), lambda a, c: a + c["q"]), lambda tot: F.transform(
                         kept, lambda c: F.struct(c["nxt"].alias("nxt"), c["rank"].alias("rank"),
                                                  (c["q"] / tot).alias("prob")))))))))
 
-    return _let(F.slice(ranked_scores(scores, temperature), 1, top_k), with_top)
+    return T.let(F.slice(ranked_scores(scores, temperature), 1, top_k), with_top)
 
 
 def nucleus_arrays(df: DataFrame, keys: list[str], scores_col: str, temperature: float = TEMPERATURE,
@@ -113,6 +114,17 @@ def nucleus_arrays(df: DataFrame, keys: list[str], scores_col: str, temperature:
                        F.col("_c.prob").alias("prob"))
 
 
+def presence(seen: Column, vocab_size: int) -> Column:
+    """For each id below ``vocab_size`` whether it is in the sorted array ``seen``: runs of absent ids between present ones."""
+    inside = F.coalesce(F.filter(seen, lambda t: (t >= 0) & (t < vocab_size)), F.array().cast("array<int>"))
+
+    def flags(ids: Column) -> Column:
+        runs = F.transform(ids, lambda t, i: F.concat(F.array_repeat(F.lit(False), t - F.coalesce(F.get(ids, i - 1), F.lit(-1)) - 1), F.array(F.lit(True))))
+        return F.concat(F.flatten(runs), F.array_repeat(F.lit(False), F.lit(vocab_size - 1) - F.coalesce(F.try_element_at(ids, F.lit(-1)), F.lit(-1))))
+
+    return T.let(inside, flags)
+
+
 def penalized_scores(prompts: DataFrame, contexts: DataFrame, keys: list[str],
                      ids_col: str = "prompt_ids", penalty: float = REPETITION_PENALTY,
                      vocab_size: int = ST.BYTES_VOCAB) -> DataFrame:
@@ -122,12 +134,12 @@ def penalized_scores(prompts: DataFrame, contexts: DataFrame, keys: list[str],
     prompt whose last token the model has never seen gets the uniform row, as does
     one without tokens.
     """
-    p = prompts.select(*keys, F.array_distinct(ids_col).alias("_seen"),
+    p = prompts.select(*keys, F.array_sort(F.array_distinct(ids_col)).alias("_seen"),
                        F.try_element_at(F.col(ids_col), F.lit(-1)).alias("cur"))
     uniform = F.array_repeat(F.lit(-math.log(vocab_size)), vocab_size)
     j = p.join(contexts, "cur", "left").withColumn("logits", F.coalesce("logits", uniform))
-    return j.select(*keys, F.transform("logits", lambda lp, t: penalize(
-        lp, F.coalesce(F.array_contains(F.col("_seen"), t), F.lit(False)), penalty)).alias("scores"))
+    return j.select(*keys, F.zip_with("logits", presence(F.col("_seen"), vocab_size), lambda lp, seen: penalize(
+        lp, seen, penalty)).alias("scores"))
 
 
 def all_candidates(df: DataFrame, keys: list[str], scores_col: str) -> DataFrame:
@@ -164,84 +176,200 @@ def context_rows(dense: DataFrame) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("nxt", "logit"))), lambda x: x["logit"]).alias("logits"))
 
 
-def sparse_model(model: DataFrame, vocab_size: int = ST.BYTES_VOCAB, alpha: float = ST.SMOOTHING,
-                 most: int = 4_000_000) -> dict:
-    """The bigram model for generation inside tasks: per context its observed next tokens and their logits.
+def context_lists(model: DataFrame, vocab_size: int = ST.BYTES_VOCAB, alpha: float = ST.SMOOTHING) -> DataFrame:
+    """``cur, nxt, logits, rest``: per context its observed next tokens, their logits, and the logit of all others.
 
-    At most ``V * V`` entries, and never more than ``most``: a larger model is refused
-    rather than carried through the driver.
+    A row has at most ``V`` entries, one for each observed pair.
     """
-    rows = model.select("cur", "nxt", "pair_count", "cur_count")
-    entries = rows.count()
-    if entries > most:
-        raise ValueError(f"the model has {entries} entries; generation carries at most {most}")
-    table = rows.toArrow()
-    cur, nxt, n, total = (table[c].to_numpy() for c in ("cur", "nxt", "pair_count", "cur_count"))
-    order = np.argsort(cur, kind="stable")
-    cur, nxt, n, total = cur[order], nxt[order], n[order], total[order]
-    first = np.flatnonzero(np.diff(cur, prepend=-1))
-    out = {}
-    for a, b in zip(first, np.append(first[1:], len(cur))):
-        scale = total[a] + alpha * vocab_size
-        out[int(cur[a])] = (nxt[a:b], np.log((n[a:b] + alpha) / scale), float(np.log(alpha / scale)))
+    scale = F.col("cur_count") + F.lit(alpha * vocab_size)
+    entry = F.struct("nxt", F.log((F.col("pair_count") + F.lit(alpha)) / scale).alias("logit"))
+    rows = model.groupBy("cur").agg(F.array_sort(F.collect_list(entry)).alias("e"), F.first(F.log(F.lit(alpha) / scale)).alias("rest"))
+    return rows.select(F.col("cur").cast("int").alias("cur"), F.transform("e", lambda x: x["nxt"].cast("int")).alias("nxt"),
+                       F.transform("e", lambda x: x["logit"]).alias("logits"), "rest")
+
+
+@dataclass(frozen=True)
+class Decoding:
+    """How the next token is chosen: G4, then G1 for ``temperature <= 0`` or G2, G3b, G3 and G5."""
+
+    vocab_size: int
+    seed: int
+    temperature: float
+    top_k: int
+    top_p: float
+    penalty: float
+
+    def draws(self, keys: list[str], step: int) -> np.ndarray | None:
+        """A uniform draw for each prompt, the hash of seed, step and key; none are needed for the best token."""
+        if self.temperature <= 0:
+            return None
+        return np.array([int(hashlib.md5(f"{self.seed}|{step}|{k}".encode()).hexdigest()[:8], 16) for k in keys]) / 4294967296.0
+
+    def choose(self, scores: np.ndarray, seen: np.ndarray, u: np.ndarray | None) -> np.ndarray:
+        """The next token of each row of ``scores`` (overwritten), ties to the lower id."""
+        old = scores[seen]
+        scores[seen] = np.where(old > 0, old / self.penalty, old * self.penalty)
+        if u is None:
+            return scores.argmax(axis=1)
+        rows, k = len(scores), min(self.top_k, scores.shape[1])
+        edge = np.partition(scores, scores.shape[1] - k, axis=1)[:, [scores.shape[1] - k]]
+        over, level = scores > edge, scores == edge
+        room = k - over.sum(axis=1)[:, None]
+        best = np.nonzero(over | level & (np.cumsum(level, axis=1) <= room))[1].reshape(rows, k)
+        s = np.take_along_axis(scores, best, axis=1)
+        order = np.argsort(-s, axis=1, kind="stable")
+        best, s = np.take_along_axis(best, order, axis=1), np.take_along_axis(s, order, axis=1)
+        q = np.exp((s - s[:, :1]) / self.temperature)
+        q /= q.sum(axis=1)[:, None]
+        better = np.concatenate([np.zeros((rows, 1)), np.cumsum(q, axis=1)[:, :-1]], axis=1)
+        kept = better < self.top_p
+        q = np.where(kept, q, 0)
+        passed = kept & (np.cumsum(q / q.sum(axis=1)[:, None], axis=1) > u[:, None])
+        place = np.where(passed.any(axis=1), passed.argmax(axis=1), kept.sum(axis=1) - 1)
+        return best[np.arange(rows), place]
+
+
+def _seen(lists: list, vocab_size: int) -> np.ndarray:
+    seen = np.zeros((len(lists), vocab_size), bool)
+    sizes = [len(x) for x in lists]
+    seen[np.repeat(np.arange(len(lists)), sizes), np.fromiter((t for x in lists for t in x), np.int64, sum(sizes))] = True
+    return seen
+
+
+class Carried:
+    """A whole model in a task: contexts sorted, their next tokens and logits one after the other."""
+
+    def __init__(self, lists: pa.Table, vocab_size: int):
+        self.cur = lists["cur"].to_numpy()
+        self.ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists["nxt"]).to_numpy())]).astype(np.int64)
+        self.nxt, self.logits = (pc.list_flatten(lists[c]).to_numpy() for c in ("nxt", "logits"))
+        self.rest, self.vocab_size = lists["rest"].to_numpy(), vocab_size
+
+    def rows(self, last: np.ndarray) -> np.ndarray:
+        """The ``V`` logits of each context; one that was never seen is uniform."""
+        out = np.full((len(last), self.vocab_size), -math.log(self.vocab_size))
+        if len(self.cur):
+            place = np.minimum(np.searchsorted(self.cur, last), len(self.cur) - 1)
+            for i in np.flatnonzero(self.cur[place] == last).tolist():
+                a, b = self.ends[place[i]], self.ends[place[i] + 1]
+                out[i] = self.rest[place[i]]
+                out[i, self.nxt[a:b]] = self.logits[a:b]
+        return out
+
+
+def continuations(prompts: list, keys: list[str], model: Carried, how: Decoding, max_new_tokens: int, eos_id: int) -> list[list[int]]:
+    """New tokens of each prompt until EOS (left out) or ``max_new_tokens``, all prompts a step at a time."""
+    seen, out = _seen(prompts, how.vocab_size), [[] for _ in prompts]
+    last = np.array([x[-1] if len(x) else -1 for x in prompts], np.int64)
+    going = np.arange(len(prompts))
+    for step in range(max_new_tokens):
+        nxt = how.choose(model.rows(last[going]), seen[going], how.draws([keys[i] for i in going], step))
+        going, nxt = going[nxt != eos_id], nxt[nxt != eos_id]
+        if not len(going):
+            break
+        last[going], seen[going, nxt] = nxt, True
+        for i, t in zip(going.tolist(), nxt.tolist()):
+            out[i].append(t)
     return out
 
 
-def next_token(scores: np.ndarray, u: float, temperature: float, top_k: int, top_p: float) -> int:
-    """G1 for ``temperature <= 0``, otherwise G2, G3b, G3 and G5; ties to the lower id."""
-    if temperature <= 0:
-        return int(scores.argmax())
-    order = np.argsort(-scores, kind="stable")[:top_k]
-    q = np.exp((scores[order] - scores[order[0]]) / temperature)
-    q /= q.sum()
-    better = np.concatenate([[0.0], np.cumsum(q)[:-1]])
-    order, q = order[better < top_p], q[better < top_p]
-    over = np.flatnonzero(np.cumsum(q / q.sum()) > u)
-    return int(order[over[0]] if len(over) else order[-1])
-
-
-def continuation(ids, model: dict, draws: Callable[[int], float], vocab_size: int, max_new_tokens: int,
-                 penalty: float, temperature: float, top_k: int, top_p: float, eos_id: int) -> list[int]:
-    """New tokens after ``ids`` until EOS (left out) or ``max_new_tokens``; unseen contexts are uniform."""
-    seen = np.zeros(vocab_size, bool)
-    seen[ids] = True
-    last, out = (int(ids[-1]) if len(ids) else -1), []
-    for step in range(max_new_tokens):
-        nxt, logits, rest = model.get(last, ((), (), -math.log(vocab_size)))
-        scores = np.full(vocab_size, rest)
-        if len(nxt):
-            scores[nxt] = logits
-        scores[seen] = np.where(scores[seen] > 0, scores[seen] / penalty, scores[seen] * penalty)
-        last = next_token(scores, draws(step), temperature, top_k, top_p)
-        if last == eos_id:
+def _carried_replies(prompts: DataFrame, key: Column, ids_col: str, model: Carried, how: Decoding, max_new_tokens: int, eos_id: int) -> DataFrame:
+    room = max(1, CELLS // how.vocab_size)
+
+    @F.arrow_udf("array<int>")
+    def reply(key: pa.Array, ids: pa.Array) -> pa.Array:
+        keys, lists, out = key.to_pylist(), [x or [] for x in ids.to_pylist()], []
+        for a in range(0, len(lists), room):
+            out += continuations(lists[a:a + room], keys[a:a + room], model, how, max_new_tokens, eos_id)
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return prompts.withColumn("new_ids", reply(key, F.col(ids_col)))
+
+
+STEP_SCHEMA = "_row bigint, _key string, _seen array<int>, new_ids array<int>, cur int, done boolean"
+
+
+def _superstep(how: Decoding, step: int, last_step: bool, eos_id: int):
+    """Task function: one more token for every prompt; a context's row comes before the prompts that wait for it."""
+    room = max(1, CELLS // how.vocab_size)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, logits = None, None
+        for batch in parts:
+            cur, cut, is_prompt = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            turn = np.flatnonzero((cur[1:] != cur[:-1]) | (cut[1:] != cut[:-1]) | (is_prompt[1:] != is_prompt[:-1])) + 1
+            for a, b in zip([0, *turn.tolist()], [*turn.tolist(), len(batch)]):
+                here = (cur[a], cut[a])
+                if place != here:
+                    place, logits = here, np.full(how.vocab_size, -math.log(how.vocab_size))
+                if not is_prompt[a]:
+                    logits[:] = batch.column(9)[a].as_py()
+                    logits[batch.column(7)[a].as_py()] = batch.column(8)[a].as_py()
+                    continue
+                for i in range(a, b, room):
+                    part = batch.slice(i, min(room, b - i))
+                    row, keys, seen, new = (part.column(c).to_pylist() for c in range(3, 7))
+                    nxt = how.choose(np.tile(logits, (len(part), 1)), _seen(seen, how.vocab_size), how.draws(keys, step)).tolist()
+                    ended = [t == eos_id for t in nxt]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(row, pa.int64()), pa.array(keys, pa.string()),
+                         pa.array([s if t in s else s + [t] for s, t in zip(seen, nxt)], pa.list_(pa.int32())),
+                         pa.array([x if e else x + [t] for x, t, e in zip(new, nxt, ended)], pa.list_(pa.int32())),
+                         pa.array(nxt, pa.int32()), pa.array([e or last_step for e in ended])],
+                        ["_row", "_key", "_seen", "new_ids", "cur", "done"])
+    return run
+
+
+def _routed_replies(prompts: DataFrame, key: Column, ids_col: str, contexts: DataFrame, how: Decoding, max_new_tokens: int, eos_id: int) -> DataFrame:
+    """Replies by supersteps: in each round every unfinished prompt goes to the partition that holds its context's row.
+
+    A round is one written table.  Only the rows of contexts that some prompt waits for move; a
+    context that more than ``GROUP`` prompts wait for is cut, its row copied to each part.
+    """
+    prompts = written(prompts.withColumn("_row", F.monotonically_increasing_id()), "reply-prompts")
+    ids, none = F.coalesce(ids_col, F.array().cast("array<int>")), F.array().cast("array<int>")
+    state = prompts.select("_row", key.alias("_key"), F.array_distinct(ids).alias("_seen"), none.alias("new_ids"),
+                           F.coalesce(F.try_element_at(ids, F.lit(-1)), F.lit(-1)).cast("int").alias("cur"), F.lit(max_new_tokens <= 0).alias("done"))
+    state, finished = written(state, "reply-round"), []
+    for step in range(max_new_tokens + 1):
+        finished.append(state.filter("done").select("_row", "new_ids"))
+        waiting = state.filter("not done")
+        if step == max_new_tokens or not waiting.head(1):
             break
-        out.append(last)
-        seen[last] = True
-    return out
+        crowds = waiting.groupBy("cur").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("cuts")).filter("cuts > 1").collect()
+        cuts = F.lit(1)
+        for r in crowds:  # at most one for each context and GROUP prompts
+            cuts = F.when(F.col("cur") == r["cur"], F.lit(r["cuts"])).otherwise(cuts)
+        rows = contexts.join(waiting.select("cur").distinct(), "cur", "left_semi").withColumn("cut", F.explode(F.sequence(F.lit(0), cuts - 1)))
+        asks = waiting.withColumn("cut", F.pmod(F.xxhash64("_row"), cuts).cast("int")).withColumn("prompt", F.lit(True)).drop("done")
+        both = asks.unionByName(rows.withColumn("prompt", F.lit(False)), allowMissingColumns=True)
+        dealt = both.repartition("cur", "cut").sortWithinPartitions("cur", "cut", "prompt").select(
+            "cur", "cut", "prompt", "_row", "_key", "_seen", "new_ids", "nxt", "logits", "rest")
+        state = written(dealt.mapInArrow(_superstep(how, step, step + 1 == max_new_tokens, eos_id), STEP_SCHEMA), "reply-round")
+    replies = reduce(DataFrame.unionByName, finished)
+    return prompts.join(replies, "_row").drop("_row")
 
 
 def generate(prompts: DataFrame, model: DataFrame, keys: list[str], ids_col: str = "prompt_ids", seed: int = 42,
              temperature: float = TEMPERATURE, top_k: int = TOP_K, top_p: float = TOP_P,
              penalty: float = REPETITION_PENALTY, max_new_tokens: int = MAX_NEW_TOKENS,
-             vocab_size: int = ST.BYTES_VOCAB, alpha: float = ST.SMOOTHING, eos_id: int = T.EOS_ID) -> DataFrame:
+             vocab_size: int = ST.BYTES_VOCAB, alpha: float = ST.SMOOTHING, eos_id: int = T.EOS_ID,
+             carry_bytes: int = CARRY_BYTES) -> DataFrame:
     """U2 + G1-G6: ``prompts`` with ``new_ids``, the model's continuation of every prompt.
 
-    The model (``stats.fit_bigram``) goes to the tasks once, and each step looks up the
-    row of its context.  The draw of step ``i`` is the hash of ``seed``, ``i`` and the
-    prompt's keys, so reruns agree; ``temperature <= 0`` takes the best token instead.
+    A model (``stats.fit_bigram``) of at most ``carry_bytes`` goes to the tasks whole, and all
+    prompts of a batch take a step together; prompts go to a larger one in supersteps, one
+    written table a token.  Both give the same ids.  The draw of step ``i`` is the hash of
+    ``seed``, ``i`` and the prompt's keys, so reruns agree; ``temperature <= 0`` takes the best
+    token instead.  Null ids count as no tokens; a context never seen is uniform.
     """
-    rows = sparse_model(model, vocab_size, alpha)
-
-    @F.arrow_udf("array<int>")
-    def reply(key: pa.Array, ids: pa.Array) -> pa.Array:
-        def draws(k: str) -> Callable[[int], float]:
-            return lambda step: int(hashlib.md5(f"{seed}|{step}|{k}".encode()).hexdigest()[:8], 16) / 4294967296.0
-
-        return pa.array([continuation(np.array(x.as_py() or [], np.int64), rows, draws(k.as_py()), vocab_size, max_new_tokens,
-                                      penalty, temperature, top_k, top_p, eos_id) for k, x in zip(key, ids)], pa.list_(pa.int32()))
-
+    how = Decoding(vocab_size, seed, temperature, top_k, top_p, penalty)
     key = F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
-    return prompts.withColumn("new_ids", reply(key, F.col(ids_col)))
+    contexts = written(context_lists(model, vocab_size, alpha), "reply-model")
+    entries = contexts.agg(F.sum(F.size("nxt"))).first()[0] or 0
+    if entries * ENTRY_BYTES > carry_bytes:
+        return _routed_replies(prompts, key, ids_col, contexts, how, max_new_tokens, eos_id)
+    return _carried_replies(prompts, key, ids_col, Carried(contexts.orderBy("cur").toArrow(), vocab_size), how, max_new_tokens, eos_id)
 
 
 def reply_with(prompts: DataFrame, loader: Callable[[], Callable[[list[str]], list[str]]], prompt_col: str = "prompt",

@@ -2,14 +2,22 @@
 
 Per-row work (softmax, top-k, renormalisation, RMS scaling) is done with array
 higher-order functions: narrow, no shuffle, no Python.  Statistics group by
-expert (at most ``E`` keys, map-side combined) or by ``(group, expert)``.
+expert (at most ``E`` keys, map-side combined) or by ``(group, expert)``.  Experts
+themselves run as block functions over dispatched rows (``run_experts``), and
+``combine`` adds a row's weighted results.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from samplewright.functions.tokens import let
+
 # ---------------------------------------------------------------------------
 # Fixed values of the reference model configuration.
 TOP_K = 2
@@ -18,14 +26,15 @@ AUX_ALPHA = 0.01
 RMS_EPS = 1e-5
 NORM_EPS = 1e-20
 # ---------------------------------------------------------------------------
+#: Vectors of a block that an expert maps at once.
+BLOCK_ROWS = 4096
 
 
 def softmax(scores: Column) -> Column:
-    """Softmax of an array, maximum subtracted first (pass a column reference, not an expression)."""
-    m = F.array_max(scores)
-    e = F.transform(scores, lambda x: F.exp(x - m))
-    z = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(e, lambda x: x / z)
+    """Softmax of an array, maximum subtracted first; every intermediate is computed once."""
+    return let(scores, lambda s: let(F.array_max(s), lambda m: let(
+        F.transform(s, lambda x: F.exp(x - m)), lambda e: let(
+            F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda z: F.transform(e, lambda x: x / z)))))
 
 
 def example_gate(dim: int, n_experts: int = N_EXPERTS) -> list[list[float]]:
@@ -46,18 +55,17 @@ def route(df: DataFrame, id_col: str, scores_col: str, k: int = TOP_K, n_experts
           keep: list[str] | None = None) -> DataFrame:
     """``probs`` (softmax over ``n_experts`` scores) and ``routes``
     (top ``k`` experts, ties to the lower index, weights renormalised by ``sum + 1e-20``)."""
-    keep = list(keep or [])
     scores = F.transform(F.col(scores_col), lambda x: x.cast("double"))
-    # Separate projections: the scores, the softmax and the top-k are each computed once.
-    base = df.select(F.col(id_col), *keep, scores.alias("_s"))
-    base = base.select(id_col, *keep, softmax(F.col("_s")).alias("probs"))
-    ranked = F.array_sort(F.transform("probs", lambda p, i: F.struct((-p).alias("neg"), i.alias("expert"),
-                                                                     p.alias("p"))))
-    base = base.select(id_col, *keep, "probs", F.slice(ranked, 1, k).alias("_top"))
-    denom = F.aggregate(F.col("_top"), F.lit(0.0), lambda a, t: a + t["p"]) + F.lit(NORM_EPS)
-    routes = F.transform(F.col("_top"), lambda t: F.struct(t["expert"].alias("expert"), t["p"].alias("p"),
-                                                           (t["p"] / denom).alias("weight")))
-    return base.select(F.col(id_col), *keep, "probs", routes.alias("routes"))
+
+    def top(probs: Column) -> Column:
+        ranked = F.array_sort(F.transform(probs, lambda p, i: F.struct((-p).alias("neg"), i.alias("expert"), p.alias("p"))))
+        return let(F.slice(ranked, 1, k), lambda best: let(
+            F.aggregate(best, F.lit(0.0), lambda a, t: a + t["p"]) + F.lit(NORM_EPS), lambda total: F.struct(
+                probs.alias("probs"), F.transform(best, lambda t: F.struct(
+                    t["expert"].alias("expert"), t["p"].alias("p"), (t["p"] / total).alias("weight"))).alias("routes"))))
+
+    rows = df.select(id_col, *(keep or []), let(softmax(scores), top).alias("_r"))
+    return rows.select(id_col, *(keep or []), F.col("_r.probs").alias("probs"), F.col("_r.routes").alias("routes"))
 
 
 def assignments(routed: DataFrame, id_col: str, keep: list[str] | None = None) -> DataFrame:
@@ -116,6 +124,49 @@ def dispatch(assigned: DataFrame, id_col: str, n_experts: int = N_EXPERTS, tasks
             .repartitionByRange(n_experts * tasks_per_expert, "expert", "_salt").drop("_salt"))
 
 
+def run_experts(dispatched: DataFrame, experts: Callable[[int, np.ndarray], np.ndarray], id_col: str, vec_col: str,
+                block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``id_col, slot, weight, output``: each row's vector through its expert.
+
+    ``experts(e, block)`` maps a block of at most ``block_rows`` vectors, one a row, to as many
+    results.  Rows of one expert lie together after ``dispatch``, so blocks are long; a partition
+    streams through, and no task holds an expert's rows.  A null vector has a null result.
+    """
+    kind = dispatched.schema[id_col].dataType.simpleString()
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for start in range(0, len(part), block_rows):
+                rows = part.slice(start, block_rows)
+                expert, vectors = rows.column(2).to_numpy(zero_copy_only=False), rows.column(4)
+                size = np.array([-1 if n is None else n for n in vectors.value_lengths().to_pylist()], np.int64)
+                out: list = [None] * len(rows)
+                for e, n in sorted(set(zip(expert.tolist(), size.tolist()))):
+                    mine = np.flatnonzero((expert == e) & (size == n))
+                    if n >= 0:
+                        flat = vectors.take(pa.array(mine)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                        for i, y in zip(mine.tolist(), experts(int(e), flat.reshape(len(mine), n))):
+                            out[i] = y
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(3), pa.array(out, pa.list_(pa.float64()))],
+                                                 [id_col, "slot", "weight", "output"])
+
+    rows = dispatched.select(id_col, "slot", "expert", "weight", F.col(vec_col).cast("array<double>").alias("v"))
+    return rows.mapInArrow(run, f"{id_col} {kind}, slot int, weight double, output array<double>")
+
+
+def combine(outputs: DataFrame, id_col: str) -> DataFrame:
+    """A12's last step: ``id_col, combined``, the weighted sum of a row's expert results, in slot order."""
+    parts = F.array_sort(F.collect_list(F.struct("slot", F.transform("output", lambda x: x * F.col("weight")).alias("y"))))  # k of them
+    total = F.aggregate(F.slice("_p", 2, F.size("_p")), F.element_at("_p", 1)["y"], lambda a, p: F.zip_with(a, p["y"], lambda x, y: x + y))
+    return outputs.groupBy(id_col).agg(parts.alias("_p")).select(id_col, total.alias("combined"))
+
+
+def example_expert(expert: int, block: np.ndarray) -> np.ndarray:
+    """A fixed expert of the shape of a gated unit: SiLU of each component times ``((7 j + 13 e) mod 11 - 5) / 5``."""
+    h = block * (((np.arange(block.shape[1]) * 7 + expert * 13) % 11 - 5) / 5.0)
+    return h / (1 + np.exp(-h))
+
+
 def rms_normalize(vec: Column, eps: float = RMS_EPS, weight: Column | None = None):
     """``(x * rsqrt(mean(x^2) + eps) * weight, inv_rms)``."""
     x = F.transform(vec, lambda v: v.cast("double"))

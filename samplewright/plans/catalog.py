@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from samplewright.functions import tokens as T
 from samplewright.operators import pretrain
 from samplewright.plans import duck as D
-from samplewright.session import shared_path
+from samplewright.session import shared_path, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -88,6 +88,7 @@ def q_pretrain_token_stats(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Step 2: conversations -> chat text -> SFT samples
 # ---------------------------------------------------------------------------
+from samplewright.functions import plugin as PL  # noqa: E402
 from samplewright.operators import chat  # noqa: E402
 
 SFT_L = T.SFT_MAX_LENGTH
@@ -217,6 +218,37 @@ def q_sft_encode_4096(spark, sf_dir):
     return _sft_query(spark, sf_dir, 4096, AUGMENT)
 
 
+def _marker_ids(text: str) -> list[int]:
+    return PL.python_bytes_encoder()(text)
+
+
+def _token_level(rows, ids, labels, L):
+    """What ``sft_encode`` returns, from padded ids and token-level labels."""
+    return rows.select("conv_id", "full", ids.alias("ids"), labels.alias("labels")).select(
+        "conv_id", F.least(F.col("full"), F.lit(L)).cast("bigint").alias("n_tokens"),
+        chat.supervised_count(F.col("labels")).alias("n_supervised"), T.csv(F.col("ids")).alias("input_ids_csv"),
+        T.csv(F.col("labels")).alias("labels_csv"), T.csv(T.attention_mask(F.col("ids"))).alias("mask_csv"))
+
+
+@register("sft_token_labels", _duck_sft(SFT_L, None))
+def q_sft_token_labels(spark, sf_dir):
+    """Labels by a scan of the ids for the encoded markers, without Python."""
+    rows = chat.render(_messages(spark, sf_dir)).select("conv_id", T.encode(F.col("prompt")).alias("all"))
+    rows = rows.select("conv_id", F.size("all").alias("full"), T.pad_right(F.slice("all", 1, SFT_L), SFT_L).alias("padded"))
+    labels = PL.marker_label_expr(F.col("padded"), _marker_ids(chat.ASSISTANT_HEADER), _marker_ids("<|im_end|>\n"), SFT_L)
+    return _token_level(rows, F.col("padded"), labels, SFT_L)
+
+
+@register("sft_plugin", _duck_sft(SFT_L, None))
+def q_sft_plugin(spark, sf_dir):
+    """U1 + P17b: the same samples through a user's own encoder."""
+    encode = PL.plugin_encoder(PL.python_bytes_encoder)
+    rows = chat.render(_messages(spark, sf_dir)).select("conv_id", encode(F.col("prompt")).alias("all"))
+    rows = rows.select("conv_id", F.size("all").alias("full"), T.pad_right(F.slice("all", 1, SFT_L), SFT_L).alias("padded"))
+    labels = PL.marker_label_expr(F.col("padded"), _marker_ids(chat.ASSISTANT_HEADER), _marker_ids("<|im_end|>\n"), SFT_L)
+    return _token_level(rows, F.col("padded"), labels, SFT_L)
+
+
 @register("supervised_tokens", f"""
 WITH s AS ({_duck_sft(SFT_L, AUGMENT)})
 SELECT CAST(count(*) AS BIGINT) AS n_samples,
@@ -404,18 +436,32 @@ SELECT * FROM (
          CAST(CASE WHEN world_size <> {RESUME_WORLD} THEN step * world_size // {RESUME_WORLD} ELSE step END AS BIGINT) AS start_step
   FROM l WHERE rn = 1)""" for run, ws, bs, every in RUNS))
 def q_resume_rescale(spark, sf_dir):
-    parts = []
-    for run, ws, bs, every in RUNS:
-        s = _steps(spark, sf_dir, ws, bs)
-        parts.append(s.filter(O.interval_or_last(F.col("step"), F.col("iters"), every)).select(
-            F.lit(run).alias("run_id"), F.col("epoch").cast("int").alias("epoch"), "step",
-            F.lit(ws).cast("int").alias("world_size")))
-    manifest = parts[0]
-    for p in parts[1:]:
-        manifest = manifest.unionByName(p)
+    return MF.resume_point(MF.latest_progress(MF.read_manifest(spark, _saved_progress(spark, sf_dir))), RESUME_WORLD)
+
+
+def _saved_steps(spark, sf_dir, run, ws, bs, every):
+    s = _steps(spark, sf_dir, ws, bs)
+    return s.filter(O.interval_or_last(F.col("step"), F.col("iters"), every)).select(
+        F.lit(run).alias("run_id"), F.col("epoch").cast("int").alias("epoch"), "step", F.lit(ws).cast("int").alias("world_size"))
+
+
+def _saved_progress(spark, sf_dir) -> str:
+    """The saved steps of each run and epoch as commits to one log; each job tries twice, the second adds nothing."""
     path = shared_path(spark, f"manifest-{uuid.uuid4().hex}")
-    manifest.write.mode("append").parquet(path)
-    return MF.resume_point(MF.latest_progress(MF.read_manifest(spark, path)), RESUME_WORLD)
+    for run, ws, bs, every in RUNS:
+        steps = _saved_steps(spark, sf_dir, run, ws, bs, every)
+        for epoch in PLAN_EPOCHS:
+            for _ in range(2):
+                MF.save_steps(spark, path, steps.filter(F.col("epoch") == epoch), f"{run}/epoch-{epoch}")
+    return path
+
+
+@register("progress_log", " UNION ALL ".join(f"""
+SELECT '{run}' AS run_id, CAST(epoch AS INTEGER) AS epoch, CAST(step AS BIGINT) AS step, {ws} AS world_size
+FROM ({_duck_steps(ws, bs)}) WHERE step % {every} = 0 OR step = iters""" for run, ws, bs, every in RUNS))
+def q_progress_log(spark, sf_dir):
+    """S6 + S7: every saved step, once, from a log to which each job committed twice."""
+    return MF.read_manifest(spark, _saved_progress(spark, sf_dir)).select("run_id", "epoch", "step", "world_size")
 
 
 from samplewright.sources import readers as R  # noqa: E402
@@ -436,16 +482,63 @@ def q_sample_files(spark, sf_dir):
         F.md5(T.csv(F.col("input_ids"))).alias("ids_md5"))
 
 
+from samplewright.sources import lines as RL  # noqa: E402
+
+
 @register("text_lines", """
 SELECT row_number() OVER (ORDER BY doc_id) - 1 AS sample_id, md5(text) AS text_md5 FROM documents""")
 def q_text_lines(spark, sf_dir):
     """S1 + S4: the documents as JSON Lines in order of id, read back with their positions."""
     path = shared_path(spark, f"lines-{uuid.uuid4().hex}")
     docs = table(spark, sf_dir, "documents")
-    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select("text").write.json(path)
+    docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("text").write.json(path)
     return R.read_text_corpus(spark, path).select(F.col("doc_id").alias("sample_id"), F.md5("text").alias("text_md5"))
 
 
+def _indexed_documents(spark, sf_dir):
+    """The documents as JSON Lines in order of id, and the index of their lines."""
+    path = shared_path(spark, f"lines-{uuid.uuid4().hex}")
+    docs = table(spark, sf_dir, "documents")
+    docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("text").write.json(path)
+    return RL.build_index(spark, path, f"{path}-index")
+
+
+@register("indexed_lines", """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS sample_id, md5(text) AS text_md5 FROM documents""")
+def q_indexed_lines(spark, sf_dir):
+    """S1 + S4: all lines read by the ranges of an index, numbered while they are read."""
+    lines = RL.read_indexed(_indexed_documents(spark, sf_dir))
+    return RL.parsed(lines, R.TEXT_SCHEMA, "sample_id").select("sample_id", F.md5("text").alias("text_md5"))
+
+
+LOOKUP_STEP = 97
+
+
+@register("sample_lookup", f"""
+SELECT * FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS sample_id, md5(text) AS text_md5 FROM documents) WHERE sample_id % {LOOKUP_STEP} = 0""")
+def q_sample_lookup(spark, sf_dir):
+    """Samples by position, from the only ranges that hold them; the positions wanted are every 97th."""
+    index = _indexed_documents(spark, sf_dir)
+    total = index.agg(F.sum("n_lines")).first()[0] or 0
+    lines = RL.fetch(index, spark.range(0, total, LOOKUP_STEP), "id")
+    return RL.parsed(lines, R.TEXT_SCHEMA, "sample_id").select("sample_id", F.md5("text").alias("text_md5"))
+
+
+@register("conversation_lines", f"""
+SELECT row_number() OVER (ORDER BY conv_id) - 1 AS conv_id, n_messages, md5(prompt) AS prompt_md5 FROM ({_duck_render(None)})""")
+def q_conversation_lines(spark, sf_dir):
+    """S2 + S2b: nested conversations written as JSON Lines, read by an index, and rendered."""
+    path = shared_path(spark, f"conversations-{uuid.uuid4().hex}")
+    turns = table(spark, sf_dir, "conversations")
+    nested = turns.groupBy("conv_id").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))),
+        lambda m: m.dropFields("turn")).alias("conversations"))
+    nested.repartitionByRange("conv_id").sortWithinPartitions("conv_id").select("conversations").write.json(path)
+    lines = RL.read_indexed(RL.build_index(spark, path, f"{path}-index"))
+    rows = chat.render(chat.messages_from_nested(RL.parsed(lines, R.CONVERSATION_SCHEMA, "conv_id")))
+    return rows.select("conv_id", "n_messages", F.md5("prompt").alias("prompt_md5"))
+
+
 # ---------------------------------------------------------------------------
 # Step 4: chat sessions, history, decoding
 # ---------------------------------------------------------------------------
@@ -808,6 +901,20 @@ def q_expert_offsets(spark, sf_dir):
     return RT.expert_offsets(_routed(spark, sf_dir), "vec_id")
 
 
+@register("expert_combine", f"""
+WITH {_DUCK_PROBS},
+h AS (SELECT t.vec_id, v.i AS dim, t.rk, t.weight, v.c * (((v.i * 7 + t.expert * 13) % 11) - 5) / 5.0 AS h FROM t JOIN v ON v.vec_id = t.vec_id)
+SELECT vec_id, CAST(dim AS INTEGER) AS dim, round(sum(weight * (h / (1 + exp(-h)))), 6) + 0.0 AS value FROM h GROUP BY vec_id, dim""")
+def q_expert_combine(spark, sf_dir):
+    """A12 whole: rows dealt to their experts, run in blocks, and added up again by weight."""
+    vectors = table(spark, sf_dir, "embeddings")
+    scored = RT.gate_scores(vectors, "embedding", RT.example_gate(64))
+    assigned = RT.assignments(RT.route(scored, "vec_id", "scores", keep=["embedding"]), "vec_id", keep=["embedding"])
+    outputs = RT.run_experts(RT.dispatch(assigned, "vec_id"), RT.example_expert, "vec_id", "embedding")
+    out = RT.combine(outputs, "vec_id").select("vec_id", F.posexplode("combined").alias("dim", "v"))
+    return out.select("vec_id", "dim", F.round("v", 6).alias("value"))
+
+
 @register("rms_normalize", f"""
 WITH s AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings),
 r AS (SELECT vec_id, x, 1.0 / sqrt(list_sum(list_transform(x, lambda v: v * v)) / len(x) + {RT.RMS_EPS}) AS inv FROM s)
@@ -968,6 +1075,65 @@ def q_batch_reply_sampled(spark, sf_dir):
     return _replies(spark, sf_dir, RK.TEMPERATURE)
 
 
+WORD_V, WORD_NEW = ST.VOCAB_SIZE, 6
+_DUCK_WORD_MODEL = f"""
+v AS MATERIALIZED ({_duck_vocab()}),
+dw AS (SELECT doc_id, unnest({_DUCK_WORDS}) AS token, generate_subscripts({_DUCK_WORDS}, 1) AS pos FROM documents),
+di AS (SELECT doc_id, pos, coalesce(v.id, 0) AS id FROM dw LEFT JOIN v ON v.token = dw.token),
+wp AS (SELECT coalesce(lag(id) OVER (PARTITION BY doc_id ORDER BY pos), 1) AS cur, id AS nxt FROM di
+       UNION ALL SELECT coalesce(arg_max(id, pos), 1), 2 FROM documents LEFT JOIN di USING (doc_id) GROUP BY doc_id),
+wm AS MATERIALIZED (SELECT cur, nxt, count(*) AS n FROM wp WHERE nxt <> 0 GROUP BY cur, nxt),
+wc AS MATERIALIZED (SELECT cur, sum(n) AS n FROM wm GROUP BY cur),
+qw AS (SELECT conv_id, turn, unnest({_DUCK_WORDS}) AS token, generate_subscripts({_DUCK_WORDS}, 1) AS pos FROM conversations WHERE role = 'user'),
+hp AS (SELECT conv_id AS session, c.turn, list_concat([1], coalesce(ids, [])) AS prompt_ids FROM conversations c LEFT JOIN (
+         SELECT conv_id, turn, list(coalesce(v.id, 0) ORDER BY pos) AS ids FROM qw LEFT JOIN v ON v.token = qw.token GROUP BY conv_id, turn) USING (conv_id, turn)
+       WHERE role = 'user')"""
+_DUCK_WORD_STEP = f"""
+SELECT g.session, g.turn, g.step, g.seen, g.out, r.nxt,
+       ln((coalesce(m.n, 0) + {ST.SMOOTHING}) / (coalesce(c.n, 0) + {ST.SMOOTHING * WORD_V}))
+         * CASE WHEN list_contains(g.seen, r.nxt) THEN {RK.REPETITION_PENALTY} ELSE 1 END AS score
+FROM gen g CROSS JOIN range(0, {WORD_V}) r(nxt) LEFT JOIN wc c ON c.cur = g.last LEFT JOIN wm m ON m.cur = g.last AND m.nxt = r.nxt
+WHERE g.step < {WORD_NEW} AND NOT g.done"""
+
+
+def _duck_word_replies(pick: str) -> str:
+    return f"""
+WITH RECURSIVE {_DUCK_WORD_MODEL},
+gen AS ({_DUCK_REPLY_START} UNION ALL
+  SELECT session, turn, step + 1, list_append(seen, b), CASE WHEN b = 2 THEN out ELSE list_append(out, b) END, b, b = 2 FROM ({pick.replace(_DUCK_STEP, _DUCK_WORD_STEP)}))
+SELECT session, turn, CAST(len(out) AS BIGINT) AS n_new, {D.csv('out')} AS new_ids_csv
+FROM (SELECT *, row_number() OVER (PARTITION BY session, turn ORDER BY step DESC) AS rn FROM gen) WHERE rn = 1"""
+
+
+def _word_replies(spark, sf_dir, temperature):
+    """Replies of the word model (V = 6,400) to every question, by supersteps over its partitions."""
+    docs, V = table(spark, sf_dir, "documents"), WORD_V
+    vocab = written(ST.build_vocab(docs), "vocab")
+    ids = ST.vocab_encode(docs, vocab)
+    pairs = ids.select(F.explode(F.arrays_zip(F.concat(F.array(F.lit(T.BOS_ID)), "ids").alias("cur"),
+                                              F.concat("ids", F.array(F.lit(T.EOS_ID))).alias("nxt"))).alias("p")).select("p.*")
+    model = written(ST.fit_bigram(pairs.filter(F.col("nxt") != T.PAD_ID), vocab_size=V), "word-model")
+    asked = table(spark, sf_dir, "conversations").filter(F.col("role") == "user").select(F.struct("conv_id", "turn").alias("key"), "text")
+    prompts = ST.vocab_encode(asked, vocab, "key").select(
+        F.col("key.conv_id").alias("session"), F.col("key.turn").alias("turn"), F.concat(F.array(F.lit(T.BOS_ID)), "ids").alias("prompt_ids"))
+    g = RK.generate(prompts, model, ["session", "turn"], temperature=temperature, max_new_tokens=WORD_NEW, vocab_size=V, carry_bytes=0)
+    return g.select("session", "turn", F.size("new_ids").cast("bigint").alias("n_new"), T.csv(F.col("new_ids")).alias("new_ids_csv"))
+
+
+@register("word_reply", _duck_word_replies(f"""
+SELECT session, turn, step, seen, out, CAST(arg_max(nxt, {{'s': score, 'n': -nxt}}) AS INTEGER) AS b
+FROM ({_DUCK_STEP}) GROUP BY session, turn, step, seen, out"""))
+def q_word_reply(spark, sf_dir):
+    """U2 with a model that no task carries, greedy."""
+    return _word_replies(spark, sf_dir, 0.0)
+
+
+@register("word_reply_sampled", _duck_word_replies(_DUCK_DRAWN))
+def q_word_reply_sampled(spark, sf_dir):
+    """U2 with a model that no task carries, sampled."""
+    return _word_replies(spark, sf_dir, RK.TEMPERATURE)
+
+
 @register("batch_reply_text")
 def q_batch_reply_text(spark, sf_dir):
     """Greedy replies as text."""
@@ -1017,12 +1183,52 @@ def q_stream_sft(spark, sf_dir):
 @register("stream_history", ORACLE["chat_history_prompts"])
 def q_stream_history(spark, sf_dir):
     s = SS.stream_history(spark, sf_dir, CONVERSATIONS_SCHEMA, "conversations.parquet")
-    path = SS.run_to_table(spark, s, "stream_history")
-    out = spark.read.parquet(path)
+    return _stream_prompts(spark, s, "stream_history")
+
+
+def _stream_prompts(spark, stream, name):
+    out = SS.latest_prompts(spark.read.parquet(SS.run_to_table(spark, stream, name)))
     return out.select("session", "turn", "n_messages", "prompt",
                       T.csv(T.encode(F.col("prompt"), T.MODEL_MAX_LENGTH)).alias("prompt_ids_csv"))
 
 
+ARRIVALS = 4
+
+
+@register("stream_history_late", f"""
+WITH k AS ({_duck_live(f"({_DUCK_EVENTFUL})")}),
+f AS (SELECT session, turn, role,
+             list('<|im_start|>' || role || chr(10) || coalesce(content, '') || '<|im_end|>' || chr(10))
+               OVER (PARTITION BY session ORDER BY turn ROWS BETWEEN {2 * H.HISTORY_TURNS} PRECEDING AND CURRENT ROW) AS blocks FROM k),
+p AS (SELECT session, turn, CAST(len(blocks) AS BIGINT) AS n_messages,
+             {_q(chat.DEFAULT_SYSTEM_BLOCK)} || array_to_string(blocks, '') || {_q(chat.GENERATION_PROMPT)} AS prompt
+      FROM f WHERE role = 'user')
+SELECT session, turn, n_messages, prompt, {D.csv(D.encode('prompt', T.MODEL_MAX_LENGTH))} AS prompt_ids_csv FROM p""")
+def q_stream_history_late(spark, sf_dir):
+    """T2 with late turns: sessions with exits and blanks, whose turns arrive shuffled over four micro-batches."""
+    base = shared_path(spark, f"stream-late-{uuid.uuid4().hex}")
+    turns = _eventful(table(spark, sf_dir, "conversations"))
+    arrival = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(ARRIVALS))
+    for k in range(ARRIVALS):
+        turns.filter(arrival == k).coalesce(1).write.mode("append").parquet(base)
+    return _stream_prompts(spark, SS.stream_history(spark, base, CONVERSATIONS_SCHEMA, max_files_per_trigger=1), "stream_history_late")
+
+
+@register("stream_resume", ORACLE["pretrain_encode"])
+def q_stream_resume(spark, sf_dir):
+    """A run over what had arrived, then a second run from its checkpoint over the rest, each batch committed once."""
+    base = shared_path(spark, f"stream-resume-{uuid.uuid4().hex}")
+    docs = table(spark, sf_dir, "documents")
+    for late in (0, 1):
+        docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == late).write.mode("append").parquet(f"{base}/in")
+        samples = SS.stream_encode(spark, f"{base}/in", DOCUMENTS_SCHEMA)
+        out = SS.run_to_log(spark, samples, f"{base}/out", f"{base}/checkpoint")
+    return out.select(
+        "doc_id", F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("n_tokens"),
+        T.csv(F.col("input_ids")).alias("input_ids_csv"), T.csv(F.col("labels")).alias("labels_csv"),
+        T.csv(F.col("attention_mask")).alias("mask_csv"))
+
+
 # Conversations with tools, derived from the given rows: the first message of some becomes a system
 # message with tools or functions, replies get calls, later questions become tool results.
 def _tool_turns(df):

@@ -69,20 +69,23 @@ def route(df: DataFrame, id_col: str, scores_col: str, k: int = TOP_K, n_experts
 
 
 def assignments(routed: DataFrame, id_col: str, keep: list[str] | None = None) -> DataFrame:
-    """One row per ``(id, slot)``: ``expert, p, weight``."""
-    return routed.select(id_col, *(keep or []), F.posexplode("routes").alias("slot", "r")).select(
+    """One row per ``(id, slot)``: ``expert, p, weight``.
+
+    ``posexplode`` would have the optimizer filter on the array's size first, which computes it twice more.
+    """
+    return routed.select(id_col, *(keep or []), F.posexplode_outer("routes").alias("slot", "r")).filter("slot is not null").select(
         id_col, *(keep or []), "slot", F.col("r.expert").alias("expert"), F.col("r.p").alias("p"),
         F.col("r.weight").alias("weight"))
 
 
 def expert_probs(routed: DataFrame, id_col: str, keep: list[str] | None = None) -> DataFrame:
-    return routed.select(id_col, *(keep or []), F.posexplode("probs").alias("expert", "p"))
+    return routed.select(id_col, *(keep or []), F.posexplode_outer("probs").alias("expert", "p")).filter("expert is not null")
 
 
 def _per_expert(routed: DataFrame, n_experts: int, groups: list[str]) -> DataFrame:
     """Per group and expert: rows ``t``, sum of probabilities ``p``, chosen count ``c``; one aggregation."""
-    rows = routed.select(*groups, F.explode(F.transform("probs", lambda p, i: F.struct(
-        i.alias("expert"), p.alias("p"), F.exists("routes", lambda r: r["expert"] == i).cast("int").alias("hit")))).alias("x"))
+    rows = routed.select(*groups, F.explode_outer(F.transform("probs", lambda p, i: F.struct(
+        i.alias("expert"), p.alias("p"), F.exists("routes", lambda r: r["expert"] == i).cast("int").alias("hit")))).alias("x")).filter("x is not null")
     return rows.groupBy(*groups, F.col("x.expert").alias("expert")).agg(
         F.count(F.lit(1)).alias("t"), F.sum("x.p").alias("p"), F.sum("x.hit").alias("c"))
 

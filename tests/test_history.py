@@ -47,3 +47,20 @@ def test_bucketed_paths_equal_window_paths(spark):
             "session", "turn", "n_messages", "prompt", "prompt_ids")
         assert pa.count() == pb.count() > 0
         assert pa.exceptAll(pb).count() == 0 and pb.exceptAll(pa).count() == 0
+
+
+def test_rope_equals_the_window_form(spark, monkeypatch):
+    """Unlimited histories from pieces, with pieces of one, few and all messages; no window over a session."""
+    rows = [(s, t * (1 + s % 3), "user" if t % 2 == 0 else "assistant", f"m{t}" if t % 5 else " ") for s in range(6) for t in range(1 + 7 * s)]
+    sessions = spark.createDataFrame(rows, "session long, turn long, role string, text string")
+    want = H.history_prompts(H.live_messages(sessions), 0).select("session", "turn", "n_messages", "prompt", "prompt_ids")
+    live = H.live_messages_bucketed(sessions)
+    for rows_of_piece in (1, 3, 256):
+        got = H.rope_prompts(*H.history_rope(live, rows_of_piece)).select(*want.columns)
+        assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+    pieces, prompts = H.history_rope(live, 4)
+    assert prompts.columns == ["session", "turn", "n_messages", "piece", "tail"]
+    plan = H.history_prompts_joined(live, 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedpreceding$(), currentrow$())) AS _w" not in plan and "session#" in plan
+    windows = [line for line in plan.splitlines() if "Window [" in line and "collect_list" in line]
+    assert windows and all("piece#" in line for line in windows)

@@ -9,7 +9,9 @@ before it.  Spans of the base kinds always stay; those of the added kinds stay f
 
 Every expression runs inside the scan's stage: no Python, no shuffle.  A cheap
 necessary condition (such as an @ for mail) keeps rows without candidates from
-the costlier patterns; possessive loops keep these linear and free of recursion.
+the costlier patterns; possessive loops keep these linear and free of recursion.  Lists are
+folded a block of ``BLOCK`` at a time, so what is appended to stays short, and the context of a span comes
+from the pieces before it, not from the text's start: a long text of many hits costs little more than its length.
 
 Defined results: null and empty texts have no spans; places are code points, ends
 exclusive; spans come by start, then kind as listed in ``KINDS``; spans of different
@@ -23,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from samplewright.functions.tokens import let
+
 # What each kind looks like.  Loops are possessive where nothing that
 # follows could match what they give back, so matches are those of the plain forms.
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -62,21 +66,59 @@ MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25
 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30""".split()
 #: What a context word within ``NEAR`` characters before the span adds to the score.
 BOOST, NEAR, THRESHOLD = 0.3, 40, 0.5
+#: Spans that are listed together before they join the others.
+BLOCK = 256
+
+
+def _blocks(items: Column) -> Column:
+    """The list in consecutive lists of ``BLOCK``."""
+    return F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK)), lambda k: F.slice(
+        items, (k * BLOCK + 1).cast("int"), F.lit(BLOCK))))
+
+
+def _right(text: Column) -> Column:
+    return F.substring(text, F.greatest(F.char_length(text) - NEAR, F.lit(0)) + 1, F.lit(NEAR))
+
+
+def _folded(piece: Column, seen: Column, hit: Column, step) -> Column:
+    """The spans that ``step(state, n, hit, before)`` gives for the matches in order.
+
+    ``piece`` runs from the last match's end (n characters), ``seen`` is what the pattern passed of it,
+    ``hit`` the span's text, ``before`` the characters before ``seen``.  The state has the end of the
+    piece before (``at``), what a step keeps (``free``) and the last characters (``tail``).
+    """
+    spans = "array<struct<start:int,end:int,before:string,hit:string>>"
+    items = F.transform(F.arrays_zip(piece.alias("p"), seen.alias("s"), hit.alias("h")), lambda x: F.struct(
+        F.char_length(x["p"]).alias("n"), x["h"].alias("hit"), _right(x["p"]).alias("last"),
+        _right(F.substring(x["p"], F.lit(1), F.char_length(x["p"]) - F.char_length(x["s"]))).alias("gap")))
+
+    def one(acc: Column, x: Column) -> Column:
+        free, span = step(acc, x["n"], x["hit"], _right(F.concat(acc["tail"], x["gap"])))
+        return F.struct((acc["at"] + x["n"]).alias("at"), free.alias("free"), _right(F.concat(acc["tail"], x["last"])).alias("tail"),
+                        F.when(span.isNotNull(), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+
+    def fold(acc: Column, block: Column) -> Column:
+        start = F.struct(acc["at"].alias("at"), acc["free"].alias("free"), acc["tail"].alias("tail"), F.array().cast(spans).alias("out"))
+        return let(F.aggregate(block, start, one), lambda r: F.struct(
+            r["at"].alias("at"), r["free"].alias("free"), r["tail"].alias("tail"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), F.lit("").alias("tail"), F.array().cast(f"array<{spans}>").alias("out"))
+    return let(items, lambda x: F.coalesce(F.aggregate(_blocks(x), zero, fold, lambda acc: F.flatten(acc["out"])), F.array().cast(spans)))
+
+
+def _span(start: Column, end: Column, before: Column, hit: Column) -> Column:
+    return F.struct(start.alias("start"), end.alias("end"), before.alias("before"), hit.alias("hit"))
 
 
 def _places(text: Column, pattern: str) -> Column:
-    """Each match as (start, end, hit): every piece runs from the last match's end over a gap to the next match."""
-    piece = F.regexp_extract_all(text, F.lit(f"(?s)\\G(.*?)({pattern})"), F.lit(0))
-    hit = F.regexp_extract_all(text, F.lit(f"(?s)\\G(.*?)({pattern})"), F.lit(2))
-    steps = F.zip_with(piece, hit, lambda p, h: F.struct(F.char_length(p).alias("n"), h.alias("hit")))
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,hit:string>>)").alias("out"))
+    """Each match as (start, end, before, hit): every piece runs from the last match's end over a gap to the next match."""
+    piece, hit = [F.regexp_extract_all(text, F.lit(f"(?s)\\G(.*?)({pattern})"), F.lit(k)) for k in (0, 2)]
 
-    def step(acc: Column, x: Column) -> Column:
-        end = acc["at"] + x["n"]
-        span = F.struct((end - F.char_length(x["hit"])).alias("start"), end.alias("end"), x["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def step(acc: Column, n: Column, found: Column, before: Column) -> tuple[Column, Column]:
+        end = acc["at"] + n
+        return acc["free"], _span(end - F.char_length(found), end, before, found)
 
-    return F.aggregate(steps, zero, step, lambda acc: acc["out"])
+    return let(hit, lambda h: _folded(piece, h, h, step))
 
 
 def _digits(hit: Column) -> Column:
@@ -116,21 +158,14 @@ def _account(hit: Column) -> Column:
 def _accounts(text: Column) -> Column:
     """As ``_places``, for account numbers: from the left, a start inside the last account does not count."""
     piece, head, rest = [F.regexp_extract_all(text, F.lit(f"(?s)\\G(.*?)({PATTERNS['iban']})"), F.lit(k)) for k in (0, 2, 3)]
-    hits = F.transform(F.zip_with(head, rest, lambda h, r: F.concat(h, r)), _account)
-    steps = F.zip_with(piece, hits, lambda p, h: F.struct(F.char_length(p).alias("n"), h.alias("hit")))
-    none = "cast(array() as array<struct<start:int,end:int,hit:string>>)"
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), F.expr(none).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        at = acc["at"] + x["n"]
-        start = at - 4  # a piece ends behind the country code and check digits
-        end = start + F.char_length(x["hit"])
-        new = x["hit"].isNotNull() & (start >= acc["free"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit"))
-        return F.struct(at.alias("at"), F.when(new, end).otherwise(acc["free"]).alias("free"),
-                        F.when(new, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    def step(acc: Column, n: Column, found: Column, before: Column) -> tuple[Column, Column]:
+        start = acc["at"] + n - 4  # a piece ends behind the country code and check digits
+        end = start + F.char_length(found)
+        new = found.isNotNull() & (start >= acc["free"])
+        return F.when(new, end).otherwise(acc["free"]), F.when(new, _span(start, end, before, found))
 
-    return F.aggregate(steps, zero, step, lambda acc: acc["out"])
+    return let(head, lambda h: _folded(piece, h, F.transform(F.zip_with(h, rest, lambda a, b: F.concat(a, b)), _account), step))
 
 
 def _valid(kind: str, hit: Column) -> Column:
@@ -147,8 +182,7 @@ def _valid(kind: str, hit: Column) -> Column:
 
 def _spans(kind: str, text: Column) -> Column:
     def scored(s: Column) -> Column:
-        before = F.lower(F.substring(text, F.greatest(s["start"] - NEAR, F.lit(0)) + 1, F.least(s["start"], F.lit(NEAR))))
-        score = F.lit(PRIOR[kind]) + F.when(before.rlike(CONTEXT[kind]), F.lit(BOOST)).otherwise(F.lit(0.0))
+        score = F.lit(PRIOR[kind]) + F.when(F.lower(s["before"]).rlike(CONTEXT[kind]), F.lit(BOOST)).otherwise(F.lit(0.0))
         return F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"),
                         s["end"].alias("end"), F.least(score, F.lit(1.0)).alias("score"))
 
@@ -168,15 +202,25 @@ def with_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> D
 
 def redact(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in brackets."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    def fold(acc: Column, block: Column) -> Column:
+        stop = F.greatest(acc["at"], F.array_max(F.transform(block, lambda s: s["end"])))
+
+        def cut(part: Column) -> Column:
+            """``part`` is the text from where the last block ended to where this one does."""
+            def step(inner: Column, s: Column) -> Column:
+                gap = F.substring(part, inner["at"] - acc["at"] + 1, s["start"] - inner["at"])
+                shown = F.concat(inner["out"], gap, F.lit("["), F.upper(s["kind"]), F.lit("]"))
+                return F.struct(F.greatest(inner["at"], s["end"]).alias("at"),
+                                F.when(s["start"] >= inner["at"], shown).otherwise(inner["out"]).alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        shown = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(s["start"] >= acc["at"], shown).otherwise(acc["out"]).alias("out"))
+            start = F.struct(acc["at"].alias("at"), F.lit("").alias("out"))
+            return let(F.aggregate(block, start, step), lambda r: F.struct(r["at"].alias("at"), F.concat(acc["out"], r["out"]).alias("out")))
 
+        return let(F.substring(text, acc["at"] + 1, stop - acc["at"]), cut)
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     return F.when(F.size(spans) == 0, text).otherwise(
-        F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text)))))
+        F.aggregate(_blocks(spans), zero, fold, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text)))))
 
 
 def spans_text(spans: Column) -> Column:

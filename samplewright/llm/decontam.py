@@ -9,16 +9,19 @@ no match of ``least`` words is left.  An item leaks when its tiles cover at leas
 ``coverage`` of its words, in whatever order they stand in the document.
 
 The benchmark goes to the tasks in blocks of a checked number of words
-(``BLOCK_WORDS``), each against all documents, so no broadcast grows with it.
+(``BLOCK_WORDS``), each against all documents, one after the other: a block's leaks are
+written before the next block is read, so driver and tasks hold one at a time and no
+broadcast grows with the benchmark.
 
 Defined results: null, empty and blank texts, and items of fewer than ``least`` words,
-match nothing; equal items are reported each; between equally long matches the one that
+match nothing; items whose id is null or no whole number are left out; equal items are reported each; between equally long matches the one that
 starts first in the document, then in the item, is marked.
 """
 
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samplewright.llm.common import gram_hashes, hash_words, slices, word_codes
+from samplewright.llm.common import gram_hashes, hash_words, slices, word_codes, written
 
 LEAST = 5
 COVERAGE = 0.5
 #: Words of the benchmark that one pass holds.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
 SIEVE = 1 << 22
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*%&$#@=/\\-_`~^+"
 LEAK = "struct<item_id:bigint,n_words:int,covered:int,n_tiles:int>"
@@ -87,15 +90,16 @@ class Index:
         self.grams = grams[order]
         self.item = (np.searchsorted(offsets, first, side="right") - 1)[order]
         self.place = first[order] - offsets[self.item]
-        self.least = least
+        self.least, self.sieve = least, None
 
     def leaks(self, texts: pa.Array, coverage: float) -> list[list[dict]]:
         """For each text, the items that it covers far enough."""
-        sieve = np.zeros(SIEVE, bool)
-        sieve[(self.grams % np.uint64(SIEVE)).astype(np.int64)] = True
+        if self.sieve is None:  # made in the task, once
+            self.sieve = np.zeros(SIEVE, bool)
+            self.sieve[(self.grams % np.uint64(SIEVE)).astype(np.int64)] = True
         offsets, words = word_hashes(texts)
         grams, first = gram_hashes(offsets, words, self.least)
-        maybe = sieve[(grams % np.uint64(SIEVE)).astype(np.int64)]
+        maybe = self.sieve[(grams % np.uint64(SIEVE)).astype(np.int64)]
         grams, first = grams[maybe], first[maybe]
         low, high = np.searchsorted(self.grams, grams, "left"), np.searchsorted(self.grams, grams, "right")
         hit = high > low
@@ -143,16 +147,22 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, covera
                text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with ``leaks``: the benchmark items that each text covers, by item id."""
-    items = (benchmark.filter(F.col(item_col).isNotNull())
-             .select(F.col(item_col).cast("long").alias("id"), F.coalesce(item_text, F.lit("")).alias("text")))
-    total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    blocks = max(1, -(-total // block_words))
-    found = []
-    for b in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).orderBy("id", "text").toArrow()
-        ids, texts = part["id"].to_numpy(), pa.chunked_array(part["text"].chunks, pa.string()).combine_chunks()
-        found.append(_leaks(Index(ids, texts, least), coverage)(F.col(text_col)))
-    return docs.withColumn("leaks", F.array_sort(F.concat(*found)) if len(found) > 1 else F.array_sort(found[0]))
+    items = written(benchmark.select(F.col(item_col).cast("string").try_cast("long").alias("id"), F.coalesce(item_text, F.lit("")).alias("text"),
+                                     F.monotonically_increasing_id().alias("row")).filter("id is not null"), "benchmark")
+    blocks = max(1, -(-(items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0) // block_words))
+
+    def leaks_of(block: int):
+        part = items.filter(F.pmod(F.xxhash64("row"), F.lit(blocks)) == block).orderBy("id", "text").toArrow()
+        texts = pa.chunked_array(part["text"].chunks, pa.string()).combine_chunks()
+        return _leaks(Index(part["id"].to_numpy(), texts, least), coverage)(F.col(text_col))
+
+    if blocks == 1:
+        return docs.withColumn("leaks", F.array_sort(leaks_of(0)))
+    keyed = written(docs.drop("leaks").withColumn("_row", F.monotonically_increasing_id()), "decontam-documents")
+    found = [written(keyed.select("_row", leaks_of(b).alias("leaks")).filter(F.size("leaks") > 0), "decontam-leaks") for b in range(blocks)]
+    leaks = reduce(DataFrame.unionByName, found).groupBy("_row").agg(F.array_sort(F.flatten(F.collect_list("leaks"))).alias("leaks"))
+    none = F.array().cast(f"array<{LEAK}>")
+    return keyed.join(leaks, "_row", "left").withColumn("leaks", F.coalesce("leaks", none)).drop("_row")
 
 
 def leaked_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:

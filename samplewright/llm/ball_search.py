@@ -4,8 +4,9 @@ A document is a sparse vector: for each term the part of the score that does not
 query.  A query is the vector of its terms' weights, and the score is their inner product.
 Documents are gathered in bundles of at most ``BUNDLE``; in each a balanced tree halves them by
 two distant documents down to leaves of ``LEAF``.  A node has its centroid c and radius r, so no
-document under it scores above q.c + |q| r for a query q.  That bound is rounded up by more than
-floating-point sums can lose.  Leaves are visited best-first, scored exactly in 64-bit integers,
+document under it scores above q.c + |q| r for a query q.  Documents are zero wherever their
+centroid is, so only the coordinates of q that c has count in |q|, and a node without any of
+the query's terms has the bound zero.  Bounds are rounded up by more than floating-point sums can lose.  Leaves are visited best-first, scored exactly in 64-bit integers,
 and left out only when their bound, or that of a node above, is below the kth score known.
 
 Three passes use the written index.  The first finds, by the roots, each query's most
@@ -214,7 +215,7 @@ class Queries:
         self.codes = [c for c, _ in lists]
         self.weights = [w for _, w in lists]
         self.points = [w / scale[c] for c, w in lists]
-        self.norms = [float(np.sqrt(p @ p)) * (1 + SLACK) for p in self.points]
+        self.squares = [p * p for p in self.points]
         self.terms = len(scale)
 
 
@@ -235,21 +236,23 @@ class Bundle:
         self.levels = (len(self.radii) + 1).bit_length() - 2
         self.visited = 0
 
-    def leaf_bounds(self, codes: np.ndarray, point: np.ndarray, norm: float) -> np.ndarray:
+    def leaf_bounds(self, codes: np.ndarray, point: np.ndarray, square: np.ndarray) -> np.ndarray:
         """For each leaf the least bound of the nodes from the root to it."""
         place = np.minimum(np.searchsorted(self.node_codes, codes), len(self.node_codes) - 1)
         known = self.node_codes[place] == codes
         at, ends = gather(self.node_starts, place[known])
-        near = np.bincount(self.nodes[at], weights=self.values[at] * np.repeat(point[known], np.diff(ends)), minlength=len(self.radii))
-        bounds = _raised(near + norm * self.radii)
+        nodes, times = self.nodes[at], np.diff(ends)
+        near = np.bincount(nodes, weights=self.values[at] * np.repeat(point[known], times), minlength=len(self.radii))
+        size = np.sqrt(np.bincount(nodes, weights=np.repeat(square[known], times), minlength=len(self.radii)))
+        bounds = _raised(near + size * (1 + SLACK) * self.radii) * (size > 0)
         out = bounds[:1]
         for level in range(1, self.levels + 1):
             out = np.minimum(np.repeat(out, 2), bounds[(1 << level) - 1:(2 << level) - 1])
         return out
 
-    def search(self, codes, weights, point, norm, k: int, least: int, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, codes, weights, point, square, k: int, least: int, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows and scores of the best k at or above ``least``, ties to smaller ids."""
-        bounds = self.leaf_bounds(codes, point, norm)
+        bounds = self.leaf_bounds(codes, point, square)
         order = np.argsort(-bounds, kind="stable")
         rows, scores, done, some, n = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 1, len(self.doc_ids)
         room[codes] = weights
@@ -282,9 +285,14 @@ def _rows(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 def _root_bound(row: dict, queries: Queries, room: np.ndarray) -> np.ndarray:
     codes = np.frombuffer(row["root_codes"], "<i4")
     room[codes] = np.frombuffer(row["root_values"], "<f4")
-    out = [_raised(float(p @ room[c]) + n * row["root_radius"]) for c, p, n in zip(queries.codes, queries.points, queries.norms)]
+    out = np.zeros(len(queries.codes))
+    for q, (c, p, square) in enumerate(zip(queries.codes, queries.points, queries.squares)):
+        centre = room[c]
+        size = math.sqrt(float(square @ (centre > 0)))
+        if size:
+            out[q] = _raised(float(p @ centre) + size * (1 + SLACK) * row["root_radius"])
     room[codes] = 0
-    return np.array(out)
+    return out
 
 
 def _promising(queries: Queries):
@@ -312,7 +320,7 @@ def _best(queries: Queries, names: np.ndarray, k: int, least: np.ndarray, only:
                 continue
             bundle = Bundle(row)
             for q in map(int, asked):
-                rows, scores = bundle.search(queries.codes[q], queries.weights[q], queries.points[q], queries.norms[q], k, int(floor[q]), room)
+                rows, scores = bundle.search(queries.codes[q], queries.weights[q], queries.points[q], queries.squares[q], k, int(floor[q]), room)
                 if len(rows):
                     mine = bundle.doc_ids[rows], bundle.null[rows], scores
                     mine = tuple(np.concatenate(x) for x in zip(kept[q], mine)) if q in kept else mine

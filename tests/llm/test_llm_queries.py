@@ -55,9 +55,28 @@ def test_op3_base_spans(spark, documents):
     assert found > 5 and len(got) == len(documents)
 
 
-def test_op4_finds_insults(spark, documents):
+def test_op4_as_a_plain_chain(spark, documents):
+    """Every document's probabilities, one word and one model after the other in plain Python."""
+    import math
+    import re
+
+    import pyarrow as pa
+
+    from samplewright.llm import toxicity
     got = {r.doc_id: r for r in rows(spark, "op4_toxicity_chain")}
-    assert len(got) == len(documents) and all(0 <= r.p_toxic <= 1 and 0 <= r.p_low_quality <= 1 for r in got.values())
+    docs, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    models = toxicity.fit_chain(*toxicity.labelled_sample(docs, labels, {"low_quality": "1 - quality", "toxic": "toxic"}))
+    weights = [dict(zip(m.numbers.tolist(), m.weights.tolist())) for m in models]
+    assert len(got) == len(documents) and any(weights[1].values())
+    for i, text in documents:
+        words = set(re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")))
+        numbers = set(toxicity.feature_numbers(pa.array(sorted(words), pa.string())).ravel().tolist()) if words else set()
+        earlier = []
+        for model, known in zip(models, weights):
+            z = model.bias + sum(known.get(n, 0.0) for n in numbers) + sum(w * p for w, p in zip(model.chain, earlier))
+            earlier.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+        assert abs(got[i].p_low_quality - earlier[0]) < 2e-6 and abs(got[i].p_toxic - earlier[1]) < 2e-6
+        assert got[i].rejected == (earlier[1] >= toxicity.THRESHOLD)
 
 
 def test_op5_pairs(spark, documents):
@@ -73,12 +92,13 @@ def test_op5_pairs(spark, documents):
 
 
 def test_op6_removed(spark, documents):
-    want = brute.repeats(documents)
+    want, passages = brute.repeats(documents), brute.repeats(documents, 256)
     got = rows(spark, "op6_repeats")
     assert len(got) == len(documents)
     for r in got:
         n, removed, spans, kept = want[r.doc_id]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (n, removed, spans, brute.sha(kept)), r.doc_id
+        assert r.n_passage == passages[r.doc_id][1]
 
 
 def test_op7_article_only(spark):
@@ -97,9 +117,30 @@ def test_op8_scores(spark):
     assert sorted(tuple(r) for r in rows(spark, "op8_top_k")) == brute.top_k(table)
 
 
-def test_op9_balance(spark, documents):
-    got = rows(spark, "op9_lookup_shards")
-    assert len(got) == len(documents) and all(0 <= r.shard < 64 and 0 <= r.slot < 65537 for r in got)
+def test_op9_places(spark, documents):
+    """Every document's slot by its key's hash, and the shard that owns the slot."""
+    import hashlib
+
+    from samplewright.llm import shards
+    got = {r.doc_id: (r.slot, r.shard) for r in rows(spark, "op9_lookup_shards")}
+    table = shards.lookup_table([f"shard-{i:03d}" for i in range(64)])
+    slots = {i: int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16) % 65537 for i, _ in documents}
+    assert got == {i: (slot, table[slot]) for i, slot in slots.items()}
+
+
+def test_shards_are_written_by_many_tasks(spark, tmp_path):
+    from samplewright.llm import shards
+    names = ["a", "b", "c"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as large data would have it
+    try:
+        shards.write_shards(docs, str(tmp_path / "out"), names, files=4)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = spark.read.parquet(str(tmp_path / "out"))
+    want = shards.assign(docs, names).select("doc_id", "text", "slot", "shard")
+    assert back.count() == want.count() and back.select(*want.columns).exceptAll(want).count() == 0
+    assert all(len([f for f in os.listdir(tmp_path / "out" / f"shard={k}") if f.endswith("parquet")]) > 1 for k in range(3))
 
 
 def test_op10_base_spans(spark):

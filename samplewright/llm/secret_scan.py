@@ -5,7 +5,9 @@ field adds secrets of other shapes: a text is cut into tokens, each described by
 categories of its shape, its neighbours and its file, and every token is tagged
 outside, begin or inside by Viterbi decoding.  Weights are fitted by maximum likelihood
 on windows around tokens of a bounded sample of documents (``SAMPLE``), labelled by the
-base patterns; everything is scanned.
+base patterns, and on the same windows with secrets of other makes in their place, so that
+length and mixture count and not the makes that the patterns know.  Everything is scanned;
+a tagged string without letters or digits, or with dots or slashes as addresses have, is dropped.
 
 Viterbi runs exactly over chunks: a max-plus matrix for each chunk of tokens, a pass
 over the chunk matrices, then the path inside each chunk, so one very long text
@@ -293,6 +295,28 @@ def training_windows(texts: pa.Array) -> list[list[dict]]:
     return out
 
 
+def varied(codes: np.ndarray, tags: np.ndarray, times: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """The windows that hold a secret, with secrets of other makes: other lengths, alphabets and mixtures, many turns, half without context.
+
+    The base patterns know three makes; what they have in common with others is length and mixture.
+    """
+    rng = np.random.default_rng(len(codes))
+    chosen = np.flatnonzero((tags == 1).any(axis=1))
+    out, marks = np.repeat(codes[chosen], times, axis=0), np.repeat(tags[chosen], times, axis=0)
+    row, at = np.nonzero(marks == 1)
+    n = len(row)
+    length, digit, case = rng.integers(4, 8, n), rng.integers(1, 3, n), rng.integers(0, 4, n)
+    shape = length * 5 + digit
+    made = [shape, case * 5 + digit, rng.choice([0, 4], n), rng.integers(3, 5, n) * 4 + np.minimum(length // 2, 3)]
+    for column, values in enumerate(made):
+        out[row, at, column] = values
+    out[row, at, CONTEXT] *= rng.integers(0, 2, n)
+    later, sooner = at + 1 < out.shape[1], at > 0
+    out[row[later], at[later] + 1, 5] = shape[later]
+    out[row[sooner], at[sooner] - 1, 6] = shape[sooner]
+    return out, marks
+
+
 def fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Field | None:
     """The field fitted on the sample; None if no sampled text holds a base secret."""
     kind = pa.list_(pa.struct([("codes", pa.list_(pa.int32())), ("tag", pa.int32())]))
@@ -318,7 +342,14 @@ def fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
     # Each window also once without its separators and keywords, so that shape alone can tell a secret.
     bare = codes.copy()
     bare[..., CONTEXT] = 0
-    return fit_field(np.concatenate([codes, bare]), np.concatenate([tags, tags])) if (tags == 1).any() else None
+    others, marks = varied(codes, tags)
+    return fit_field(np.concatenate([codes, bare, others]), np.concatenate([tags, tags, marks])) if (tags == 1).any() else None
+
+
+def plausible(made: bytes) -> bool:
+    """Whether a tagged string has letters and digits and is no address, path, file name or version."""
+    return (re.search(rb"[A-Za-z]", made) is not None and re.search(rb"[0-9]", made) is not None
+            and b"." not in made and b"//" not in made and not made.startswith(b"/"))
 
 
 def scan(texts: pa.Array, field: Field | None) -> list[list[dict]]:
@@ -338,7 +369,7 @@ def scan(texts: pa.Array, field: Field | None) -> list[list[dict]]:
             while stop < len(tags) and tags[stop] == 2:
                 stop += 1
             a, b = int(tokens.start[t]), int(tokens.end[stop - 1])
-            if taken[b] == taken[a]:
+            if taken[b] == taken[a] and plausible(tokens.raw[a:b].tobytes()):
                 found.append((int(tokens.text_of(a)), 3, a, b))
     out: list[list[dict]] = [[] for _ in range(len(texts))]
     for doc, kind, a, b in sorted(found, key=lambda x: (x[2], x[1], x[3])):

@@ -190,6 +190,12 @@ def test_tiling_odd(spark, odd):
     assert got == [(1, 1, 1), (1, 5, 1), (2, 1, 2), (2, 5, 2), (5, 1, 1), (5, 1, 1), (5, 5, 1), (5, 5, 1)]
     small = sorted((r.doc_id, r.item_id, r.n_tiles) for r in decontam.leaked_pairs(docs, items, block_words=30).collect())
     assert small == got  # several blocks
+    named = items.selectExpr("cast(item_id as string) item_id", "text").union(spark.createDataFrame([("x7", item)], "item_id string, text string"))
+    assert sorted((r.doc_id, r.item_id, r.n_tiles) for r in decontam.leaked_pairs(docs, named).collect()) == got
+    clash = docs.selectExpr("doc_id", "text", "1 leaks", "2 row", "3 id")
+    for words in (30, 10 ** 6):
+        rows = decontam.with_leaks(clash, items, block_words=words).collect()
+        assert len(rows) == 6 and sorted((r.doc_id, x.item_id, x.n_tiles) for r in rows for x in r.leaks) == got
     assert decontam.leaked_pairs(odd, items).count() == 0 and decontam.leaked_pairs(docs, items.limit(0)).count() == 0
     assert decontam.with_leaks(docs.limit(0), items).count() == 0
 
@@ -197,7 +203,7 @@ def test_tiling_odd(spark, odd):
 def test_repeats_on_made_texts(spark):
     rng = random.Random(6)
     letters = "abcdé \n"
-    shared = ["".join(rng.choice(letters) for _ in range(n)) for n in (390, 450, 900, 1500)]
+    shared = ["".join(rng.choice(letters) for _ in range(n)) for n in (250, 300, 390, 450, 900, 1500)]
     texts = [None, "", "short", "z" * 399, "z" * 401, "ab" * 350, "q" * 1200, "\0" * 500 + "x" + "\0" * 450]
     for _ in range(25):
         own = "".join(rng.choice(letters) for _ in range(rng.randrange(300)))
@@ -205,10 +211,11 @@ def test_repeats_on_made_texts(spark):
         texts.append(own + a[rng.randrange(60):] + own[:5] + b + own)
     texts += [texts[9], texts[9], texts[10]]
     docs = list(enumerate(texts))
-    want = brute.repeats(docs)
+    want, passages = brute.repeats(docs), brute.repeats(docs, 256)
     for r in repeats.remove_repeats(frame(spark, [(i, t, 1) for i, t in docs], ", pos int")).collect():
         n, removed, spans, kept = want[r.doc_id]
         assert (r.n_bytes, r.n_removed, r.n_spans) == (n, removed, spans), r.doc_id
+        assert r.n_passage == passages[r.doc_id][1]
         if 0 < removed < n:
             assert bytes(r.kept) == kept
     assert repeats.remove_repeats(frame(spark, docs).limit(0)).count() == 0
@@ -236,7 +243,7 @@ def test_repeats_short_threshold():
     owner = np.searchsorted(ends, places, side="right")
     before = [raw[max(starts[o], p - length + gram):p].tobytes()[::-1] for p, o in zip(places, owner)]
     after = [raw[p:min(ends[o], p + length)].tobytes() for p, o in zip(places, owner)]
-    left, right = repeats.expand(hashes.view(np.int64), before, after, np.ones(len(places), int), length)
+    (left, right), *_ = repeats.expand(hashes.view(np.int64), before, after, np.ones(len(places), int), (length, length))
     gone = np.zeros(len(raw), bool)
     for p, a, b in zip(places, left, right):
         if b:
@@ -288,6 +295,52 @@ def test_names_inside_articles():
     assert html_text.main_text(page).split("\n") == keep
 
 
+def test_field_finds_makes_that_no_pattern_knows(spark):
+    """Planted secrets of six other makes are found at their place, and texts without secrets stay without spans."""
+    import string
+    rng = random.Random(3)
+
+    def made(n, letters=string.ascii_letters + string.digits):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    train = [prose(rng, 120) + " " + rng.choice([f"password = {made(14)}", f"AKIA{made(16, string.ascii_uppercase + string.digits)}", made(40, "0123456789abcdef")])
+             + " " + prose(rng, 80) for _ in range(300)]
+    field = secret_scan.fitted(frame(spark, [(i, t) for i, t in enumerate(train + [prose(rng, 200) for _ in range(300)])]))
+    makes = [lambda: "ghp_" + made(36), lambda: f"xoxb-{made(12, string.digits)}-{made(24)}", lambda: "sk-" + made(48), lambda: made(40),
+             lambda: made(24), lambda: "-".join(made(n, "0123456789ABCDEF") for n in (8, 4, 4, 4, 12))]
+    texts, places = [], []
+    for k in range(300):
+        lead, secret = prose(rng, 30) + " ", makes[k % 6]()
+        texts.append(lead + secret + " " + prose(rng, 30))
+        places.append((len(lead), len(lead) + len(secret)))
+    found = secret_scan.scan(pa.array(texts), field)
+    hits = sum((a, b) in [(s["start"], s["end"]) for s in spans] for spans, (a, b) in zip(found, places))
+    assert hits >= 0.85 * len(texts) and sum(map(len, found)) - hits <= 0.1 * len(texts)
+    clean = [prose(rng, 100) for _ in range(300)] + ["see https://www.example.com/2020/01/15/some-title.html?x=1 and /usr/lib/python3.11/x-1.2.dist or +49-30-1234-5678 "
+                                                     "of 2020-01-15 for version 1.2.3-beta.4 in IMG_20200115.jpg here"] * 20
+    assert not any(secret_scan.scan(pa.array(clean), field))
+
+
+def test_long_texts_of_many_spans(spark):
+    """A megabyte of candidates costs in proportion; spans, contexts and redaction as on short texts, across blocks."""
+    import time
+    from pyspark.sql import functions as F
+    pieces = ["+12345678901 ", "a@b.c, ", "10.0.0.1 ", "bank DE89370400440532013000, ", "4111 1111 1111 1111 x", "ssn 123-45-6789;", "300.1.1.1 "]
+    short = "".join(pieces)
+    rows = [(k, short * k) for k in (1, 40, 90)] + [(1000, "+1234567890 " * 87_000)]
+    found = pii.with_pii(frame(spark, rows))
+    start = time.time()
+    got = {r.doc_id: r for r in found.select("doc_id", pii.spans_text(F.col("pii")).alias("s"), pii.redact(F.col("text"), F.col("pii")).alias("r"),
+                                             F.size("pii").alias("n")).collect()}
+    assert time.time() - start < 60
+    assert got[1000].n == 87_000 and got[1000].r == "[PHONE] " * 87_000
+    one = [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in got[1].s.split(","))]
+    assert {k for k, _, _ in one} == {"phone", "email", "ip", "iban", "card", "ssn"}
+    for k in (40, 90):
+        want = [f"{kind}:{a + i * len(short)}:{b + i * len(short)}" for i in range(k) for kind, a, b in one]
+        assert got[k].s.split(",") == want and got[k].r == got[1].r * k
+
+
 WRAPPERS = ["<section class=comments><p>{}</p></section>", "<div id=comments><div class=comment><p>{}</p></div></div>", "<div class=advert>{}</div>",
             "<div class='ad'><p>{}</p></div>", "<div class=newsletter><p>{}</p></div>", "<div class=cookie-notice><p>{}</p></div>",
             "<div class='notice'><p>{}</p></div>", "<div class=related-posts><ul><li>{}</li></ul></div>", "<div class=sponsored><p>{}</p></div>",

@@ -105,7 +105,7 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     kept = (F.when(F.col("n_removed") == 0, F.col("whole_sha256"))
             .otherwise(F.sha2(F.coalesce("kept", F.lit("").cast("binary")), 256)))
-    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", kept.alias("kept_sha256"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", kept.alias("kept_sha256"), "n_passage")
 
 
 @register("op7_html_cut")

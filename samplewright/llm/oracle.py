@@ -19,20 +19,26 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, g.b FROM r JOIN g
 SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.b) AS component_id, n.doc_id = min(r.b) AS kept
 FROM n JOIN r ON r.a = n.doc_id GROUP BY n.doc_id, n.n"""
 
-#: op6: every 400-byte string counted, the starts of those that occur twice merged into runs.
-REPEATS = """
-WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-w AS (SELECT doc_id, p, md5(substr(x, 2 * p + 1, 800)) AS h FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 399)) AS p FROM t)),
-d AS (SELECT doc_id, p FROM w JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) USING (h)),
-o AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 400 THEN 0 ELSE 1 END AS opens FROM d),
-g AS (SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM o),
-r AS (SELECT doc_id, run, min(p) AS a, max(p) + 400 AS b FROM g GROUP BY doc_id, run),
+def _runs(tag: str, length: int) -> str:
+    """CTEs r<tag>: the runs (a, b) of bytes covered by strings of ``length`` bytes that occur twice."""
+    return f"""
+w{tag} AS (SELECT doc_id, p, md5(substr(x, 2 * p + 1, {2 * length})) AS h FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - {length - 1})) AS p FROM t)),
+d{tag} AS (SELECT doc_id, p FROM w{tag} JOIN (SELECT h FROM w{tag} GROUP BY h HAVING count(*) > 1) USING (h)),
+o{tag} AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= {length} THEN 0 ELSE 1 END AS opens FROM d{tag}),
+g{tag} AS (SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM o{tag}),
+r{tag} AS (SELECT doc_id, run, min(p) AS a, max(p) + {length} AS b FROM g{tag} GROUP BY doc_id, run)"""
+
+
+#: op6: every 400-byte string counted, the starts of those that occur twice merged into runs; the same for passages of 320 bytes.
+REPEATS = f"""
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),{_runs('', 400)},{_runs('_short', 320)},
 q AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM r),
 k AS (SELECT q.doc_id, string_agg(substr(x, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS ahead, max(b) AS last, sum(b - a) AS removed, count(*) AS runs
-      FROM q JOIN t ON q.doc_id = t.doc_id GROUP BY q.doc_id)
+      FROM q JOIN t ON q.doc_id = t.doc_id GROUP BY q.doc_id),
+s AS (SELECT doc_id, sum(b - a) AS passage FROM r_short GROUP BY doc_id)
 SELECT t.doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(runs, 0) AS BIGINT) AS n_spans,
-       sha256(unhex(CASE WHEN runs IS NULL THEN x ELSE ahead || substr(x, 2 * last + 1) END)) AS kept_sha256
-FROM t LEFT JOIN k ON t.doc_id = k.doc_id"""
+       sha256(unhex(CASE WHEN runs IS NULL THEN x ELSE ahead || substr(x, 2 * last + 1) END)) AS kept_sha256, CAST(coalesce(passage, 0) AS BIGINT) AS n_passage
+FROM t LEFT JOIN k ON t.doc_id = k.doc_id LEFT JOIN s ON s.doc_id = t.doc_id"""
 
 #: op8: all scores, ranked.
 TOP_K = """

@@ -14,6 +14,10 @@ how far two of them go on together, and where both reach ``length`` they are rep
 An interval splits where its members' preceding bytes differ; single members and
 lengths beyond the threshold end the expansion.
 
+The same expansion has a second, shorter threshold (``PASSAGE``, some fifty words), which removes
+nothing: it counts the bytes of passages that also start elsewhere but may be too short to go.
+Anchors are chosen in windows of that length, so they serve both.
+
 Whole copies are settled by a digest, one of them standing for all.  Equal contexts are
 collapsed before they are shuffled and results are joined back, so the inside of a
 passage that very many documents share costs one context in a batch.
@@ -38,6 +42,7 @@ from pyspark.sql import functions as F
 from samplewright.llm.common import list_array, mix, slices, written
 
 LENGTH = 400
+PASSAGE = 320
 GRAM = 48
 #: Places hashed at once.
 CHUNK = 1 << 20
@@ -147,16 +152,17 @@ def _common(grid: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray) ->
     return np.minimum(out, np.minimum(size[a], size[b]))
 
 
-def expand(h: np.ndarray, before: list[bytes], after: list[bytes], n: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """How far repeats reach before and behind each distinct context's anchor; 0 and 0 without any.
+def expand(h: np.ndarray, before: list[bytes], after: list[bytes], n: np.ndarray, lengths: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each threshold, how far repeats reach before and behind each distinct context's anchor; 0 and 0 without any.
 
     ``n`` counts the occurrences of a context; one that occurs twice repeats as a whole.
     """
     left, left_size = _matrix(before, max(map(len, before)) or 1)
     right, right_size = _matrix(after, max(map(len, after)))
-    reach_left, reach_right = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
-    whole = (n > 1) & (left_size + right_size >= length)
-    reach_left[whole], reach_right[whole] = left_size[whole], right_size[whole]
+    reach = [(np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)) for _ in lengths]
+    for length, (reach_left, reach_right) in zip(lengths, reach):
+        whole = (n > 1) & (left_size + right_size >= length)
+        reach_left[whole], reach_right[whole] = left_size[whole], right_size[whole]
     order = np.lexsort((left.view(f"S{left.shape[1]}").ravel(), h))
     by_right = np.empty(len(h), np.int64)
     by_right[np.lexsort((right.view(f"S{right.shape[1]}").ravel(), h))] = np.arange(len(h))
@@ -170,7 +176,7 @@ def expand(h: np.ndarray, before: list[bytes], after: list[bytes], n: np.ndarray
         keep = np.repeat(size > 1, size)
         rows, shared, size = rows[keep], shared[keep], size[size > 1]
         if not len(rows):
-            return reach_left, reach_right
+            return reach
         first = np.concatenate([[0], np.cumsum(size)[:-1]])
         interval = np.repeat(np.arange(len(size)), size)
         value = np.minimum.reduceat(np.where(shared < 0, np.iinfo(np.int64).max, shared), first)
@@ -179,15 +185,16 @@ def expand(h: np.ndarray, before: list[bytes], after: list[bytes], n: np.ndarray
         pairs = np.flatnonzero(interval[1:] == interval[:-1]) + 1
         onward[pairs] = _common(right, right_size, sorted_rows[pairs - 1], sorted_rows[pairs])
         best = np.maximum(onward[:-1], onward[1:])
-        hit = value[interval] + best >= length
-        repeated = sorted_rows[hit]
-        reach_left[repeated] = np.maximum(reach_left[repeated], value[interval][hit])
-        reach_right[repeated] = np.maximum(reach_right[repeated], best[hit])
+        for length, (reach_left, reach_right) in zip(lengths, reach):
+            hit = value[interval] + best >= length
+            repeated = sorted_rows[hit]
+            reach_left[repeated] = np.maximum(reach_left[repeated], value[interval][hit])
+            reach_right[repeated] = np.maximum(reach_right[repeated], best[hit])
         shared = np.where(shared == value[interval], -1, shared)
 
 
-def _expand_task(length: int):
-    """Task function over rows sorted by anchor hash: (ctx, reach before, reach behind) of repeated contexts."""
+def _expand_task(lengths: tuple[int, int]):
+    """Task function over rows sorted by anchor hash: ctx and, for both thresholds, the reach before and behind of repeated contexts."""
     def done(rows: dict[str, list]) -> pa.RecordBatch:
         places: dict[bytes, int] = {}
         for k, ctx in enumerate(rows["ctx"]):
@@ -195,12 +202,12 @@ def _expand_task(length: int):
         at, count = list(places.values()), dict.fromkeys(places, 0)
         for ctx, n in zip(rows["ctx"], rows["n"]):
             count[ctx] += n
-        left, right = expand(np.array([rows["h"][k] for k in at]), [rows["before"][k] for k in at],
-                             [rows["after"][k] for k in at], np.array(list(count.values())), length)
-        hit = np.flatnonzero(right)
+        reach = expand(np.array([rows["h"][k] for k in at]), [rows["before"][k] for k in at],
+                       [rows["after"][k] for k in at], np.array(list(count.values())), lengths)
+        hit = np.flatnonzero(reach[1][1])
         return pa.RecordBatch.from_arrays(
-            [pa.array([rows["ctx"][at[k]] for k in hit], pa.binary()), pa.array(left[hit].astype(np.int32)), pa.array(right[hit].astype(np.int32))],
-            ["ctx", "ahead", "behind"])
+            [pa.array([rows["ctx"][at[k]] for k in hit], pa.binary()), *[pa.array(x[hit].astype(np.int32)) for pair in reach for x in pair]],
+            ["ctx", "ahead", "behind", "short_ahead", "short_behind"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {c: [] for c in ("h", "ctx", "before", "after", "n")}
@@ -216,20 +223,25 @@ def _expand_task(length: int):
     return run
 
 
-def cut_runs(raw: bytes, starts: list[int], ends: list[int]) -> tuple[int, int, bytes]:
-    """Bytes and runs removed, and what is left."""
-    step = np.zeros(len(raw) + 1, np.int64)
+def _covered(size: int, starts: list[int], ends: list[int]) -> np.ndarray:
+    step = np.zeros(size + 1, np.int64)
     np.add.at(step, starts, 1)
     np.add.at(step, ends, -1)
-    gone = np.cumsum(step[:-1]) > 0
+    return np.cumsum(step[:-1]) > 0
+
+
+def cut_runs(raw: bytes, starts: list[int], ends: list[int]) -> tuple[int, int, bytes]:
+    """Bytes and runs removed, and what is left."""
+    gone = _covered(len(raw), starts, ends)
     runs = np.count_nonzero(np.diff(gone.astype(np.int8), prepend=np.int8(0)) == 1)
     return int(np.count_nonzero(gone)), runs, np.frombuffer(raw, np.uint8)[~gone].tobytes()
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """For each document: id, n_bytes, n_removed, n_spans, kept (its remaining bytes; null where nothing or everything goes), whole_sha256.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, passage: int = PASSAGE, gram: int = GRAM) -> DataFrame:
+    """For each document: id, n_bytes, n_removed, n_spans, kept (its remaining bytes; null where nothing or everything goes), whole_sha256, n_passage.
 
-    ``n_removed`` is 0 for a document that stays whole and ``n_bytes`` for one that goes whole.
+    ``n_removed`` is 0 for a document that stays whole and ``n_bytes`` for one that goes whole;
+    ``n_passage`` counts the bytes covered by strings of ``passage`` bytes (at most ``length``) that also start elsewhere.
     """
     texts = written(docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).alias("id"),
                                 F.coalesce(F.col(text_col), F.lit("")).alias("text")), "texts", "zstd")
@@ -243,13 +255,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         out = []
         for a, b in slices(rows):
             raw, at = _bytes_of(rows.slice(a, b - a))
-            places, hashes = anchor_places(raw, at[1:], length, gram)
+            places, hashes = anchor_places(raw, at[1:], passage, gram)
             owner = np.searchsorted(at, places, side="right") - 1
             items = pa.StructArray.from_arrays([pa.array(hashes.view(np.int64)), pa.array((places - at[owner]).astype(np.int32))], ["h", "pos"])
             out.append(list_array(np.searchsorted(places, at), items))
         return pa.chunked_array(out, pa.list_(pa.struct([("h", pa.int64()), ("pos", pa.int32())]))).combine_chunks()
 
-    seeds = written(texts.select("key", F.explode(anchors(F.col("text"))).alias("a")).select("key", "a.*"), "anchors")
+    seeds = written(texts.select("key", F.explode(anchors(F.col("text"))).alias("a")).select("key", "a.*"), "anchors", "zstd")
     # Written, so that the join reads plain shuffles, which Spark can split at a hot anchor.
     repeated = written(seeds.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1").select("h"), "repeated")
     places = (seeds.join(repeated, "h").join(info.filter("first").select("key"), "key")
@@ -258,22 +270,27 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     contexts = marked.mapInArrow(_extract(length, gram), CONTEXT)
     heads = contexts.filter("n > 0").select("h", "ctx", "before", "after", "n")
     reach = (heads.repartition(F.col("h")).sortWithinPartitions("h")
-             .mapInArrow(_expand_task(length), "ctx binary, ahead int, behind int"))
-    spans = (contexts.select("ctx", "key", "pos").join(reach, "ctx")
-             .groupBy("key").agg(F.collect_list(F.struct((F.col("pos") - F.col("ahead")).alias("a"), (F.col("pos") + F.col("behind")).alias("b"))).alias("s")))
-
-    @F.arrow_udf("n_removed bigint, n_spans bigint, kept binary")
-    def cut(rows: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
-        done = [cut_runs(t.as_py().encode(), a.as_py(), b.as_py()) for t, a, b in zip(rows, starts, ends)]
-        columns = list(zip(*done)) or [[]] * 3
-        return pa.StructArray.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())],
-                                          ["n_removed", "n_spans", "kept"])
+             .mapInArrow(_expand_task((length, passage)), "ctx binary, ahead int, behind int, short_ahead int, short_behind int"))
+    spans = contexts.select("ctx", "key", "pos").join(reach, "ctx").groupBy("key").agg(F.collect_list(F.struct(
+        (F.col("pos") - F.col("ahead")).alias("a"), (F.col("pos") + F.col("behind")).alias("b"),
+        (F.col("pos") - F.col("short_ahead")).alias("c"), (F.col("pos") + F.col("short_behind")).alias("d"))).alias("s"))
+
+    @F.arrow_udf("n_removed bigint, n_spans bigint, kept binary, n_passage bigint")
+    def cut(rows: pa.Array, starts: pa.Array, ends: pa.Array, short_starts: pa.Array, short_ends: pa.Array) -> pa.Array:
+        done = []
+        for t, a, b, c, d in zip(rows, starts, ends, short_starts, short_ends):
+            raw = t.as_py().encode()
+            done.append((*cut_runs(raw, a.as_py(), b.as_py()), int(np.count_nonzero(_covered(len(raw), c.as_py(), d.as_py())))))
+        columns = list(zip(*done)) or [[]] * 4
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
+        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["n_removed", "n_spans", "kept", "n_passage"])
 
     partly = (marked.select("key", "text").join(spans, "key")
-              .select("key", cut(F.col("text"), F.col("s.a"), F.col("s.b")).alias("c")).select("key", "c.*"))
-    gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
+              .select("key", cut("text", "s.a", "s.b", "s.c", "s.d").alias("c")).select("key", "c.*"))
+    gone, copied = [(F.col("copies") > 1) & (F.col("n_bytes") >= least) for least in (length, passage)]
     return info.join(partly, "key", "left").select(
         F.col("id").alias(id_col), "n_bytes",
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(~gone, F.col("kept")).alias("kept"), "whole_sha256")
+        F.when(~gone & (F.coalesce("n_removed", F.lit(0)) > 0), F.col("kept")).alias("kept"), "whole_sha256",
+        F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_passage", F.lit(0))).alias("n_passage"))

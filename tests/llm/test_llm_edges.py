@@ -203,7 +203,7 @@ def test_tiling_odd(spark, odd):
 def test_repeats_on_made_texts(spark):
     rng = random.Random(6)
     letters = "abcdé \n"
-    shared = ["".join(rng.choice(letters) for _ in range(n)) for n in (250, 300, 390, 450, 900, 1500)]
+    shared = ["".join(rng.choice(letters) for _ in range(n)) for n in (310, 330, 390, 450, 900, 1500)]
     texts = [None, "", "short", "z" * 399, "z" * 401, "ab" * 350, "q" * 1200, "\0" * 500 + "x" + "\0" * 450]
     for _ in range(25):
         own = "".join(rng.choice(letters) for _ in range(rng.randrange(300)))
@@ -211,7 +211,7 @@ def test_repeats_on_made_texts(spark):
         texts.append(own + a[rng.randrange(60):] + own[:5] + b + own)
     texts += [texts[9], texts[9], texts[10]]
     docs = list(enumerate(texts))
-    want, passages = brute.repeats(docs), brute.repeats(docs, 256)
+    want, passages = brute.repeats(docs), brute.repeats(docs, repeats.PASSAGE)
     for r in repeats.remove_repeats(frame(spark, [(i, t, 1) for i, t in docs], ", pos int")).collect():
         n, removed, spans, kept = want[r.doc_id]
         assert (r.n_bytes, r.n_removed, r.n_spans) == (n, removed, spans), r.doc_id

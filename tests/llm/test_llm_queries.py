@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
 
-from samplewright.llm import catalog, decontam  # noqa: E402
+from samplewright.llm import catalog, decontam, repeats  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data missing")
@@ -92,7 +92,7 @@ def test_op5_pairs(spark, documents):
 
 
 def test_op6_removed(spark, documents):
-    want, passages = brute.repeats(documents), brute.repeats(documents, 256)
+    want, passages = brute.repeats(documents), brute.repeats(documents, repeats.PASSAGE)
     got = rows(spark, "op6_repeats")
     assert len(got) == len(documents)
     for r in got:

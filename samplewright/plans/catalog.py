@@ -1153,9 +1153,9 @@ CONVERSATIONS_SCHEMA = "conv_id long, turn long, role string, text string"
 
 @register("stream_encode", ORACLE["pretrain_encode"])
 def q_stream_encode(spark, sf_dir):
-    s = SS.stream_encode(spark, sf_dir, DOCUMENTS_SCHEMA, "documents.parquet")
+    s = SS.stream_encode(spark, SS.table_pattern(sf_dir, "documents"), DOCUMENTS_SCHEMA)
     path = SS.run_to_table(spark, s, "stream_encode")
-    out = spark.read.parquet(path)
+    out = spark.read.schema(s.schema).parquet(path)
     return out.select(
         "doc_id",
         F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("n_tokens"),
@@ -1182,12 +1182,12 @@ def q_stream_sft(spark, sf_dir):
 
 @register("stream_history", ORACLE["chat_history_prompts"])
 def q_stream_history(spark, sf_dir):
-    s = SS.stream_history(spark, sf_dir, CONVERSATIONS_SCHEMA, "conversations.parquet")
+    s = SS.stream_history(spark, SS.table_pattern(sf_dir, "conversations"), CONVERSATIONS_SCHEMA)
     return _stream_prompts(spark, s, "stream_history")
 
 
 def _stream_prompts(spark, stream, name):
-    out = SS.latest_prompts(spark.read.parquet(SS.run_to_table(spark, stream, name)))
+    out = SS.latest_prompts(spark.read.schema(stream.schema).parquet(SS.run_to_table(spark, stream, name)))
     return out.select("session", "turn", "n_messages", "prompt",
                       T.csv(T.encode(F.col("prompt"), T.MODEL_MAX_LENGTH)).alias("prompt_ids_csv"))
 

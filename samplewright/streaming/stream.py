@@ -80,6 +80,11 @@ def file_stream(spark: SparkSession, source_dir: str, schema: str, file_glob: st
     return reader.parquet(source_dir)
 
 
+def table_pattern(base: str, name: str) -> str:
+    """The source path of a table that is one parquet file or a folder of them: as a pattern, a stream takes either."""
+    return f"{base.rstrip('/')}/{{{name}.parquet}}"
+
+
 def stream_encode(spark: SparkSession, source_dir: str, schema: str, file_glob: str | None = None,
                   max_length: int = T.PRETRAIN_MAX_LENGTH) -> DataFrame:
     """Documents arriving as parquet files -> pretraining samples (same columns as batch)."""

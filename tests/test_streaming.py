@@ -110,3 +110,22 @@ def test_state_stays_bounded_and_empties():
     assert arrive(fold, state, [(502, "user", "after")])[0]["prompt"].tolist() == [None]
     state.hasTimedOut = True
     assert list(fold((7,), iter([]), state)) == [] and not state.exists
+
+
+@pytest.mark.parametrize("files", [0, 1, 3])
+def test_streams_take_a_table_that_is_a_file_or_a_folder(spark, tmp_path, files):
+    import pandas as pd
+
+    from samplewright.plans import catalog
+    docs = pd.DataFrame({"doc_id": range(12), "text": [f"text {i}" for i in range(12)], "lang": "en", "source": "s", "n_chars": 6})
+    turns = pd.DataFrame({"conv_id": [i // 4 for i in range(12)], "turn": [i % 4 for i in range(12)],
+                          "role": ["user", "assistant"] * 6, "text": [f"said {i}" for i in range(12)]})
+    for name, rows in (("documents", docs), ("conversations", turns)):
+        if files:
+            spark.createDataFrame(rows).repartition(files).write.parquet(str(tmp_path / f"{name}.parquet"))
+        else:
+            rows.to_parquet(tmp_path / f"{name}.parquet", index=False)
+    for stream, batch in (("stream_encode", "pretrain_encode"), ("stream_history", "chat_history_prompts")):
+        got, want = (catalog.QUERIES[q](spark, str(tmp_path)) for q in (stream, batch))
+        assert got.count() == want.count() > 0
+        assert got.exceptAll(want.select(*got.columns)).count() == 0

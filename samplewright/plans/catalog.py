@@ -1209,9 +1209,10 @@ def q_stream_history_late(spark, sf_dir):
     base = shared_path(spark, f"stream-late-{uuid.uuid4().hex}")
     turns = _eventful(table(spark, sf_dir, "conversations"))
     arrival = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(ARRIVALS))
+    files = turns.rdd.getNumPartitions()  # of an arrival: as many as its scan has tasks, read as one micro-batch
     for k in range(ARRIVALS):
-        turns.filter(arrival == k).coalesce(1).write.mode("append").parquet(base)
-    return _stream_prompts(spark, SS.stream_history(spark, base, CONVERSATIONS_SCHEMA, max_files_per_trigger=1), "stream_history_late")
+        turns.filter(arrival == k).write.mode("append").parquet(base)
+    return _stream_prompts(spark, SS.stream_history(spark, base, CONVERSATIONS_SCHEMA, max_files_per_trigger=files), "stream_history_late")
 
 
 @register("stream_resume", ORACLE["pretrain_encode"])

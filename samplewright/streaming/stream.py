@@ -19,6 +19,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ from samplewright.session import shared_path
 from samplewright.sources.manifest import CommitLog
 
 PROMPT_SCHEMA = "session long, turn long, revision long, n_messages long, prompt string"
+PROMPT_COLUMNS = pd.Index([c.split()[0] for c in PROMPT_SCHEMA.split(", ")])
 STATE_SCHEMA = "turns array<long>, roles array<string>, texts array<string>, revision long, ended long"
 
 
@@ -147,8 +149,8 @@ def _history_fn(history_turns: int, late_turns: int | None, ttl_ms: int | None):
         turns, roles, texts, revision, ended = state.get if state.exists else ([], [], [], 0, None)
         known, arrived = dict(zip(turns, zip(roles, texts))), {}
         for part in pdfs:
-            said = part["text"].astype(object).where(part["text"].notna(), None)
-            arrived.update((int(t), (r, x)) for t, r, x in zip(part["turn"], part["role"], said))
+            said = (x if isinstance(x, str) else None for x in part["text"].tolist())  # a null may come as NaN
+            arrived.update((int(t), (r, x)) for t, r, x in zip(part["turn"].tolist(), part["role"].tolist(), said))
         known.update(arrived)
         order = sorted(known)
         out = revised_prompts([(t, *known[t]) for t in order], set(arrived), ended, history_turns)
@@ -159,8 +161,9 @@ def _history_fn(history_turns: int, late_turns: int | None, ttl_ms: int | None):
         if ttl_ms:
             state.setTimeoutDuration(ttl_ms)
         if out:
-            yield pd.DataFrame({"session": [key[0]] * len(out), "turn": [t for t, _, _ in out], "revision": [revision] * len(out),
-                                "n_messages": pd.array([n for _, n, _ in out], dtype="Int64"), "prompt": [p for _, _, p in out]})
+            rows = np.empty((len(out), len(PROMPT_COLUMNS)), dtype=object)  # one block: a frame for each session is dear
+            rows[:] = [(key[0], t, revision, n, p) for t, n, p in out]
+            yield pd.DataFrame(rows, columns=PROMPT_COLUMNS)
     return fn
 
 

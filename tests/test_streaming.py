@@ -129,3 +129,34 @@ def test_streams_take_a_table_that_is_a_file_or_a_folder(spark, tmp_path, files)
         got, want = (catalog.QUERIES[q](spark, str(tmp_path)) for q in (stream, batch))
         assert got.count() == want.count() > 0
         assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_late_arrivals_are_written_and_read_by_all_tasks(spark, tmp_path, monkeypatch):
+    import pandas as pd
+
+    from samplewright.plans import catalog
+    turns = pd.DataFrame({"conv_id": [i // 5 for i in range(400)], "turn": [i % 5 for i in range(400)],
+                          "role": ["user" if i % 5 % 2 == 0 else "assistant" for i in range(400)], "text": [f"said {i}" for i in range(400)]})
+    spark.createDataFrame(turns).repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    # Small files go to one task each, as the parts of a large table would.
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    asked, plain = {}, SS.stream_history
+    monkeypatch.setattr(SS, "stream_history", lambda s, base, schema, **more: asked.update(more, base=base) or plain(s, base, schema, **more))
+    try:
+        got = catalog.QUERIES["stream_history_late"](spark, str(tmp_path)).drop("prompt_ids_csv")
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert asked["max_files_per_trigger"] == 3 and len(spark.read.parquet(asked["base"]).inputFiles()) == 3 * catalog.ARRIVALS
+    want = H.history_prompts(H.live_messages(H.sessions_from_turns(catalog._eventful(spark.createDataFrame(turns)))))
+    assert got.count() > 0 and got.exceptAll(want.select(*got.columns)).count() == want.select(*got.columns).exceptAll(got).count() == 0
+
+
+def test_a_session_of_a_micro_batch_makes_one_block(monkeypatch):
+    import numpy as np
+    import pandas as pd
+    fold, state = SS._history_fn(2, None, None), State()
+    part = pd.DataFrame({"turn": np.array([0, 1, 2, 3]), "role": ["user", "assistant", "user", "user"], "text": ["a", np.nan, None, "d"]})
+    (out,) = fold((7,), iter([part]), state)
+    assert list(out.columns) == ["session", "turn", "revision", "n_messages", "prompt"] and len(out._mgr.blocks) == 1
+    assert [(r.turn, r.n_messages) for r in out.itertuples()] == [(0, 1), (3, 3), (2, None)]
+    assert state.value[2] == ["a", None, None, "d"]

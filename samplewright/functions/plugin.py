@@ -1,4 +1,4 @@
-"""U1 + P17b: user-supplied tokenizers (Arrow-batched pandas UDFs).
+"""U1 + P17b: user-supplied tokenizers (Arrow-batched UDFs).
 
 The built-in ``bytes`` tokenizer runs as SQL expressions.  A user's own encoder
 (for example a BPE file loaded with ``tokenizers``) plugs in here: the loader
@@ -14,24 +14,27 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from samplewright.functions import tokens as T
+from samplewright.functions.batches import pieces
 
 
 def plugin_encoder(loader: Callable[[], Callable[[str], list[int]]]):
-    """Return a pandas UDF ``text -> ARRAY<INT>`` around ``loader()``, called once per task.
+    """Return an Arrow UDF ``text -> ARRAY<INT>`` around ``loader()``, called once per task.
 
     ``loader`` must be picklable and return ``encode(text) -> list[int]``
-    (no special tokens added).
+    (no special tokens added).  The ids of a batch leave piece by piece.
     """
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fn = loader()
-        for texts in batches:
-            yield pd.Series([None if t is None else np.asarray(fn(t), dtype=np.int32) for t in texts])
+        for batch in batches:
+            for texts in pieces(batch):
+                yield pa.array([None if t is None else np.asarray(fn(t), dtype=np.int32) for t in texts.to_pylist()], pa.list_(pa.int32()))
 
     return encode
 

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from samplewright.functions import tokens as T
+from samplewright.functions.batches import pieces
 from samplewright.session import written
 
 BYTES_VOCAB = 256 + T.BYTE_OFFSET        # 259 ids for the bytes tokenizer
@@ -74,8 +75,9 @@ def _counters(room: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = Counters(room)
         for part in parts:
-            for text in part.column(0).to_pylist():
-                kept.add(text.split())
+            for texts in pieces(part.column(0)):
+                for text in texts.to_pylist():
+                    kept.add(text.split())
         kept.shrink()
         yield pa.RecordBatch.from_arrays([pa.array([*kept.count, None], pa.string()), pa.array([*kept.count.values(), kept.lost], pa.int64())], ["token", "count"])
     return run
@@ -86,8 +88,9 @@ def _counted(candidates: set[str]):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for part in parts:
-            for text in part.column(0).to_pylist():
-                total.update(filter(candidates.__contains__, text.split()))
+            for texts in pieces(part.column(0)):
+                for text in texts.to_pylist():
+                    total.update(filter(candidates.__contains__, text.split()))
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["token", "count"])
     return run
 
@@ -154,8 +157,10 @@ def vocab_encode(df: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
         return _joined_ids(df, vocab, id_col, text_col)
 
     @F.arrow_udf("array<int>")
-    def ids_of(rows: pa.Array) -> pa.Array:
-        return pa.array([[known.get(w, T.PAD_ID) for w in text.split()] for text in rows.to_pylist()], pa.list_(pa.int32()))
+    def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for texts in pieces(batch):
+                yield pa.array([[known.get(w, T.PAD_ID) for w in text.split()] for text in texts.to_pylist()], pa.list_(pa.int32()))
 
     return df.select(id_col, ids_of(T.as_text(F.col(text_col))).alias("ids"))
 

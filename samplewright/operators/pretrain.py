@@ -7,12 +7,15 @@ per-character work (see ``tokens.encode``).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samplewright.functions import tokens as T
+from samplewright.functions.batches import pieces
 
 SPECIAL_PATTERN = r"<\|(?:im_start|im_end|endoftext)\|>"
 
@@ -112,12 +115,12 @@ def document_pair_counts(df: DataFrame, text_col: str = "text", id_col: str = "d
 
     A text is cut into consecutive windows of ``max_length - 2`` tokens, each framed by
     BOS and EOS, with no remainder lost; targets equal to the pad id are not labels.
-    Counting happens inside the row, so only distinct pairs leave it.
+    Counting happens inside the row, so only distinct pairs leave it, and those of a batch
+    leave piece by piece.
     """
     kind = pa.list_(pa.struct([("cur", pa.int32()), ("nxt", pa.int32()), ("n", pa.int64())]))
 
-    @F.arrow_udf("array<struct<cur:int,nxt:int,n:bigint>>")
-    def counts(texts: pa.Array) -> pa.Array:
+    def of_piece(texts: pa.Array) -> pa.Array:
         keys, n, ends = [], [], [0]
         for text in texts:
             pairs = np.sort(_window_pairs(text.as_py(), max_length - 2))
@@ -131,4 +134,9 @@ def document_pair_counts(df: DataFrame, text_col: str = "text", id_col: str = "d
                                             pa.array(total)], fields=list(kind.value_type))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
 
+    @F.arrow_udf("array<struct<cur:int,nxt:int,n:bigint>>")
+    def counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield from map(of_piece, pieces(batch))
+
     return df.select(id_col, F.explode(counts(T.as_text(F.col(text_col)))).alias("_p")).select(id_col, "_p.*")

@@ -8,12 +8,16 @@ inside the JVM (no Python worker) and composes into one projection.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from samplewright.functions.batches import pieces as batch_pieces
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference tokenizer configuration.
 PAD_ID = 0          # "<|endoftext|>", also the unknown-token id
@@ -174,12 +178,14 @@ def _text_of(ids: pa.Array) -> pa.Array:
 def decode(ids: Column, strip: bool = True) -> Column:
     """Ids -> text, specials skipped, then surrounding white space stripped.
 
-    One Arrow pass: the byte ids of a batch become one byte string, of which each row
+    One Arrow pass: the byte ids of a piece of a batch become one byte string, of which each row
     reads its part.  A lambda per id measured slower.
     """
     @F.arrow_udf("string")
-    def text_of(lists: pa.Array) -> pa.Array:
-        return _text_of(lists)
+    def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for lists in batch_pieces(batch):
+                yield _text_of(lists)
 
     return py_strip(text_of(ids)) if strip else text_of(ids)
 

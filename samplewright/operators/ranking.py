@@ -257,11 +257,9 @@ class Carried:
         return out
 
 
-def continuations(prompts: list, keys: list[str], model: Carried, how: Decoding, max_new_tokens: int, eos_id: int) -> list[list[int]]:
-    """New tokens of each prompt until EOS (left out) or ``max_new_tokens``, all prompts a step at a time."""
-    seen, out = _seen(prompts, how.vocab_size), [[] for _ in prompts]
-    last = np.array([x[-1] if len(x) else -1 for x in prompts], np.int64)
-    going = np.arange(len(prompts))
+def continuations(last: np.ndarray, seen: np.ndarray, keys: list[str], model: Carried, how: Decoding, max_new_tokens: int, eos_id: int) -> list[list[int]]:
+    """New tokens after each prompt's ``last`` (-1 without any) until EOS (left out) or ``max_new_tokens``, all prompts a step at a time."""
+    out, going = [[] for _ in keys], np.arange(len(keys))
     for step in range(max_new_tokens):
         nxt = how.choose(model.rows(last[going]), seen[going], how.draws([keys[i] for i in going], step))
         going, nxt = going[nxt != eos_id], nxt[nxt != eos_id]
@@ -277,13 +275,16 @@ def _carried_replies(prompts: DataFrame, key: Column, ids_col: str, model: Carri
     room = max(1, CELLS // how.vocab_size)
 
     @F.arrow_udf("array<int>")
-    def reply(key: pa.Array, ids: pa.Array) -> pa.Array:
-        keys, lists, out = key.to_pylist(), [x or [] for x in ids.to_pylist()], []
-        for a in range(0, len(lists), room):
-            out += continuations(lists[a:a + room], keys[a:a + room], model, how, max_new_tokens, eos_id)
-        return pa.array(out, pa.list_(pa.int32()))
-
-    return prompts.withColumn("new_ids", reply(key, F.col(ids_col)))
+    def reply(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for key, last, ids in batches:
+            for a in range(0, max(len(key), 1), room):
+                keys, lists = key.slice(a, room).to_pylist(), ids.slice(a, room)
+                seen = _seen(lists.to_pylist(), how.vocab_size)
+                out = continuations(last.slice(a, room).to_numpy(zero_copy_only=False).astype(np.int64), seen, keys, model, how, max_new_tokens, eos_id)
+                yield pa.array(out, pa.list_(pa.int32()))
+
+    ids = F.coalesce(ids_col, F.array().cast("array<int>"))
+    return prompts.withColumn("new_ids", reply(key, F.coalesce(F.try_element_at(ids, F.lit(-1)), F.lit(-1)), F.array_distinct(ids)))
 
 
 STEP_SCHEMA = "_row bigint, _key string, _seen array<int>, new_ids array<int>, cur int, done boolean"
